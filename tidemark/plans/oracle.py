@@ -137,3 +137,169 @@ FROM rates WHERE currency_code IN ('NATION_0', 'NATION_1', 'NATION_2')
   AND rate_date > DATE '2001-08-01' - INTERVAL 30 DAY
 GROUP BY 1"""),
 }
+
+
+# ---- validation, store, reports -------------------------------------------------
+
+RECORDS_CTE = """
+daily AS (SELECT * FROM rates WHERE rate_type = 'daily'),
+rec0 AS (SELECT CAST(exchange_rate * 100 AS BIGINT) % 13 AS k, * FROM daily),
+rec AS (
+  SELECT CASE WHEN k = 0 THEN '   ' WHEN k = 9 THEN '  ' || currency_code || ' ' ELSE currency_code END AS currency_code,
+         CASE WHEN k = 1 THEN '' ELSE currency_name END AS currency_name,
+         CASE WHEN k = 2 THEN 'n/a' WHEN k = 3 THEN '-' || CAST(exchange_rate AS VARCHAR)
+              WHEN k = 4 THEN CAST(exchange_rate * 100 AS VARCHAR) WHEN k = 10 THEN 'NaN'
+              ELSE CAST(exchange_rate AS VARCHAR) END AS exchange_rate,
+         CASE WHEN k = 5 THEN strftime(rate_date, '%Y/%m/%d') WHEN k = 8 THEN strftime(rate_date, '%Y-%-m-%-d')
+              ELSE strftime(rate_date, '%Y-%m-%d') END AS rate_date,
+         CASE WHEN k = 8 THEN 'Weekly' WHEN k = 9 THEN 'MONTHLY' WHEN k = 11 THEN NULL ELSE 'daily' END AS rate_type,
+         CASE WHEN k = 6 THEN 'x' WHEN k = 7 THEN '0' WHEN k = 9 THEN NULL WHEN k = 11 THEN '10' ELSE '1' END AS nominal
+  FROM rec0),
+p AS (
+  SELECT trim(currency_code) AS c, trim(currency_name) AS n, TRY_CAST(exchange_rate AS DOUBLE) AS r,
+         CAST(TRY_STRPTIME(rate_date, '%Y-%m-%d') AS DATE) AS d, lower(trim(rate_type)) AS t,
+         trim(nominal) AS nt, TRY_CAST(trim(nominal) AS INTEGER) AS nm
+  FROM rec),
+chk AS (
+  SELECT c AS currency_code, n AS currency_name, TRY_CAST(r AS DECIMAL(12,6)) AS exchange_rate, d AS rate_date,
+         CASE WHEN t IN ('daily', 'monthly') THEN t ELSE 'daily' END AS rate_type, coalesce(nm, 1) AS nominal,
+         CASE WHEN c IS NULL OR c = '' THEN 'empty_code'
+              WHEN n IS NULL OR n = '' THEN 'empty_name'
+              WHEN r IS NULL OR isnan(r) OR isinf(r) THEN 'bad_rate'
+              WHEN r <= 0 THEN 'non_positive_rate'
+              WHEN TRY_CAST(r AS DECIMAL(12,6)) IS NULL THEN 'rate_overflow'
+              WHEN d IS NULL THEN 'bad_date'
+              WHEN nt IS NOT NULL AND nm IS NULL THEN 'bad_nominal'
+              WHEN coalesce(nm, 1) <= 0 THEN 'non_positive_nominal' END AS reason
+  FROM p),
+ok AS (SELECT currency_code, currency_name, exchange_rate, rate_date, rate_type, nominal FROM chk WHERE reason IS NULL),
+batch AS (
+  SELECT *, 1 AS seq FROM ok
+  UNION ALL
+  SELECT currency_code, currency_name, CAST(exchange_rate + 1 AS DECIMAL(12,6)), rate_date, rate_type, nominal, 2 FROM ok)
+"""
+
+
+def with_records(body: str) -> str:
+    return "WITH " + RATES_CTE + ", " + RECORDS_CTE + ", " + body
+
+
+_CAL = """
+rng AS (SELECT MIN(rate_date) AS a, MAX(rate_date) AS b FROM rates WHERE rate_type = 'daily'),
+cal AS (SELECT CAST(g AS DATE) AS rate_date FROM rng, generate_series(CAST(a AS TIMESTAMP), CAST(b AS TIMESTAMP), INTERVAL 1 DAY) t(g))
+"""
+
+ORACLE.update({
+    "validate_records": with_records("""
+x AS (SELECT 1)
+SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, reason
+FROM chk"""),
+    "reject_reasons": with_records("""
+x AS (SELECT 1)
+SELECT coalesce(reason, 'valid') AS reason, COUNT(*) AS rows FROM chk GROUP BY 1"""),
+    "constraint_violations": with_rates("""
+x AS (SELECT 1)
+SELECT 'code_pattern' AS rule, COUNT(*) FILTER (WHERE NOT coalesce(regexp_matches(currency_code, '^[A-Z]{3}$'), false)) AS violations FROM rates
+UNION ALL SELECT 'rate_positive', COUNT(*) FILTER (WHERE NOT coalesce(exchange_rate > 0, false)) FROM rates
+UNION ALL SELECT 'rate_type_known', COUNT(*) FILTER (WHERE NOT coalesce(rate_type IN ('daily', 'monthly'), false)) FROM rates
+UNION ALL SELECT 'code_length', COUNT(*) FILTER (WHERE length(currency_code) > 3) FROM rates
+UNION ALL SELECT 'name_length', COUNT(*) FILTER (WHERE length(currency_name) > 100) FROM rates"""),
+    "upsert_rates": with_records("""
+u AS (
+  SELECT currency_code, currency_name, exchange_rate, rate_date, rate_type, nominal, load_timestamp, 0 AS src, 0 AS seq FROM rates
+  UNION ALL
+  SELECT currency_code, currency_name, exchange_rate, rate_date, rate_type, nominal, TIMESTAMP '2001-08-02 00:00:00', 1, seq FROM batch),
+r AS (SELECT *, row_number() OVER (PARTITION BY currency_code, rate_date, rate_type ORDER BY src DESC, seq DESC) AS rn FROM u)
+SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, load_timestamp
+FROM r WHERE rn = 1"""),
+    "upsert_counts": with_records("""
+k AS (SELECT DISTINCT currency_code, rate_date, rate_type FROM batch),
+m AS (SELECT k.*, r.currency_code IS NOT NULL AS hit FROM k LEFT JOIN rates r USING (currency_code, rate_date, rate_type))
+SELECT COUNT(*) FILTER (WHERE NOT hit) AS inserted, COUNT(*) FILTER (WHERE hit) AS updated FROM m"""),
+    "insert_ignore_facts": with_records("""
+b AS (SELECT *, row_number() OVER (PARTITION BY currency_code, rate_date, rate_type ORDER BY seq) AS rn FROM batch),
+new AS (SELECT b.currency_code, b.exchange_rate, b.rate_date, b.rate_type, b.nominal, CAST(NULL AS TIMESTAMP) AS load_timestamp
+        FROM b WHERE rn = 1 AND NOT EXISTS (
+          SELECT 1 FROM rates r WHERE r.currency_code = b.currency_code AND r.rate_date = b.rate_date AND r.rate_type = b.rate_type))
+SELECT currency_code, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, load_timestamp FROM rates
+UNION ALL
+SELECT currency_code, CAST(exchange_rate AS DOUBLE), rate_date, rate_type, nominal, load_timestamp FROM new"""),
+    "sync_dimension": with_rates("""
+dim AS (SELECT DISTINCT currency_code, currency_name, DATE '2000-01-01' AS first_seen, DATE '2000-01-01' AS last_seen, true AS is_active
+        FROM rates WHERE rate_type = 'monthly'),
+src AS (SELECT currency_code, currency_name FROM (
+          SELECT *, row_number() OVER (PARTITION BY currency_code
+                   ORDER BY (rate_type = 'daily') DESC, load_timestamp DESC, currency_name DESC) AS rn FROM rates) WHERE rn = 1)
+SELECT coalesce(t.currency_code, s.currency_code) AS currency_code,
+       coalesce(s.currency_name, t.currency_name) AS currency_name,
+       coalesce(t.first_seen, DATE '2001-08-01') AS first_seen,
+       CASE WHEN s.currency_name IS NOT NULL THEN DATE '2001-08-01' ELSE t.last_seen END AS last_seen,
+       coalesce(t.is_active, true) AS is_active
+FROM dim t FULL OUTER JOIN src s ON t.currency_code = s.currency_code"""),
+    "union_sources": with_rates("""
+x AS (SELECT 1)
+SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, load_timestamp
+FROM rates"""),
+    "dq_report": with_rates("""
+c AS (SELECT COUNT(*) FILTER (WHERE rate_date = DATE '2001-07-31' AND rate_type = 'daily') AS rows_on_date,
+             COUNT(*) FILTER (WHERE exchange_rate <= 0 OR exchange_rate > 400000) AS anomalies,
+             COUNT(*) FILTER (WHERE rate_date = DATE '2001-07-31' AND currency_code IN ('NATION_0', 'NATION_1', 'NATION_2')) AS major_values,
+             COUNT(*) AS total_records FROM rates)
+SELECT 'rows_on_date' AS "check", rows_on_date AS value, CASE WHEN rows_on_date = 0 THEN 'warn' ELSE 'ok' END AS status FROM c
+UNION ALL SELECT 'anomalies', anomalies, CASE WHEN anomalies > 0 THEN 'warn' ELSE 'ok' END FROM c
+UNION ALL SELECT 'major_values', major_values, CASE WHEN major_values = 0 THEN 'warn' ELSE 'ok' END FROM c
+UNION ALL SELECT 'total_records', total_records, 'info' FROM c"""),
+    "dq_major_values": with_rates("""
+x AS (SELECT 1)
+SELECT currency_code, rate_type, CAST(exchange_rate AS DOUBLE) AS exchange_rate FROM rates
+WHERE rate_date = DATE '2001-07-31' AND currency_code IN ('NATION_0', 'NATION_1', 'NATION_2')"""),
+    "record_stats": with_rates("""
+x AS (SELECT 1)
+SELECT rate_type, COUNT(*) AS count, MIN(rate_date) AS min_date, MAX(rate_date) AS max_date,
+       CAST(MIN(rate_date) AS VARCHAR) || ' - ' || CAST(MAX(rate_date) AS VARCHAR) AS date_range,
+       COUNT(DISTINCT currency_code) AS currencies
+FROM rates GROUP BY rate_type"""),
+    "batch_stats": with_records("""
+s AS (SELECT string_agg(currency_code, ', ' ORDER BY currency_code) AS sample_codes
+      FROM (SELECT DISTINCT currency_code FROM ok ORDER BY currency_code LIMIT 3))
+SELECT COUNT(DISTINCT currency_code) AS currencies, COUNT(DISTINCT rate_date) AS dates,
+       COUNT(DISTINCT rate_type) AS rate_types,
+       string_agg(DISTINCT rate_type, ', ' ORDER BY rate_type) AS types,
+       MIN(rate_date) AS min_date, MAX(rate_date) AS max_date, (SELECT sample_codes FROM s) AS sample_codes
+FROM ok"""),
+    "run_totals": with_records("""
+x AS (SELECT 1)
+SELECT COUNT(*) FILTER (WHERE rate_type = 'daily') AS daily, COUNT(*) FILTER (WHERE rate_type = 'monthly') AS monthly,
+       COUNT(*) AS total FROM ok"""),
+    "load_report": with_rates("""
+x AS (SELECT 1)
+SELECT DATE '2001-06-01' AS period_start, DATE '2001-08-01' AS period_end, 62 AS days,
+       COUNT(*) FILTER (WHERE rate_date BETWEEN DATE '2001-06-01' AND DATE '2001-08-01') AS records_loaded,
+       COUNT(*) AS total_records, COUNT(DISTINCT currency_code) AS currencies,
+       MIN(rate_date) AS min_date, MAX(rate_date) AS max_date
+FROM rates"""),
+    "rows_per_date": with_rates("""
+x AS (SELECT 1)
+SELECT rate_date, COUNT(*) AS rows FROM rates WHERE rate_type = 'daily' GROUP BY rate_date"""),
+    "period_analysis": with_rates("""
+d AS (SELECT * FROM rates WHERE rate_type = 'daily')
+SELECT MIN(rate_date) AS min_date, MAX(rate_date) AS max_date, COUNT(DISTINCT rate_date) AS dates,
+       COUNT(DISTINCT currency_code) AS currencies, COUNT(*) AS records,
+       ROUND(COUNT(*) / COUNT(DISTINCT rate_date), 1) AS avg_per_day
+FROM d"""),
+    "existing_dates": with_rates("""
+x AS (SELECT 1)
+SELECT DISTINCT rate_date FROM rates WHERE rate_type = 'daily'"""),
+    "calendar_days": with_rates(_CAL + """
+SELECT rate_date FROM cal WHERE isodow(rate_date) < 6"""),
+    "period_load": with_rates(_CAL + """,
+per_day AS (SELECT rate_date, COUNT(*) AS n FROM rates WHERE rate_type = 'daily' GROUP BY 1)
+SELECT c.rate_date,
+       CAST(CASE WHEN isodow(c.rate_date) >= 6 THEN 0 ELSE coalesce(n, 0) END AS BIGINT) AS rows,
+       CASE WHEN isodow(c.rate_date) >= 6 THEN 'skipped' WHEN n IS NULL THEN 'missing' ELSE 'loaded' END AS status
+FROM cal c LEFT JOIN per_day p USING (rate_date)"""),
+    "sample_rows": with_rates("""
+x AS (SELECT 1)
+SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, load_timestamp
+FROM rates ORDER BY currency_code, rate_date, rate_type LIMIT 10"""),
+})

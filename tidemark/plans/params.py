@@ -14,3 +14,7 @@ EVENTS_AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
 ANOMALY_UPPER = 400000.0
 PERIOD_START = dt.date(2001, 6, 1)
 PERIOD_END = dt.date(2001, 8, 1)
+CHECK_DATE = dt.date(2001, 7, 31)          # the run date's yesterday
+UPSERT_AS_OF = dt.datetime(2001, 8, 2, 0, 0, 0)
+DIM_INIT_DATE = dt.date(2000, 1, 1)
+SAMPLE_ROWS = 10

@@ -109,3 +109,140 @@ def _majors(spark, sf):
 @register("majors_wide")
 def _majors_wide(spark, sf):
     return panels.majors_wide(rates_from_orders(spark, sf), P.MAJOR_LABELS, P.AS_OF, days=30)
+
+
+# ---- validation, store, reports -------------------------------------------------
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from tidemark.functions import calendar as cal  # noqa: E402
+from tidemark.operators import quality, store, validate  # noqa: E402
+from tidemark.sources.records import dirty_records  # noqa: E402
+from tidemark.sources.tables import daily_from_orders  # noqa: E402
+
+
+def _checked(spark, sf):
+    return validate.parsed(dirty_records(daily_from_orders(spark, sf)))
+
+
+def _batch(spark, sf):
+    """Valid records twice: the second copy (rate + 1, seq 2) must win every key."""
+    ok = validate.valid(_checked(spark, sf))
+    first = ok.withColumn("seq", F.lit(1))
+    second = ok.withColumn("exchange_rate", (F.col("exchange_rate") + F.lit(1)).cast("decimal(12,6)")) \
+        .withColumn("seq", F.lit(2))
+    return first.unionByName(second)
+
+
+@register("validate_records")
+def _validate(spark, sf):
+    return _checked(spark, sf)
+
+
+@register("reject_reasons")
+def _reasons(spark, sf):
+    return validate.reason_counts(_checked(spark, sf))
+
+
+@register("constraint_violations")
+def _constraints(spark, sf):
+    return validate.constraint_violations(rates_from_orders(spark, sf))
+
+
+@register("upsert_rates")
+def _upsert(spark, sf):
+    return store.upsert(rates_from_orders(spark, sf), _batch(spark, sf), P.UPSERT_AS_OF, seq="seq")
+
+
+@register("upsert_counts")
+def _upsert_counts(spark, sf):
+    return store.upsert_counts(rates_from_orders(spark, sf), _batch(spark, sf))
+
+
+@register("insert_ignore_facts")
+def _insert_ignore(spark, sf):
+    rates = rates_from_orders(spark, sf)
+    return store.insert_ignore_table(rates, _batch(spark, sf), seq="seq")
+
+
+@register("sync_dimension")
+def _sync_dim(spark, sf):
+    rates = rates_from_orders(spark, sf)
+    dim = store.init_dimension(rates.filter(F.col("rate_type") == "monthly"), P.DIM_INIT_DATE)
+    return store.sync_dimension(dim, rates, P.AS_OF)
+
+
+@register("union_sources")
+def _union(spark, sf):
+    rates = rates_from_orders(spark, sf)
+    return store.union_sources(rates.filter(F.col("rate_type") == "daily"),
+                               rates.filter(F.col("rate_type") == "monthly"), "both")
+
+
+@register("dq_report")
+def _dq(spark, sf):
+    return quality.dq_report(rates_from_orders(spark, sf), P.CHECK_DATE, P.MAJORS, upper=P.ANOMALY_UPPER)
+
+
+@register("dq_major_values")
+def _dq_major(spark, sf):
+    return quality.dq_major_values(rates_from_orders(spark, sf), P.CHECK_DATE, P.MAJORS)
+
+
+@register("record_stats")
+def _record_stats(spark, sf):
+    return quality.record_stats(rates_from_orders(spark, sf))
+
+
+@register("batch_stats")
+def _batch_stats(spark, sf):
+    return quality.batch_stats(validate.valid(_checked(spark, sf)))
+
+
+@register("run_totals")
+def _run_totals(spark, sf):
+    return quality.run_totals(validate.valid(_checked(spark, sf)))
+
+
+@register("load_report")
+def _load_report(spark, sf):
+    return quality.load_report(rates_from_orders(spark, sf), P.PERIOD_START, P.PERIOD_END)
+
+
+@register("rows_per_date")
+def _rows_per_date(spark, sf):
+    return quality.rows_per_date(rates_from_orders(spark, sf).filter(F.col("rate_type") == "daily"))
+
+
+@register("period_analysis")
+def _period_analysis(spark, sf):
+    return quality.period_analysis(rates_from_orders(spark, sf).filter(F.col("rate_type") == "daily"))
+
+
+@register("existing_dates")
+def _existing_dates(spark, sf):
+    return quality.existing_dates(rates_from_orders(spark, sf), "daily")
+
+
+def _data_range(rates):
+    r = rates.agg(F.min("rate_date").alias("a"), F.max("rate_date").alias("b")).first()
+    return r["a"], r["b"]
+
+
+@register("calendar_days")
+def _calendar(spark, sf):
+    daily = rates_from_orders(spark, sf).filter(F.col("rate_type") == "daily")
+    start, end = _data_range(daily)
+    return cal.calendar(spark, start, end, skip_weekends=True)
+
+
+@register("period_load")
+def _period_load(spark, sf):
+    daily = rates_from_orders(spark, sf).filter(F.col("rate_type") == "daily")
+    start, end = _data_range(daily)
+    return cal.day_status(spark, daily, start, end, skip_weekends=True)
+
+
+@register("sample_rows")
+def _sample(spark, sf):
+    return rates_from_orders(spark, sf).orderBy("currency_code", "rate_date", "rate_type").limit(P.SAMPLE_ROWS)
