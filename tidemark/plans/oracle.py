@@ -303,3 +303,52 @@ x AS (SELECT 1)
 SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, load_timestamp
 FROM rates ORDER BY currency_code, rate_date, rate_type LIMIT 10"""),
 })
+
+
+# ---- payloads, code extraction, streaming ingest, mart refresh ------------------
+
+from tidemark.functions.codes import code_from_name_sql  # noqa: E402
+
+ORACLE.update({
+    "entity_code_from_name": with_rates(f"""
+n AS (SELECT DISTINCT currency_name FROM rates)
+SELECT currency_name, {code_from_name_sql('currency_name')} AS code FROM n"""),
+    "daily_xml_normalise": with_rates("""
+x AS (SELECT 1)
+SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date,
+       'daily' AS rate_type, nominal, CAST(exchange_rate AS DOUBLE) AS unit_rate,
+       CAST(length(currency_code) AS VARCHAR) AS num_code, currency_code AS char_code, 'soap_daily' AS source
+FROM rates WHERE rate_type = 'daily'"""),
+    "catalogue_normalise": with_rates("""
+e AS (SELECT currency_code, MIN(currency_name) AS name FROM rates GROUP BY currency_code)
+SELECT name AS vname, 1 AS vnom, 'R' || currency_code AS vcode, lower(name) AS vengname,
+       currency_code AS vcommoncode, CAST(length(currency_code) AS VARCHAR) AS vnumcode,
+       CASE WHEN length(currency_code) % 2 = 0 THEN currency_code ELSE '' END AS vcharcode
+FROM e"""),
+    "monthly_json_normalise": with_rates(f"""
+m AS (SELECT * FROM rates WHERE rate_type = 'monthly')
+SELECT length(currency_code) * 100000 + year(rate_date) AS element_id,
+       {code_from_name_sql('currency_name')} AS currency_code, currency_name,
+       CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, 'monthly' AS rate_type, 1 AS nominal,
+       strftime(rate_date, '%B %Y') AS period
+FROM m"""),
+    "monthly_json_rejects": with_rates("""
+d AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT currency_code, year(rate_date) FROM rates WHERE rate_type = 'monthly'))
+SELECT 'unknown_element' AS reason, n AS rows FROM d
+UNION ALL SELECT 'bad_date', n FROM d
+UNION ALL SELECT 'bad_value', n FROM d"""),
+    "incremental_ingest": ORACLE["upsert_rates"],
+    "refresh_marts": with_rates("""
+d AS (SELECT * FROM rates WHERE rate_type = 'daily'),
+c AS (
+  SELECT 'daily_changes' AS mart, COUNT(*) AS rows FROM d
+  UNION ALL SELECT 'weekly_stats', COUNT(*) FROM (SELECT DISTINCT currency_code, date_trunc('week', rate_date) FROM d)
+  UNION ALL SELECT 'monthly_stats', COUNT(*) FROM (SELECT DISTINCT currency_code, date_trunc('month', rate_date) FROM d)
+  UNION ALL SELECT 'quarterly_stats', COUNT(*) FROM (SELECT DISTINCT currency_code, date_trunc('quarter', rate_date) FROM d)
+  UNION ALL SELECT 'top_volatile', LEAST(10, COUNT(DISTINCT currency_code)) FROM d WHERE rate_date > DATE '2001-08-01' - INTERVAL 30 DAY
+  UNION ALL SELECT 'anchor_correlation', COUNT(*) FROM (
+      SELECT o.currency_code FROM d o JOIN (SELECT rate_date FROM d WHERE currency_code = 'NATION_0') a USING (rate_date)
+      WHERE o.currency_code <> 'NATION_0' GROUP BY o.currency_code HAVING COUNT(*) > 10)
+  UNION ALL SELECT 'load_stats', COUNT(DISTINCT CAST(load_timestamp AS DATE)) FROM rates)
+SELECT mart, rows FROM c UNION ALL SELECT 'total', SUM(rows) FROM c"""),
+})

@@ -246,3 +246,74 @@ def _period_load(spark, sf):
 @register("sample_rows")
 def _sample(spark, sf):
     return rates_from_orders(spark, sf).orderBy("currency_code", "rate_date", "rate_type").limit(P.SAMPLE_ROWS)
+
+
+# ---- payloads, code extraction, streaming ingest, mart refresh ------------------
+
+from tidemark.functions.codes import code_from_name  # noqa: E402
+from tidemark.plans import jobs  # noqa: E402
+from tidemark.session import shared_dir  # noqa: E402
+from tidemark.sources import payloads  # noqa: E402
+from tidemark.streaming.ingest import incremental_ingest  # noqa: E402
+
+
+@register("entity_code_from_name")
+def _codes(spark, sf):
+    names = rates_from_orders(spark, sf).select("currency_name").distinct()
+    return names.select("currency_name", code_from_name("currency_name").alias("code"))
+
+
+@register("daily_xml_normalise")
+def _daily_xml(spark, sf):
+    docs = payloads.daily_documents(daily_from_orders(spark, sf))
+    return payloads.parse_daily_xml(docs)
+
+
+@register("catalogue_normalise")
+def _catalogue(spark, sf):
+    return payloads.parse_catalogue_xml(payloads.catalogue_elements(rates_from_orders(spark, sf)))
+
+
+def _monthly_docs(spark, sf):
+    monthly = rates_from_orders(spark, sf).filter(F.col("rate_type") == "monthly")
+    return payloads.parse_monthly_json(payloads.monthly_documents(monthly))
+
+
+@register("monthly_json_normalise")
+def _monthly_json(spark, sf):
+    return payloads.normalise_monthly(_monthly_docs(spark, sf))
+
+
+@register("monthly_json_rejects")
+def _monthly_rejects(spark, sf):
+    checked = payloads.monthly_checked(_monthly_docs(spark, sf))
+    return checked.filter(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("incremental_ingest")
+def _ingest(spark, sf):
+    """Raw store from the derived rates, two landed record files (the valid records and
+    their corrections), one availableNow stream run; returns the raw store."""
+    from tidemark.operators.tables import write_raw
+    root = shared_dir(spark, "ingest")
+    raw_path, landing = f"{root}/raw", f"{root}/landing"
+    write_raw(rates_from_orders(spark, sf), raw_path)
+    recs = dirty_records(daily_from_orders(spark, sf))
+    recs.withColumn("seq", F.lit(1).cast("long")).write.json(f"{landing}/part=1")
+    fixed = validate.valid(validate.parsed(recs))
+    second = fixed.select(
+        "currency_code", "currency_name",
+        (F.col("exchange_rate") + F.lit(1)).cast("decimal(12,6)").cast("string").alias("exchange_rate"),
+        F.col("rate_date").cast("string").alias("rate_date"), "rate_type",
+        F.col("nominal").cast("string").alias("nominal"), F.lit(2).cast("long").alias("seq"))
+    second.write.json(f"{landing}/part=2")
+    incremental_ingest(spark, f"{landing}/*", raw_path, f"{root}/_checkpoint", P.UPSERT_AS_OF,
+                       rejects_path=f"{root}/rejects")
+    return spark.read.parquet(raw_path).drop("rate_month")
+
+
+@register("refresh_marts")
+def _refresh(spark, sf):
+    base = shared_dir(spark, "marts")
+    return jobs.refresh_marts(spark, rates_from_orders(spark, sf), base, P.AS_OF, P.ANCHOR,
+                              database="tidemark_marts")
