@@ -118,7 +118,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tidemark.functions import calendar as cal  # noqa: E402
 from tidemark.operators import quality, store, validate  # noqa: E402
 from tidemark.sources.records import dirty_records  # noqa: E402
-from tidemark.sources.tables import daily_from_orders  # noqa: E402
+from tidemark.sources.tables import daily_from_orders, read_raw  # noqa: E402
 
 
 def _checked(spark, sf):
@@ -309,7 +309,7 @@ def _ingest(spark, sf):
     second.write.json(f"{landing}/part=2")
     incremental_ingest(spark, f"{landing}/*", raw_path, f"{root}/_checkpoint", P.UPSERT_AS_OF,
                        rejects_path=f"{root}/rejects")
-    return spark.read.parquet(raw_path).drop("rate_month")
+    return read_raw(spark, raw_path)
 
 
 @register("refresh_marts")

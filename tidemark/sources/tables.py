@@ -80,4 +80,5 @@ def rates_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     """The raw store: parquet partitioned by rate_type and rate_month (see store.write_raw)."""
-    return spark.read.parquet(path).drop("rate_month")
+    from tidemark.schema import RAW_COLUMNS
+    return spark.read.parquet(path).select(*RAW_COLUMNS)
