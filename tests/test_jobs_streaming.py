@@ -90,3 +90,16 @@ def test_run_daily_and_period_load(spark):
     assert st == {"skipped", "missing", "loaded"}
     rep = pl["report"].first()
     assert rep["records_loaded"] == 3 and rep["days"] == 4  # the 8th was already stored
+
+
+def test_catalog_status_and_sample_sink(spark):
+    from tidemark.operators.tables import write_sample_json
+    raw = raw_rows(spark, [("A", D(2024, 1, i + 1), 10 + i) for i in range(30)])
+    base = shared_dir(spark, "test-status")
+    publish(spark, raw, base, "daily_changes", "status_db")
+    st = {r["mart"]: (r["exists"], r["rows"]) for r in jobs.catalog_status(spark, "status_db").collect()}
+    assert st["daily_changes"] == (True, 30) and st["load_stats"] == (False, None)
+    only = jobs.catalog_status(spark, "status_db", pattern="daily%").collect()
+    assert [r["mart"] for r in only] == ["daily_changes"]
+    write_sample_json(raw, f"{base}/sample", n=5)
+    assert spark.read.json(f"{base}/sample").count() == 5

@@ -74,3 +74,10 @@ def publish(spark: SparkSession, df: DataFrame, base: str, name: str, database:
     else:
         spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{version}'")
     return version
+
+
+def write_sample_json(df: DataFrame, path: str, n: int = 10,
+                      order=("currency_code", "rate_date", "rate_type")) -> None:
+    """First ``n`` rows in key order as one JSON file (a bounded top-n, not a collect)."""
+    (df.orderBy(*order).limit(n).coalesce(1)
+     .write.mode("overwrite").option("dateFormat", "yyyy-MM-dd").json(path))

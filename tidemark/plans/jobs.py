@@ -108,3 +108,20 @@ def period_load(spark: SparkSession, daily: DataFrame, monthly: DataFrame | None
 
 def init_raw(raw: DataFrame, path: str) -> None:
     write_raw(raw, path)
+
+
+def catalog_status(spark: SparkSession, database: str = "marts", names=MART_NAMES,
+                   pattern: str | None = None) -> DataFrame:
+    """Per expected mart: whether the catalog has it and its row count (NULL if absent).
+    ``pattern`` (a LIKE pattern such as 'daily%') narrows the expected names."""
+    if pattern:
+        names = [r["n"] for r in spark.createDataFrame([(n,) for n in names], "n string")
+                 .filter(F.col("n").like(pattern)).collect()]
+    present = {t.name for t in spark.catalog.listTables(database)} if spark.catalog.databaseExists(database) else set()
+    parts = [spark.table(f"{database}.{n}").agg(F.lit(n).alias("mart"), F.lit(True).alias("exists"),
+                                                 F.count(F.lit(1)).alias("rows"))
+             for n in names if n in present]
+    missing = [n for n in names if n not in present]
+    if missing:
+        parts.append(spark.createDataFrame([(n, False, None) for n in missing], "mart string, exists boolean, rows long"))
+    return reduce(DataFrame.unionByName, parts)
