@@ -18,12 +18,25 @@ def with_partition(df: DataFrame) -> DataFrame:
     return df.withColumn("rate_month", F.date_format("rate_date", "yyyy-MM"))
 
 
+SORT_KEY = ("rate_type", "rate_month", "currency_code", "rate_date")
+
+
+def _laid_out(df: DataFrame) -> DataFrame:
+    """Range-partition on the full sort key before a partitioned write.
+
+    Hash partitioning on (type, month) would give every month to one task -- a hot month
+    would be one huge task and write parallelism would stop at the number of months. A
+    range partitioner samples the key, so tasks are balanced, a large month is split over
+    several tasks, and each task writes few, sorted files (tight parquet min/max stats).
+    The task count is the session's shuffle partition count."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *SORT_KEY).sortWithinPartitions(*SORT_KEY)
+
+
 def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Raw store layout: parquet partitioned by rate_type and year-month of rate_date.
-    Partitions stay coarse (a month of one type), files are sorted by (code, date)."""
-    (with_partition(df.select(*RAW_COLUMNS))
-     .repartition(*PART_COLS)
-     .sortWithinPartitions("currency_code", "rate_date")
+    """Raw store layout: parquet partitioned by rate_type and year-month of rate_date
+    (coarse partitions: a month of one type), files sorted by (code, date)."""
+    (_laid_out(with_partition(df.select(*RAW_COLUMNS)))
      .write.mode(mode).partitionBy(*PART_COLS).parquet(path))
 
 
@@ -52,8 +65,7 @@ def upsert_into(spark: SparkSession, path: str, batch: DataFrame, as_of, seq: st
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        (merged.select(*RAW_COLUMNS, "rate_month").repartition(*PART_COLS)
-         .sortWithinPartitions("currency_code", "rate_date")
+        (_laid_out(merged.select(*RAW_COLUMNS, "rate_month"))
          .write.mode("overwrite").partitionBy(*PART_COLS).parquet(path))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)

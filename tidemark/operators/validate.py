@@ -28,35 +28,40 @@ def _text(c: str) -> Column:
 
 
 def parsed(records: DataFrame) -> DataFrame:
-    """Input columns replaced by their parsed values, plus ``reason`` (NULL = valid)."""
-    code = F.trim(_text("currency_code"))
-    name = F.trim(_text("currency_name"))
-    rate_d = F.expr("try_cast(exchange_rate AS DOUBLE)") if records.schema["exchange_rate"].dataType == T.StringType() \
+    """Input columns replaced by their parsed values, plus ``reason`` (NULL = valid).
+
+    Two projections: the casts run once in the first; the reason chain in the second only
+    reads their results (Catalyst keeps the projections apart because the parsed values
+    are used several times), which keeps the generated code small."""
+    is_text = lambda c: records.schema[c].dataType == T.StringType()
+    rate_d = F.expr("try_cast(exchange_rate AS DOUBLE)") if is_text("exchange_rate") \
         else F.col("exchange_rate").cast("double")
-    rate_dec = rate_d.try_cast(T.DecimalType(12, 6))
-    day = F.try_to_date(_text("rate_date"), "yyyy-M-d") \
-        if records.schema["rate_date"].dataType == T.StringType() else F.col("rate_date").cast("date")
+    day = F.try_to_date(_text("rate_date"), "yyyy-M-d") if is_text("rate_date") \
+        else F.col("rate_date").cast("date")
     rtype = F.lower(F.trim(_text("rate_type")))
-    rtype = F.when(rtype.isin(*RATE_TYPES), rtype).otherwise(F.lit("daily"))
-    nom_txt = F.trim(_text("nominal"))
-    nom = nom_txt.try_cast(T.IntegerType())
-
-    reason = (F.when(code.isNull() | (code == F.lit("")), F.lit("empty_code"))
-              .when(name.isNull() | (name == F.lit("")), F.lit("empty_name"))
-              .when(rate_d.isNull() | F.isnan(rate_d) | (F.abs(rate_d) == F.lit(float("inf"))), F.lit("bad_rate"))
-              .when(rate_d <= F.lit(0.0), F.lit("non_positive_rate"))
-              .when(rate_dec.isNull(), F.lit("rate_overflow"))
-              .when(day.isNull(), F.lit("bad_date"))
-              .when(nom_txt.isNotNull() & nom.isNull(), F.lit("bad_nominal"))
-              .when(F.coalesce(nom, F.lit(1)) <= F.lit(0), F.lit("non_positive_nominal")))
     extra = [c for c in records.columns if c not in
              ("currency_code", "currency_name", "exchange_rate", "rate_date", "rate_type", "nominal")]
-    return records.select(
+    step1 = records.select(
         *extra,
-        code.alias("currency_code"), name.alias("currency_name"),
-        rate_dec.alias("exchange_rate"), day.alias("rate_date"),
-        rtype.alias("rate_type"), F.coalesce(nom, F.lit(1)).alias("nominal"),
-        reason.alias("reason"))
+        F.trim(_text("currency_code")).alias("currency_code"),
+        F.trim(_text("currency_name")).alias("currency_name"),
+        rate_d.alias("_rate"), day.alias("rate_date"),
+        F.when(rtype.isin(*RATE_TYPES), rtype).otherwise(F.lit("daily")).alias("rate_type"),
+        F.trim(_text("nominal")).alias("_nom_txt"))
+    step1 = step1.select("*", F.col("_nom_txt").try_cast(T.IntegerType()).alias("_nom"),
+                         F.col("_rate").try_cast(T.DecimalType(12, 6)).alias("exchange_rate"))
+    code, name, rate, nom = F.col("currency_code"), F.col("currency_name"), F.col("_rate"), F.col("_nom")
+    reason = (F.when(code.isNull() | (code == F.lit("")), F.lit("empty_code"))
+              .when(name.isNull() | (name == F.lit("")), F.lit("empty_name"))
+              .when(rate.isNull() | F.isnan(rate) | (F.abs(rate) == F.lit(float("inf"))), F.lit("bad_rate"))
+              .when(rate <= F.lit(0.0), F.lit("non_positive_rate"))
+              .when(F.col("exchange_rate").isNull(), F.lit("rate_overflow"))
+              .when(F.col("rate_date").isNull(), F.lit("bad_date"))
+              .when(F.col("_nom_txt").isNotNull() & nom.isNull(), F.lit("bad_nominal"))
+              .when(F.coalesce(nom, F.lit(1)) <= F.lit(0), F.lit("non_positive_nominal")))
+    return step1.select(
+        *extra, "currency_code", "currency_name", "exchange_rate", "rate_date", "rate_type",
+        F.coalesce(nom, F.lit(1)).alias("nominal"), reason.alias("reason"))
 
 
 def valid(checked: DataFrame) -> DataFrame:

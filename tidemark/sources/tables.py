@@ -12,8 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.joins import small_dimension
-
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -27,8 +25,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def daily_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    # nation has 25 rows by the TPC-H rule; small_dimension still checks the bound.
-    nation = small_dimension(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), max_rows=10_000)
+    # nation has 25 rows by the TPC-H rule; the planner's size estimate (file statistics
+    # against spark.sql.autoBroadcastJoinThreshold) broadcasts it without an extra job.
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     joined = (orders.join(customer, orders.o_custkey == customer.c_custkey)
               .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
     day = F.to_date("o_orderdate")
