@@ -1,4 +1,6 @@
+import contextlib
 import datetime as dt
+import io
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -105,3 +107,20 @@ def test_constraint_violations(spark):
     raw = raw_rows(spark, [("USD", D(2024, 1, 1), 1), ("usd1", D(2024, 1, 1), 1), ("EUR", D(2024, 1, 1), 1, "weekly")])
     out = {r["rule"]: r["violations"] for r in validate.constraint_violations(raw).collect()}
     assert out["code_pattern"] == 1 and out["rate_type_known"] == 1 and out["code_length"] == 1
+
+
+def test_hot_key_upsert_is_combined_not_sorted_whole(spark):
+    # one key with thousands of versions in the batch: the aggregate picks the last one
+    target = raw_rows(spark, [("USD", D(2024, 1, 1), 90)])
+    batch = (spark.range(0, 5000)
+             .select(F.lit("USD").alias("currency_code"), F.lit("Dollar").alias("currency_name"),
+                     (F.col("id") + 1).cast("decimal(12,6)").alias("exchange_rate"),
+                     F.lit(D(2024, 1, 1)).alias("rate_date"), F.lit("daily").alias("rate_type"),
+                     F.lit(1).alias("nominal"), F.col("id").alias("seq"))
+             .repartition(8))
+    out = store.upsert(target, batch, dt.datetime(2024, 1, 2), seq="seq").collect()
+    assert len(out) == 1 and out[0]["exchange_rate"] == Decimal("5000.000000")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        store.upsert(target, batch, dt.datetime(2024, 1, 2), seq="seq").explain()
+    assert "partial_max_by" in buf.getvalue()  # map-side combine before the shuffle

@@ -4,6 +4,7 @@ and the period load. Scheduling and retries belong to the caller's scheduler."""
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,16 +42,22 @@ def mart_status(spark: SparkSession, versions: dict[str, str]) -> DataFrame:
 
 
 def refresh_marts(spark: SparkSession, raw: DataFrame, base: str, as_of, anchor: str,
-                  names=MART_NAMES, log_path: str | None = None, database: str = "marts") -> DataFrame:
+                  names=MART_NAMES, log_path: str | None = None, database: str = "marts",
+                  parallel: int = 4) -> DataFrame:
     """Recompute and publish the marts, return their status.
 
-    The raw projection is cached once for the seven plans. Each mart is written to a new
-    version folder and switched in the catalog."""
+    The raw projection is cached once for the seven plans. The marts are independent
+    jobs, submitted from ``parallel`` driver threads so their stages share the cluster.
+    Each mart is written to a new version folder and switched in the catalog; a failed
+    mart raises after the others finish, and the old versions stay readable."""
     raw = raw.select("currency_code", "currency_name", "exchange_rate", "rate_date",
                      "rate_type", "nominal", "load_timestamp").cache()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     try:
         plans = build_marts(raw, as_of, anchor)
-        versions = {n: publish(spark, plans[n], base, n, database) for n in names}
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            futures = {n: pool.submit(publish, spark, plans[n], base, n, database) for n in names}
+            versions = {n: f.result() for n, f in futures.items()}
     finally:
         raw.unpersist()
     if log_path:

@@ -72,9 +72,12 @@ def parse_daily_xml(docs: DataFrame, doc_col: str = "doc", date_col: str = "rate
     return normalise_daily(rows)
 
 
-def daily_documents(daily: DataFrame) -> DataFrame:
-    """One ``<ValuteData>`` document per date from raw daily rows (a day's payload is as
-    large as the number of entities quoted that day)."""
+def daily_documents(daily: DataFrame, buckets: int = 64) -> DataFrame:
+    """``<ValuteData>`` documents from raw daily rows: one per (date, bucket of the code).
+
+    A source sends one document per day; here a day is split over ``buckets`` documents
+    by a hash of the code, so even a day holding a large share of all rows is collected
+    in many small groups, never one."""
     el = F.to_xml(F.struct(
         F.col("currency_name").alias("Vname"), F.col("nominal").cast("string").alias("Vnom"),
         F.col("exchange_rate").cast("string").alias("Vcurs"),
@@ -82,7 +85,8 @@ def daily_documents(daily: DataFrame) -> DataFrame:
         F.col("currency_code").alias("VchCode"),
         (F.col("exchange_rate") / F.col("nominal")).cast("double").cast("string").alias("VunitRate"),
     ), {"rowTag": "ValuteCursOnDate"})
-    return (daily.groupBy("rate_date")
+    bucket = F.pmod(F.xxhash64("currency_code"), F.lit(buckets))
+    return (daily.groupBy("rate_date", bucket.alias("part"))
             .agg(F.concat(F.lit("<ValuteData>"), F.concat_ws("", F.collect_list(el)), F.lit("</ValuteData>")).alias("doc")))
 
 
