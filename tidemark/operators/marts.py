@@ -8,12 +8,12 @@ list size, the rate type filter) are arguments.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.joins import bounded_broadcast
+from tidemark.functions.literals import date_lit
 from tidemark.functions.numeric import guarded_corr, mean, pct_change, pct_range
 from tidemark.functions.series import with_previous
 
@@ -72,8 +72,7 @@ def period_stats(raw: DataFrame, unit: str, rate_type: str | None = "daily",
 
 def _trailing(raw: DataFrame, as_of, days: int) -> DataFrame:
     """Rows with rate_date > as_of - days (the boundary day is excluded)."""
-    as_of = F.lit(as_of) if isinstance(as_of, dt.date) else F.to_date(F.lit(as_of))
-    return raw.filter(F.col("rate_date") > F.date_sub(as_of, days))
+    return raw.filter(F.col("rate_date") > F.date_sub(date_lit(as_of), days))
 
 
 def _volatility_agg(rows: DataFrame, with_range: bool, with_name: bool, with_days: bool) -> DataFrame:

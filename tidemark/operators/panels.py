@@ -3,25 +3,17 @@ entity, labelled majors (long and wide), loads per day."""
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import date_lit, ts_lit
 from tidemark.operators.marts import daily_changes
 
 
-def _date_lit(d):
-    return F.lit(d) if isinstance(d, dt.date) else F.to_date(F.lit(d))
-
-
-def _ts_lit(t):
-    if isinstance(t, dt.datetime):
-        return F.lit(t).cast("timestamp_ntz")
-    if isinstance(t, dt.date):
-        return F.lit(t).cast("timestamp_ntz")
-    return F.to_timestamp_ntz(F.lit(t))
+_date_lit = date_lit
+_ts_lit = ts_lit
 
 
 def total_records(raw: DataFrame) -> DataFrame:

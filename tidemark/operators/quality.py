@@ -3,15 +3,15 @@ are small DataFrames, never Python loops over collected rows."""
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import date_lit
 
-def _d(x):
-    return F.lit(x) if isinstance(x, dt.date) else F.to_date(F.lit(x))
+
+_d = date_lit
 
 
 def dq_report(raw: DataFrame, check_date, majors: Sequence[str], upper: float = 1000.0,

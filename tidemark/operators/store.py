@@ -4,20 +4,15 @@ versions is combined map-side rather than sorted in one task."""
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.literals import date_lit, ts_lit
 from tidemark.schema import FACT_COLUMNS, KEY, RAW_COLUMNS
 
 
-def _ts(t) -> Column:
-    if isinstance(t, Column):
-        return t
-    if isinstance(t, (dt.date, dt.datetime)):
-        return F.lit(t).cast("timestamp_ntz")
-    return F.to_timestamp_ntz(F.lit(t))
+_ts = ts_lit
 
 
 def _latest(df: DataFrame, cols, order: Column, key=KEY) -> DataFrame:
@@ -77,7 +72,7 @@ def dimension_names(raw: DataFrame) -> DataFrame:
 
 def init_dimension(raw: DataFrame, as_of) -> DataFrame:
     """Initial dimension: distinct codes of ``raw``, first_seen = last_seen = as_of."""
-    d = F.lit(as_of).cast("date")
+    d = date_lit(as_of)
     return dimension_names(raw).select("currency_code", "currency_name", d.alias("first_seen"),
                                        d.alias("last_seen"), F.lit(True).alias("is_active"))
 
@@ -86,7 +81,7 @@ def sync_dimension(dim: DataFrame, raw: DataFrame, as_of, dates_from_data: bool
     """Upsert the dimension from ``raw``: new codes are inserted, known codes get the
     current name and last_seen = as_of. With ``dates_from_data`` first_seen / last_seen
     come from the rate dates instead of the sync day."""
-    d = F.lit(as_of).cast("date")
+    d = date_lit(as_of)
     src = dimension_names(raw).alias("s")
     cur = dim.alias("t")
     j = cur.join(src, "currency_code", "full_outer")

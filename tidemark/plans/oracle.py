@@ -350,5 +350,5 @@ c AS (
       SELECT o.currency_code FROM d o JOIN (SELECT rate_date FROM d WHERE currency_code = 'NATION_0') a USING (rate_date)
       WHERE o.currency_code <> 'NATION_0' GROUP BY o.currency_code HAVING COUNT(*) > 10)
   UNION ALL SELECT 'load_stats', COUNT(DISTINCT CAST(load_timestamp AS DATE)) FROM rates)
-SELECT mart, rows FROM c UNION ALL SELECT 'total', SUM(rows) FROM c"""),
+SELECT mart, rows FROM c UNION ALL SELECT 'total', CAST(SUM(rows) AS BIGINT) FROM c"""),
 })
