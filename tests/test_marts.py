@@ -116,3 +116,13 @@ def test_per_unit_option(spark):
     raw = raw_rows(spark, [("J", D(2024, 1, 1), 60, "daily", 100), ("J", D(2024, 1, 2), 66, "daily", 100)])
     r = marts.daily_changes(raw, per_unit=True).orderBy("rate_date").collect()
     assert float(r[1]["exchange_rate"]) == 0.66 and r[1]["pct_change"] == 10.0
+
+
+def test_series_spec_maps_any_series(spark):
+    from tidemark.schema import SeriesSpec, to_raw
+    df = spark.createDataFrame([("x", dt.date(2024, 1, 1), 1.5), ("x", dt.date(2024, 1, 2), 3.0)],
+                               "sym string, day date, px double")
+    raw = to_raw(df, SeriesSpec(entity="sym", date="day", value="px", rate_type=None, load_ts=None,
+                                name=None, nominal=None))
+    r = marts.daily_changes(raw).orderBy("rate_date").collect()
+    assert r[1]["pct_change"] == 100.0 and raw.first()["rate_type"] == "daily"

@@ -44,9 +44,10 @@ def entity_trailing(raw: DataFrame, entity: str, as_of, days: int = 30,
 
 
 def entity_last_week_changes(raw: DataFrame, entity: str, as_of, days: int = 7) -> DataFrame:
-    """Daily changes of one entity in the trailing window. The window runs over the whole
-    series first (the first day in range needs its predecessor), then the filter applies."""
-    ch = daily_changes(raw.filter(F.col("currency_code") == F.lit(entity)), block="none")
+    """Daily changes of one entity in the trailing window. The LAG runs over the whole
+    series first (the first day in range needs its predecessor), then the filter applies.
+    The blocked LAG keeps even a very large entity spread over per-year tasks."""
+    ch = daily_changes(raw.filter(F.col("currency_code") == F.lit(entity)))
     return (ch.filter(F.col("rate_date") > F.date_sub(_date_lit(as_of), days))
             .select("rate_date", "exchange_rate", "pct_change").orderBy("rate_date"))
 
