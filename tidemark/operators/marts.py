@@ -160,3 +160,37 @@ MARTS = {
     "anchor_correlation": lambda raw, anchor, **kw: anchor_correlation(raw, anchor),
     "load_stats": lambda raw, **kw: load_stats(raw),
 }
+
+
+def refresh_period_stats(raw: DataFrame, mart: DataFrame, touched: DataFrame, unit: str,
+                         rate_type: str | None = "daily", volatility_digits: int | None = None,
+                         block: str = "year") -> DataFrame:
+    """Period statistics after a load, re-aggregating only the touched periods.
+
+    ``touched`` holds (currency_code, rate_date) of the loaded rows. Their (entity, period)
+    groups are re-aggregated from ``raw`` (a semi join on the group, so only those rows are
+    read and shuffled); every other period keeps its row from ``mart``. The change columns
+    are then recomputed over the mart-sized frame, which also fixes the period after each
+    touched one. Equal to ``period_stats(raw, unit)`` when ``mart`` was built from the
+    same raw before the load."""
+    period = PERIOD_COLUMN[unit]
+    keys = ["currency_code", period]
+    groups = touched.select("currency_code", F.trunc("rate_date", unit).alias(period)).distinct()
+    typed = _typed(raw, rate_type).withColumn(period, F.trunc("rate_date", unit))
+    rows = typed.join(groups, keys, "left_semi")
+    rate = F.col("exchange_rate")
+    vol = F.stddev_samp(rate.cast("double"))
+    if volatility_digits is not None:
+        vol = F.round(vol, volatility_digits)
+    fresh = (rows.groupBy(*keys)
+             .agg(mean(rate).alias("avg_rate"), F.min(rate).alias("min_rate"), F.max(rate).alias("max_rate"),
+                  vol.alias("volatility"), F.count(F.lit(1)).alias("days_count")))
+    stat_cols = keys + ["avg_rate", "min_rate", "max_rate", "volatility", "days_count"]
+    kept = mart.select(*stat_cols).join(groups, keys, "left_anti")
+    stats = kept.unionByName(fresh.select(*stat_cols))
+    withprev = with_previous(stats, ["currency_code"], period, ["avg_rate"], block=block)
+    return withprev.select(
+        *stat_cols,
+        (F.col("avg_rate") - F.col("prev_avg_rate")).alias("abs_change"),
+        pct_change(F.col("avg_rate"), F.col("prev_avg_rate")).alias("pct_change"),
+    )

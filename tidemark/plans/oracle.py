@@ -352,3 +352,23 @@ c AS (
   UNION ALL SELECT 'load_stats', COUNT(DISTINCT CAST(load_timestamp AS DATE)) FROM rates)
 SELECT mart, rows FROM c UNION ALL SELECT 'total', CAST(SUM(rows) AS BIGINT) FROM c"""),
 })
+
+_UPSERTED = """
+u AS (
+  SELECT currency_code, currency_name, exchange_rate, rate_date, rate_type, nominal, load_timestamp, 0 AS src, 0 AS seq FROM rates
+  UNION ALL
+  SELECT currency_code, currency_name, exchange_rate, rate_date, rate_type, nominal, TIMESTAMP '2001-08-02 00:00:00', 1, seq FROM batch),
+up AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY currency_code, rate_date, rate_type ORDER BY src DESC, seq DESC) AS rn FROM u)
+       WHERE rn = 1)
+"""
+
+ORACLE["weekly_stats_incremental"] = with_records(_UPSERTED + """,
+base AS (
+  SELECT currency_code, CAST(date_trunc('week', rate_date) AS DATE) AS week_start,
+         CAST(SUM(exchange_rate) AS DOUBLE) / COUNT(*) AS avg_rate,
+         CAST(MIN(exchange_rate) AS DOUBLE) AS min_rate, CAST(MAX(exchange_rate) AS DOUBLE) AS max_rate,
+         ROUND(STDDEV_SAMP(CAST(exchange_rate AS DOUBLE)), 4) AS volatility, COUNT(*) AS days_count
+  FROM up WHERE rate_type = 'daily' GROUP BY 1, 2)
+SELECT *, avg_rate - LAG(avg_rate) OVER w AS abs_change,
+       ROUND((avg_rate / LAG(avg_rate) OVER w - 1) * 100, 4) AS pct_change
+FROM base WINDOW w AS (PARTITION BY currency_code ORDER BY week_start)""")

@@ -317,3 +317,15 @@ def _refresh(spark, sf):
     base = shared_dir(spark, "marts")
     return jobs.refresh_marts(spark, rates_from_orders(spark, sf), base, P.AS_OF, P.ANCHOR,
                               database="tidemark_marts")
+
+
+@register("weekly_stats_incremental")
+def _weekly_incremental(spark, sf):
+    """Weekly mart built before the load, refreshed for the loaded rows only; equals the
+    weekly mart of the upserted table."""
+    rates = rates_from_orders(spark, sf)
+    batch = _batch(spark, sf)
+    before = marts.period_stats(rates, "week", volatility_digits=4)
+    after_raw = store.upsert(rates, batch, P.UPSERT_AS_OF, seq="seq")
+    return marts.refresh_period_stats(after_raw, before, batch.select("currency_code", "rate_date"),
+                                      "week", volatility_digits=4)
