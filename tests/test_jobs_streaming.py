@@ -103,3 +103,21 @@ def test_catalog_status_and_sample_sink(spark):
     assert [r["mart"] for r in only] == ["daily_changes"]
     write_sample_json(raw, f"{base}/sample", n=5)
     assert spark.read.json(f"{base}/sample").count() == 5
+
+
+def test_period_marts_refresh_after_load(spark):
+    rows = [("A", D(2024, 1, 1) + dt.timedelta(days=i), 10 + (i * 5) % 9) for i in range(50)]
+    rows += [("B", D(2024, 1, 2) + dt.timedelta(days=3 * i), 40 + i) for i in range(15)]
+    raw = raw_rows(spark, rows)
+    base = shared_dir(spark, "test-inc-marts")
+    jobs.refresh_marts(spark, raw, base, D(2024, 2, 19), "A", database="inc_marts")
+    batch = raw_rows(spark, [("A", D(2024, 1, 20), 77), ("B", D(2024, 2, 2), 3)]).drop("load_timestamp")
+    after = store.upsert(raw, batch, AS_OF)
+    st = {r["mart"]: r["rows"] for r in
+          jobs.refresh_period_marts_after_load(spark, after, batch, base, database="inc_marts").collect()}
+    from tidemark.operators import marts
+    for unit, name in jobs.PERIOD_MARTS.items():
+        got = spark.table(f"inc_marts.{name}").withColumn("volatility", F.round("volatility", 9))
+        want = marts.period_stats(after, unit).withColumn("volatility", F.round("volatility", 9))
+        assert st[name] == want.count()
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

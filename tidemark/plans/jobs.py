@@ -132,3 +132,26 @@ def catalog_status(spark: SparkSession, database: str = "marts", names=MART_NAME
     if missing:
         parts.append(spark.createDataFrame([(n, False, None) for n in missing], "mart string, exists boolean, rows long"))
     return reduce(DataFrame.unionByName, parts)
+
+
+PERIOD_MARTS = {"week": "weekly_stats", "month": "monthly_stats", "quarter": "quarterly_stats"}
+
+
+def refresh_period_marts_after_load(spark: SparkSession, raw: DataFrame, touched: DataFrame, base: str,
+                                    database: str = "marts", units=("week", "month", "quarter")) -> DataFrame:
+    """After a load, refresh the published period marts from the touched rows only.
+
+    ``touched`` = (currency_code, rate_date) of the loaded rows. Each mart re-aggregates
+    just the touched (entity, period) groups of ``raw`` and recomputes the change columns
+    over the mart itself; the result goes to a new version and the catalog is switched."""
+    touched = touched.select("currency_code", "rate_date").distinct().cache()
+    try:
+        versions = {}
+        for unit in units:
+            name = PERIOD_MARTS[unit]
+            current = spark.table(f"{database}.{name}")
+            versions[name] = publish(spark, marts.refresh_period_stats(raw, current, touched, unit),
+                                     base, name, database)
+    finally:
+        touched.unpersist()
+    return mart_status(spark, versions)
