@@ -71,6 +71,14 @@ def upsert_into(spark: SparkSession, path: str, batch: DataFrame, as_of, seq: st
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def ensure_database(spark: SparkSession, database: str, base: str) -> None:
+    """Create the catalog database if missing, located under ``base`` (the shared folder),
+    not under the working directory of the driver."""
+    if not spark.catalog.databaseExists(database):
+        loc = f"{base.rstrip('/')}/_catalog/{database}.db"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{loc}'")
+
+
 def publish(spark: SparkSession, df: DataFrame, base: str, name: str, database: str = "marts") -> str:
     """Write ``df`` to a new version folder and point table ``database.name`` at it.
 
@@ -78,7 +86,7 @@ def publish(spark: SparkSession, df: DataFrame, base: str, name: str, database:
     folder is left for a retention job. Returns the version path."""
     version = f"{base.rstrip('/')}/{name}/v_{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(version)
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    ensure_database(spark, database, base)
     table = f"{database}.{name}"
     if spark.catalog.tableExists(table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")

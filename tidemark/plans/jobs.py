@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
 from tidemark.operators import marts, quality, store, validate
-from tidemark.operators.tables import publish, upsert_into, write_raw
+from tidemark.operators.tables import ensure_database, publish, upsert_into, write_raw
 from tidemark.schema import LOG_SCHEMA
 from tidemark.sources import payloads
 
@@ -52,7 +52,7 @@ def refresh_marts(spark: SparkSession, raw: DataFrame, base: str, as_of, anchor:
     mart raises after the others finish, and the old versions stay readable."""
     raw = raw.select("currency_code", "currency_name", "exchange_rate", "rate_date",
                      "rate_type", "nominal", "load_timestamp").cache()
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    ensure_database(spark, database, base)
     try:
         plans = build_marts(raw, as_of, anchor)
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
