@@ -94,3 +94,25 @@ def test_monthly_json_file(spark):
     ok = payloads.normalise_monthly(docs).orderBy("rate_date").collect()
     assert [(r["currency_code"], r["rate_date"]) for r in ok] == [("EUR", D(2023, 3, 1)), ("USD", D(2024, 2, 1))]
     assert payloads.normalise_monthly(docs, 2024, 2024).count() == 1
+
+
+def test_small_dimension_broadcasts_only_under_bound(spark):
+    import contextlib
+    import io
+
+    from tidemark.functions.joins import small_dimension
+    big = spark.range(0, 2000).withColumnRenamed("id", "k")
+    dim = spark.range(0, 50).withColumnRenamed("id", "k")
+
+    def plan(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue()
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "BroadcastHashJoin" in plan(big.join(small_dimension(dim, max_rows=100), "k"))
+        assert "BroadcastHashJoin" not in plan(big.join(small_dimension(dim, max_rows=10), "k"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
