@@ -7,10 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import encode
 from tidemark.llm.common import table
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.mixing import mix
 from tidemark.llm.pii import BASE, find_pii, listed
+from tidemark.llm.quality import classify, held_out, train
 
 MIX_WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}, "source": {}}
 MIX_SHARE = (4, 5)
@@ -43,10 +45,30 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_join(F.transform(spans, lambda s: s["score"].cast("string")), ",").alias("scores"))
 
 
+def vocabulary() -> str:
+    """Default tokenizer file of the queries; a parameter of the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode(docs, vocabulary(), digests=True).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"))
+    return classify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op5_bpe": op5_bpe,
     "op6_mixing": op6_mixing,
     "op8_pii": op8_pii,
+    "op10_quality": op10_quality,
 }
 
 
