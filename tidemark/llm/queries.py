@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import encode
 from tidemark.llm.common import table
+from tidemark.llm.jaccard import near_groups
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.mixing import mix
 from tidemark.llm.pii import BASE, find_pii, listed
@@ -25,6 +26,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_groups(docs, k=4, percent=85)
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     return mix(docs, MIX_WEIGHTS, budget_share=MIX_SHARE, max_epochs=MIX_EPOCHS, seed=MIX_SEED) \
@@ -65,6 +71,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op4_jaccard": op4_jaccard,
     "op5_bpe": op5_bpe,
     "op6_mixing": op6_mixing,
     "op8_pii": op8_pii,
