@@ -100,4 +100,14 @@ SELECT t.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coa
 FROM t LEFT JOIN g ON t.doc_id = g.doc_id
 """
 
-ORACLE = {"op1_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op8_pii": PII}
+TOP_K = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM e q JOIN e c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+ORACLE = {"op1_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op8_pii": PII, "op9_topk": TOP_K}

@@ -8,12 +8,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import encode
-from tidemark.llm.common import table
+from tidemark.llm.common import materialise, table
+from tidemark.llm import html_text
+from tidemark.llm.fingerprint import compare_edited
 from tidemark.llm.jaccard import near_groups
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.mixing import mix
 from tidemark.llm.pii import BASE, find_pii, listed
 from tidemark.llm.quality import classify, held_out, train
+from tidemark.llm.topk import top_k
+from tidemark.llm.warc import audit, pack
 
 MIX_WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}, "source": {}}
 MIX_SHARE = (4, 5)
@@ -26,6 +30,15 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(docs).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op2_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extract(pages, html_text.train(pages)).select("page_id", "url", "text", "n_chars")
+
+
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_edited(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return near_groups(docs, k=4, percent=85)
@@ -37,6 +50,21 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "domain", "lang", "source", "epoch")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records against a copy with known damage: a changed byte in every 97th page, every
+    389th record lost, every 499th there again at the end of its file."""
+    packed = materialise(pack(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("record"), "warc_index")
+    page = F.col("page_id")
+    copy = packed.where(~F.coalesce(page % 389 == 7, F.lit(False))).withColumn(
+        "digest", F.when(page % 97 == 13, F.sha2(F.concat(F.col("digest"), F.lit("x")), 256)).otherwise(F.col("digest")))
+    ends = packed.groupBy("file").agg(F.max(F.col("offset") + F.col("length")).alias("end"))
+    again = packed.where(page % 499 == 3).join(ends, "file").withColumn("offset", F.col("end") + F.col("page_id")).drop("end")
+    found = audit(packed, copy.unionByName(again))
+    names = packed.select("file", "offset", F.col("page_id"), "uri")
+    return found.join(names, ["file", "offset"], "left").select(
+        "file", "offset", "length", "page_id", "uri", "fault", "digest", "other_digest")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     spans = F.col("spans")
@@ -63,6 +91,11 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(docs, vocabulary(), digests=True).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return top_k(rows, is_query=lambda i: i % 50 == 0, k=5)
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels"))
@@ -71,10 +104,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_html": op2_html,
+    "op3_fingerprint": op3_fingerprint,
     "op4_jaccard": op4_jaccard,
     "op5_bpe": op5_bpe,
     "op6_mixing": op6_mixing,
+    "op7_warc": op7_warc,
     "op8_pii": op8_pii,
+    "op9_topk": op9_topk,
     "op10_quality": op10_quality,
 }
 
