@@ -61,7 +61,7 @@ def line_dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", w
 
     def is_later(x: Column, k: Column) -> Column:
         before = F.get(hit, k - 1)
-        return x["later"] | F.coalesce((before["a"] == x["a"]) & (before["b"] == x["b"]), F.lit(False))
+        return x["later"] | F.coalesce((before["a"] == x["a"]) & (before["b"] == x["b"]) & (before["i"] < x["i"]), F.lit(False))
 
     covered = per_doc.select(
         "place", "content",
