@@ -33,7 +33,6 @@ empty tables give empty results.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +41,7 @@ from tidemark.llm.common import materialise, partitions
 from tidemark.llm.components import components
 from tidemark.llm.tokens import U, mix64, shingle_sets, slices
 
-DIMS = 64
+DIMS = 256
 BLOCK, LEAF = 256, 16
 RATIO = 1.6
 HUB_ROWS = 512
@@ -120,8 +119,11 @@ def cells(sets: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarr
 def count_vectors(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Point of each set: how many of its elements fall in each of ``DIMS`` groups."""
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    group = (mix64(sets) >> U(58)).astype(np.int64)
-    return np.bincount(doc * DIMS + group, minlength=(len(offsets) - 1) * DIMS).reshape(-1, DIMS).astype(np.uint32)
+    group = (mix64(sets) >> U(56)).astype(np.int64)
+    counts = np.bincount(doc * DIMS + group, minlength=(len(offsets) - 1) * DIMS).reshape(-1, DIMS)
+    if counts.size and counts.max() > np.iinfo(np.uint16).max:
+        raise ValueError("a text of more than ten million words")
+    return counts.astype(np.uint16)
 
 
 def needed(n_a, n_b, percent: int):
@@ -133,7 +135,7 @@ class RTree:
     """Points packed into boxes of ``LEAF`` by size, then by their largest-spread coordinate."""
 
     def __init__(self, points: np.ndarray):
-        n = points.sum(1, dtype=np.int64)
+        n = points.sum(1, dtype=np.int64)  # a set's size
         spread = points[:, int(np.argmax(points.std(0)))] if len(points) else n
         strip = np.empty(len(n), np.int64)
         strip[np.argsort(n, kind="stable")] = np.arange(len(n)) // (LEAF * 4)
@@ -277,28 +279,84 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()).mapInArrow(run, "a bigint, b bigint")
 
 
+def _leaf_pairs(v: np.ndarray, n: np.ndarray, root: np.ndarray, group: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one group and different components whose bound allows a link, for many groups of at most
+    one leaf at once."""
+    out_a, out_b = [], []
+    for lag in range(1, LEAF):
+        a = np.flatnonzero(group[lag:] == group[:-lag])
+        if not len(a):
+            break
+        b = a + lag
+        fits = (root[a] != root[b]) & (np.minimum(n[a], n[b]) * 100 >= np.maximum(n[a], n[b]) * percent)
+        a, b = a[fits], b[fits]
+        for k in range(0, len(a), 4096):
+            x, y = a[k: k + 4096], b[k: k + 4096]
+            ok = np.minimum(v[x], v[y]).sum(1, dtype=np.int64) >= needed(n[x], n[y], percent)
+            out_a.append(x[ok])
+            out_b.append(y[ok])
+    if not out_a:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(out_a), np.concatenate(out_b)
+
+
 def _tree_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of different components in one cell whose bound allows a link.
-    ``mixed``: cell, node, root, vec, block, blocks (of ``BLOCK`` rows)."""
-    schema = "a bigint, b bigint"
-
-    def run(frame):
-        v = np.vstack([np.frombuffer(x, np.uint32) for x in frame["vec"]])
-        node, root, block = frame["node"].to_numpy(), frame["root"].to_numpy(), frame["block"].to_numpy()
-        first, second = (np.flatnonzero(block == x) for x in (frame["i"].iat[0], frame["j"].iat[0]))
-        if not len(first) or not len(second):
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        x, y = RTree(v[first]).pairs(RTree(v[second]), percent)
-        x, y = first[x], second[y]
-        ok = root[x] != root[y]
-        a, b = np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])
-        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+    """Distinct pairs (a, root_a, b, root_b) of different components in one cell whose bound allows a link.
+    ``mixed``: cell, node, root, vec, block, blocks (of about ``BLOCK`` rows)."""
+    schema = "a bigint, root_a bigint, b bigint, root_b bigint"
+
+    def pairs_of(t: pa.Table):
+        t = t.combine_chunks()
+        node, root, block = (t.column(c).to_numpy() for c in ("node", "root", "block"))
+        cell, i, j = (t.column(c).to_numpy() for c in ("cell", "i", "j"))
+        v = np.frombuffer(b"".join(t.column("vec").to_pylist()), np.uint16).reshape(-1, DIMS)
+        n = v.sum(1, dtype=np.int64)
+        new = np.ones(len(cell), bool)
+        new[1:] = (cell[1:] != cell[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+        at = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        size = np.diff(np.append(at, len(cell)))
+        small = (size <= LEAF) & (i[at] == j[at])  # one leaf is the whole tree
+        rows = np.flatnonzero(small[group])
+        x, y = _leaf_pairs(v[rows], n[rows], root[rows], group[rows], percent)
+        found = [(rows[x], rows[y])]
+        for g in np.flatnonzero(~small):
+            own = np.arange(at[g], at[g] + size[g])
+            first, second = own[block[own] == i[at[g]]], own[block[own] == j[at[g]]]
+            if len(first) and len(second):
+                x, y = RTree(v[first]).pairs(RTree(v[second]), percent)
+                x, y = first[x], second[y]
+                apart = root[x] != root[y]
+                found.append((x[apart], y[apart]))
+        x, y = (np.concatenate(z) for z in zip(*found))
+        swap = node[x] > node[y]
+        x, y = np.where(swap, y, x), np.where(swap, x, y)
+        pairs = np.unique(np.stack([node[x], root[x], node[y], root[y]]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(p, pa.int64()) for p in pairs], names=[c.split()[0] for c in schema.split(", ")])
+
+    def run(batches):
+        """Rows come sorted by group; the group that a batch ends in waits for the next one."""
+        rest = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = pa.concat_tables([rest, t]) if rest is not None else t
+            if not t.num_rows:
+                continue
+            cell, i, j = (t.column(c).to_numpy() for c in ("cell", "i", "j"))
+            other = np.flatnonzero((cell != cell[-1]) | (i != i[-1]) | (j != j[-1]))
+            whole = int(other[-1]) + 1 if len(other) else 0
+            if whole:
+                yield pairs_of(t.slice(0, whole))
+            rest = t.slice(whole)
+        if rest is not None and rest.num_rows:
+            yield pairs_of(rest)
 
     # a block meets itself and every other block of its cell once
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     rows = mixed.select("cell", "node", "root", "vec", "block", F.explode(others).alias("o")).select(
         "cell", "node", "root", "vec", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
-    return rows.groupBy("cell", "i", "j").applyInPandas(run, schema).distinct()
+    placed = rows.repartition(partitions(mixed.sparkSession), "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
+    return placed.mapInArrow(run, schema).distinct()
 
 
 def near_groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", k: int = 4, percent: int = 85) -> DataFrame:
@@ -323,12 +381,23 @@ def near_groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     mixed = rooted.join(materialise(several, "jaccard_mixed"), "cell").join(sets.select("node", "n", "vec"), "node")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     blocked = mixed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    more = _tree_pairs(blocked.select("cell", "node", "root", "vec", "block", "blocks"), percent)
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = materialise(more.join(done, ["a", "b"], "left_anti"), "jaccard_tree_pairs")
-    if not rest.isEmpty():
-        links = materialise(links.union(_verified(rest, sets, percent)), "jaccard_links")
+    rest = materialise(_tree_pairs(blocked.select("cell", "node", "root", "vec", "block", "blocks"), percent)
+                       .join(done, ["a", "b"], "left_anti"), "jaccard_tree_pairs")
+    # one pair for every two components first, as a link joins them; then what is left
+    for once in (True, False):
+        if rest.isEmpty():
+            break
+        next_pairs = rest.groupBy("root_a", "root_b").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b") if once else rest.select("a", "b")
+        links = materialise(links.union(_verified(next_pairs.distinct(), sets, percent)), "jaccard_links")
         roots = components(links)
+        if once:
+            old = [f"root_{x}" for x in "ab"]
+            for x in "ab":
+                rest = rest.drop(f"root_{x}").join(roots.select(F.col("node").alias("__n"), F.col("root").alias("__r")), F.col(x) == F.col("__n"), "left") \
+                    .withColumn(f"root_{x}", F.coalesce("__r", x)).drop("__n", "__r")
+            rest = materialise(rest.where("root_a != root_b").select("a", "b", *old)
+                               .join(next_pairs, ["a", "b"], "left_anti"), "jaccard_rest_pairs")
 
     keyed = found.join(roots, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("root", "node").alias("key"))
