@@ -1,22 +1,38 @@
 """DuckDB SQL equal to each registered query, run on the same parquet tables."""
 
 RATES_CTE = """
+lines AS (
+  SELECT l_suppkey AS k, CAST(l_shipdate AS DATE) AS rate_date, l_extendedprice AS price,
+         row_number() OVER (PARTITION BY l_suppkey, CAST(l_shipdate AS DATE)
+                            ORDER BY l_orderkey DESC, l_linenumber DESC, l_extendedprice DESC) AS rn FROM lineitem),
 rates_src AS (
-  SELECT n_name AS currency_code, concat('Series ', n_name) AS currency_name,
-         CAST(o_totalprice AS DECIMAL(12,6)) AS exchange_rate,
-         CAST(o_orderdate AS DATE) AS rate_date,
-         CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) + INTERVAL '18' HOUR AS load_timestamp,
-         row_number() OVER (PARTITION BY n_name, CAST(o_orderdate AS DATE) ORDER BY o_orderkey DESC) AS rn
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+  SELECT k, rate_date, CAST(price AS DECIMAL(12,6)) AS exchange_rate,
+         CAST(rate_date AS TIMESTAMP) + INTERVAL '18' HOUR AS load_timestamp,
+         CASE WHEN k % 10 = 7 THEN 'S-' || k
+              ELSE chr(CAST(65 + (k // 676) % 26 AS INTEGER)) || chr(CAST(65 + (k // 26) % 26 AS INTEGER)) || chr(CAST(65 + k % 26 AS INTEGER))
+                   || CASE WHEN k >= 17576 THEN CAST(k // 17576 AS VARCHAR) ELSE '' END END AS currency_code
+  FROM lines WHERE rn = 1),
 rates AS (
-  SELECT currency_code, currency_name, exchange_rate, rate_date, 'daily' AS rate_type, 1 AS nominal, load_timestamp
-  FROM rates_src WHERE rn = 1
+  SELECT currency_code, 'Series ' || currency_code || CASE WHEN k % 10 = 9 THEN repeat(' of a long name', 7) ELSE '' END AS currency_name,
+         exchange_rate, rate_date, 'daily' AS rate_type, CASE k % 3 WHEN 0 THEN 1 WHEN 1 THEN 10 ELSE 100 END AS nominal, load_timestamp
+  FROM rates_src
   UNION ALL
-  SELECT currency_code, concat('Average of ', currency_code), max(exchange_rate),
+  SELECT currency_code, CASE k % 18 WHEN 0 THEN 'Доллара США к рублю' WHEN 1 THEN 'Евро к рублю' WHEN 2 THEN 'Юаня к рублю'
+           WHEN 3 THEN 'Фунта стерлингов к рублю' WHEN 4 THEN 'Йены к рублю' WHEN 5 THEN 'Франка к рублю'
+           WHEN 6 THEN 'Казахстанского тенге' WHEN 7 THEN 'Белорусского рубля' WHEN 8 THEN 'Гривны' WHEN 9 THEN 'Лари'
+           WHEN 10 THEN 'Доллар' WHEN 11 THEN 'ЕВР' WHEN 12 THEN 'Юань' WHEN 13 THEN 'Фунт' WHEN 14 THEN 'Йена'
+           WHEN 15 THEN 'Франк' WHEN 16 THEN 'Рупия' ELSE 'XYZ coin' END, max(exchange_rate),
          CAST(date_trunc('month', rate_date) AS DATE), 'monthly', 1, max(load_timestamp)
-  FROM rates_src WHERE rn = 1 GROUP BY currency_code, CAST(date_trunc('month', rate_date) AS DATE))
+  FROM rates_src GROUP BY k, currency_code, CAST(date_trunc('month', rate_date) AS DATE))
 """
 
+#: code of each name of the test relation, written out by hand
+CODE_OF_NAME = """CASE currency_name WHEN 'Доллара США к рублю' THEN 'USD' WHEN 'Евро к рублю' THEN 'EUR' WHEN 'Юаня к рублю' THEN 'CNY'
+  WHEN 'Фунта стерлингов к рублю' THEN 'GBP' WHEN 'Йены к рублю' THEN 'JPY' WHEN 'Франка к рублю' THEN 'CHF'
+  WHEN 'Казахстанского тенге' THEN 'KZT' WHEN 'Белорусского рубля' THEN 'BYN' WHEN 'Гривны' THEN 'UAH' WHEN 'Лари' THEN 'GEL'
+  WHEN 'Доллар' THEN 'DOL' WHEN 'ЕВР' THEN 'EUR' WHEN 'Юань' THEN 'UAN' WHEN 'Фунт' THEN 'FUN' WHEN 'Йена' THEN 'YEN'
+  WHEN 'Франк' THEN 'FRA' WHEN 'Рупия' THEN 'РУП' WHEN 'XYZ coin' THEN 'XYZ' ELSE 'SER' END"""
+
 EVENTS_CTE = """
 ev AS (
   SELECT event_type AS currency_code, event_type AS currency_name,
@@ -64,7 +80,7 @@ def _volatility(extra_filter: str, with_range: bool, with_name: bool, n: int | N
     limit = f" LIMIT {n}" if n is not None else ""
     return with_rates(f"""
 t AS (SELECT {', '.join(cols)} FROM rates
-      WHERE rate_date > DATE '2001-08-01' - INTERVAL 30 DAY {extra_filter}
+      WHERE rate_date > DATE '2001-11-04' - INTERVAL 30 DAY {extra_filter}
       GROUP BY currency_code)
 SELECT * FROM t ORDER BY volatility DESC NULLS FIRST, currency_code{limit}""")
 
@@ -85,9 +101,9 @@ FROM d WINDOW w AS (PARTITION BY currency_code ORDER BY rate_date)"""),
     "volatility_panel": _volatility("", False, True, 10),
     "anchor_correlation": with_rates("""
 a AS (SELECT rate_date, CAST(exchange_rate AS DOUBLE) AS y FROM rates
-      WHERE currency_code = 'NATION_0' AND rate_type = 'daily'),
+      WHERE currency_code = 'AAA' AND rate_type = 'daily'),
 o AS (SELECT currency_code, rate_date, CAST(exchange_rate AS DOUBLE) AS x FROM rates
-      WHERE currency_code <> 'NATION_0' AND rate_type = 'daily')
+      WHERE currency_code <> 'AAA' AND rate_type = 'daily')
 SELECT currency_code,
        ROUND(CASE WHEN MIN(x) < MAX(x) AND MIN(y) < MAX(y)
                   THEN COVAR_SAMP(x, y) / (STDDEV_SAMP(x) * STDDEV_SAMP(y)) END, 4) AS correlation_with_anchor,
@@ -111,30 +127,30 @@ GROUP BY 1"""),
     "entity_trailing": with_rates("""
 x AS (SELECT 1)
 SELECT rate_date AS time, CAST(exchange_rate AS DOUBLE) AS value FROM rates
-WHERE currency_code = 'NATION_0' AND rate_date > DATE '2001-08-01' - INTERVAL 30 DAY"""),
+WHERE currency_code = 'AAA' AND rate_date > DATE '2001-11-04' - INTERVAL 30 DAY"""),
     "entity_last_week_changes": with_rates("""
 d AS (SELECT rate_date, exchange_rate,
              ROUND((CAST(exchange_rate AS DOUBLE) / CAST(LAG(exchange_rate) OVER (ORDER BY rate_date) AS DOUBLE) - 1) * 100, 4) AS pct_change
-      FROM rates WHERE rate_type = 'daily' AND currency_code = 'NATION_0')
+      FROM rates WHERE rate_type = 'daily' AND currency_code = 'AAA')
 SELECT rate_date, CAST(exchange_rate AS DOUBLE) AS exchange_rate, pct_change FROM d
-WHERE rate_date > DATE '2001-08-01' - INTERVAL 7 DAY"""),
+WHERE rate_date > DATE '2001-11-04' - INTERVAL 7 DAY"""),
     "majors_labelled": with_rates("""
 x AS (SELECT 1)
 SELECT rate_date AS time,
-       CASE WHEN currency_code = 'NATION_0' THEN 'nation_0'
-            WHEN currency_code = 'NATION_1' THEN 'nation_1'
-            WHEN currency_code = 'NATION_2' THEN 'nation_2' END AS metric,
+       CASE WHEN currency_code = 'AAA' THEN 'series_a'
+            WHEN currency_code = 'AAB' THEN 'series_b'
+            WHEN currency_code = 'AAC' THEN 'series_c' END AS metric,
        CAST(exchange_rate AS DOUBLE) AS value
-FROM rates WHERE currency_code IN ('NATION_0', 'NATION_1', 'NATION_2')
-  AND rate_date > DATE '2001-08-01' - INTERVAL 30 DAY"""),
+FROM rates WHERE currency_code IN ('AAA', 'AAB', 'AAC')
+  AND rate_date > DATE '2001-11-04' - INTERVAL 30 DAY"""),
     "majors_wide": with_rates("""
 x AS (SELECT 1)
 SELECT rate_date AS time,
-       MAX(CASE WHEN currency_code = 'NATION_0' THEN CAST(exchange_rate AS DOUBLE) END) AS nation_0,
-       MAX(CASE WHEN currency_code = 'NATION_1' THEN CAST(exchange_rate AS DOUBLE) END) AS nation_1,
-       MAX(CASE WHEN currency_code = 'NATION_2' THEN CAST(exchange_rate AS DOUBLE) END) AS nation_2
-FROM rates WHERE currency_code IN ('NATION_0', 'NATION_1', 'NATION_2')
-  AND rate_date > DATE '2001-08-01' - INTERVAL 30 DAY
+       MAX(CASE WHEN currency_code = 'AAA' THEN CAST(exchange_rate AS DOUBLE) END) AS series_a,
+       MAX(CASE WHEN currency_code = 'AAB' THEN CAST(exchange_rate AS DOUBLE) END) AS series_b,
+       MAX(CASE WHEN currency_code = 'AAC' THEN CAST(exchange_rate AS DOUBLE) END) AS series_c
+FROM rates WHERE currency_code IN ('AAA', 'AAB', 'AAC')
+  AND rate_date > DATE '2001-11-04' - INTERVAL 30 DAY
 GROUP BY 1"""),
 }
 
@@ -208,7 +224,7 @@ UNION ALL SELECT 'name_length', COUNT(*) FILTER (WHERE length(currency_name) > 1
 u AS (
   SELECT currency_code, currency_name, exchange_rate, rate_date, rate_type, nominal, load_timestamp, 0 AS src, 0 AS seq FROM rates
   UNION ALL
-  SELECT currency_code, currency_name, exchange_rate, rate_date, rate_type, nominal, TIMESTAMP '2001-08-02 00:00:00', 1, seq FROM batch),
+  SELECT currency_code, currency_name, exchange_rate, rate_date, rate_type, nominal, TIMESTAMP '2001-11-05 00:00:00', 1, seq FROM batch),
 r AS (SELECT *, row_number() OVER (PARTITION BY currency_code, rate_date, rate_type ORDER BY src DESC, seq DESC) AS rn FROM u)
 SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, load_timestamp
 FROM r WHERE rn = 1"""),
@@ -232,8 +248,8 @@ src AS (SELECT currency_code, currency_name FROM (
                    ORDER BY (rate_type = 'daily') DESC, load_timestamp DESC, currency_name DESC) AS rn FROM rates) WHERE rn = 1)
 SELECT coalesce(t.currency_code, s.currency_code) AS currency_code,
        coalesce(s.currency_name, t.currency_name) AS currency_name,
-       coalesce(t.first_seen, DATE '2001-08-01') AS first_seen,
-       CASE WHEN s.currency_name IS NOT NULL THEN DATE '2001-08-01' ELSE t.last_seen END AS last_seen,
+       coalesce(t.first_seen, DATE '2001-11-04') AS first_seen,
+       CASE WHEN s.currency_name IS NOT NULL THEN DATE '2001-11-04' ELSE t.last_seen END AS last_seen,
        coalesce(t.is_active, true) AS is_active
 FROM dim t FULL OUTER JOIN src s ON t.currency_code = s.currency_code"""),
     "union_sources": with_rates("""
@@ -241,9 +257,9 @@ x AS (SELECT 1)
 SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, load_timestamp
 FROM rates"""),
     "dq_report": with_rates("""
-c AS (SELECT COUNT(*) FILTER (WHERE rate_date = DATE '2001-07-31' AND rate_type = 'daily') AS rows_on_date,
-             COUNT(*) FILTER (WHERE exchange_rate <= 0 OR exchange_rate > 400000) AS anomalies,
-             COUNT(*) FILTER (WHERE rate_date = DATE '2001-07-31' AND currency_code IN ('NATION_0', 'NATION_1', 'NATION_2')) AS major_values,
+c AS (SELECT COUNT(*) FILTER (WHERE rate_date = DATE '2001-11-03' AND rate_type = 'daily') AS rows_on_date,
+             COUNT(*) FILTER (WHERE exchange_rate <= 0 OR exchange_rate > 100000) AS anomalies,
+             COUNT(*) FILTER (WHERE rate_date = DATE '2001-11-03' AND currency_code IN ('AAA', 'AAB', 'AAC')) AS major_values,
              COUNT(*) AS total_records FROM rates)
 SELECT 'rows_on_date' AS "check", rows_on_date AS value, CASE WHEN rows_on_date = 0 THEN 'warn' ELSE 'ok' END AS status FROM c
 UNION ALL SELECT 'anomalies', anomalies, CASE WHEN anomalies > 0 THEN 'warn' ELSE 'ok' END FROM c
@@ -252,7 +268,7 @@ UNION ALL SELECT 'total_records', total_records, 'info' FROM c"""),
     "dq_major_values": with_rates("""
 x AS (SELECT 1)
 SELECT currency_code, rate_type, CAST(exchange_rate AS DOUBLE) AS exchange_rate FROM rates
-WHERE rate_date = DATE '2001-07-31' AND currency_code IN ('NATION_0', 'NATION_1', 'NATION_2')"""),
+WHERE rate_date = DATE '2001-11-03' AND currency_code IN ('AAA', 'AAB', 'AAC')"""),
     "record_stats": with_rates("""
 x AS (SELECT 1)
 SELECT rate_type, COUNT(*) AS count, MIN(rate_date) AS min_date, MAX(rate_date) AS max_date,
@@ -307,16 +323,14 @@ FROM rates ORDER BY currency_code, rate_date, rate_type LIMIT 10"""),
 
 # ---- payloads, code extraction, streaming ingest, mart refresh ------------------
 
-from tidemark.functions.codes import code_from_name_sql  # noqa: E402
-
 ORACLE.update({
     "entity_code_from_name": with_rates(f"""
 n AS (SELECT DISTINCT currency_name FROM rates)
-SELECT currency_name, {code_from_name_sql('currency_name')} AS code FROM n"""),
+SELECT currency_name, {CODE_OF_NAME} AS code FROM n"""),
     "daily_xml_normalise": with_rates("""
 x AS (SELECT 1)
 SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date,
-       'daily' AS rate_type, nominal, CAST(exchange_rate AS DOUBLE) AS unit_rate,
+       'daily' AS rate_type, nominal, CAST(exchange_rate AS DOUBLE) / nominal AS unit_rate,
        CAST(length(currency_code) AS VARCHAR) AS num_code, currency_code AS char_code, 'soap_daily' AS source
 FROM rates WHERE rate_type = 'daily'"""),
     "catalogue_normalise": with_rates("""
@@ -328,7 +342,7 @@ FROM e"""),
     "monthly_json_normalise": with_rates(f"""
 m AS (SELECT * FROM rates WHERE rate_type = 'monthly')
 SELECT length(currency_code) * 100000 + year(rate_date) AS element_id,
-       {code_from_name_sql('currency_name')} AS currency_code, currency_name,
+       {CODE_OF_NAME} AS currency_code, currency_name,
        CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, 'monthly' AS rate_type, 1 AS nominal,
        strftime(rate_date, '%B %Y') AS period
 FROM m"""),
@@ -345,10 +359,10 @@ c AS (
   UNION ALL SELECT 'weekly_stats', COUNT(*) FROM (SELECT DISTINCT currency_code, date_trunc('week', rate_date) FROM d)
   UNION ALL SELECT 'monthly_stats', COUNT(*) FROM (SELECT DISTINCT currency_code, date_trunc('month', rate_date) FROM d)
   UNION ALL SELECT 'quarterly_stats', COUNT(*) FROM (SELECT DISTINCT currency_code, date_trunc('quarter', rate_date) FROM d)
-  UNION ALL SELECT 'top_volatile', LEAST(10, COUNT(DISTINCT currency_code)) FROM d WHERE rate_date > DATE '2001-08-01' - INTERVAL 30 DAY
+  UNION ALL SELECT 'top_volatile', LEAST(10, COUNT(DISTINCT currency_code)) FROM d WHERE rate_date > DATE '2001-11-04' - INTERVAL 30 DAY
   UNION ALL SELECT 'anchor_correlation', COUNT(*) FROM (
-      SELECT o.currency_code FROM d o JOIN (SELECT rate_date FROM d WHERE currency_code = 'NATION_0') a USING (rate_date)
-      WHERE o.currency_code <> 'NATION_0' GROUP BY o.currency_code HAVING COUNT(*) > 10)
+      SELECT o.currency_code FROM d o JOIN (SELECT rate_date FROM d WHERE currency_code = 'AAA') a USING (rate_date)
+      WHERE o.currency_code <> 'AAA' GROUP BY o.currency_code HAVING COUNT(*) > 10)
   UNION ALL SELECT 'load_stats', COUNT(DISTINCT CAST(load_timestamp AS DATE)) FROM rates)
 SELECT mart, rows FROM c UNION ALL SELECT 'total', CAST(SUM(rows) AS BIGINT) FROM c"""),
 })
@@ -357,7 +371,7 @@ _UPSERTED = """
 u AS (
   SELECT currency_code, currency_name, exchange_rate, rate_date, rate_type, nominal, load_timestamp, 0 AS src, 0 AS seq FROM rates
   UNION ALL
-  SELECT currency_code, currency_name, exchange_rate, rate_date, rate_type, nominal, TIMESTAMP '2001-08-02 00:00:00', 1, seq FROM batch),
+  SELECT currency_code, currency_name, exchange_rate, rate_date, rate_type, nominal, TIMESTAMP '2001-11-05 00:00:00', 1, seq FROM batch),
 up AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY currency_code, rate_date, rate_type ORDER BY src DESC, seq DESC) AS rn FROM u)
        WHERE rn = 1)
 """

@@ -1,20 +1,20 @@
 """Parameters of the registered queries on the given tables.
 
-The anchor and the majors are nations of the derived rates relation; ``AS_OF`` is its
+The anchor and the majors are suppliers of the derived rates relation; ``AS_OF`` is its
 last date at every scale. Load-time queries run on events, whose last day is 2024-01-30.
 """
 
 import datetime as dt
 
-ANCHOR = "NATION_0"
-MAJORS = ("NATION_0", "NATION_1", "NATION_2")
-MAJOR_LABELS = {"NATION_0": "nation_0", "NATION_1": "nation_1", "NATION_2": "nation_2"}
-AS_OF = dt.date(2001, 8, 1)
+ANCHOR = "AAA"
+MAJORS = ("AAA", "AAB", "AAC")
+MAJOR_LABELS = {"AAA": "series_a", "AAB": "series_b", "AAC": "series_c"}
+AS_OF = dt.date(2001, 11, 4)
 EVENTS_AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
-ANOMALY_UPPER = 400000.0
+ANOMALY_UPPER = 100000.0
 PERIOD_START = dt.date(2001, 6, 1)
 PERIOD_END = dt.date(2001, 8, 1)
-CHECK_DATE = dt.date(2001, 7, 31)          # the run date's yesterday
-UPSERT_AS_OF = dt.datetime(2001, 8, 2, 0, 0, 0)
+CHECK_DATE = dt.date(2001, 11, 3)          # the run date's yesterday
+UPSERT_AS_OF = dt.datetime(2001, 11, 5, 0, 0, 0)
 DIM_INIT_DATE = dt.date(2000, 1, 1)
 SAMPLE_ROWS = 10

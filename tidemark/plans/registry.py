@@ -1,6 +1,6 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
-Every query derives its input from the given tables (``rates_from_orders`` or
+Every query derives its input from the given tables (``rates_from_lines`` or
 ``rates_from_events``), so its work grows with them. Decimal outputs are cast to double
 so the numbers compare across engines; the marts themselves keep decimals.
 """
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.functions.numeric import decimals_to_double
 from tidemark.operators import marts, panels
 from tidemark.plans import params as P
-from tidemark.sources.tables import rates_from_events, rates_from_orders
+from tidemark.sources.tables import rates_from_events, rates_from_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -33,42 +33,42 @@ def register(name: str):
 
 @register("daily_changes")
 def _daily_changes(spark, sf):
-    return marts.daily_changes(rates_from_orders(spark, sf))
+    return marts.daily_changes(rates_from_lines(spark, sf))
 
 
 @register("weekly_stats")
 def _weekly(spark, sf):
-    return marts.period_stats(rates_from_orders(spark, sf), "week", volatility_digits=4)
+    return marts.period_stats(rates_from_lines(spark, sf), "week", volatility_digits=4)
 
 
 @register("monthly_stats")
 def _monthly(spark, sf):
-    return marts.period_stats(rates_from_orders(spark, sf), "month", volatility_digits=4)
+    return marts.period_stats(rates_from_lines(spark, sf), "month", volatility_digits=4)
 
 
 @register("quarterly_stats")
 def _quarterly(spark, sf):
-    return marts.period_stats(rates_from_orders(spark, sf), "quarter", volatility_digits=4)
+    return marts.period_stats(rates_from_lines(spark, sf), "quarter", volatility_digits=4)
 
 
 @register("top_volatile")
 def _top_volatile(spark, sf):
-    return marts.top_volatile(rates_from_orders(spark, sf), P.AS_OF, days=30, n=10)
+    return marts.top_volatile(rates_from_lines(spark, sf), P.AS_OF, days=30, n=10)
 
 
 @register("top5_volatile")
 def _top5(spark, sf):
-    return marts.top_volatile(rates_from_orders(spark, sf), P.AS_OF, days=30, n=5)
+    return marts.top_volatile(rates_from_lines(spark, sf), P.AS_OF, days=30, n=5)
 
 
 @register("volatility_panel")
 def _vol_panel(spark, sf):
-    return marts.volatility_panel(rates_from_orders(spark, sf), P.AS_OF, days=30, n=10)
+    return marts.volatility_panel(rates_from_lines(spark, sf), P.AS_OF, days=30, n=10)
 
 
 @register("anchor_correlation")
 def _anchor(spark, sf):
-    return marts.anchor_correlation(rates_from_orders(spark, sf), P.ANCHOR, min_days=10)
+    return marts.anchor_correlation(rates_from_lines(spark, sf), P.ANCHOR, min_days=10)
 
 
 @register("load_stats")
@@ -83,32 +83,32 @@ def _loads_7d(spark, sf):
 
 @register("total_records")
 def _total(spark, sf):
-    return panels.total_records(rates_from_orders(spark, sf))
+    return panels.total_records(rates_from_lines(spark, sf))
 
 
 @register("distinct_entities")
 def _distinct(spark, sf):
-    return panels.distinct_entities(rates_from_orders(spark, sf))
+    return panels.distinct_entities(rates_from_lines(spark, sf))
 
 
 @register("entity_trailing")
 def _entity_trailing(spark, sf):
-    return panels.entity_trailing(rates_from_orders(spark, sf), P.ANCHOR, P.AS_OF, days=30)
+    return panels.entity_trailing(rates_from_lines(spark, sf), P.ANCHOR, P.AS_OF, days=30)
 
 
 @register("entity_last_week_changes")
 def _entity_week(spark, sf):
-    return panels.entity_last_week_changes(rates_from_orders(spark, sf), P.ANCHOR, P.AS_OF, days=7)
+    return panels.entity_last_week_changes(rates_from_lines(spark, sf), P.ANCHOR, P.AS_OF, days=7)
 
 
 @register("majors_labelled")
 def _majors(spark, sf):
-    return panels.majors_labelled(rates_from_orders(spark, sf), P.MAJOR_LABELS, P.AS_OF, days=30)
+    return panels.majors_labelled(rates_from_lines(spark, sf), P.MAJOR_LABELS, P.AS_OF, days=30)
 
 
 @register("majors_wide")
 def _majors_wide(spark, sf):
-    return panels.majors_wide(rates_from_orders(spark, sf), P.MAJOR_LABELS, P.AS_OF, days=30)
+    return panels.majors_wide(rates_from_lines(spark, sf), P.MAJOR_LABELS, P.AS_OF, days=30)
 
 
 # ---- validation, store, reports -------------------------------------------------
@@ -118,11 +118,11 @@ from pyspark.sql import functions as F  # noqa: E402
 from tidemark.functions import calendar as cal  # noqa: E402
 from tidemark.operators import quality, store, validate  # noqa: E402
 from tidemark.sources.records import dirty_records  # noqa: E402
-from tidemark.sources.tables import daily_from_orders, read_raw  # noqa: E402
+from tidemark.sources.tables import daily_from_lines, read_raw  # noqa: E402
 
 
 def _checked(spark, sf):
-    return validate.parsed(dirty_records(daily_from_orders(spark, sf)))
+    return validate.parsed(dirty_records(daily_from_lines(spark, sf).drop("k")))
 
 
 def _batch(spark, sf):
@@ -146,52 +146,52 @@ def _reasons(spark, sf):
 
 @register("constraint_violations")
 def _constraints(spark, sf):
-    return validate.constraint_violations(rates_from_orders(spark, sf))
+    return validate.constraint_violations(rates_from_lines(spark, sf))
 
 
 @register("upsert_rates")
 def _upsert(spark, sf):
-    return store.upsert(rates_from_orders(spark, sf), _batch(spark, sf), P.UPSERT_AS_OF, seq="seq")
+    return store.upsert(rates_from_lines(spark, sf), _batch(spark, sf), P.UPSERT_AS_OF, seq="seq")
 
 
 @register("upsert_counts")
 def _upsert_counts(spark, sf):
-    return store.upsert_counts(rates_from_orders(spark, sf), _batch(spark, sf))
+    return store.upsert_counts(rates_from_lines(spark, sf), _batch(spark, sf))
 
 
 @register("insert_ignore_facts")
 def _insert_ignore(spark, sf):
-    rates = rates_from_orders(spark, sf)
+    rates = rates_from_lines(spark, sf)
     return store.insert_ignore_table(rates, _batch(spark, sf), seq="seq")
 
 
 @register("sync_dimension")
 def _sync_dim(spark, sf):
-    rates = rates_from_orders(spark, sf)
+    rates = rates_from_lines(spark, sf)
     dim = store.init_dimension(rates.filter(F.col("rate_type") == "monthly"), P.DIM_INIT_DATE)
     return store.sync_dimension(dim, rates, P.AS_OF)
 
 
 @register("union_sources")
 def _union(spark, sf):
-    rates = rates_from_orders(spark, sf)
+    rates = rates_from_lines(spark, sf)
     return store.union_sources(rates.filter(F.col("rate_type") == "daily"),
                                rates.filter(F.col("rate_type") == "monthly"), "both")
 
 
 @register("dq_report")
 def _dq(spark, sf):
-    return quality.dq_report(rates_from_orders(spark, sf), P.CHECK_DATE, P.MAJORS, upper=P.ANOMALY_UPPER)
+    return quality.dq_report(rates_from_lines(spark, sf), P.CHECK_DATE, P.MAJORS, upper=P.ANOMALY_UPPER)
 
 
 @register("dq_major_values")
 def _dq_major(spark, sf):
-    return quality.dq_major_values(rates_from_orders(spark, sf), P.CHECK_DATE, P.MAJORS)
+    return quality.dq_major_values(rates_from_lines(spark, sf), P.CHECK_DATE, P.MAJORS)
 
 
 @register("record_stats")
 def _record_stats(spark, sf):
-    return quality.record_stats(rates_from_orders(spark, sf))
+    return quality.record_stats(rates_from_lines(spark, sf))
 
 
 @register("batch_stats")
@@ -206,22 +206,22 @@ def _run_totals(spark, sf):
 
 @register("load_report")
 def _load_report(spark, sf):
-    return quality.load_report(rates_from_orders(spark, sf), P.PERIOD_START, P.PERIOD_END)
+    return quality.load_report(rates_from_lines(spark, sf), P.PERIOD_START, P.PERIOD_END)
 
 
 @register("rows_per_date")
 def _rows_per_date(spark, sf):
-    return quality.rows_per_date(rates_from_orders(spark, sf).filter(F.col("rate_type") == "daily"))
+    return quality.rows_per_date(rates_from_lines(spark, sf).filter(F.col("rate_type") == "daily"))
 
 
 @register("period_analysis")
 def _period_analysis(spark, sf):
-    return quality.period_analysis(rates_from_orders(spark, sf).filter(F.col("rate_type") == "daily"))
+    return quality.period_analysis(rates_from_lines(spark, sf).filter(F.col("rate_type") == "daily"))
 
 
 @register("existing_dates")
 def _existing_dates(spark, sf):
-    return quality.existing_dates(rates_from_orders(spark, sf), "daily")
+    return quality.existing_dates(rates_from_lines(spark, sf), "daily")
 
 
 def _data_range(rates):
@@ -231,21 +231,21 @@ def _data_range(rates):
 
 @register("calendar_days")
 def _calendar(spark, sf):
-    daily = rates_from_orders(spark, sf).filter(F.col("rate_type") == "daily")
+    daily = rates_from_lines(spark, sf).filter(F.col("rate_type") == "daily")
     start, end = _data_range(daily)
     return cal.calendar(spark, start, end, skip_weekends=True)
 
 
 @register("period_load")
 def _period_load(spark, sf):
-    daily = rates_from_orders(spark, sf).filter(F.col("rate_type") == "daily")
+    daily = rates_from_lines(spark, sf).filter(F.col("rate_type") == "daily")
     start, end = _data_range(daily)
     return cal.day_status(spark, daily, start, end, skip_weekends=True)
 
 
 @register("sample_rows")
 def _sample(spark, sf):
-    return rates_from_orders(spark, sf).orderBy("currency_code", "rate_date", "rate_type").limit(P.SAMPLE_ROWS)
+    return rates_from_lines(spark, sf).orderBy("currency_code", "rate_date", "rate_type").limit(P.SAMPLE_ROWS)
 
 
 # ---- payloads, code extraction, streaming ingest, mart refresh ------------------
@@ -259,23 +259,23 @@ from tidemark.streaming.ingest import incremental_ingest  # noqa: E402
 
 @register("entity_code_from_name")
 def _codes(spark, sf):
-    names = rates_from_orders(spark, sf).select("currency_name").distinct()
+    names = rates_from_lines(spark, sf).select("currency_name").distinct()
     return names.select("currency_name", code_from_name("currency_name").alias("code"))
 
 
 @register("daily_xml_normalise")
 def _daily_xml(spark, sf):
-    docs = payloads.daily_documents(daily_from_orders(spark, sf))
+    docs = payloads.daily_documents(daily_from_lines(spark, sf).drop("k"))
     return payloads.parse_daily_xml(docs)
 
 
 @register("catalogue_normalise")
 def _catalogue(spark, sf):
-    return payloads.parse_catalogue_xml(payloads.catalogue_elements(rates_from_orders(spark, sf)))
+    return payloads.parse_catalogue_xml(payloads.catalogue_elements(rates_from_lines(spark, sf)))
 
 
 def _monthly_docs(spark, sf):
-    monthly = rates_from_orders(spark, sf).filter(F.col("rate_type") == "monthly")
+    monthly = rates_from_lines(spark, sf).filter(F.col("rate_type") == "monthly")
     return payloads.parse_monthly_json(payloads.monthly_documents(monthly))
 
 
@@ -297,8 +297,8 @@ def _ingest(spark, sf):
     from tidemark.operators.tables import write_raw
     root = shared_dir(spark, "ingest")
     raw_path, landing = f"{root}/raw", f"{root}/landing"
-    write_raw(rates_from_orders(spark, sf), raw_path)
-    recs = dirty_records(daily_from_orders(spark, sf))
+    write_raw(rates_from_lines(spark, sf), raw_path)
+    recs = dirty_records(daily_from_lines(spark, sf).drop("k"))
     recs.withColumn("seq", F.lit(1).cast("long")).write.json(f"{landing}/part=1")
     fixed = validate.valid(validate.parsed(recs))
     second = fixed.select(
@@ -315,7 +315,7 @@ def _ingest(spark, sf):
 @register("refresh_marts")
 def _refresh(spark, sf):
     base = shared_dir(spark, "marts")
-    return jobs.refresh_marts(spark, rates_from_orders(spark, sf), base, P.AS_OF, P.ANCHOR,
+    return jobs.refresh_marts(spark, rates_from_lines(spark, sf), base, P.AS_OF, P.ANCHOR,
                               database="tidemark_marts")
 
 
@@ -323,7 +323,7 @@ def _refresh(spark, sf):
 def _weekly_incremental(spark, sf):
     """Weekly mart built before the load, refreshed for the loaded rows only; equals the
     weekly mart of the upserted table."""
-    rates = rates_from_orders(spark, sf)
+    rates = rates_from_lines(spark, sf)
     batch = _batch(spark, sf)
     before = marts.period_stats(rates, "week", volatility_digits=4)
     after_raw = store.upsert(rates, batch, P.UPSERT_AS_OF, seq="seq")

@@ -1,17 +1,22 @@
 """Reads of the given parquet tables and of the raw rates store.
 
-``rates_from_orders`` derives a raw-rates relation from orders, customers and nations:
-one daily price per (nation, day) -- the order with the largest key that day -- and one
-monthly row per (nation, month) holding that month's largest daily price. Every query of
-the test harness starts from it, so its work grows with the orders table.
+``rates_from_lines`` derives a raw-rates relation from the order lines: the supplier is the
+entity, the ship day the date, the extended price the rate; of several lines of a supplier on a day the last wins
+(:func:`superseded_lines` counts the others). Monthly rows hold the month's largest daily
+price. Entities and rows grow with the table, about nine rates for ten lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.literals import date_lit
+from tidemark.schema import RAW_SCHEMA
+
+RAW_STORE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("rate_month", T.StringType())])
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -22,45 +27,68 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def daily_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    # nation has 25 rows by the TPC-H rule; the planner's size estimate (file statistics
-    # against spark.sql.autoBroadcastJoinThreshold) broadcasts it without an extra job.
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    joined = (orders.join(customer, orders.o_custkey == customer.c_custkey)
-              .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
-    day = F.to_date("o_orderdate")
-    # One row per (nation, day): the order with the largest key. max_by is an aggregate, so a
-    # hot (nation, day) is combined map-side instead of landing in one window partition.
-    return (joined
-            .groupBy(F.col("n_name").alias("currency_code"), day.alias("rate_date"))
-            .agg(F.max_by(F.col("o_totalprice"), F.col("o_orderkey")).alias("_price"))
+#: Names of the monthly series, chosen by supplier key modulo their number; they reach every rule of ``codes``.
+MONTHLY_NAMES = ("Доллара США к рублю", "Евро к рублю", "Юаня к рублю", "Фунта стерлингов к рублю", "Йены к рублю", "Франка к рублю",
+                 "Казахстанского тенге", "Белорусского рубля", "Гривны", "Лари", "Доллар", "ЕВР", "Юань", "Фунт", "Йена", "Франк",
+                 "Рупия", "XYZ coin")
+CENTS = 1 << 24  # more than any price in cents
+
+
+def _letter(n):
+    return F.char(F.lit(65) + F.pmod(n, F.lit(26)))
+
+
+def entity_code(k) -> Column:
+    """Three capital letters from a supplier key, with a number behind from 17,576 on; every tenth key gets a
+    code that breaks the rules."""
+    k = F.col(k)
+    letters = F.concat(_letter(F.floor(k / 676)), _letter(F.floor(k / 26)), _letter(k))
+    return F.when(k % 10 == 7, F.concat(F.lit("S-"), k.cast("string"))).otherwise(
+        F.concat(letters, F.when(k >= 17576, F.floor(k / 17576).cast("string")).otherwise(F.lit(""))))
+
+
+def lines_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per (supplier, ship day): the number of lines and ``seq`` of the last one, by order key, line number
+    and price. ``seq`` holds the price in its last digits, so one hash aggregate does it, combined on the map side."""
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
+    seq = (F.col("l_orderkey") * 8 + F.col("l_linenumber")) * F.lit(CENTS) + cents
+    return (table(spark, sf_dir, "lineitem")
+            .select(F.col("l_suppkey").alias("k"), F.to_date("l_shipdate").alias("rate_date"), seq.alias("seq"))
+            .groupBy("k", "rate_date").agg(F.max("seq").alias("seq"), F.count(F.lit(1)).alias("lines")))
+
+
+def daily_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price = ((F.col("seq") % F.lit(CENTS)).cast(T.DecimalType(12, 0)) / F.lit(100).cast(T.DecimalType(3, 0))).cast(T.DecimalType(12, 6))
+    name = F.concat(F.lit("Series "), F.col("currency_code"))
+    return (lines_by_day(spark, sf_dir)
+            .select("k", "rate_date", price.alias("exchange_rate"), entity_code("k").alias("currency_code"))
             .select(
                 "currency_code",
-                F.concat(F.lit("Series "), F.col("currency_code")).alias("currency_name"),
-                F.col("_price").cast(T.DecimalType(12, 6)).alias("exchange_rate"),
-                "rate_date",
-                F.lit("daily").alias("rate_type"),
-                F.lit(1).alias("nominal"),
-                (F.col("rate_date").cast(T.TimestampNTZType()) + F.expr("INTERVAL 18 HOURS")).alias("load_timestamp"),
-            ))
+                F.when(F.col("k") % 10 == 9, F.concat(name, F.repeat(F.lit(" of a long name"), 7))).otherwise(name).alias("currency_name"),
+                "exchange_rate", "rate_date", F.lit("daily").alias("rate_type"),
+                F.when(F.col("k") % 3 == 0, 1).when(F.col("k") % 3 == 1, 10).otherwise(100).alias("nominal"),
+                (F.col("rate_date").cast(T.TimestampNTZType()) + F.expr("INTERVAL 18 HOURS")).alias("load_timestamp"), "k"))
 
 
 def monthly_from_daily(daily: DataFrame) -> DataFrame:
-    month = F.trunc("rate_date", "month")
-    return (daily.groupBy("currency_code", month.alias("rate_date"))
+    names = F.array(*[F.lit(n) for n in MONTHLY_NAMES])
+    return (daily.groupBy("k", "currency_code", F.trunc("rate_date", "month").alias("rate_date"))
             .agg(F.max("exchange_rate").alias("exchange_rate"), F.max("load_timestamp").alias("load_timestamp"))
-            .select("currency_code",
-                    F.concat(F.lit("Average of "), F.col("currency_code")).alias("currency_name"),
+            .select("currency_code", F.get(names, F.pmod("k", F.lit(len(MONTHLY_NAMES))).cast("int")).alias("currency_name"),
                     "exchange_rate", "rate_date",
                     F.lit("monthly").alias("rate_type"), F.lit(1).alias("nominal"), "load_timestamp"))
 
 
-def rates_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw rates (daily and monthly) derived from the orders tables."""
-    daily = daily_from_orders(spark, sf_dir)
-    return daily.unionByName(monthly_from_daily(daily))
+def rates_from_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rates (daily and monthly) derived from the order lines."""
+    daily = daily_from_lines(spark, sf_dir)
+    return daily.drop("k").unionByName(monthly_from_daily(daily))
+
+
+def superseded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines the last-wins rule of :func:`lines_by_day` left out, per month: nothing goes unseen."""
+    return (lines_by_day(spark, sf_dir).groupBy(F.trunc("rate_date", "month").alias("month"))
+            .agg(F.sum("lines").alias("lines"), F.count(F.lit(1)).alias("rates"), (F.sum("lines") - F.count(F.lit(1))).alias("superseded")))
 
 
 def rates_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +105,25 @@ def rates_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """The raw store: parquet partitioned by rate_type and rate_month (see store.write_raw)."""
+def read_raw(spark: SparkSession, path: str, start=None, end=None, with_month: bool = False) -> DataFrame:
+    """The raw store: parquet partitioned by rate_type and rate_month (see operators.tables.write_raw).
+
+    ``start`` and ``end`` (closed) prune the month folders and filter the rows. ``with_month`` keeps the
+    partition column, which the trailing windows of the marts and panels use for their own bounds.
+    """
     from tidemark.schema import RAW_COLUMNS
-    return spark.read.parquet(path).select(*RAW_COLUMNS)
+    rows = spark.read.schema(RAW_STORE_SCHEMA).parquet(path)
+    for bound, side in ((start, "ge"), (end, "le")):
+        if bound is not None:
+            day = date_lit(bound)
+            month = F.date_format(day, "yyyy-MM")
+            rows = rows.filter((F.col("rate_date") >= day) & (F.col("rate_month") >= month)) if side == "ge" else \
+                rows.filter((F.col("rate_date") <= day) & (F.col("rate_month") <= month))
+    return rows.select(*RAW_COLUMNS, *(["rate_month"] if with_month else []))
+
+
+def after(rows: DataFrame, as_of, days: int) -> DataFrame:
+    """Rows with rate_date > as_of - days (that day excluded); prunes the month folders of a raw store."""
+    bound = F.date_sub(date_lit(as_of), days)
+    rows = rows.filter(F.col("rate_date") > bound)
+    return rows.filter(F.col("rate_month") >= F.date_format(bound, "yyyy-MM")) if "rate_month" in rows.columns else rows
