@@ -28,6 +28,16 @@ def calendar(spark: SparkSession, start, end, skip_weekends: bool = False, keep_
     return days.filter(~weekend)
 
 
+def calendar_of(rows: DataFrame, skip_weekends: bool = False, keep_skipped: bool = False) -> DataFrame:
+    """Days from the first to the last ``rate_date`` of ``rows``, as part of the plan (one row of bounds, unfolded)."""
+    days = rows.agg(F.min("rate_date").alias("a"), F.max("rate_date").alias("b")).where("a is not null") \
+        .select(F.explode(F.sequence("a", "b")).alias("rate_date"))
+    weekend = F.dayofweek("rate_date").isin(1, 7)
+    if keep_skipped:
+        return days.withColumn("skipped", weekend & F.lit(skip_weekends))
+    return days.filter(~weekend) if skip_weekends else days
+
+
 def check_period(start, end, today=None, warn_days: int = 365) -> dict:
     """Driver-side argument checks of a period load: start <= end, end not in the future."""
     start, end = _as_date(start), _as_date(end)
@@ -38,14 +48,17 @@ def check_period(start, end, today=None, warn_days: int = 365) -> dict:
         raise ValueError(f"end {end} is in the future")
     days = (end - start).days + 1
     return {"start_date": start.isoformat(), "end_date": end.isoformat(), "days_count": days,
-            "long_period": days > warn_days, "valid": True}
+            "long_period": days > warn_days}
 
 
-def day_status(spark: SparkSession, rows: DataFrame, start, end, skip_weekends: bool = False) -> DataFrame:
-    """Per calendar day: rows landed and status loaded / missing / skipped."""
-    cal = calendar(spark, start, end, skip_weekends, keep_skipped=True)
-    per_day = (rows.filter(F.col("rate_date").between(F.lit(_as_date(start)), F.lit(_as_date(end))))
-               .groupBy("rate_date").agg(F.count(F.lit(1)).alias("rows")))
+def day_status(spark: SparkSession, rows: DataFrame, start=None, end=None, skip_weekends: bool = False) -> DataFrame:
+    """Per calendar day: rows landed and status loaded / missing / skipped. Without bounds: the days of ``rows``."""
+    if start is None:
+        cal = calendar_of(rows, skip_weekends, keep_skipped=True)
+    else:
+        cal = calendar(spark, start, end, skip_weekends, keep_skipped=True)
+        rows = rows.filter(F.col("rate_date").between(F.lit(_as_date(start)), F.lit(_as_date(end))))
+    per_day = rows.groupBy("rate_date").agg(F.count(F.lit(1)).alias("rows"))
     j = cal.join(per_day, "rate_date", "left")
     status = (F.when(F.col("skipped"), F.lit("skipped"))
               .when(F.col("rows").isNull(), F.lit("missing"))

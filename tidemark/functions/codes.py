@@ -52,13 +52,3 @@ def code_from_name(name: Column | str) -> Column:
     first3 = F.upper(F.substring(name, 1, 3))
     translit = _chain(PREFIX_TRANSLIT, lambda pre: first3 == F.lit(pre)).otherwise(first3)
     return F.coalesce(by_fragment, F.when(latin != F.lit(""), F.upper(latin)), translit)
-
-
-def code_from_name_sql(col: str) -> str:
-    """The same rule as SQL text (DuckDB / Spark SQL), for oracles and ad-hoc use."""
-    frag = " ".join(f"WHEN contains({col}, '{k}') THEN '{v}'" for k, v in NAME_FRAGMENTS)
-    f3 = f"upper(substr({col}, 1, 3))"
-    tr = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PREFIX_TRANSLIT)
-    lat = f"regexp_extract({col}, '{LATIN3}', 0)"
-    return (f"CASE {frag} WHEN {lat} <> '' THEN upper({lat}) "
-            f"ELSE CASE {f3} {tr} ELSE {f3} END END")

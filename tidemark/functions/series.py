@@ -28,26 +28,22 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: str, values: Sequen
         w = Window.partitionBy(*keys).orderBy(order)
         return df.select("*", *[F.lag(v).over(w).alias(prefix + v) for v in values])
 
+    # The block is one struct: structs compare NULL fields as equal, so rows with a NULL key are
+    # linked like any others, and window, summary and join share one partitioning.
     blk = "_blk"
-    # Keys are NOT NULL in the raw schema. Saying so here lets both branches below carry
-    # the same filter, so the shuffle feeding the window is planned once and reused.
-    not_null = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        not_null = c if not_null is None else (not_null & c)
-    framed = df.filter(not_null).withColumn(blk, F.trunc(F.col(order), block))
-    w = Window.partitionBy(*keys, blk).orderBy(order)
+    framed = df.withColumn(blk, F.struct(*keys, F.trunc(F.col(order), block).alias("_at")))
+    w = Window.partitionBy(blk).orderBy(order)
     inner = framed.select("*", F.lag(F.struct(*values)).over(w).alias("_in"))
 
     # last row of every (key, block), then the previous block's last row per key
     # one max_by per value keeps the summary in a hash aggregate (a struct buffer would
     # force a sort-based one); orders are unique within a key, so the picks agree.
-    last = (inner.groupBy(*keys, blk)
+    last = (inner.groupBy(blk)
             .agg(*[F.max_by(v, F.col(order)).alias(v) for v in values])
-            .select(*keys, blk, F.struct(*values).alias("_last")))
-    wb = Window.partitionBy(*keys).orderBy(blk)
-    carry = last.select(*keys, blk, F.lag("_last").over(wb).alias("_carry"))
+            .select(blk, F.struct(*values).alias("_last")))
+    wb = Window.partitionBy(*[F.col(blk)[k] for k in keys]).orderBy(F.col(blk)["_at"])
+    carry = last.select(blk, F.lag("_last").over(wb).alias("_carry"))
 
-    out = inner.join(carry, keys + [blk], "left")
+    out = inner.join(carry, blk, "left")
     prev = F.coalesce(F.col("_in"), F.col("_carry"))
     return out.select(*df.columns, *[prev[v].alias(prefix + v) for v in values])

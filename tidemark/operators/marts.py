@@ -12,10 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.joins import bounded_broadcast
 from tidemark.functions.literals import date_lit
 from tidemark.functions.numeric import guarded_corr, mean, pct_change, pct_range
 from tidemark.functions.series import with_previous
+from tidemark.sources.tables import after
 
 PERIOD_COLUMN = {"week": "week_start", "month": "month_start", "quarter": "quarter_start"}
 
@@ -70,11 +70,6 @@ def period_stats(raw: DataFrame, unit: str, rate_type: str | None = "daily",
     )
 
 
-def _trailing(raw: DataFrame, as_of, days: int) -> DataFrame:
-    """Rows with rate_date > as_of - days (the boundary day is excluded)."""
-    return raw.filter(F.col("rate_date") > F.date_sub(date_lit(as_of), days))
-
-
 def _volatility_agg(rows: DataFrame, with_range: bool, with_name: bool, with_days: bool) -> DataFrame:
     rate = F.col("exchange_rate")
     aggs = []
@@ -104,14 +99,14 @@ def top_volatile(raw: DataFrame, as_of, days: int = 30, n: int | None = 10,
                  rate_type: str | None = "daily", nulls: str = "first") -> DataFrame:
     """Entities ranked by sample stddev over the trailing window. NULL stddev (one
     observation) sorts first, as PostgreSQL's DESC does; ties break by code."""
-    rows = _trailing(_typed(raw, rate_type), as_of, days)
+    rows = after(_typed(raw, rate_type), as_of, days)
     return _ranked(_volatility_agg(rows, with_range=True, with_name=False, with_days=False), n, nulls)
 
 
 def volatility_panel(raw: DataFrame, as_of, days: int = 30, n: int | None = 10,
                      rate_type: str | None = None, nulls: str = "first") -> DataFrame:
     """Dashboard variant: all rate types, entity name and day count, no range column."""
-    rows = _trailing(_typed(raw, rate_type), as_of, days)
+    rows = after(_typed(raw, rate_type), as_of, days)
     return _ranked(_volatility_agg(rows, with_range=False, with_name=True, with_days=True), n, nulls)
 
 
@@ -119,17 +114,15 @@ def anchor_correlation(raw: DataFrame, anchor: str, min_days: int = 10,
                        rate_type: str | None = "daily", nulls: str = "first") -> DataFrame:
     """Pearson correlation of every other entity with the anchor on common dates.
 
-    The anchor side has at most one row per date (the raw key is (code, date, type)), so
-    its size is bounded by the calendar and it is broadcast; the other side is never
-    shuffled for the join and is aggregated with map-side combine.
+    The anchor is made unique per date first (its largest rate, should all types be taken), so
+    no day counts twice; whether it is broadcast is the planner's choice by its size.
     """
     typed = _typed(raw, rate_type)
     anchor_rows = typed.filter(F.col("currency_code") == F.lit(anchor)).select(
-        "rate_date", F.col("exchange_rate").alias("anchor_rate"))
+        "rate_date", "exchange_rate").groupBy("rate_date").agg(F.max("exchange_rate").alias("anchor_rate"))
     others = typed.filter(F.col("currency_code") != F.lit(anchor)).select(
         "currency_code", "rate_date", "exchange_rate")
-    one_type = rate_type is not None
-    joined = others.join(bounded_broadcast(anchor_rows, one_type), "rate_date")
+    joined = others.join(anchor_rows, "rate_date")
     out = (joined.groupBy("currency_code")
            .agg(F.round(guarded_corr("exchange_rate", "anchor_rate"), 4).alias("correlation_with_anchor"),
                 F.count(F.lit(1)).alias("days_count"))
@@ -151,17 +144,6 @@ def load_stats(raw: DataFrame) -> DataFrame:
             .orderBy(F.col("load_date").desc()))
 
 
-MARTS = {
-    "daily_changes": lambda raw, **kw: daily_changes(raw),
-    "weekly_stats": lambda raw, **kw: period_stats(raw, "week"),
-    "monthly_stats": lambda raw, **kw: period_stats(raw, "month"),
-    "quarterly_stats": lambda raw, **kw: period_stats(raw, "quarter"),
-    "top_volatile": lambda raw, as_of, **kw: top_volatile(raw, as_of),
-    "anchor_correlation": lambda raw, anchor, **kw: anchor_correlation(raw, anchor),
-    "load_stats": lambda raw, **kw: load_stats(raw),
-}
-
-
 def refresh_period_stats(raw: DataFrame, mart: DataFrame, touched: DataFrame, unit: str,
                          rate_type: str | None = "daily", volatility_digits: int | None = None,
                          block: str = "year") -> DataFrame:
@@ -176,7 +158,12 @@ def refresh_period_stats(raw: DataFrame, mart: DataFrame, touched: DataFrame, un
     period = PERIOD_COLUMN[unit]
     keys = ["currency_code", period]
     groups = touched.select("currency_code", F.trunc("rate_date", unit).alias(period)).distinct()
-    typed = _typed(raw, rate_type).withColumn(period, F.trunc("rate_date", unit))
+    typed = _typed(raw, rate_type)
+    if "rate_month" in raw.columns:  # only the months from the first to the last touched period are read
+        span = groups.agg(F.min(period).alias("a"), F.max(F.add_months(F.col(period), 3)).alias("b")).first()
+        if span["a"] is not None:
+            typed = typed.filter(F.col("rate_month").between(f"{span['a']:%Y-%m}", f"{span['b']:%Y-%m}"))
+    typed = typed.withColumn(period, F.trunc("rate_date", unit))
     rows = typed.join(groups, keys, "left_semi")
     rate = F.col("exchange_rate")
     vol = F.stddev_samp(rate.cast("double"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.literals import date_lit, ts_lit
 from tidemark.operators.marts import daily_changes
+from tidemark.sources.tables import after
 
 
 _date_lit = date_lit
@@ -36,8 +37,7 @@ def loads_last_days(raw: DataFrame, as_of_ts, days: int = 7) -> DataFrame:
 def entity_trailing(raw: DataFrame, entity: str, as_of, days: int = 30,
                     rate_type: str | None = None) -> DataFrame:
     """(time, value) of one entity over the trailing window (all rate types by default)."""
-    rows = raw.filter((F.col("currency_code") == F.lit(entity))
-                      & (F.col("rate_date") > F.date_sub(_date_lit(as_of), days)))
+    rows = after(raw.filter(F.col("currency_code") == F.lit(entity)), as_of, days)
     if rate_type is not None:
         rows = rows.filter(F.col("rate_type") == F.lit(rate_type))
     return rows.select(F.col("rate_date").alias("time"), F.col("exchange_rate").alias("value")).orderBy("time")
@@ -60,11 +60,13 @@ def _label(labels: Mapping[str, str]):
     return expr
 
 
-def majors_labelled(raw: DataFrame, labels: Mapping[str, str], as_of, days: int = 30) -> DataFrame:
+def majors_labelled(raw: DataFrame, labels: Mapping[str, str], as_of, days: int = 30,
+                    rate_type: str | None = None) -> DataFrame:
     """Long (time, metric, value) rows for the major entities; metric is the label."""
     codes = list(labels)
-    rows = raw.filter(F.col("currency_code").isin(codes)
-                      & (F.col("rate_date") > F.date_sub(_date_lit(as_of), days)))
+    rows = after(raw.filter(F.col("currency_code").isin(codes)), as_of, days)
+    if rate_type is not None:
+        rows = rows.filter(F.col("rate_type") == F.lit(rate_type))
     return rows.select(F.col("rate_date").alias("time"), _label(labels).alias("metric"),
                        F.col("exchange_rate").alias("value")).orderBy("time")
 

@@ -24,17 +24,33 @@ def _latest(df: DataFrame, cols, order: Column, key=KEY) -> DataFrame:
             .select(*cols))
 
 
-def upsert(target: DataFrame, batch: DataFrame, as_of, seq: str | None = None) -> DataFrame:
+def _order(seq) -> Column | None:
+    """The order of arrival: one column or several, the earlier ones first."""
+    if seq is None:
+        return None
+    return F.col(seq).cast("long") if isinstance(seq, str) else F.struct(*seq)
+
+
+def _one_per_key(batch: DataFrame, cols, order: Column | None, key=KEY) -> DataFrame:
+    """The last row of each key. Without an order the keys must be unique: a repeated one is an error, for
+    which of its rows came last is not known."""
+    if order is not None:
+        return _latest(batch, cols, order, key)
+    payload = [c for c in cols if c not in key]
+    first = batch.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in payload])
+    checked = F.when(F.col("_n") > 1, F.raise_error(F.lit("a key comes twice in a batch without an order (seq)"))).otherwise(F.lit(True))
+    return first.filter(checked).select(*cols)
+
+
+def upsert(target: DataFrame, batch: DataFrame, as_of, seq=None) -> DataFrame:
     """Rows of ``batch`` replace rows of ``target`` with the same (code, date, type): rate,
     name and nominal are taken from the batch and load_timestamp is set to ``as_of``.
-    Within the batch the last row (greatest ``seq``) wins.
+    Within the batch the last row by ``seq`` (a column, or several) wins. Keys of the target are
+    unique, so only the batch is aggregated; the target is filtered by an anti join.
     """
-    seq_col = F.col(seq).cast("long") if seq else F.monotonically_increasing_id()
-    b = batch.select(*[c for c in RAW_COLUMNS if c != "load_timestamp"],
-                     _ts(as_of).alias("load_timestamp"),
-                     F.lit(1).alias("_src"), seq_col.alias("_seq"))
-    t = target.select(*RAW_COLUMNS, F.lit(0).alias("_src"), F.lit(0).cast("long").alias("_seq"))
-    return _latest(t.unionByName(b), RAW_COLUMNS, F.struct("_src", "_seq"))
+    new = _one_per_key(batch.withColumn("load_timestamp", _ts(as_of)), list(RAW_COLUMNS), _order(seq))
+    kept = target.select(*RAW_COLUMNS).join(new.select(*KEY), list(KEY), "left_anti")
+    return kept.unionByName(new)
 
 
 def upsert_counts(target: DataFrame, batch: DataFrame) -> DataFrame:
@@ -48,11 +64,9 @@ def upsert_counts(target: DataFrame, batch: DataFrame) -> DataFrame:
 def insert_ignore(target: DataFrame, batch: DataFrame, cols=FACT_COLUMNS, seq: str | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``target`` (first in-batch row per key wins).
     Returns the rows to append; existing rows are never changed."""
-    seq_col = F.col(seq).cast("long") if seq else F.monotonically_increasing_id()
     if "load_timestamp" in cols and "load_timestamp" not in batch.columns:
         batch = batch.withColumn("load_timestamp", F.lit(None).cast("timestamp_ntz"))
-    b = batch.select(*cols, (-seq_col).alias("_neg"))
-    first = _latest(b, list(cols), F.col("_neg"))
+    first = _one_per_key(batch, list(cols), -F.col(seq).cast("long") if seq else None)
     return first.join(target.select(*KEY), list(KEY), "left_anti")
 
 

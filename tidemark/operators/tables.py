@@ -8,8 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.store import upsert
+from tidemark.operators.store import upsert, upsert_counts
 from tidemark.schema import RAW_COLUMNS
+from tidemark.sources.tables import RAW_STORE_SCHEMA
 
 PART_COLS = ("rate_type", "rate_month")
 
@@ -40,35 +41,69 @@ def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:
      .write.mode(mode).partitionBy(*PART_COLS).parquet(path))
 
 
-def upsert_into(spark: SparkSession, path: str, batch: DataFrame, as_of, seq: str | None = None) -> None:
-    """Upsert ``batch`` into the raw store at ``path``, rewriting only the touched
-    (rate_type, month) partitions.
+def _fs(spark: SparkSession, path: str):
+    """Hadoop file system and path object, for any store that Spark reads."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return [f.getPath().toString() for f in fs.listStatus(p) if f.isDirectory()] if fs.exists(p) else []
+
+
+def create_raw(spark: SparkSession, path: str) -> None:
+    """An empty raw store, if there is none at ``path``."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        fs.mkdirs(p)
+
+
+def _apply(spark: SparkSession, path: str, redo: str) -> None:
+    (_laid_out(spark.read.schema(RAW_STORE_SCHEMA).parquet(redo).select(*RAW_COLUMNS, "rate_month"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PART_COLS).parquet(path))
+    fs, p = _fs(spark, redo)
+    fs.delete(p, True)
+
+
+def recover(spark: SparkSession, path: str) -> int:
+    """Finish upserts that were cut off: complete redo folders are applied again, unfinished ones dropped."""
+    done = 0
+    for redo in _folders(spark, f"{path}_redo"):
+        fs, marker = _fs(spark, f"{redo}/_SUCCESS")
+        if fs.exists(marker):
+            _apply(spark, path, redo)
+            done += 1
+        else:
+            fs.delete(_fs(spark, redo)[1], True)
+    return done
+
+
+def upsert_into(spark: SparkSession, path: str, batch: DataFrame, as_of, seq=None) -> dict:
+    """Upsert ``batch`` into the raw store at ``path`` (created if absent), rewriting only the touched
+    (rate_type, month) partitions; returns the inserted and updated keys.
 
     The touched partition list is small (types x months of the batch) and is used as a
     partition filter, so untouched partitions are neither read nor written. The merged
-    result is checkpointed to the shared checkpoint folder before the dynamic partition
-    overwrite, which cuts its lineage to the files being replaced; a retried task or
-    re-run batch recomputes the same rows (the merge is idempotent).
+    partitions are first written to a redo folder beside the store and only then put in the place of the old
+    ones. Until the redo folder is complete the store is as before; should the replacement be cut off, the next
+    upsert (or :func:`recover`) applies the folder again. One writer at a time.
     """
-    bp = with_partition(batch)
-    touched = bp.select(*PART_COLS).distinct().collect()
+    create_raw(spark, path)
+    recover(spark, path)
+    touched = with_partition(batch).select(*PART_COLS).distinct().collect()
     if not touched:
-        return
-    types = sorted({r["rate_type"] for r in touched})
-    months = sorted({r["rate_month"] for r in touched})
-    # isin on the partition columns prunes the scan; a partition in the cross product
-    # that the batch does not touch is rewritten unchanged.
-    target = (spark.read.parquet(path)
-              .filter(F.col("rate_type").isin(types) & F.col("rate_month").isin(months))
-              .drop("rate_month"))
-    merged = with_partition(upsert(target, batch, as_of, seq=seq)).checkpoint(eager=True)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (_laid_out(merged.select(*RAW_COLUMNS, "rate_month"))
-         .write.mode("overwrite").partitionBy(*PART_COLS).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        return {"inserted": 0, "updated": 0}
+    in_touched = F.lit(False)
+    for kind in sorted({r["rate_type"] for r in touched}):
+        months = sorted({r["rate_month"] for r in touched if r["rate_type"] == kind})
+        in_touched = in_touched | ((F.col("rate_type") == kind) & F.col("rate_month").isin(months))
+    target = spark.read.schema(RAW_STORE_SCHEMA).parquet(path).filter(in_touched).drop("rate_month")
+    counts = upsert_counts(target, batch).first().asDict()
+    redo = f"{path}_redo/{uuid.uuid4().hex}"
+    with_partition(upsert(target, batch, as_of, seq=seq)).write.parquet(redo)
+    _apply(spark, path, redo)
+    return counts
 
 
 def ensure_database(spark: SparkSession, database: str, base: str) -> None:
@@ -79,12 +114,17 @@ def ensure_database(spark: SparkSession, database: str, base: str) -> None:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{loc}'")
 
 
-def publish(spark: SparkSession, df: DataFrame, base: str, name: str, database: str = "marts") -> str:
+def publish(spark: SparkSession, df: DataFrame, base: str, name: str, database: str = "marts",
+            sort_by: tuple = ()) -> str:
     """Write ``df`` to a new version folder and point table ``database.name`` at it.
 
     Readers of the table keep reading the old version until the catalog switch; the old
-    folder is left for a retention job. Returns the version path."""
+    folder is left for :func:`retain`. ``sort_by`` lays the files out by key ranges, so a read of one
+    entity opens few of them. Returns the version path."""
     version = f"{base.rstrip('/')}/{name}/v_{uuid.uuid4().hex}"
+    if sort_by:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(n, *sort_by).sortWithinPartitions(*sort_by)
     df.write.mode("errorifexists").parquet(version)
     ensure_database(spark, database, base)
     table = f"{database}.{name}"
@@ -96,6 +136,18 @@ def publish(spark: SparkSession, df: DataFrame, base: str, name: str, database:
     return version
 
 
+def retain(spark: SparkSession, base: str, name: str, current: str, keep: int = 1) -> int:
+    """Delete old versions of a mart but the current one and the ``keep`` latest others; returns how many went."""
+    fs, root = _fs(spark, f"{base.rstrip('/')}/{name}")
+    if not fs.exists(root):
+        return 0
+    others = [f for f in fs.listStatus(root) if f.isDirectory() and f.getPath().getName() != current.rstrip("/").rsplit("/", 1)[-1]]
+    others.sort(key=lambda f: (f.getModificationTime(), f.getPath().getName()), reverse=True)
+    for f in others[keep:]:
+        fs.delete(f.getPath(), True)
+    return len(others[keep:])
+
+
 def write_sample_json(df: DataFrame, path: str, n: int = 10,
                       order=("currency_code", "rate_date", "rate_type")) -> None:
     """First ``n`` rows in key order as one JSON file (a bounded top-n, not a collect)."""

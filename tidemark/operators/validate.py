@@ -2,12 +2,16 @@
 
 Rules, checked in this order (the first failing one is the reason):
 
-* code and name are trimmed; NULL or empty -> ``empty_code`` / ``empty_name``;
-* rate parsed as a double; NULL, unparsable, NaN or infinite -> ``bad_rate``;
+* code and name are trimmed; NULL or empty -> ``empty_code`` / ``empty_name``; longer than the table's
+  columns (3 and 100 characters) -> ``code_too_long`` / ``name_too_long``; with ``strict`` also a code that is
+  not three capital letters -> ``bad_code``;
+* rate: a plain decimal number (sign, digits, point, exponent) parsed as a double; NULL, unparsable, NaN or infinite -> ``bad_rate``;
   <= 0 -> ``non_positive_rate``; not representable as DECIMAL(12,6) -> ``rate_overflow``;
 * date: ``yyyy-M-d`` text (one- or two-digit month and day); else ``bad_date``;
-* type: lower-cased, NULL -> daily, anything but daily / monthly is coerced to daily;
+* type: lower-cased but not trimmed, NULL -> daily, anything but daily / monthly is coerced to daily;
 * nominal: NULL -> 1; not an integer text -> ``bad_nominal``; <= 0 -> ``non_positive_nominal``.
+
+A rejected row keeps its fields as they came, joined by ``|``, in ``original``.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import types as T
 from tidemark.schema import RATE_TYPES
 
 # Reason names, in rule order.
-REASONS = ("empty_code", "empty_name", "bad_rate", "non_positive_rate", "rate_overflow",
+REASONS = ("empty_code", "code_too_long", "bad_code", "empty_name", "name_too_long", "bad_rate", "non_positive_rate", "rate_overflow",
            "bad_date", "bad_nominal", "non_positive_nominal")
 
 
@@ -27,22 +31,28 @@ def _text(c: str) -> Column:
     return F.col(c).cast("string")
 
 
-def parsed(records: DataFrame) -> DataFrame:
-    """Input columns replaced by their parsed values, plus ``reason`` (NULL = valid).
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+MAX_CODE, MAX_NAME = 3, 100
+# The table constraints of the raw store.
+CODE_PATTERN = "^[A-Z]{3}$"
+FIELDS = ("currency_code", "currency_name", "exchange_rate", "rate_date", "rate_type", "nominal")
+
+
+def parsed(records: DataFrame, strict: bool = False) -> DataFrame:
+    """Input columns replaced by their parsed values, plus ``reason`` (NULL = valid) and ``original``.
 
     Two projections: the casts run once in the first; the reason chain in the second only
     reads their results (Catalyst keeps the projections apart because the parsed values
     are used several times), which keeps the generated code small."""
     is_text = lambda c: records.schema[c].dataType == T.StringType()
-    rate_d = F.expr("try_cast(exchange_rate AS DOUBLE)") if is_text("exchange_rate") \
+    rate_d = F.when(F.col("exchange_rate").rlike(NUMBER), F.expr("try_cast(exchange_rate AS DOUBLE)")) if is_text("exchange_rate") \
         else F.col("exchange_rate").cast("double")
     day = F.try_to_date(_text("rate_date"), "yyyy-M-d") if is_text("rate_date") \
         else F.col("rate_date").cast("date")
-    rtype = F.lower(F.trim(_text("rate_type")))
-    extra = [c for c in records.columns if c not in
-             ("currency_code", "currency_name", "exchange_rate", "rate_date", "rate_type", "nominal")]
+    rtype = F.lower(_text("rate_type"))
+    extra = [c for c in records.columns if c not in FIELDS]
     step1 = records.select(
-        *extra,
+        *extra, F.concat_ws("|", *[F.coalesce(_text(c), F.lit("")) for c in FIELDS]).alias("_original"),
         F.trim(_text("currency_code")).alias("currency_code"),
         F.trim(_text("currency_name")).alias("currency_name"),
         rate_d.alias("_rate"), day.alias("rate_date"),
@@ -52,7 +62,10 @@ def parsed(records: DataFrame) -> DataFrame:
                          F.col("_rate").try_cast(T.DecimalType(12, 6)).alias("exchange_rate"))
     code, name, rate, nom = F.col("currency_code"), F.col("currency_name"), F.col("_rate"), F.col("_nom")
     reason = (F.when(code.isNull() | (code == F.lit("")), F.lit("empty_code"))
+              .when(F.length(code) > MAX_CODE, F.lit("code_too_long"))
+              .when(F.lit(strict) & ~code.rlike(CODE_PATTERN), F.lit("bad_code"))
               .when(name.isNull() | (name == F.lit("")), F.lit("empty_name"))
+              .when(F.length(name) > MAX_NAME, F.lit("name_too_long"))
               .when(rate.isNull() | F.isnan(rate) | (F.abs(rate) == F.lit(float("inf"))), F.lit("bad_rate"))
               .when(rate <= F.lit(0.0), F.lit("non_positive_rate"))
               .when(F.col("exchange_rate").isNull(), F.lit("rate_overflow"))
@@ -61,11 +74,12 @@ def parsed(records: DataFrame) -> DataFrame:
               .when(F.coalesce(nom, F.lit(1)) <= F.lit(0), F.lit("non_positive_nominal")))
     return step1.select(
         *extra, "currency_code", "currency_name", "exchange_rate", "rate_date", "rate_type",
-        F.coalesce(nom, F.lit(1)).alias("nominal"), reason.alias("reason"))
+        F.coalesce(nom, F.lit(1)).alias("nominal"), reason.alias("reason"),
+        F.when(reason.isNotNull(), F.col("_original")).alias("original"))
 
 
 def valid(checked: DataFrame) -> DataFrame:
-    return checked.filter(F.col("reason").isNull()).drop("reason")
+    return checked.filter(F.col("reason").isNull()).drop("reason", "original")
 
 
 def rejected(checked: DataFrame) -> DataFrame:
@@ -77,10 +91,6 @@ def reason_counts(checked: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("rows")))
 
 
-# The table constraints of the raw store.
-CODE_PATTERN = "^[A-Z]{3}$"
-
-
 def constraint_violations(raw: DataFrame) -> DataFrame:
     """Rows breaking each table rule (code pattern, rate > 0, known type, name length)."""
     rules = {

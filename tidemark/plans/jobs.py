@@ -4,6 +4,7 @@ and the period load. Scheduling and retries belong to the caller's scheduler."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -12,9 +13,10 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
 from tidemark.operators import marts, quality, store, validate
-from tidemark.operators.tables import ensure_database, publish, upsert_into, write_raw
+from tidemark.operators.tables import create_raw, ensure_database, publish, upsert_into
 from tidemark.schema import LOG_SCHEMA
 from tidemark.sources import payloads
+from tidemark.sources.tables import read_raw
 
 MART_NAMES = ("daily_changes", "weekly_stats", "monthly_stats", "quarterly_stats",
               "top_volatile", "anchor_correlation", "load_stats")
@@ -41,80 +43,103 @@ def mart_status(spark: SparkSession, versions: dict[str, str]) -> DataFrame:
     return counts.unionByName(total)
 
 
+SORT_OF = {"daily_changes": ("currency_code", "rate_date"), "weekly_stats": ("currency_code", "week_start"),
+           "monthly_stats": ("currency_code", "month_start"), "quarterly_stats": ("currency_code", "quarter_start")}
+
+
 def refresh_marts(spark: SparkSession, raw: DataFrame, base: str, as_of, anchor: str,
                   names=MART_NAMES, log_path: str | None = None, database: str = "marts",
                   parallel: int = 4) -> DataFrame:
     """Recompute and publish the marts, return their status.
 
-    The raw projection is cached once for the seven plans. The marts are independent
-    jobs, submitted from ``parallel`` driver threads so their stages share the cluster.
-    Each mart is written to a new version folder and switched in the catalog; a failed
+    Nothing is cached: each mart reads only its columns and, on a raw store, its month folders. The marts are
+    independent jobs, submitted from ``parallel`` driver threads so their stages share the cluster.
+    Each mart is written, sorted by entity and period, to a new version folder and switched in the catalog; a failed
     mart raises after the others finish, and the old versions stay readable."""
-    raw = raw.select("currency_code", "currency_name", "exchange_rate", "rate_date",
-                     "rate_type", "nominal", "load_timestamp").cache()
     ensure_database(spark, database, base)
-    try:
-        plans = build_marts(raw, as_of, anchor)
-        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            futures = {n: pool.submit(publish, spark, plans[n], base, n, database) for n in names}
-            versions = {n: f.result() for n, f in futures.items()}
-    finally:
-        raw.unpersist()
+    plans = build_marts(raw, as_of, anchor)
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = {n: pool.submit(publish, spark, plans[n], base, n, database, SORT_OF.get(n, ())) for n in names}
+        versions = {n: f.result() for n, f in futures.items()}
     if log_path:
         spark.createDataFrame([("marts refreshed", dt.datetime.now())], LOG_SCHEMA) \
             .write.mode("append").parquet(log_path)
     return mart_status(spark, versions)
 
 
+BATCH = ["currency_code", "currency_name", "exchange_rate", "rate_date", "rate_type", "nominal"]
+ARRIVAL = ["arrived", "file", "position"]
+
+
 def run_daily(spark: SparkSession, daily_xml: str | None, monthly_json: str | None, raw_path: str,
-              as_of: dt.datetime, majors=("USD", "EUR", "CNY"), upper: float = 1000.0) -> dict:
+              as_of: dt.datetime, majors=("USD", "EUR", "CNY"), upper: float = 1000.0,
+              target_date: dt.date | None = None, rejects_path: str | None = None) -> dict:
     """Daily ETL: landed payloads -> validate -> upsert -> quality report and totals.
 
-    The check date is the run date's yesterday; monthly payloads are kept for the
-    previous and the current year of the run date."""
-    parts = []
+    ``daily_xml`` is the landing root; only the folder of ``target_date`` (by default the run date's yesterday,
+    which is also the check date) is read. Monthly payloads are kept for the previous and the current year of
+    the run date. Rejected rows keep their original text and reason, are counted and, with ``rejects_path``, written (one
+    folder a run, overwritten by a rerun): valid + rejected = input. Later files win over earlier ones, and
+    later rows of a file over earlier ones. Without payloads the run goes on with no rows."""
+    check_date = as_of.date() - dt.timedelta(days=1)
+    target = target_date or check_date
+    good, bad = [], []
     if daily_xml:
-        parts.append(payloads.read_daily_xml(spark, daily_xml))
+        checked = validate.parsed(payloads.daily_records(payloads.read_daily_valutes(spark, daily_xml, target, target)))
+        good.append(validate.valid(checked))
+        bad.append(validate.rejected(checked).select(F.lit("daily").alias("source"), "original", "reason"))
     if monthly_json:
-        parts.append(payloads.normalise_monthly(payloads.read_monthly_json(spark, monthly_json),
-                                                as_of.year - 1, as_of.year))
-    cols = ["currency_code", "currency_name", "exchange_rate", "rate_date", "rate_type", "nominal"]
-    batch = reduce(DataFrame.unionByName, [p.select(*cols) for p in parts])
-    checked = validate.parsed(batch).persist()
-    try:
-        ok = validate.valid(checked)
-        totals = quality.run_totals(ok).first().asDict()
-        upsert_into(spark, raw_path, ok, as_of)
-    finally:
-        checked.unpersist()
-    raw = spark.read.parquet(raw_path)
-    check_date = as_of.date() - dt.timedelta(days=1)
-    report = quality.dq_report(raw, check_date, majors, upper)
-    return {"totals": totals, "dq": report, "check_date": check_date}
+        items = payloads.monthly_checked(payloads.read_monthly_json(spark, monthly_json)).withColumns(
+            {"arrived": F.lit(None).cast("timestamp"), "file": F.lit(""), "position": F.monotonically_increasing_id()})
+        ok = items.filter(F.col("reason").isNull() & F.year("rate_date").between(as_of.year - 1, as_of.year))
+        checked = validate.parsed(ok.select(*BATCH, *ARRIVAL))
+        good.append(validate.valid(checked))
+        bad.append(items.filter(F.col("reason").isNotNull()).select(F.lit("monthly").alias("source"), "original", "reason"))
+        bad.append(validate.rejected(checked).select(F.lit("monthly").alias("source"), "original", "reason"))
+    totals, counts, reasons = {"daily": 0, "monthly": 0, "total": 0}, {"inserted": 0, "updated": 0}, {}
+    if good:
+        batch = reduce(DataFrame.unionByName, [g.select(*BATCH, *ARRIVAL) for g in good])
+        rejects = reduce(DataFrame.unionByName, bad)
+        if rejects_path:
+            stored = f"{rejects_path}/run={as_of:%Y-%m-%dT%H%M%S}"
+            rejects.write.mode("overwrite").parquet(stored)
+            rejects = spark.read.schema(rejects.schema).parquet(stored)
+        totals = quality.run_totals(batch).first().asDict()
+        reasons = {r["reason"]: r["n"] for r in rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
+        counts = upsert_into(spark, raw_path, batch, as_of, seq=ARRIVAL)
+    else:
+        create_raw(spark, raw_path)
+    report = quality.dq_report(read_raw(spark, raw_path), check_date, majors, upper)
+    return {"totals": totals, **counts, "rejected": reasons, "dq": report, "check_date": check_date}
 
 
 def period_load(spark: SparkSession, daily: DataFrame, monthly: DataFrame | None, raw_path: str,
                 start, end, as_of: dt.datetime, skip_weekends: bool = False,
-                load_type: str = "both", today=None) -> dict:
-    """Period load: argument checks, day status over the calendar, rows of the closed
-    range start..end (daily and / or monthly), validation, upsert, load report."""
+                load_type: str = "both", today=None, seq=None) -> dict:
+    """Period load: argument checks, day status over the calendar and its summary, rows of the closed
+    range start..end (daily and / or monthly), validation, upsert, load report. ``rejected`` holds the
+    rows left out with reason and original text. ``daily`` may come from :func:`landed_period`, which reads
+    only the folders of the period."""
     info = cal.check_period(start, end, today=today)
     s, e = dt.date.fromisoformat(info["start_date"]), dt.date.fromisoformat(info["end_date"])
-    in_range = F.col("rate_date").between(F.lit(s), F.lit(e))
+    in_range = F.col("rate_date").cast("date").between(F.lit(s), F.lit(e))
     d = daily.filter(in_range)
     if skip_weekends:
         d = d.filter(~F.dayofweek("rate_date").isin(1, 7))
     m = monthly.filter(in_range) if monthly is not None else None
     batch = store.union_sources(d, m, load_type)
     status = cal.day_status(spark, daily, s, e, skip_weekends)
-    ok = validate.valid(validate.parsed(batch))
-    upsert_into(spark, raw_path, ok, as_of)
-    report = quality.load_report(spark.read.parquet(raw_path), s, e)
-    return {"check": info, "day_status": status, "report": report}
+    checked = validate.parsed(batch)
+    counts = upsert_into(spark, raw_path, validate.valid(checked), as_of, seq=seq)
+    report = quality.load_report(read_raw(spark, raw_path), s, e)
+    return {"check": info, "day_status": status, "summary": cal.day_status_summary(status), **counts,
+            "rejected": validate.rejected(checked), "report": report}
 
 
-def init_raw(raw: DataFrame, path: str) -> None:
-    write_raw(raw, path)
+def landed_period(spark: SparkSession, daily_xml: str, start, end, skip_weekends: bool = False) -> DataFrame:
+    """Text records of the landed daily files from ``start`` to ``end``; other date folders are not read."""
+    rows = payloads.daily_records(payloads.read_daily_valutes(spark, daily_xml, start, end))
+    return rows.filter(~F.dayofweek(F.to_date("rate_date")).isin(1, 7)) if skip_weekends else rows
 
 
 def catalog_status(spark: SparkSession, database: str = "marts", names=MART_NAMES,
@@ -122,8 +147,8 @@ def catalog_status(spark: SparkSession, database: str = "marts", names=MART_NAME
     """Per expected mart: whether the catalog has it and its row count (NULL if absent).
     ``pattern`` (a LIKE pattern such as 'daily%') narrows the expected names."""
     if pattern:
-        names = [r["n"] for r in spark.createDataFrame([(n,) for n in names], "n string")
-                 .filter(F.col("n").like(pattern)).collect()]
+        like = re.compile("".join({"%": ".*", "_": "."}.get(c, re.escape(c)) for c in pattern), re.S)
+        names = [n for n in names if like.fullmatch(n)]
     present = {t.name for t in spark.catalog.listTables(database)} if spark.catalog.databaseExists(database) else set()
     parts = [spark.table(f"{database}.{n}").agg(F.lit(n).alias("mart"), F.lit(True).alias("exists"),
                                                  F.count(F.lit(1)).alias("rows"))
@@ -138,20 +163,24 @@ PERIOD_MARTS = {"week": "weekly_stats", "month": "monthly_stats", "quarter": "qu
 
 
 def refresh_period_marts_after_load(spark: SparkSession, raw: DataFrame, touched: DataFrame, base: str,
-                                    database: str = "marts", units=("week", "month", "quarter")) -> DataFrame:
+                                    database: str = "marts", units=("week", "month", "quarter"),
+                                    current: dict[str, str] | None = None) -> DataFrame:
     """After a load, refresh the published period marts from the touched rows only.
 
     ``touched`` = (currency_code, rate_date) of the loaded rows. Each mart re-aggregates
     just the touched (entity, period) groups of ``raw`` and recomputes the change columns
-    over the mart itself; the result goes to a new version and the catalog is switched."""
-    touched = touched.select("currency_code", "rate_date").distinct().cache()
-    try:
-        versions = {}
-        for unit in units:
-            name = PERIOD_MARTS[unit]
-            current = spark.table(f"{database}.{name}")
-            versions[name] = publish(spark, marts.refresh_period_stats(raw, current, touched, unit),
-                                     base, name, database)
-    finally:
-        touched.unpersist()
+    over the mart itself; the result goes to a new version and the catalog is switched. The current version is the
+    catalog's; a session whose catalog does not outlive it passes the folders in ``current`` (mart -> path)."""
+    touched = touched.select("currency_code", "rate_date").distinct()
+    versions = {}
+    for unit in units:
+        name = PERIOD_MARTS[unit]
+        if current and name in current:
+            before = spark.read.parquet(current[name])
+        elif spark.catalog.tableExists(f"{database}.{name}"):
+            before = spark.table(f"{database}.{name}")
+        else:
+            raise RuntimeError(f"{database}.{name} is not in this session's catalog: use a persistent catalog, or pass its folder in current")
+        versions[name] = publish(spark, marts.refresh_period_stats(raw, before, touched, unit),
+                                 base, name, database, SORT_OF[name])
     return mart_status(spark, versions)

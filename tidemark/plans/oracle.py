@@ -173,14 +173,18 @@ rec AS (
   FROM rec0),
 p AS (
   SELECT trim(currency_code) AS c, trim(currency_name) AS n, TRY_CAST(exchange_rate AS DOUBLE) AS r,
-         CAST(TRY_STRPTIME(rate_date, '%Y-%m-%d') AS DATE) AS d, lower(trim(rate_type)) AS t,
-         trim(nominal) AS nt, TRY_CAST(trim(nominal) AS INTEGER) AS nm
+         CAST(TRY_STRPTIME(rate_date, '%Y-%m-%d') AS DATE) AS d, lower(rate_type) AS t,
+         trim(nominal) AS nt, TRY_CAST(trim(nominal) AS INTEGER) AS nm,
+         concat(currency_code, '|', currency_name, '|', exchange_rate, '|', rate_date, '|', rate_type, '|', nominal) AS original
   FROM rec),
 chk AS (
   SELECT c AS currency_code, n AS currency_name, TRY_CAST(r AS DECIMAL(12,6)) AS exchange_rate, d AS rate_date,
          CASE WHEN t IN ('daily', 'monthly') THEN t ELSE 'daily' END AS rate_type, coalesce(nm, 1) AS nominal,
+         original,
          CASE WHEN c IS NULL OR c = '' THEN 'empty_code'
+              WHEN length(c) > 3 THEN 'code_too_long'
               WHEN n IS NULL OR n = '' THEN 'empty_name'
+              WHEN length(n) > 100 THEN 'name_too_long'
               WHEN r IS NULL OR isnan(r) OR isinf(r) THEN 'bad_rate'
               WHEN r <= 0 THEN 'non_positive_rate'
               WHEN TRY_CAST(r AS DECIMAL(12,6)) IS NULL THEN 'rate_overflow'
@@ -208,7 +212,8 @@ cal AS (SELECT CAST(g AS DATE) AS rate_date FROM rng, generate_series(CAST(a AS
 ORACLE.update({
     "validate_records": with_records("""
 x AS (SELECT 1)
-SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, reason
+SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, reason,
+       CASE WHEN reason IS NOT NULL THEN original END AS original
 FROM chk"""),
     "reject_reasons": with_records("""
 x AS (SELECT 1)
@@ -350,7 +355,8 @@ FROM m"""),
 d AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT currency_code, year(rate_date) FROM rates WHERE rate_type = 'monthly'))
 SELECT 'unknown_element' AS reason, n AS rows FROM d
 UNION ALL SELECT 'bad_date', n FROM d
-UNION ALL SELECT 'bad_value', n FROM d"""),
+UNION ALL SELECT 'bad_value', 2 * n FROM d
+UNION ALL SELECT 'value_overflow', n FROM d"""),
     "incremental_ingest": ORACLE["upsert_rates"],
     "refresh_marts": with_rates("""
 d AS (SELECT * FROM rates WHERE rate_type = 'daily'),
@@ -386,3 +392,47 @@ base AS (
 SELECT *, avg_rate - LAG(avg_rate) OVER w AS abs_change,
        ROUND((avg_rate / LAG(avg_rate) OVER w - 1) * 100, 4) AS pct_change
 FROM base WINDOW w AS (PARTITION BY currency_code ORDER BY week_start)""")
+
+# ---- the rest of the relation, landed files, period reads and jobs ------------------
+
+ORACLE.update({
+    "superseded_lines": """
+WITH d AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS day, COUNT(*) AS n FROM lineitem GROUP BY 1, 2)
+SELECT CAST(date_trunc('month', day) AS DATE) AS month, CAST(SUM(n) AS BIGINT) AS lines, COUNT(*) AS rates,
+       CAST(SUM(n) - COUNT(*) AS BIGINT) AS superseded FROM d GROUP BY 1""",
+    "per_unit_changes": with_rates("""
+d AS (SELECT currency_code, rate_date, CAST(exchange_rate / nominal AS DECIMAL(12,6)) AS r FROM rates WHERE rate_type = 'daily')
+SELECT currency_code, rate_date, CAST(r AS DOUBLE) AS exchange_rate, CAST(LAG(r) OVER w AS DOUBLE) AS prev_rate,
+       CAST(r - LAG(r) OVER w AS DOUBLE) AS abs_change,
+       ROUND((CAST(r AS DOUBLE) / CAST(LAG(r) OVER w AS DOUBLE) - 1) * 100, 4) AS pct_change
+FROM d WINDOW w AS (PARTITION BY currency_code ORDER BY rate_date)"""),
+    "daily_xml_files": with_rates("""
+x AS (SELECT 1)
+SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date,
+       'daily' AS rate_type, nominal, CAST(exchange_rate AS DOUBLE) / nominal AS unit_rate,
+       CAST(length(currency_code) AS VARCHAR) AS num_code, currency_code AS char_code, 'soap_daily' AS source
+FROM rates WHERE rate_type = 'daily' AND rate_date BETWEEN DATE '2001-06-01' AND DATE '2001-08-01'"""),
+    "period_rows": with_rates("""
+x AS (SELECT 1)
+SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, load_timestamp
+FROM rates WHERE rate_type = 'daily' AND rate_date BETWEEN DATE '2001-06-01' AND DATE '2001-08-01' AND isodow(rate_date) < 6"""),
+    "period_day_summary": with_rates(_CAL + """,
+per_day AS (SELECT rate_date, COUNT(*) AS n FROM rates WHERE rate_type = 'daily' GROUP BY 1)
+SELECT COUNT(*) FILTER (isodow(c.rate_date) < 6 AND n IS NOT NULL) AS successful_days,
+       COUNT(*) FILTER (isodow(c.rate_date) < 6 AND n IS NULL) AS failed_days,
+       COUNT(*) FILTER (isodow(c.rate_date) >= 6) AS skipped_days,
+       CAST(SUM(CASE WHEN isodow(c.rate_date) < 6 THEN coalesce(n, 0) ELSE 0 END) AS BIGINT) AS total_rows
+FROM cal c LEFT JOIN per_day p USING (rate_date)"""),
+    "run_daily": with_rates("""
+d AS (SELECT *, length(currency_code) > 3 AS long_code, length(currency_name) > 100 AS long_name
+      FROM rates WHERE rate_type = 'daily' AND rate_date = DATE '2001-11-03'),
+o AS (SELECT * FROM d WHERE NOT long_code AND NOT long_name)
+SELECT 'daily' AS name, (SELECT COUNT(*) FROM o) AS value
+UNION ALL SELECT 'total', (SELECT COUNT(*) FROM o)
+UNION ALL SELECT 'inserted', (SELECT COUNT(*) FROM o WHERE nominal = 1)
+UNION ALL SELECT 'updated', (SELECT COUNT(*) FROM o WHERE nominal <> 1)
+UNION ALL SELECT 'rejected', (SELECT COUNT(*) FROM d) - (SELECT COUNT(*) FROM o)
+UNION ALL SELECT 'total_records', (SELECT COUNT(*) FROM rates) - (SELECT COUNT(*) FROM d WHERE nominal = 1 AND (long_code OR long_name))"""),
+})
+ORACLE["mart_status"] = with_rates("SELECT mart, true AS exists, rows FROM (" + ORACLE["refresh_marts"].replace("WITH " + RATES_CTE + ", ", "WITH ") + ") WHERE mart <> 'total'").replace(
+    ", SELECT mart, true", " SELECT mart, true")

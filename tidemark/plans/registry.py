@@ -224,23 +224,21 @@ def _existing_dates(spark, sf):
     return quality.existing_dates(rates_from_lines(spark, sf), "daily")
 
 
-def _data_range(rates):
-    r = rates.agg(F.min("rate_date").alias("a"), F.max("rate_date").alias("b")).first()
-    return r["a"], r["b"]
-
-
 @register("calendar_days")
 def _calendar(spark, sf):
-    daily = rates_from_lines(spark, sf).filter(F.col("rate_type") == "daily")
-    start, end = _data_range(daily)
-    return cal.calendar(spark, start, end, skip_weekends=True)
+    return cal.calendar_of(rates_from_lines(spark, sf).filter(F.col("rate_type") == "daily"), skip_weekends=True)
 
 
 @register("period_load")
 def _period_load(spark, sf):
     daily = rates_from_lines(spark, sf).filter(F.col("rate_type") == "daily")
-    start, end = _data_range(daily)
-    return cal.day_status(spark, daily, start, end, skip_weekends=True)
+    return cal.day_status(spark, daily, skip_weekends=True)
+
+
+@register("period_day_summary")
+def _day_summary(spark, sf):
+    daily = rates_from_lines(spark, sf).filter(F.col("rate_type") == "daily")
+    return cal.day_status_summary(cal.day_status(spark, daily, skip_weekends=True))
 
 
 @register("sample_rows")
@@ -329,3 +327,65 @@ def _weekly_incremental(spark, sf):
     after_raw = store.upsert(rates, batch, P.UPSERT_AS_OF, seq="seq")
     return marts.refresh_period_stats(after_raw, before, batch.select("currency_code", "rate_date"),
                                       "week", volatility_digits=4)
+
+
+# ---- the rest of the relation, landed files, period reads and jobs ------------------
+
+import datetime as dt  # noqa: E402
+
+from tidemark.operators.tables import write_raw  # noqa: E402
+from tidemark.sources.tables import superseded_lines  # noqa: E402
+
+
+@register("superseded_lines")
+def _superseded(spark, sf):
+    return superseded_lines(spark, sf)
+
+
+@register("per_unit_changes")
+def _per_unit(spark, sf):
+    return marts.daily_changes(rates_from_lines(spark, sf), per_unit=True)
+
+
+@register("daily_xml_files")
+def _xml_files(spark, sf):
+    """The daily payloads of a period landed as files and read back; an earlier read must not matter."""
+    root = shared_dir(spark, "daily_xml")
+    daily = daily_from_lines(spark, sf).drop("k").filter(F.col("rate_date").between(F.lit(P.PERIOD_START), F.lit(P.PERIOD_END)))
+    payloads.write_daily_xml(daily, root)
+    payloads.read_daily_xml(spark, root)
+    return payloads.read_daily_xml(spark, root, P.PERIOD_START, P.PERIOD_END)
+
+
+@register("period_rows")
+def _period_rows(spark, sf):
+    """A closed period without weekends, read from the month folders of a raw store that it touches."""
+    path = f"{shared_dir(spark, 'period')}/raw"
+    write_raw(rates_from_lines(spark, sf), path)
+    rows = read_raw(spark, path, P.PERIOD_START, P.PERIOD_END)
+    return rows.filter((F.col("rate_type") == "daily") & ~F.dayofweek("rate_date").isin(1, 7))
+
+
+@register("run_daily")
+def _run_daily(spark, sf):
+    """The daily job on a landed day over a raw store that lacks a part of that day's rates."""
+    root = shared_dir(spark, "run_daily")
+    rates = rates_from_lines(spark, sf)
+    today = (F.col("rate_type") == "daily") & (F.col("rate_date") == F.lit(P.CHECK_DATE))
+    write_raw(rates.filter(~(today & (F.col("nominal") == 1))), f"{root}/raw")
+    payloads.write_daily_xml(rates.filter(today), f"{root}/landing")
+    as_of = dt.datetime.combine(P.CHECK_DATE + dt.timedelta(days=1), dt.time(18))
+    out = jobs.run_daily(spark, f"{root}/landing", None, f"{root}/raw", as_of, P.MAJORS, P.ANOMALY_UPPER, rejects_path=f"{root}/rejects")
+    one = {"daily": out["totals"]["daily"], "total": out["totals"]["total"], "inserted": out["inserted"], "updated": out["updated"],
+           "rejected": sum(out["rejected"].values())}
+    counted = spark.createDataFrame(sorted(one.items()), "name string, value bigint")
+    report = out["dq"].filter(F.col("check") == "total_records").select(F.col("check").alias("name"), "value")
+    return counted.unionByName(report)
+
+
+@register("mart_status")
+def _mart_status(spark, sf):
+    """The marts as the catalog has them after a refresh."""
+    base = shared_dir(spark, "status")
+    jobs.refresh_marts(spark, rates_from_lines(spark, sf), base, P.AS_OF, P.ANCHOR, database="tidemark_status")
+    return jobs.catalog_status(spark, "tidemark_status")

@@ -38,11 +38,13 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     The base is read from ``spark.checkpoint.dir``. Only when the session has none
-    (local tests) do we create one ourselves.
+    and runs on a local master (tests) do we create one ourselves.
     """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not base:
         base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         spark.sparkContext.setCheckpointDir(base)

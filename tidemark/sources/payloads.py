@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.codes import code_from_name
+from tidemark.functions.literals import date_lit
 
 SOURCE_TAG = "soap_daily"
 
@@ -44,11 +45,12 @@ MONTHLY_DOC = T.StructType([
 
 def normalise_daily(valutes: DataFrame) -> DataFrame:
     """Rows with the ValuteCursOnDate fields and ``rate_date`` -> normalised records."""
-    nominal = F.coalesce(F.expr("try_cast(trim(Vnom) AS INT)"), F.lit(1))
+    # a missing nominal is 1; an unreadable one stays NULL here and is rejected by validation (daily_records)
+    nominal = F.when(F.trim(F.coalesce(F.col("Vnom"), F.lit(""))) == "", F.lit(1)).otherwise(F.expr("try_cast(trim(Vnom) AS INT)"))
     return valutes.select(
         F.trim(F.coalesce(F.col("VchCode"), F.lit(""))).alias("currency_code"),
         F.trim(F.coalesce(F.col("Vname"), F.lit(""))).alias("currency_name"),
-        F.expr("try_cast(Vcurs AS DOUBLE)").cast(T.DecimalType(12, 6)).alias("exchange_rate"),
+        F.expr("try_cast(try_cast(Vcurs AS DOUBLE) AS DECIMAL(12,6))").alias("exchange_rate"),
         F.col("rate_date").cast("date").alias("rate_date"),
         F.lit("daily").alias("rate_type"),
         nominal.alias("nominal"),
@@ -59,10 +61,30 @@ def normalise_daily(valutes: DataFrame) -> DataFrame:
     )
 
 
-def read_daily_xml(spark: SparkSession, path: str) -> DataFrame:
-    raw = (spark.read.format("xml").option("rowTag", "ValuteCursOnDate")
-           .schema(VALUTE.add("rate_date", T.DateType())).load(path))
-    return normalise_daily(raw)
+def daily_records(valutes: DataFrame) -> DataFrame:
+    """The same fields as unparsed text (``schema.RECORD_SCHEMA``), for validation with reasons."""
+    return valutes.select(
+        F.col("VchCode").alias("currency_code"), F.col("Vname").alias("currency_name"), F.col("Vcurs").alias("exchange_rate"),
+        F.col("rate_date").cast("string").alias("rate_date"), F.lit("daily").alias("rate_type"),
+        F.when(F.trim("Vnom") != "", F.col("Vnom")).alias("nominal"),
+        *[c for c in ("arrived", "file", "position") if c in valutes.columns])
+
+
+def read_daily_valutes(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """The elements of landed daily files, as text, with ``rate_date`` from the folder and the file's place in the
+    order of arrival (``arrived``, ``file``, ``position``). ``start`` and ``end`` (closed) prune the date folders."""
+    schema = T.StructType([*VALUTE.fields, T.StructField("rate_date", T.DateType())])
+    rows = spark.read.format("xml").option("rowTag", "ValuteCursOnDate").schema(schema).load(path)
+    if start is not None:
+        rows = rows.filter(F.col("rate_date") >= date_lit(start))
+    if end is not None:
+        rows = rows.filter(F.col("rate_date") <= date_lit(end))
+    return rows.select(*[f.name for f in VALUTE.fields], "rate_date", F.col("_metadata.file_modification_time").alias("arrived"),
+                       F.col("_metadata.file_path").alias("file")).withColumn("position", F.monotonically_increasing_id())
+
+
+def read_daily_xml(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    return normalise_daily(read_daily_valutes(spark, path, start, end))
 
 
 def parse_daily_xml(docs: DataFrame, doc_col: str = "doc", date_col: str = "rate_date") -> DataFrame:
@@ -72,22 +94,17 @@ def parse_daily_xml(docs: DataFrame, doc_col: str = "doc", date_col: str = "rate
     return normalise_daily(rows)
 
 
-def daily_documents(daily: DataFrame, buckets: int = 64) -> DataFrame:
-    """``<ValuteData>`` documents from raw daily rows: one per (date, bucket of the code).
-
-    A source sends one document per day; here a day is split over ``buckets`` documents
-    by a hash of the code, so even a day holding a large share of all rows is collected
-    in many small groups, never one."""
+def daily_documents(daily: DataFrame) -> DataFrame:
+    """``<ValuteData>`` documents from raw daily rows, one element in each: nothing is collected, so
+    a day of any size stays spread out."""
     el = F.to_xml(F.struct(
         F.col("currency_name").alias("Vname"), F.col("nominal").cast("string").alias("Vnom"),
         F.col("exchange_rate").cast("string").alias("Vcurs"),
         F.length("currency_code").cast("string").alias("Vcode"),
         F.col("currency_code").alias("VchCode"),
-        (F.col("exchange_rate") / F.col("nominal")).cast("double").cast("string").alias("VunitRate"),
+        (F.col("exchange_rate").cast("double") / F.col("nominal")).cast("string").alias("VunitRate"),
     ), {"rowTag": "ValuteCursOnDate"})
-    bucket = F.pmod(F.xxhash64("currency_code"), F.lit(buckets))
-    return (daily.groupBy("rate_date", bucket.alias("part"))
-            .agg(F.concat(F.lit("<ValuteData>"), F.concat_ws("", F.collect_list(el)), F.lit("</ValuteData>")).alias("doc")))
+    return daily.select("rate_date", F.concat(F.lit("<ValuteData>"), el, F.lit("</ValuteData>")).alias("doc"))
 
 
 def write_daily_xml(daily: DataFrame, path: str) -> None:
@@ -96,7 +113,7 @@ def write_daily_xml(daily: DataFrame, path: str) -> None:
                   F.col("exchange_rate").cast("string").alias("Vcurs"),
                   F.length("currency_code").cast("string").alias("Vcode"),
                   F.col("currency_code").alias("VchCode"),
-                  (F.col("exchange_rate") / F.col("nominal")).cast("double").cast("string").alias("VunitRate"),
+                  (F.col("exchange_rate").cast("double") / F.col("nominal")).cast("string").alias("VunitRate"),
                   "rate_date")
      .repartition("rate_date")
      .write.format("xml").option("rowTag", "ValuteCursOnDate").option("rootTag", "ValuteData")
@@ -142,17 +159,18 @@ def catalogue_elements(raw: DataFrame) -> DataFrame:
 
 # ---- monthly JSON -----------------------------------------------------------------
 
-MONTHLY_REASONS = ("unknown_element", "bad_date", "bad_value")
+MONTHLY_REASONS = ("unknown_element", "bad_date", "bad_value", "value_overflow")
 
 
 def monthly_checked(docs: DataFrame) -> DataFrame:
     """Parsed monthly documents (columns RawData, headerData) -> one row per RawData item
     with the header name looked up inside the document (no join, no shuffle), the code
     derived from the name, the date rule, and ``reason`` (NULL = valid)."""
-    hmap = F.map_from_entries(F.transform("headerData", lambda h: F.struct(h["id"], h["elname"])))
     enriched = F.transform("RawData", lambda r: F.struct(
         r["element_id"].alias("element_id"), r["date"].alias("date"), r["obs_val"].alias("obs_val"),
-        r["dt"].alias("dt"), F.element_at(hmap, r["element_id"]).alias("elname")))
+        r["dt"].alias("dt"),
+        # of repeated header ids the last counts
+        F.try_element_at(F.filter("headerData", lambda h: h["id"] == r["element_id"]), F.lit(-1))["elname"].alias("elname")))
     items = docs.select(F.explode(enriched).alias("r")).select("r.*")
     txt = F.coalesce(F.col("date"), F.lit(""))
     day = F.when(txt.contains("T"), F.try_to_date(F.split(txt, "T")[0], "yyyy-MM-dd")) \
@@ -160,22 +178,25 @@ def monthly_checked(docs: DataFrame) -> DataFrame:
     val = F.expr("try_cast(obs_val AS DOUBLE)")
     reason = (F.when(F.col("elname").isNull(), F.lit("unknown_element"))
               .when(day.isNull(), F.lit("bad_date"))
-              .when(val.isNull() | F.isnan(val), F.lit("bad_value")))
+              .when(val.isNull() | F.isnan(val) | (F.abs(val) == F.lit(float("inf"))), F.lit("bad_value"))
+              .when(F.expr("try_cast(try_cast(obs_val AS DOUBLE) AS DECIMAL(12,6))").isNull(), F.lit("value_overflow")))
     return items.select(
         "element_id",
         code_from_name(F.col("elname")).alias("currency_code"),
         F.col("elname").alias("currency_name"),
-        val.cast(T.DecimalType(12, 6)).alias("exchange_rate"),
+        F.expr("try_cast(try_cast(obs_val AS DOUBLE) AS DECIMAL(12,6))").alias("exchange_rate"),
         day.alias("rate_date"),
         F.lit("monthly").alias("rate_type"),
         F.lit(1).alias("nominal"),
         F.coalesce(F.col("dt"), F.lit("")).alias("period"),
-        reason.alias("reason"))
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in
+                                                      ("element_id", "date", "obs_val", "dt")])).alias("original"))
 
 
 def normalise_monthly(docs: DataFrame, y1: int | None = None, y2: int | None = None) -> DataFrame:
     """Valid monthly rows, optionally restricted to years y1..y2."""
-    out = monthly_checked(docs).filter(F.col("reason").isNull()).drop("reason")
+    out = monthly_checked(docs).filter(F.col("reason").isNull()).drop("reason", "original")
     if y1 is not None and y2 is not None:
         out = out.filter(F.year("rate_date").between(y1, y2))
     return out
@@ -192,7 +213,8 @@ def parse_monthly_json(docs: DataFrame, col: str = "doc") -> DataFrame:
 def monthly_documents(monthly: DataFrame) -> DataFrame:
     """One JSON document per (entity, year) from raw monthly rows (at most 12 items each).
     Each carries its entity in headerData (element id = code length * 100000 + year) and
-    three defective items: an unknown element id, a bad date and a bad value."""
+    five defective items (an unknown element id, a bad date, two bad values, one out of range); its header id
+    comes twice, and the last name counts."""
     eid = F.length("currency_code") * F.lit(100000) + F.year("rate_date")
     item = F.struct(
         eid.cast("long").alias("element_id"),
@@ -208,9 +230,14 @@ def monthly_documents(monthly: DataFrame) -> DataFrame:
         F.struct(F.col("eid").cast("long").alias("element_id"), F.lit("01.02.2001").alias("date"),
                  F.lit("1.0").alias("obs_val"), F.lit("").alias("dt")),
         F.struct(F.col("eid").cast("long").alias("element_id"), F.lit("2001-2-1").alias("date"),
-                 F.lit("n/a").alias("obs_val"), F.lit("").alias("dt")))
+                 F.lit("n/a").alias("obs_val"), F.lit("").alias("dt")),
+        F.struct(F.col("eid").cast("long").alias("element_id"), F.lit("2001-2-1").alias("date"),
+                 F.lit("Infinity").alias("obs_val"), F.lit("").alias("dt")),
+        F.struct(F.col("eid").cast("long").alias("element_id"), F.lit("2001-2-1").alias("date"),
+                 F.lit("1234567.5").alias("obs_val"), F.lit("").alias("dt")))
     doc = F.struct(
         F.concat(F.col("items"), extra).alias("RawData"),
-        F.array(F.struct(F.col("eid").cast("long").alias("id"), F.col("name").alias("elname"))).alias("headerData"),
+        F.array(F.struct(F.col("eid").cast("long").alias("id"), F.lit("superseded").alias("elname")),
+                F.struct(F.col("eid").cast("long").alias("id"), F.col("name").alias("elname"))).alias("headerData"),
         F.array().cast("array<string>").alias("units"))
     return grouped.select("currency_code", "y", F.to_json(doc).alias("doc"))

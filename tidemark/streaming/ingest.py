@@ -10,7 +10,6 @@ is harmless because the upsert is idempotent.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import validate
@@ -25,8 +24,8 @@ def ingest_batch(spark: SparkSession, raw_path: str, as_of, rejects_path: str |
         checked = validate.parsed(batch).persist()
         try:
             if rejects_path:
-                validate.rejected(checked).withColumn("epoch", F.lit(epoch_id)) \
-                    .write.mode("append").parquet(rejects_path)
+                # one folder per epoch, overwritten: an epoch that runs again leaves one copy
+                validate.rejected(checked).write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch_id}")
             upsert_into(spark, raw_path, validate.valid(checked), as_of, seq="seq")
         finally:
             checked.unpersist()
