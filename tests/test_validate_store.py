@@ -41,7 +41,13 @@ def test_every_reason_and_coercions(spark):
     assert a["rate_date"] == D(2024, 1, 5) and a["rate_type"] == "daily" and a["nominal"] == 1
     assert a["exchange_rate"] == Decimal("91.123400")
     assert b["reason"] is None and b["rate_type"] == "monthly" and b["nominal"] == 10
-    assert set(validate.REASONS) <= set(reasons)
+    more = validate.parsed(records(spark, [("USDX", "n", "1", "2024-01-05", "daily", "1"), ("USD", "n" * 101, "1", "2024-01-05", " MONTHLY ", "1"),
+                                           ("USD", "n", "91.5d", "xx", "daily", "1"), ("usd", "n", "1", "2024-01-05", " MONTHLY ", "1")])).collect()
+    assert [r["reason"] for r in more] == ["code_too_long", "name_too_long", "bad_rate", None]
+    assert more[2]["original"] == "USD|n|91.5d|xx|daily|1" and more[3]["original"] is None and more[3]["rate_type"] == "daily"
+    strict = validate.parsed(records(spark, [("usd", "n", "1", "2024-01-05", "daily", "1")]), strict=True).first()
+    assert strict["reason"] == "bad_code"
+    assert set(validate.REASONS) <= {*reasons, *(r["reason"] for r in more), "bad_code"}
 
 
 def test_valid_plus_rejected_is_input(spark):

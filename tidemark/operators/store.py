@@ -50,7 +50,7 @@ def upsert(target: DataFrame, batch: DataFrame, as_of, seq=None) -> DataFrame:
     """
     new = _one_per_key(batch.withColumn("load_timestamp", _ts(as_of)), list(RAW_COLUMNS), _order(seq))
     kept = target.select(*RAW_COLUMNS).join(new.select(*KEY), list(KEY), "left_anti")
-    return kept.unionByName(new)
+    return kept.select(*RAW_COLUMNS).unionByName(new)
 
 
 def upsert_counts(target: DataFrame, batch: DataFrame) -> DataFrame:
