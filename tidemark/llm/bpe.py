@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-KEPT_FRAGMENTS = 300_000
+KEPT = 300_000
 KEPT_LENGTH = 64
 _NONE = 1 << 60
 _SPACE = b" \t\n\r"
@@ -83,13 +83,16 @@ class Codec:
         self.split_special = re.compile(
             b"(" + b"|".join(re.escape(t.encode()) for t in sorted(self.special, key=len, reverse=True)) + b")") if self.special else None
         self.special_of = {t.encode(): i for t, i in self.special.items()}
-        self.kept: dict[bytes, tuple[int, ...]] = {}
-        self.kept_words: dict[str, list[int]] = {}
+        # two generations each: when the younger one is full it becomes the older, whose entries come back when used
+        self.kept: dict[bytes, list[int]] = {}
+        self.older: dict[bytes, list[int]] = {}
+        self.kept_tokens: dict[str, list[int]] = {}
+        self.older_tokens: dict[str, list[int]] = {}
 
     def merged(self, piece: str) -> list[int]:
         """Ids of a piece without certain cuts, by the merges in the order of their rank."""
-        if piece in self.kept_words:
-            return self.kept_words[piece]
+        if len(piece) == 1:
+            return [self.id_of[piece]]
         parts = list(piece)
         if len(parts) > 128:
             parts = self._merge_long(parts)
@@ -104,10 +107,7 @@ class Codec:
                     found[k - 1] = rank.get((parts[k - 1], parts[k]), none)
                 if k < len(found):
                     found[k] = rank.get((parts[k], parts[k + 1]), none)
-        got = [self.id_of[p] for p in parts]
-        if len(piece) <= KEPT_LENGTH and len(self.kept_words) < KEPT_FRAGMENTS:
-            self.kept_words[piece] = got
-        return got
+        return [self.id_of[p] for p in parts]
 
     def _merge_long(self, parts: list[str]) -> list[str]:
         """The same for long pieces: a heap of pairs over a linked list, O(n log n)."""
@@ -129,34 +129,53 @@ class Codec:
                     heapq.heappush(heap, (r[0], x, parts[x], parts[y]))
         return [p for p in parts if p]
 
-    def fragment(self, text: bytes) -> tuple[int, ...]:
-        """Ids of a fragment: pre-tokens, cut at the certain pairs, merged."""
-        out: list[int] = []
+    def token(self, token: str) -> list[int]:
+        """Ids of a pre-token: cut at the certain pairs, fragments merged on their own and joined."""
+        got = self.kept_tokens.get(token)
+        if got is not None:
+            return got
+        got = self.older_tokens.get(token)
+        if got is None:
+            got, at, inside = [], 0, self.inside
+            for k in range(1, len(token)):
+                if token[k - 1: k + 1] not in inside:
+                    got += self.merged(token[at:k])
+                    at = k
+            got += self.merged(token[at:])
+        if len(token) <= KEPT_LENGTH:
+            if len(self.kept_tokens) >= KEPT:
+                self.older_tokens, self.kept_tokens = self.kept_tokens, {}
+            self.kept_tokens[token] = got
+        return got
+
+    def fragment(self, text: bytes) -> list[int]:
+        """Ids of a fragment, pre-token by pre-token."""
         if text.isascii():
             tokens = [t.translate(self.letters) for t in _ASCII_TOKEN.findall(text.decode())]
         else:
             tokens = [t for t, _ in self.pre.pre_tokenize_str(text.decode())]
-        for token in tokens:
-            at = 0
-            for k in range(1, len(token)):
-                if token[k - 1: k + 1] not in self.inside:
-                    out += self.merged(token[at:k])
-                    at = k
-            out += self.merged(token[at:])
-        return tuple(out)
+        if len(tokens) == 1:
+            return self.token(tokens[0])
+        out: list[int] = []
+        for t in tokens:
+            out += self.token(t)
+        return out
 
     def plain(self, text: bytes) -> list[int]:
         """Ids of a text without special tokens."""
         if _RARE_SPACE.search(text):
             return list(self.fragment(text))
-        kept, out = self.kept, []
+        kept, older, out = self.kept, self.older, []
         for f in self.fragments.findall(text):
             ids = kept.get(f)
             if ids is None:
-                ids = self.fragment(f)
+                ids = older.get(f)
+                if ids is None:
+                    ids = self.fragment(f)
                 if len(f) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT_FRAGMENTS:
-                        kept.clear()
+                    if len(kept) >= KEPT:
+                        self.older, self.kept = kept, {}
+                        kept, older = self.kept, self.older
                     kept[f] = ids
             out += ids
         return out
