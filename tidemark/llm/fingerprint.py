@@ -39,6 +39,8 @@ _G = np.array([0] + [round(c * np.log2(c) * _SCALE) for c in range(1, WINDOW + 2
 _GAIN = np.diff(_G)  # _GAIN[c]: g(c + 1) - g(c)
 _FULL = round(WINDOW * np.log2(WINDOW) * _SCALE)
 _PART = 1 << 19
+#: parts of the order of ids; a part is sorted and read as a stream, so its size costs no memory
+MAX_PARTS = 8192
 
 
 def entropies(raw: np.ndarray) -> np.ndarray:
@@ -207,7 +209,7 @@ def with_next(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") ->
     its next document. The last row of a part is followed by a copy of the next part's first (``tail``)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))
-    parts = 4 * partitions(docs.sparkSession)
+    parts = min(4 * partitions(docs.sparkSession), MAX_PARTS)
     cuts = rows.where("id is not null").approxQuantile("id", [k / parts for k in range(1, parts)], 0.1 / parts) if parts > 1 else []
     bounds = np.unique(np.array(cuts, np.int64)) if cuts else np.zeros(0, np.int64)
 

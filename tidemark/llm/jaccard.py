@@ -233,17 +233,18 @@ def _node_sets(nodes: DataFrame, found: DataFrame, docs: DataFrame, text: str, d
     rows = docs.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).alias("__t")).join(chosen, "__id").select("node", "__t")
 
     def run(batches):
+        seen: set[int] = set()  # rows that repeat give one set in a task; more than one in all does no harm
         for batch in batches:
             for first, sets, at in _sets_of(batch, "__t", k):
                 v = count_vectors(sets, at)
                 node = batch.column("node").to_numpy()[first: first + len(at) - 1]
                 same = set_hashes(sets, at).view(np.int64) == node  # ids can repeat with other texts
-                pick = np.flatnonzero(same)
+                pick = [i for i in np.flatnonzero(same) if not (int(node[i]) in seen or seen.add(int(node[i])))]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(node[pick]), pa.array(np.diff(at)[pick]), pa.array([v[i].tobytes() for i in pick], pa.binary()),
                     pa.array([sets[at[i]: at[i + 1]].tobytes() for i in pick], pa.binary())], names=["node", "n", "vec", "set"])
 
-    return rows.mapInArrow(run, "node bigint, n bigint, vec binary, set binary").dropDuplicates(["node"])
+    return rows.mapInArrow(run, "node bigint, n bigint, vec binary, set binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -53,9 +53,10 @@ def line_dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", w
         .where("n > 1").drop("n"), "line_windows")
     # both sides come straight from a shuffle: a hot window is split by the adaptive skew join
     hits = runs.join(repeated, ["a", "b"])
+    # a set: equal rows add nothing, so a group is bounded by a document's lines
     per_doc = (
         hits.groupBy("place", "content")
-        .agg(F.array_sort(F.collect_list(F.struct("a", "b", "i", (F.col("place") > F.col("first_place")).alias("later")))).alias("hits"))
+        .agg(F.array_sort(F.collect_set(F.struct("a", "b", "i", (F.col("place") > F.col("first_place")).alias("later")))).alias("hits"))
     )
     hit = F.col("hits")
 
