@@ -81,6 +81,10 @@ def test_edges(spark):
     kept = J.keep_one(df)
     assert kept.columns == df.columns and sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 3, 9, 9]
     assert J.near_groups(df.where("false")).count() == 0
+    long = [f"w{k}" for k in range(60)]
+    near = spark.createDataFrame([(None, " ".join(long)), (8, " ".join(long[:-1] + ["x"])), (8, "other text of that id entirely"), (5, " ".join(["x"] + long[1:-1] + ["x"]))],
+                                 "doc_id bigint, text string")
+    assert sorted((str(r.doc_id), r.component_id) for r in J.near_groups(near).collect()) == [("5", 5), ("8", 5), ("8", 8), ("None", 5)]
 
 
 def test_linked_pairs_share_a_cell():

@@ -167,21 +167,26 @@ def _sets_of(batch: pa.RecordBatch, text: str, k: int):
         yield first, sets, at
 
 
+def _placed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    row_id = F.col(doc_id).cast("long")
+    return docs.select(row_id.alias("__id"), F.when(row_id.isNull(), F.xxhash64(text)).alias("__nameless"), F.col(text).alias("__t"))
+
+
 def _nodes(docs: DataFrame, text: str, doc_id: str, k: int) -> DataFrame:
-    """doc_id, n_shingles and node (hash of the set) of every document."""
+    """doc_id, n_shingles, node (hash of the set) and, for rows without an id, a hash of the text to find them by."""
     def run(batches):
         for batch in batches:
             n, h = [], []
-            for _, sets, at in _sets_of(batch, text, k):
+            for _, sets, at in _sets_of(batch, "__t", k):
                 n.append(np.diff(at))
                 h.append(set_hashes(sets, at))
             n = np.concatenate(n) if n else np.zeros(0, np.int64)
             h = np.concatenate(h) if h else np.zeros(0, U)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(doc_id).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h.view(np.int64), pa.int64())],
-                names=["doc_id", "n_shingles", "node"])
+                [batch.column("__id"), pa.array(n, pa.int64()), pa.array(h.view(np.int64), pa.int64()), batch.column("__nameless")],
+                names=["doc_id", "n_shingles", "node", "nameless"])
 
-    return docs.select(F.col(doc_id), F.col(text)).mapInArrow(run, "doc_id bigint, n_shingles bigint, node bigint")
+    return _placed(docs, text, doc_id).mapInArrow(run, "doc_id bigint, n_shingles bigint, node bigint, nameless bigint")
 
 
 def _shared_cells(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
@@ -229,8 +234,10 @@ def _shared_cells(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame
 
 def _node_sets(nodes: DataFrame, found: DataFrame, docs: DataFrame, text: str, doc_id: str, k: int) -> DataFrame:
     """node, n, vec (count vector) and set of every node of ``nodes``."""
-    chosen = nodes.join(found.where("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("__id")), "node")
-    rows = docs.select(F.col(doc_id).cast("long").alias("__id"), F.col(text).alias("__t")).join(chosen, "__id").select("node", "__t")
+    first = found.groupBy("node").agg(F.min("doc_id").alias("id"), F.min("nameless").alias("other"))
+    chosen = nodes.join(first, "node").select("node", F.col("id").isNull().alias("__none"), F.coalesce("id", "other").alias("__key"))
+    rows = _placed(docs, text, doc_id).select(F.col("__id").isNull().alias("__none"), F.coalesce("__id", "__nameless").alias("__key"), "__t") \
+        .join(chosen, ["__none", "__key"]).select("node", "__t")
 
     def run(batches):
         seen: set[int] = set()  # rows that repeat give one set in a task; more than one in all does no harm
