@@ -33,6 +33,7 @@ empty tables give empty results.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +46,7 @@ DIMS = 256
 BLOCK, LEAF = 256, 16
 RATIO = 1.6
 HUB_ROWS = 512
+FILTER_BITS = 1 << 26
 
 
 def difference(n: int, percent: int) -> int:
@@ -232,12 +234,33 @@ def _shared_cells(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame
     return rows.repartition(partitions(docs.sparkSession), "cell").sortWithinPartitions("cell", "node").mapInArrow(shared, schema)
 
 
+def _maybe_in(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` without most of those whose key is not in ``keys``, so that their texts need no shuffle before
+    the join. A key is one bit of a map of fixed size (``FILTER_BITS``), made by an aggregate over its
+    words; with very many keys the map fills up and lets more rows pass, which the join then drops."""
+    bit = F.pmod(F.xxhash64(*on), F.lit(FILTER_BITS))
+    words = keys.select(bit.alias("b")).select(
+        F.expr("cast(b div 64 as int)").alias("at"), F.expr("shiftleft(1L, cast(b % 64 as int))").alias("w"))
+    got = words.groupBy("at").agg(F.expr("bit_or(w)").alias("w")).toPandas()
+    table = np.zeros(FILTER_BITS // 64, np.int64)
+    table[got["at"].to_numpy()] = got["w"].to_numpy()
+    shared = rows.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def known(b: pd.Series) -> pd.Series:
+        b = b.to_numpy()
+        return pd.Series((shared.value[b // 64] >> (b % 64)) & 1 == 1)
+
+    return rows.where(known(bit))
+
+
 def _node_sets(nodes: DataFrame, found: DataFrame, docs: DataFrame, text: str, doc_id: str, k: int) -> DataFrame:
     """node, n, vec (count vector) and set of every node of ``nodes``."""
     first = found.groupBy("node").agg(F.min("doc_id").alias("id"), F.min("nameless").alias("other"))
     chosen = nodes.join(first, "node").select("node", F.col("id").isNull().alias("__none"), F.coalesce("id", "other").alias("__key"))
-    rows = _placed(docs, text, doc_id).select(F.col("__id").isNull().alias("__none"), F.coalesce("__id", "__nameless").alias("__key"), "__t") \
-        .join(chosen, ["__none", "__key"]).select("node", "__t")
+    chosen = materialise(chosen, "jaccard_chosen")
+    placed = _placed(docs, text, doc_id).select(F.col("__id").isNull().alias("__none"), F.coalesce("__id", "__nameless").alias("__key"), "__t")
+    rows = _maybe_in(placed, chosen, ["__none", "__key"]).join(chosen, ["__none", "__key"]).select("node", "__t")
 
     def run(batches):
         seen: set[int] = set()  # rows that repeat give one set in a task; more than one in all does no harm
@@ -417,11 +440,21 @@ def near_groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
 
 
 def _fitting(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose sizes allow a link."""
-    size = sets.select("node", "n")
-    both = pairs.join(size.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a") \
-        .join(size.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b")
-    return both.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent).select("a", "b")
+    """Pairs whose sizes and count vectors allow a link; their sets need not move otherwise."""
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("vec").alias("v_a")), "a") \
+        .join(sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("vec").alias("v_b")), "b")
+    sized = both.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+
+    def run(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, 4096):
+                part = batch.slice(k, 4096)
+                x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(-1, DIMS) for c in ("v_a", "v_b"))
+                n = part.column("n_a").to_numpy() + part.column("n_b").to_numpy()
+                ok = pa.array(np.minimum(x, y).sum(1, dtype=np.int64) >= needed(n, 0, percent))
+                yield pa.RecordBatch.from_arrays([part.column(c).filter(ok) for c in ("a", "b")], names=["a", "b"])
+
+    return sized.select("a", "b", "n_a", "n_b", "v_a", "v_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 80) -> DataFrame:
