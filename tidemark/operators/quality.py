@@ -36,8 +36,9 @@ def dq_report(raw: DataFrame, check_date, majors: Sequence[str], upper: float =
     return long.select("check", "value", status.alias("status"))
 
 
-def dq_major_values(raw: DataFrame, check_date, majors: Sequence[str]) -> DataFrame:
-    return (raw.filter((F.col("rate_date") == _d(check_date)) & F.col("currency_code").isin(*majors))
+def dq_major_values(raw: DataFrame, check_date, majors: Sequence[str], rate_type: str | None = None) -> DataFrame:
+    rows = raw if rate_type is None else raw.filter(F.col("rate_type") == F.lit(rate_type))
+    return (rows.filter((F.col("rate_date") == _d(check_date)) & F.col("currency_code").isin(*majors))
             .select("currency_code", "rate_type", "exchange_rate").orderBy("currency_code", "rate_type"))
 
 

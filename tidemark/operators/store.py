@@ -75,6 +75,19 @@ def insert_ignore_table(target: DataFrame, batch: DataFrame, cols=FACT_COLUMNS,
     return target.select(*cols).unionByName(insert_ignore(target, batch, cols, seq))
 
 
+def load_facts(target: DataFrame, batch: DataFrame, mode: str = "ignore", cols=FACT_COLUMNS, seq=None) -> DataFrame:
+    """The fact table after a load: known keys keep their row (``ignore``, as in the original) or take the
+    batch's last one (``upsert``)."""
+    if mode == "ignore":
+        return insert_ignore_table(target, batch, cols, seq)
+    if mode != "upsert":
+        raise ValueError("mode must be ignore or upsert")
+    if "load_timestamp" in cols and "load_timestamp" not in batch.columns:
+        batch = batch.withColumn("load_timestamp", F.lit(None).cast("timestamp_ntz"))
+    new = _one_per_key(batch, list(cols), _order(seq))
+    return target.select(*cols).join(new.select(*KEY), list(KEY), "left_anti").select(*cols).unionByName(new)
+
+
 def dimension_names(raw: DataFrame) -> DataFrame:
     """One name per code: daily rows before monthly ones, then the latest load, then the
     greatest name; also the first and last rate date of the code."""

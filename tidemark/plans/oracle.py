@@ -436,3 +436,12 @@ UNION ALL SELECT 'total_records', (SELECT COUNT(*) FROM rates) - (SELECT COUNT(*
 })
 ORACLE["mart_status"] = with_rates("SELECT mart, true AS exists, rows FROM (" + ORACLE["refresh_marts"].replace("WITH " + RATES_CTE + ", ", "WITH ") + ") WHERE mart <> 'total'").replace(
     ", SELECT mart, true", " SELECT mart, true")
+
+ORACLE["published_weekly_stats"] = ORACLE["weekly_stats"]
+ORACLE["upsert_facts"] = with_records("""
+b AS (SELECT *, row_number() OVER (PARTITION BY currency_code, rate_date, rate_type ORDER BY seq DESC) AS rn FROM batch),
+new AS (SELECT currency_code, exchange_rate, rate_date, rate_type, nominal FROM b WHERE rn = 1)
+SELECT currency_code, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, load_timestamp FROM rates r
+WHERE NOT EXISTS (SELECT 1 FROM new n WHERE r.currency_code = n.currency_code AND r.rate_date = n.rate_date AND r.rate_type = n.rate_type)
+UNION ALL
+SELECT currency_code, CAST(exchange_rate AS DOUBLE), rate_date, rate_type, nominal, CAST(NULL AS TIMESTAMP) FROM new""")

@@ -389,3 +389,16 @@ def _mart_status(spark, sf):
     base = shared_dir(spark, "status")
     jobs.refresh_marts(spark, rates_from_lines(spark, sf), base, P.AS_OF, P.ANCHOR, database="tidemark_status")
     return jobs.catalog_status(spark, "tidemark_status")
+
+
+@register("upsert_facts")
+def _upsert_facts(spark, sf):
+    return store.load_facts(rates_from_lines(spark, sf), _batch(spark, sf), mode="upsert", seq="seq")
+
+
+@register("published_weekly_stats")
+def _published(spark, sf):
+    """The contents of a published mart, read through the catalog."""
+    base = shared_dir(spark, "published")
+    jobs.refresh_marts(spark, rates_from_lines(spark, sf), base, P.AS_OF, P.ANCHOR, names=("weekly_stats",), database="tidemark_published")
+    return spark.table("tidemark_published.weekly_stats").withColumn("volatility", F.round("volatility", 4))
