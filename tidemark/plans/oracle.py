@@ -262,9 +262,9 @@ x AS (SELECT 1)
 SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, load_timestamp
 FROM rates"""),
     "dq_report": with_rates("""
-c AS (SELECT COUNT(*) FILTER (WHERE rate_date = DATE '2001-11-03' AND rate_type = 'daily') AS rows_on_date,
+c AS (SELECT COUNT(*) FILTER (WHERE rate_date = DATE '2001-10-31' AND rate_type = 'daily') AS rows_on_date,
              COUNT(*) FILTER (WHERE exchange_rate <= 0 OR exchange_rate > 100000) AS anomalies,
-             COUNT(*) FILTER (WHERE rate_date = DATE '2001-11-03' AND currency_code IN ('AAA', 'AAB', 'AAC')) AS major_values,
+             COUNT(*) FILTER (WHERE rate_date = DATE '2001-10-31' AND currency_code IN ('AAA', 'AAB', 'AAC')) AS major_values,
              COUNT(*) AS total_records FROM rates)
 SELECT 'rows_on_date' AS "check", rows_on_date AS value, CASE WHEN rows_on_date = 0 THEN 'warn' ELSE 'ok' END AS status FROM c
 UNION ALL SELECT 'anomalies', anomalies, CASE WHEN anomalies > 0 THEN 'warn' ELSE 'ok' END FROM c
@@ -273,7 +273,7 @@ UNION ALL SELECT 'total_records', total_records, 'info' FROM c"""),
     "dq_major_values": with_rates("""
 x AS (SELECT 1)
 SELECT currency_code, rate_type, CAST(exchange_rate AS DOUBLE) AS exchange_rate FROM rates
-WHERE rate_date = DATE '2001-11-03' AND currency_code IN ('AAA', 'AAB', 'AAC')"""),
+WHERE rate_date = DATE '2001-10-31' AND currency_code IN ('AAA', 'AAB', 'AAC')"""),
     "record_stats": with_rates("""
 x AS (SELECT 1)
 SELECT rate_type, COUNT(*) AS count, MIN(rate_date) AS min_date, MAX(rate_date) AS max_date,
@@ -425,7 +425,7 @@ SELECT COUNT(*) FILTER (isodow(c.rate_date) < 6 AND n IS NOT NULL) AS successful
 FROM cal c LEFT JOIN per_day p USING (rate_date)"""),
     "run_daily": with_rates("""
 d AS (SELECT *, length(currency_code) > 3 AS long_code, length(currency_name) > 100 AS long_name
-      FROM rates WHERE rate_type = 'daily' AND rate_date = DATE '2001-11-03'),
+      FROM rates WHERE rate_type = 'daily' AND rate_date = DATE '2001-10-31'),
 o AS (SELECT * FROM d WHERE NOT long_code AND NOT long_name)
 SELECT 'daily' AS name, (SELECT COUNT(*) FROM o) AS value
 UNION ALL SELECT 'total', (SELECT COUNT(*) FROM o)
