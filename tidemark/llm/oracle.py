@@ -110,4 +110,23 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE = {"op1_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op8_pii": PII, "op9_topk": TOP_K}
+WARC = """
+WITH c AS (SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS html, chr(13) || chr(10) AS nl FROM pages),
+k AS (SELECT *, md5(concat_ws(':', page_id, uri)) AS h, (SELECT greatest(1, CAST(ceil(count(*) / 1000.0) AS BIGINT)) FROM c) AS files FROM c),
+r AS (SELECT page_id, uri, CAST('0x' || h[1:8] AS BIGINT) % files AS file,
+             'WARC/1.0' || nl || 'WARC-Type: resource' || nl || 'WARC-Record-ID: <urn:uuid:'
+             || concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) || '>' || nl || 'WARC-Date: 2024-01-01T00:00:00Z' || nl
+             || 'WARC-Target-URI: ' || replace(replace(uri, chr(13), ''), chr(10), '') || nl || 'Content-Type: text/html' || nl
+             || 'Content-Length: ' || strlen(html) || nl || nl || html AS record FROM k),
+d AS (SELECT page_id, uri, file, CAST(strlen(record) + 4 AS BIGINT) AS length, sha256(record) AS digest FROM r),
+p AS (SELECT *, CAST(coalesce(sum(length) OVER (PARTITION BY file ORDER BY page_id NULLS FIRST, digest
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS "offset",
+             CAST(sum(length) OVER (PARTITION BY file) AS BIGINT) AS fin FROM d),
+t AS (SELECT *, page_id % 389 = 7 AS lost, page_id % 97 = 13 AS hurt, page_id % 499 = 3 AS again FROM p)
+SELECT file, "offset", length, page_id, uri, CASE WHEN again THEN 'moved' WHEN lost THEN 'missing' ELSE 'changed' END AS fault,
+       digest, CASE WHEN NOT lost THEN sha256(digest || 'x') END AS other_digest FROM t WHERE lost OR hurt
+UNION ALL
+SELECT file, fin + page_id, length, NULL, NULL, 'extra', NULL, digest FROM t WHERE again AND NOT lost AND NOT hurt
+"""
+
+ORACLE = {"op7_warc": WARC, "op1_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op8_pii": PII, "op9_topk": TOP_K}

@@ -49,7 +49,8 @@ def pack(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html:
     clean = pages.select(F.col(page_id).alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("uri"),
                          F.coalesce(F.col(html), F.lit("")).alias("html"))
     files = max(1, -(-clean.count() // per_file))
-    rows = clean.select("page_id", "uri", F.pmod(F.xxhash64("page_id", "uri"), F.lit(files)).alias("file"),
+    place = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("page_id").cast("string"), "uri")), 1, 8), 16, 10).cast("long")
+    rows = clean.select("page_id", "uri", (place % files).alias("file"),
                         record_of(F.col("page_id"), F.col("uri"), F.col("html")).alias("record"))
     rows = rows.withColumn("length", (F.octet_length("record") + len(END)).cast("long")).withColumn("digest", F.sha2("record", 256))
     before = Window.partitionBy("file").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
