@@ -22,10 +22,10 @@ import base64
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import partitions
 from tidemark.llm.tokens import U, mix64, slices
@@ -213,12 +213,10 @@ def with_next(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id") ->
     cuts = rows.where("id is not null").approxQuantile("id", [k / parts for k in range(1, parts)], 0.1 / parts) if parts > 1 else []
     bounds = np.unique(np.array(cuts, np.int64)) if cuts else np.zeros(0, np.int64)
 
-    @F.pandas_udf("int")
-    def part_of(x: pd.Series) -> pd.Series:
-        known = x.notna().to_numpy()
-        out = np.full(len(x), len(bounds), np.int32)
-        out[known] = np.searchsorted(bounds, x[known].astype("int64").to_numpy(), "right")
-        return pd.Series(out)
+    @F.arrow_udf("int")
+    def part_of(x: pa.Array) -> pa.Array:
+        part = np.searchsorted(bounds, x.fill_null(0).to_numpy(), "right")
+        return pa.array(np.where(x.is_null().to_numpy(zero_copy_only=False), len(bounds), part), pa.int32())
 
     placed = rows.withColumn("part", part_of("id"))
     # one row per part reaches the driver
@@ -272,8 +270,6 @@ def compare_edited(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id
 
 def fingerprint(docs: DataFrame, rank: np.ndarray, *, text: str = "text", column: str = "fingerprint") -> DataFrame:
     """``docs`` with the printed fingerprint of every text (a map; ``rank`` from :func:`ranks`)."""
-    from pyspark.sql import types as T
-
     rows = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() != column.lower()])
 
     def run(batches):

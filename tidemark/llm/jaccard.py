@@ -33,7 +33,6 @@ empty tables give empty results.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -246,10 +245,10 @@ def _maybe_in(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     table[got["at"].to_numpy()] = got["w"].to_numpy()
     shared = rows.sparkSession.sparkContext.broadcast(table)
 
-    @F.pandas_udf("boolean")
-    def known(b: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def known(b: pa.Array) -> pa.Array:
         b = b.to_numpy()
-        return pd.Series((shared.value[b // 64] >> (b % 64)) & 1 == 1)
+        return pa.array((shared.value[b // 64] >> (b % 64)) & 1 == 1)
 
     return rows.where(known(bit))
 

@@ -12,7 +12,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SLICE_DOCS = 1024
 #: bits of a shingle's hash; the other 10 hold its document's place in a slice while sorting
 HASH_BITS = 54
