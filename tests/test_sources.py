@@ -1,4 +1,3 @@
-import datetime as dt
 import json
 import os
 

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.literals import date_lit
 from tidemark.functions.numeric import guarded_corr, mean, pct_change, pct_range
 from tidemark.functions.series import with_previous
 from tidemark.sources.tables import after
