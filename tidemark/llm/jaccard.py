@@ -253,8 +253,9 @@ def _maybe_in(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     return rows.where(known(bit))
 
 
-def _node_sets(nodes: DataFrame, found: DataFrame, docs: DataFrame, text: str, doc_id: str, k: int) -> DataFrame:
-    """node, n, vec (count vector) and set of every node of ``nodes``."""
+def _of_nodes(nodes: DataFrame, found: DataFrame, docs: DataFrame, text: str, doc_id: str, k: int, what: str) -> DataFrame:
+    """node, n and ``what`` of every node of ``nodes``: its count vector (``vec``) or its whole ``set``. Sets are large, so
+    they are made, from the texts again, only for documents whose vectors allow a link."""
     first = found.groupBy("node").agg(F.min("doc_id").alias("id"), F.min("nameless").alias("other"))
     chosen = nodes.join(first, "node").select("node", F.col("id").isNull().alias("__none"), F.coalesce("id", "other").alias("__key"))
     chosen = materialise(chosen, "jaccard_chosen")
@@ -265,15 +266,15 @@ def _node_sets(nodes: DataFrame, found: DataFrame, docs: DataFrame, text: str, d
         seen: set[int] = set()  # rows that repeat give one set in a task; more than one in all does no harm
         for batch in batches:
             for first, sets, at in _sets_of(batch, "__t", k):
-                v = count_vectors(sets, at)
+                v = count_vectors(sets, at) if what == "vec" else None
                 node = batch.column("node").to_numpy()[first: first + len(at) - 1]
                 same = set_hashes(sets, at).view(np.int64) == node  # ids can repeat with other texts
                 pick = [i for i in np.flatnonzero(same) if not (int(node[i]) in seen or seen.add(int(node[i])))]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(node[pick]), pa.array(np.diff(at)[pick]), pa.array([v[i].tobytes() for i in pick], pa.binary()),
-                    pa.array([sets[at[i]: at[i + 1]].tobytes() for i in pick], pa.binary())], names=["node", "n", "vec", "set"])
+                    pa.array(node[pick]), pa.array(np.diff(at)[pick]),
+                    pa.array([(v[i] if what == "vec" else sets[at[i]: at[i + 1]]).tobytes() for i in pick], pa.binary())], names=["node", "n", what])
 
-    return rows.mapInArrow(run, "node bigint, n bigint, vec binary, set binary")
+    return rows.mapInArrow(run, f"node bigint, n bigint, {what} binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -393,22 +394,27 @@ def near_groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     """doc_id, n_shingles, component_id: the smallest doc_id reachable by links; one row per input row."""
     found = materialise(_nodes(docs, text, doc_id, k), "jaccard_nodes")
     shared = materialise(_shared_cells(docs, text, k, percent), "jaccard_cells")
-    sets = materialise(_node_sets(shared.select("node").distinct(), found, docs, text, doc_id, k), "jaccard_sets")
+    vectors = materialise(_of_nodes(shared.select("node").distinct(), found, docs, text, doc_id, k, "vec"), "jaccard_vectors")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        sets = materialise(_of_nodes(nodes, found, docs, text, doc_id, k, "set"), "jaccard_sets")
+        return materialise(_verified(pairs, sets, percent), "jaccard_verified")
 
     # verify each node against the member of each of its cells that shares most with others
     sizes = shared.groupBy("cell").agg(F.count("*").alias("members"))
     weight = materialise(shared.join(sizes, "cell").groupBy("node").agg(F.sum("members").alias("weight")), "jaccard_weight")
     hubs = shared.join(weight, "node").groupBy("cell").agg(F.max(F.struct("weight", "node")).alias("top")).select("cell", F.col("top.node").alias("a"))
     to_hub = shared.join(hubs, "cell").where("a != node").select("a", F.col("node").alias("b")).distinct()
-    tried = materialise(_fitting(to_hub, sets, percent), "jaccard_hub_pairs")
-    links = materialise(_verified(tried, sets, percent), "jaccard_hub_links")
+    tried = materialise(_fitting(to_hub, vectors, percent), "jaccard_hub_pairs")
+    links = verified(tried)
     roots = components(links)
 
     # cells with several components left: through the tree
     rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = rooted.groupBy("cell").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members")) \
         .where("lo != hi").select("cell", "members")
-    mixed = rooted.join(materialise(several, "jaccard_mixed"), "cell").join(sets.select("node", "n", "vec"), "node")
+    mixed = rooted.join(materialise(several, "jaccard_mixed"), "cell").join(vectors.select("node", "n", "vec"), "node")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     blocked = mixed.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -419,7 +425,7 @@ def near_groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
         if rest.isEmpty():
             break
         next_pairs = rest.groupBy("root_a", "root_b").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b") if once else rest.select("a", "b")
-        links = materialise(links.union(_verified(next_pairs.distinct(), sets, percent)), "jaccard_links")
+        links = links.union(verified(next_pairs.distinct()))
         roots = components(links)
         if once:
             old = [f"root_{x}" for x in "ab"]
@@ -438,10 +444,10 @@ def near_groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def _fitting(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _fitting(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
     """Pairs whose sizes and count vectors allow a link; their sets need not move otherwise."""
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("vec").alias("v_a")), "a") \
-        .join(sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("vec").alias("v_b")), "b")
+    both = pairs.join(vectors.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("vec").alias("v_a")), "a") \
+        .join(vectors.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("vec").alias("v_b")), "b")
     sized = both.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
 
     def run(batches):
