@@ -357,10 +357,11 @@ def main_text(page: str | None, field: Field) -> str:
 
 def train(pages: DataFrame, *, html: str = "html", page_id: str = "page_id", max_pages: int = MAX_PAGES) -> Field:
     """Fit on at most ``max_pages`` pages, chosen by a hash of their id."""
-    rows = (
-        pages.where(F.col(html).isNotNull() & (F.length(html) < 100_000)).select(page_id, html)
-        .orderBy(F.xxhash64(F.col(page_id)), page_id).limit(max_pages).collect()
-    )
+    usable = pages.where(F.col(html).isNotNull() & F.col(page_id).isNotNull() & (F.length(html) < 100_000))
+    place = F.xxhash64(F.col(page_id))
+    every = max(1, usable.count() // (4 * max_pages))  # a few times the bound, so that no task and not the driver gets more
+    few = usable.where(F.pmod(place, F.lit(every)) == 0)
+    rows = few.select(page_id, html).orderBy(place, page_id, F.xxhash64(html)).limit(max_pages).collect()
     return learn([r[html] for r in rows])
 
 
