@@ -203,6 +203,34 @@ def test_warc_audit(spark):
     assert W.audit(none, none).count() == 0 and W.audit(same.where("file < 2"), none).count() == 40
 
 
+@pytest.mark.parametrize("packed_files", [False, True])
+def test_audit_of_stored_files(spark, tmp_path, packed_files):
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"<p>é {i} WARC/1.0</p>" * (1 + i % 3)) for i in range(12)], "page_id bigint, url string, html string")
+    packed = W.pack(pages, per_file=6)
+    W.write_warc(packed, str(tmp_path / "w"))
+    index, keys = W.stored_index(spark, str(tmp_path / "w")), ("file", "offset", "length", "digest")
+    assert sorted(map(tuple, index.select(*keys).collect())) == sorted(map(tuple, packed.select(*keys).collect()))
+    roots = [tmp_path / "a", tmp_path / "b"]
+    for root in roots:  # copies without Hadoop's own checksums
+        for f in (tmp_path / "w").rglob("part-*"):
+            raw, out = f.read_bytes(), root / f.parent.name / "records"
+            out.parent.mkdir(parents=True)
+            out.write_bytes(b"".join(gzip.compress(raw[at: at + n], mtime=0) for at, n, _, _ in W.parse_warc(raw)) if packed_files else raw)
+    first = W.stored_index(spark, str(roots[0]))
+    victim = sorted(roots[1].rglob("records"))[0]
+    raw = victim.read_bytes()
+    record = first.where(f"file = {victim.parent.name[5:]} and offset = 0").first()
+    whole = set(first.select(*keys).collect())
+    assert set(W.stored_index(spark, str(roots[1])).select(*keys).collect()) == whole
+    # a byte of the magic, of the payload, of the closing line end, and one behind the last record
+    for at in (2, record.length - 6, record.length - 1, None):
+        victim.write_bytes(raw + b"x" if at is None else raw[:at] + bytes([raw[at] ^ 1]) + raw[at + 1:])
+        now = set(W.stored_index(spark, str(roots[1])).select(*keys).collect())
+        assert {r.file for r in now ^ whole} == {record.file}, at
+    found = W.audit(first, W.stored_index(spark, str(roots[1]))).collect()
+    assert [(r.file, r.offset, r.length, r.fault) for r in found] == [(record.file, len(raw), 1, "extra")]
+
+
 def brute_top(rows, k, every):
     ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = set()

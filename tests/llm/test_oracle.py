@@ -80,6 +80,16 @@ def test_op7_finds_the_damage(spark, con):
     assert sum(r.fault == "extra" for r in rows) == sum(i % 499 == 3 for i in ids)
 
 
+def test_op7_replicas_are_hashed(spark, con):
+    rows = QUERIES["op7_replicas"](spark, SF).collect()
+    pages = con.sql("SELECT page_id FROM pages").fetchall()
+    stored = {r.digest for r in rows if r.digest}
+    hurt = [i for i, in pages if i % 97 == 13 and i % 389 != 7]
+    # the altered text has a digest that no stored record has
+    assert hurt and sum(r.other_digest is not None and r.other_digest not in stored for r in rows if r.fault in ("changed", "extra")) >= len(hurt)
+    assert {i for i, in pages if i % 389 == 7} <= {r.page_id for r in rows if r.fault in ("missing", "changed")}
+
+
 def test_op10_held_out_accuracy(spark, con):
     rows = {r.doc_id: r for r in QUERIES["op10_quality"](spark, "/root/testdata/sf0.01").collect()}
     labels = duckdb.connect().sql("SELECT doc_id, quality FROM '/root/testdata/sf0.01/labels.parquet'").fetchall()

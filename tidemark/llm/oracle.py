@@ -129,4 +129,33 @@ UNION ALL
 SELECT file, fin + page_id, length, NULL, NULL, 'extra', NULL, digest FROM t WHERE again AND NOT lost AND NOT hurt
 """
 
-ORACLE = {"op7_warc": WARC, "op1_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op8_pii": PII, "op9_topk": TOP_K}
+REPLICAS = """
+WITH c AS (SELECT page_id, coalesce(url, '') AS uri, coalesce(html, '') AS html, chr(13) || chr(10) AS nl FROM pages),
+k AS (SELECT *, md5(concat_ws(':', page_id, uri)) AS h, (SELECT greatest(1, CAST(ceil(count(*) / 1000.0) AS BIGINT)) FROM c) AS files FROM c),
+r AS (SELECT page_id, uri, CAST('0x' || h[1:8] AS BIGINT) % files AS file,
+             'WARC/1.0' || nl || 'WARC-Type: resource' || nl || 'WARC-Record-ID: <urn:uuid:'
+             || concat_ws('-', h[1:8], h[9:12], h[13:16], h[17:20], h[21:32]) || '>' || nl || 'WARC-Date: 2024-01-01T00:00:00Z' || nl
+             || 'WARC-Target-URI: ' || replace(replace(uri, chr(13), ''), chr(10), '') || nl || 'Content-Type: text/html' || nl
+             || 'Content-Length: ' || strlen(html) || nl || nl || html AS record FROM k),
+one AS (SELECT file, 0 AS copy, page_id, uri, sha256(record) AS was, record FROM r),
+two AS (SELECT file, copy, page_id, was, CASE WHEN copy = 0 AND page_id % 97 = 13
+               THEN substring(record, 1, length(record) - 1) || CASE WHEN right(record, 1) = '#' THEN '@' ELSE '#' END ELSE record END AS record
+        FROM (SELECT file, 0 AS copy, page_id, was, record FROM one WHERE coalesce(page_id % 389 <> 7, true)
+              UNION ALL SELECT file, 1, page_id, was, record FROM one WHERE page_id % 499 = 3)),
+a AS (SELECT file, CAST(sum(strlen(record) + 4) OVER w - strlen(record) - 4 AS BIGINT) AS "offset", CAST(strlen(record) + 4 AS BIGINT) AS length,
+             page_id, uri, was AS digest FROM one WINDOW w AS (PARTITION BY file ORDER BY page_id NULLS FIRST, was ROWS UNBOUNDED PRECEDING)),
+b AS (SELECT file, CAST(sum(strlen(record) + 4) OVER w - strlen(record) - 4 AS BIGINT) AS "offset", CAST(strlen(record) + 4 AS BIGINT) AS length,
+             sha256(record) AS digest FROM two WINDOW w AS (PARTITION BY file ORDER BY copy, page_id NULLS FIRST, was ROWS UNBOUNDED PRECEDING)),
+d AS (SELECT coalesce(a.file, b.file) AS file, coalesce(a."offset", b."offset") AS "offset", coalesce(a.length, b.length) AS length,
+             page_id, uri, a.digest, b.digest AS other_digest
+      FROM a FULL JOIN b ON a.file = b.file AND a."offset" = b."offset"
+      WHERE a.digest IS DISTINCT FROM b.digest OR a.length IS DISTINCT FROM b.length),
+m AS (SELECT file, digest FROM d WHERE digest IS NOT NULL INTERSECT SELECT file, other_digest FROM d WHERE other_digest IS NOT NULL),
+f AS (SELECT d.*, EXISTS (SELECT 1 FROM m WHERE m.file = d.file AND m.digest = d.digest) AS went,
+             EXISTS (SELECT 1 FROM m WHERE m.file = d.file AND m.digest = d.other_digest) AS came FROM d)
+SELECT file, "offset", length, page_id, uri,
+       CASE WHEN went THEN 'moved' WHEN digest IS NULL THEN 'extra' WHEN other_digest IS NULL OR came THEN 'missing' ELSE 'changed' END AS fault,
+       digest, other_digest FROM f WHERE digest IS NOT NULL OR NOT came
+"""
+
+ORACLE = {"op7_warc": WARC, "op7_replicas": REPLICAS, "op1_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op8_pii": PII, "op9_topk": TOP_K}

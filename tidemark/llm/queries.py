@@ -17,7 +17,7 @@ from tidemark.llm.mixing import mix
 from tidemark.llm.pii import BASE, find_pii, listed
 from tidemark.llm.quality import classify, held_out, train
 from tidemark.llm.topk import top_k
-from tidemark.llm.warc import audit, pack
+from tidemark.llm.warc import audit, pack, pack_damaged
 
 MIX_WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}, "source": {}}
 MIX_SHARE = (4, 5)
@@ -51,8 +51,9 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All pages as WARC records against a copy with known damage: a changed byte in every 97th page, every
-    389th record lost, every 499th there again at the end of its file."""
+    """The index of all pages as WARC records against a copy of that index with other digests for every 97th page, every
+    389th record lost, every 499th there again behind the end of its file. Only the first side is hashed from records;
+    :func:`op7_replicas` hashes both."""
     packed = materialise(pack(table(spark, sf_dir, "pages").select("page_id", "url", "html")).drop("record"), "warc_index")
     page = F.col("page_id")
     copy = packed.where(~F.coalesce(page % 389 == 7, F.lit(False))).withColumn(
@@ -65,6 +66,19 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "file", "offset", "length", "page_id", "uri", "fault", "digest", "other_digest")
 
 
+def op7_replicas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC records against a replica made and hashed from altered records, at the offsets it then has:
+    another last character in every 97th page, every 389th record lost, every 499th there again at the end of its file."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    page = F.col("page_id")
+    first = materialise(pack(pages).drop("record"), "warc_first")
+    second = pack_damaged(pages, changed=page % 97 == 13, lost=page % 389 == 7, again=page % 499 == 3).drop("record")
+    found = audit(first, second)
+    names = first.select("file", "offset", "page_id", "uri")
+    return found.join(names, ["file", "offset"], "left").select(
+        "file", "offset", "length", "page_id", "uri", "fault", "digest", "other_digest")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     spans = F.col("spans")
@@ -110,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_bpe": op5_bpe,
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
+    "op7_replicas": op7_replicas,
     "op8_pii": op8_pii,
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,

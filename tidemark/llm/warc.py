@@ -15,6 +15,8 @@ missing or extra; extra columns of the pages are not stored.
 
 from __future__ import annotations
 
+import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,23 +43,49 @@ def record_of(page_id: Column, url: Column, html: Column) -> Column:
         F.lit("\r\nContent-Type: text/html\r\nContent-Length: "), F.octet_length(html).cast("string"), F.lit(END), html)
 
 
-def pack(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", per_file: int = PER_FILE) -> DataFrame:
-    """file, offset, length, page_id, uri, digest, record: pages as records of files of about ``per_file``.
-
-    A file is chosen by a hash; inside, records stand in the order of id and digest.
-    """
+def _records(pages: DataFrame, page_id: str, url: str, html: str, per_file: int) -> DataFrame:
+    """page_id, uri, file, record: a file is chosen by a hash."""
     clean = pages.select(F.col(page_id).alias("page_id"), F.coalesce(F.col(url), F.lit("")).alias("uri"),
                          F.coalesce(F.col(html), F.lit("")).alias("html"))
     files = max(1, -(-clean.count() // per_file))
     place = F.conv(F.substring(F.md5(F.concat_ws(":", F.col("page_id").cast("string"), "uri")), 1, 8), 16, 10).cast("long")
-    rows = clean.select("page_id", "uri", (place % files).alias("file"),
+    return clean.select("page_id", "uri", (place % files).alias("file"),
                         record_of(F.col("page_id"), F.col("uri"), F.col("html")).alias("record"))
+
+
+def _laid(rows: DataFrame, order: list[str]) -> DataFrame:
+    """file, offset, length, page_id, uri, digest, record: records hashed and laid one after the other in ``order``."""
     rows = rows.withColumn("length", (F.octet_length("record") + len(END)).cast("long")).withColumn("digest", F.sha2("record", 256))
-    before = Window.partitionBy("file").orderBy("page_id", "digest").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("file").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long")) \
         .select("file", "offset", "length", "page_id", "uri", "digest", "record")
 
 
+def pack(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", per_file: int = PER_FILE) -> DataFrame:
+    """file, offset, length, page_id, uri, digest, record: pages as records of files of about ``per_file``.
+
+    A file is chosen by a hash; inside, records stand in the order of id and digest.
+    """
+    return _laid(_records(pages, page_id, url, html, per_file), ["page_id", "digest"])
+
+
+def pack_damaged(pages: DataFrame, *, changed: Column, lost: Column, again: Column, page_id: str = "page_id", url: str = "url",
+                 html: str = "html", per_file: int = PER_FILE) -> DataFrame:
+    """As :func:`pack`, of a replica with damage: the last character of ``changed`` records is another one, ``lost``
+    records are left out, and ``again`` records stand there (unharmed) once more at the end of their file.
+
+    The conditions are on ``page_id`` and ``uri``; null is false. Digests and offsets are those of the altered text.
+    """
+    rows = _records(pages, page_id, url, html, per_file).withColumn("was", F.sha2("record", 256))
+    text = F.col("record")
+    other = F.concat(F.substring(text, F.lit(1), F.char_length(text) - 1), F.when(F.right(text, F.lit(1)) == "#", "@").otherwise("#"))
+    no = F.lit(False)
+    copies = F.concat(F.when(F.coalesce(lost, no), F.array().cast("array<int>")).otherwise(F.array(F.lit(0))),
+                      F.when(F.coalesce(again, no), F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
+    rows = rows.withColumn("copy", F.explode(copies)).withColumn("record", F.when(F.coalesce(changed, no) & (F.col("copy") == 0), other).otherwise(text))
+    return _laid(rows, ["copy", "page_id", "was"])
+
+
 def write_warc(packed: DataFrame, path: str) -> None:
     """Write the records of :func:`pack` as WARC files below ``path``, one folder a file."""
     packed.repartition("file").sortWithinPartitions("file", "offset").select("file", "record") \
@@ -109,6 +137,61 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInArrow(run, schema)
 
 
+def _stretches(data: bytes) -> Iterator[tuple[int, int, str | None]]:
+    """(offset, length, uri) of everything that a stored file holds, without a gap: records, gzip members, and with
+    a null uri what no record begins (damaged heads, damaged members, bytes behind the last record)."""
+    def found() -> Iterator[tuple[int, int, str | None]]:
+        if data[:2] != b"\x1f\x8b":
+            yield from ((at, n, h.get("warc-target-uri")) for at, n, h, _ in parse_warc(data))
+            return
+        at = 0
+        while at >= 0:
+            z, body, pos = zlib.decompressobj(31), [], at
+            try:
+                while pos < len(data) and not z.eof:
+                    body.append(z.decompress(data[pos:pos + RANGE]))
+                    pos += RANGE
+            except zlib.error:
+                pass
+            if z.eof:
+                pos = min(pos, len(data)) - len(z.unused_data)
+                yield at, pos - at, next((h.get("warc-target-uri") for _, _, h, _ in parse_warc(b"".join(body))), None)
+            at = data.find(b"\x1f\x8b\x08", pos if z.eof else at + 1)
+
+    end = 0
+    for at, n, uri in found():
+        if at > end:
+            yield end, at - end, None
+        yield at, n, uri
+        end = at + n
+    if end < len(data):
+        yield end, len(data) - end, None
+
+
+def stored_index(spark: SparkSession, path: str) -> DataFrame:
+    """file, offset, length, uri, digest of the WARC files that :func:`write_warc` wrote below ``path``, for :func:`audit`.
+
+    ``digest`` is the SHA-256 of the stored bytes, from the record's first to its last, as in :func:`pack` without the two line
+    ends if they are whole (with what stands there otherwise). Every byte of a file is in one row, so no changed byte
+    goes unseen. ``file`` is the number in the folder's name; a file is read whole by one task."""
+    schema = "file bigint, offset bigint, length bigint, uri string, digest string"
+    end = END.encode()
+
+    def run(batches):
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist()):
+                number = re.search(r"/file=(\d+)/[^/]*$", path)
+                if number is None:
+                    raise ValueError(f"no folder file=N: {path}")
+                rows = [(int(number[1]), at, n, uri, hashlib.sha256(content[at: at + n].removesuffix(end)).hexdigest())
+                        for at, n, uri in _stretches(content)]
+                cols = list(zip(*rows)) or [()] * 5
+                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[x.split()[0] for x in schema.split(", ")])
+
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content").mapInArrow(run, schema)
+
+
 def _leaves(replica: DataFrame, name: str) -> DataFrame:
     address = F.col("file") * F.lit(FILE_SPAN) + F.col("offset")
     return replica.select(F.lit(name).alias("replica"), "file", "offset", "length", "digest",
