@@ -107,6 +107,25 @@ def test_html_blocks_and_text():
     H.main_text("<div>" * 20000 + "x" + "<a<" * 5000, field)  # no recursion, no long scan
 
 
+def test_html_head_without_end():
+    def texts(page):
+        return [b.text for b in H.blocks_of(page)]
+
+    assert texts("<html><head><title>T</title><body><article><p>Hi</article>") == ["Hi"]
+    assert texts("<head><meta charset=x><link href=y>\n<style>p{}</style><script>1</script><p>Hi<div>you") == ["Hi", "you"]
+    assert texts("<head><title>T</title> plain <b>text</b>") == ["plain text"]
+    assert texts("<head><template><p>no</p></template><title>T</title></head><body>yes<head>too") == ["yestoo"]
+    assert texts("<html><head> <title>T</title> </head> <body><p>Hi") == ["Hi"]
+    assert texts("<html><head><title>T</title><noscript><p>no</p></noscript><header>top</header>") == ["top"]
+
+
+def test_html_names_of_long_tags():
+    for n in (0, 9_000, 20_000, 300_000):
+        for page in (f'<div data-x="{"y" * n}" class="comments">one</div>', f'<div class="comments" style="{"y;" * n}">one</div>'):
+            assert H.blocks_of(page)[0].path == [("div", ("comments",))]
+    H.blocks_of("<div " + "class= " * 100_000 + "id=\"" * 100_001 + ">one")  # no long scan
+
+
 def test_html_field_on_other_layouts():
     texts = [[f"line {k} of text number {i} goes on and on here." for k in range(6)] for i in range(60)]
     field = H.learn([])

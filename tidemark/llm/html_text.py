@@ -41,6 +41,8 @@ BLOCKS = frozenset(
 #: elements whose content is not text of the page
 HIDDEN = frozenset("head title script style noscript template svg math object iframe select option textarea".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
+#: elements that can stand in a head; any other, or text, ends one that is open
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())
 #: an opening tag that ends open elements of these kinds
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
         "option": ("option",)}
@@ -86,6 +88,10 @@ def blocks_of(page: str) -> list[Block]:
             opened[t] -= 1
             hidden -= t in HIDDEN
 
+    def end_head() -> None:
+        if stack and stack[-1][0] == "head":
+            pop(len(stack) - 1)
+
     def close(tag: str) -> None:
         if opened.get(tag):
             k = len(stack) - 1
@@ -97,6 +103,8 @@ def blocks_of(page: str) -> list[Block]:
     while at < len(page):
         lt = page.find("<", at)
         data = page[at:] if lt < 0 else page[at:lt]
+        if data.strip(" \t\n\f\r"):
+            end_head()
         if data and not hidden:
             data = entities.unescape(data) if "&" in data else data
             parts.append(data)
@@ -119,6 +127,10 @@ def blocks_of(page: str) -> list[Block]:
             at = m.end()
         elif nxt.isascii() and nxt.isalpha() and lt < last and (m := _OPEN.match(page, lt)):
             tag, attrs, at = m[1].lower(), m[2], m.end()
+            if tag == "head" and any(t[0] != "html" for t in stack):
+                continue
+            if tag not in IN_HEAD:
+                end_head()
             if tag in BLOCKS:
                 flush()
                 if opened.get("p"):
@@ -136,7 +148,7 @@ def blocks_of(page: str) -> list[Block]:
             if tag in VOID or attrs.endswith("/") and tag not in BLOCKS:
                 continue
             names: tuple[str, ...] = ()
-            if "=" in attrs and len(attrs) < 10_000:
+            if "=" in attrs:
                 found = [a or b or c for a, b, c in _NAMES.findall(attrs)]
                 names = tuple(dict.fromkeys(w for f in found for w in _WORD.findall(f.lower())))
             label = m[1] if (m := _LABEL.search(attrs)) else None
@@ -148,6 +160,7 @@ def blocks_of(page: str) -> list[Block]:
                 end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
                 at = end.start() if end else len(page)
         else:
+            end_head()
             if not hidden:
                 parts.append("<")
             at = lt + 1
