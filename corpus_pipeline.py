@@ -35,8 +35,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles."""
-    return keep_one(docs, k=SHINGLE_WORDS, percent=PERCENT).select(*docs.columns)
+    """One row of each group linked by five-word shingles, rows without an id too."""
+    return keep_one(docs, k=SHINGLE_WORDS, percent=PERCENT, nameless=True).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

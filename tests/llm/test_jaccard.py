@@ -87,6 +87,19 @@ def test_edges(spark):
     assert sorted((str(r.doc_id), r.component_id) for r in J.near_groups(near).collect()) == [("5", 5), ("8", 5), ("8", 8), ("None", 5)]
 
 
+def test_keep_one_by_row(spark):
+    long = [f"w{k}" for k in range(60)]
+    base, near, other = " ".join(long), " ".join(long[:-1] + ["x"]), "other text of that id entirely"
+    rows = [(None, base, "a"), (None, base, "a"), (8, near, "a"), (8, other, "a"), (5, base, "a"), (5, base, "a"), (5, base, "b"), (5, near, "c"),
+            (None, "only rows without an id", "a"), (None, "only rows without an id", "a"), (None, None, "a"), (9, "", "a")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = [(r.doc_id, r.text) for r in J.keep_one(df, k=4, percent=80, nameless=True).collect()]
+    assert sum(t in (base, near) for _, t in got) == 1 and {d for d, t in got if t in (base, near)} == {5}
+    assert sorted(((d, t) for d, t in got if t not in (base, near)), key=str) == sorted([(8, other), (None, "only rows without an id"), (None, None), (9, "")], key=str)
+    named = [(r.doc_id, r.text) for r in J.keep_one(df, k=4, percent=80).collect()]
+    assert sorted((str(d), t) for d, t in named if t == other or d == 5)[1:] == [("8", other)] and sum(d is None for d, _ in named) == 5
+
+
 def test_linked_pairs_share_a_cell():
     r = np.random.default_rng(4)
     for n in (6, 7, 12, 40, 135, 400, 3000):

@@ -174,7 +174,8 @@ def _placed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def _nodes(docs: DataFrame, text: str, doc_id: str, k: int) -> DataFrame:
-    """doc_id, n_shingles, node (hash of the set) and, for rows without an id, a hash of the text to find them by."""
+    """doc_id, n_shingles, node (hash of the set) and two hashes of the text: ``nameless``, to find rows without an id
+    by, and ``content``."""
     def run(batches):
         for batch in batches:
             n, h = [], []
@@ -184,10 +185,11 @@ def _nodes(docs: DataFrame, text: str, doc_id: str, k: int) -> DataFrame:
             n = np.concatenate(n) if n else np.zeros(0, np.int64)
             h = np.concatenate(h) if h else np.zeros(0, U)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("__id"), pa.array(n, pa.int64()), pa.array(h.view(np.int64), pa.int64()), batch.column("__nameless")],
-                names=["doc_id", "n_shingles", "node", "nameless"])
+                [batch.column("__id"), pa.array(n, pa.int64()), pa.array(h.view(np.int64), pa.int64()), batch.column("__nameless"), batch.column("__content")],
+                names=["doc_id", "n_shingles", "node", "nameless", "content"])
 
-    return _placed(docs, text, doc_id).mapInArrow(run, "doc_id bigint, n_shingles bigint, node bigint, nameless bigint")
+    return _placed(docs, text, doc_id).withColumn("__content", F.xxhash64("__t")).mapInArrow(
+        run, "doc_id bigint, n_shingles bigint, node bigint, nameless bigint, content bigint")
 
 
 def _shared_cells(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
@@ -392,6 +394,16 @@ def _tree_pairs(mixed: DataFrame, percent: int) -> DataFrame:
 
 def near_groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", k: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id reachable by links; one row per input row."""
+    keyed = _keyed(docs, text, doc_id, k, percent)
+    # equal sets share a node, linked ones a root; documents without shingles stand alone
+    least = materialise(keyed.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows"))
+                        .where("rows > 1").drop("rows"), "jaccard_components")
+    return keyed.join(least, (keyed["key"] == least["key"]) & (F.col("n_shingles") > 0), "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _keyed(docs: DataFrame, text: str, doc_id: str, k: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, content (hash of the text), key (of the component); one row per input row."""
     found = materialise(_nodes(docs, text, doc_id, k), "jaccard_nodes")
     shared = materialise(_shared_cells(docs, text, k, percent), "jaccard_cells")
     vectors = materialise(_of_nodes(shared.select("node").distinct(), found, docs, text, doc_id, k, "vec"), "jaccard_vectors")
@@ -435,13 +447,7 @@ def near_groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
             rest = materialise(rest.where("root_a != root_b").select("a", "b", *old)
                                .join(next_pairs, ["a", "b"], "left_anti"), "jaccard_rest_pairs")
 
-    keyed = found.join(roots, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("root", "node").alias("key"))
-    # equal sets share a node, linked ones a root; documents without shingles stand alone
-    least = materialise(keyed.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows"))
-                        .where("rows > 1").drop("rows"), "jaccard_components")
-    return keyed.join(least, (keyed["key"] == least["key"]) & (F.col("n_shingles") > 0), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return found.join(roots, "node", "left").select("doc_id", "n_shingles", "content", F.coalesce("root", "node").alias("key"))
 
 
 def _fitting(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
@@ -462,8 +468,27 @@ def _fitting(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
     return sized.select("a", "b", "n_a", "n_b", "v_a", "v_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the documents whose component has a smaller id."""
-    groups = near_groups(docs, text=text, doc_id=doc_id, k=k, percent=percent)
-    gone = materialise(groups.where("doc_id != component_id").select("doc_id").distinct(), "jaccard_gone")
-    return docs.join(gone.select(F.col("doc_id").alias("__gone")), F.col(doc_id) == F.col("__gone"), "left_anti")
+def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 80, nameless: bool = False) -> DataFrame:
+    """``docs`` with one row of each component: the least by (id, hash of the text), and one of rows that share both.
+
+    Rows are removed by id and text together, so another text under the same id stays. Rows without an id stay,
+    unless ``nameless``: then they count as the last ids. Rows without shingles stay."""
+    keyed = _keyed(docs, text, doc_id, k, percent).where("n_shingles > 0")
+    if not nameless:
+        keyed = keyed.where("doc_id is not null")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"), "content")
+    # one row for each id and text, so copies are combined on the map side
+    rows = materialise(keyed.groupBy("key", row.alias("row")).agg(F.count("*").alias("n")), "jaccard_rows")
+    least = rows.groupBy("key").agg(F.min("row").alias("least"), F.sum("n").alias("members")).where("members > 1").drop("members")
+    found = rows.join(materialise(least, "jaccard_least"), "key")
+    gone = materialise(found.where("row != least or n > 1").select(
+        F.col("row.none").alias("__none"), F.col("row.id").alias("__id"), F.col("row.content").alias("__content"),
+        (F.col("row") == F.col("least")).alias("__again")).distinct(), "jaccard_gone")
+    place = F.col(doc_id).cast("long")
+    named = docs.withColumns({"__none": place.isNull(), "__id": F.coalesce(place, F.lit(0)), "__content": F.xxhash64(text)})
+    by = ["__none", "__id", "__content"]
+    kept = named.join(gone.select(*by), by, "left_anti")
+    again = gone.where("__again").select(*by)
+    if not again.isEmpty():
+        kept = kept.unionByName(named.join(again, by, "left_semi").dropDuplicates(by))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
