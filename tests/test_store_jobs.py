@@ -141,6 +141,19 @@ def test_period_load_counts(spark):
     assert out["summary"].first()["skipped_days"] == 2
 
 
+def test_period_load_keeps_unreadable_dates(spark):
+    schema = "currency_code string, currency_name string, exchange_rate string, rate_date string, rate_type string, nominal string"
+    days = ["2024-01-05", "2024-1-8", "2024-01-06", "2024-01-20", "no date", "2024/01/05", None]
+    rows = spark.createDataFrame([("USD", "Dollar", "1", d, "daily", "1") for d in days] + [("USD", "Dollar", "x", None, "daily", "1")], schema)
+    out = jobs.period_load(spark, rows, None, f"{shared_dir(spark, 'test-period-dates')}/raw", "2024-01-05", "2024-01-08", AS_OF, skip_weekends=True,
+                           load_type="daily_only", today="2024-01-21")
+    assert (out["inserted"], out["updated"]) == (2, 0)
+    assert sorted((r.reason, r.original.split("|")[3]) for r in out["rejected"].collect()) == [
+        ("bad_date", ""), ("bad_date", "2024/01/05"), ("bad_date", "no date"), ("bad_rate", "")]
+    assert {str(r.rate_date): r.status for r in out["day_status"].collect()} == {
+        "2024-01-05": "loaded", "2024-01-06": "skipped", "2024-01-07": "skipped", "2024-01-08": "loaded"}
+
+
 def test_mart_versions_and_catalogue(spark):
     raw = raw_rows(spark, [("A", D(2024, 1, 1) + dt.timedelta(days=i), 10 + i % 5) for i in range(30)])
     base = shared_dir(spark, "test-versions")

@@ -38,6 +38,12 @@ CODE_PATTERN = "^[A-Z]{3}$"
 FIELDS = ("currency_code", "currency_name", "exchange_rate", "rate_date", "rate_type", "nominal")
 
 
+def day_of(records: DataFrame) -> Column:
+    """The record's date; NULL if it cannot be read."""
+    return F.try_to_date(_text("rate_date"), "yyyy-M-d") if records.schema["rate_date"].dataType == T.StringType() \
+        else F.col("rate_date").cast("date")
+
+
 def parsed(records: DataFrame, strict: bool = False) -> DataFrame:
     """Input columns replaced by their parsed values, plus ``reason`` (NULL = valid) and ``original``.
 
@@ -47,8 +53,7 @@ def parsed(records: DataFrame, strict: bool = False) -> DataFrame:
     is_text = lambda c: records.schema[c].dataType == T.StringType()
     rate_d = F.when(F.col("exchange_rate").rlike(NUMBER), F.expr("try_cast(exchange_rate AS DOUBLE)")) if is_text("exchange_rate") \
         else F.col("exchange_rate").cast("double")
-    day = F.try_to_date(_text("rate_date"), "yyyy-M-d") if is_text("rate_date") \
-        else F.col("rate_date").cast("date")
+    day = day_of(records)
     rtype = F.lower(_text("rate_type"))
     extra = [c for c in records.columns if c not in FIELDS]
     step1 = records.select(

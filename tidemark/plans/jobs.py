@@ -116,20 +116,20 @@ def run_daily(spark: SparkSession, daily_xml: str | None, monthly_json: str | No
 def period_load(spark: SparkSession, daily: DataFrame, monthly: DataFrame | None, raw_path: str,
                 start, end, as_of: dt.datetime, skip_weekends: bool = False,
                 load_type: str = "both", today=None, seq=None) -> dict:
-    """Period load: argument checks, day status over the calendar and its summary, rows of the closed
-    range start..end (daily and / or monthly), validation, upsert, load report. ``rejected`` holds the
-    rows left out with reason and original text. ``daily`` may come from :func:`landed_period`, which reads
-    only the folders of the period."""
+    """Period load: argument checks, day status over the calendar and its summary, validation, rows of the closed
+    range start..end by their parsed date (daily and / or monthly), upsert, load report. ``rejected`` holds the
+    rows left out with reason and original text, also those whose date cannot be read. ``daily`` may come from
+    :func:`landed_period`, which reads only the folders of the period."""
     info = cal.check_period(start, end, today=today)
     s, e = dt.date.fromisoformat(info["start_date"]), dt.date.fromisoformat(info["end_date"])
-    in_range = F.col("rate_date").cast("date").between(F.lit(s), F.lit(e))
-    d = daily.filter(in_range)
+    d = daily.withColumn("__daily", F.lit(True))
+    m = monthly.withColumn("__daily", F.lit(False)) if monthly is not None else None
+    status = cal.day_status(spark, daily.select(validate.day_of(daily).alias("rate_date")), s, e, skip_weekends)
+    day = F.col("rate_date")
+    wanted = day.between(F.lit(s), F.lit(e))
     if skip_weekends:
-        d = d.filter(~F.dayofweek("rate_date").isin(1, 7))
-    m = monthly.filter(in_range) if monthly is not None else None
-    batch = store.union_sources(d, m, load_type)
-    status = cal.day_status(spark, daily, s, e, skip_weekends)
-    checked = validate.parsed(batch)
+        wanted = wanted & ~(F.col("__daily") & F.dayofweek(day).isin(1, 7))
+    checked = validate.parsed(store.union_sources(d, m, load_type)).filter(day.isNull() | wanted).drop("__daily")
     counts = upsert_into(spark, raw_path, validate.valid(checked), as_of, seq=seq)
     report = quality.load_report(read_raw(spark, raw_path), s, e)
     return {"check": info, "day_status": status, "summary": cal.day_status_summary(status), **counts,
@@ -139,7 +139,8 @@ def period_load(spark: SparkSession, daily: DataFrame, monthly: DataFrame | None
 def landed_period(spark: SparkSession, daily_xml: str, start, end, skip_weekends: bool = False) -> DataFrame:
     """Text records of the landed daily files from ``start`` to ``end``; other date folders are not read."""
     rows = payloads.daily_records(payloads.read_daily_valutes(spark, daily_xml, start, end))
-    return rows.filter(~F.dayofweek(F.to_date("rate_date")).isin(1, 7)) if skip_weekends else rows
+    weekend = F.coalesce(F.dayofweek(validate.day_of(rows)).isin(1, 7), F.lit(False))
+    return rows.filter(~weekend) if skip_weekends else rows
 
 
 def catalog_status(spark: SparkSession, database: str = "marts", names=MART_NAMES,
