@@ -159,3 +159,62 @@ SELECT file, "offset", length, page_id, uri,
 """
 
 ORACLE = {"op7_warc": WARC, "op7_replicas": REPLICAS, "op1_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op8_pii": PII, "op9_topk": TOP_K}
+
+# operators 11 to 13
+
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+           WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u AS (SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM v),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+      WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93),
+r AS (SELECT vec_id, vec_id AS seen FROM embeddings UNION SELECT r.vec_id, p.b FROM r JOIN p ON p.a = r.seen),
+c AS (SELECT vec_id, min(seen) AS component_id FROM r GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n FROM p GROUP BY a)
+SELECT c.vec_id, coalesce(n.n, 0) AS n_links, component_id, c.vec_id = component_id AS kept FROM c LEFT JOIN n ON n.vec_id = c.vec_id
+"""
+
+COLLOCATIONS = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                  '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS words FROM (SELECT lang, unnest(pieces) AS piece FROM t)),
+n AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY lang),
+s AS (SELECT lang, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(words) >= k),
+f AS (SELECT lang, array_to_string(words[i:i + k - 1], ' ') AS phrase, k, count(*) AS f FROM s GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1),
+x AS (SELECT lang, phrase, k, a, words, unnest(range(1, k)) AS cut FROM c),
+y AS (SELECT x.lang, x.phrase, x.a, cut, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * x.a // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score FROM x
+      JOIN f l ON l.lang = x.lang AND l.phrase = array_to_string(words[1:cut], ' ')
+      JOIN f r ON r.lang = x.lang AND r.phrase = array_to_string(words[cut + 1:], ' ')),
+b AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+d AS (SELECT DISTINCT b.lang, b.phrase FROM b JOIN c ON c.lang = b.lang AND c.k > len(string_split(b.phrase, ' '))
+      AND contains(' ' || c.phrase || ' ', ' ' || b.phrase || ' ') AND 100 * CAST(c.a AS HUGEINT) >= 80 * CAST(b.a AS HUGEINT)),
+k AS (SELECT b.* FROM b ANTI JOIN d ON d.lang = b.lang AND d.phrase = b.phrase)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n.n, score FROM k JOIN n ON n.lang = k.lang)
+WHERE rank <= 2000
+"""
+
+DIVERGENCE = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                          '[^\x00-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+e AS (SELECT w.lang, w.source, w.term, CAST(count(*) AS HUGEINT) AS n FROM w JOIN k ON k.lang = w.lang AND k.term = w.term GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(n) AS n FROM k GROUP BY lang),
+g AS (SELECT x.lang, x.source, coalesce(v.v, 0) AS v, coalesce((SELECT sum(e.n) FROM e WHERE e.lang = x.lang AND e.source = x.source), 0) AS n
+      FROM (SELECT DISTINCT lang, source FROM d) x LEFT JOIN v ON v.lang = x.lang),
+p AS (SELECT g.lang, g.source, k.term, coalesce(e.n, 0) AS n, 1 + 1000000000 * (coalesce(e.n, 0) + 2) // (g.n + 2 * g.v) AS p,
+             1 + 1000000000 * (k.n + 2) // (v.n + 2 * v.v) AS q
+      FROM g JOIN k ON k.lang = g.lang JOIN v ON v.lang = g.lang LEFT JOIN e ON e.lang = g.lang AND e.source = g.source AND e.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(x.value, 0) AS BIGINT) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r) WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLE |= {"op11_lattice": NEAR_VECTORS, "op12_collocations": COLLOCATIONS, "op13_divergence": DIVERGENCE}

@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.bpe import encode
 from tidemark.llm.common import materialise, table
 from tidemark.llm import html_text
+from tidemark.llm.collocations import collocations
+from tidemark.llm.divergence import source_divergence
 from tidemark.llm.fingerprint import compare_edited
 from tidemark.llm.jaccard import near_groups
+from tidemark.llm.lattice import near_vectors
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.mixing import mix
 from tidemark.llm.pii import BASE, find_pii, listed
@@ -116,6 +119,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op11_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_html": op2_html,
@@ -128,6 +143,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,
+    "op11_lattice": op11_lattice,
+    "op12_collocations": op12_collocations,
+    "op13_divergence": op13_divergence,
 }
 
 
