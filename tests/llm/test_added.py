@@ -234,7 +234,16 @@ def test_share_is_exact_beyond_64_bits(spark):
 
 
 def test_merge_opens_chunks_in_order():
-    chunks = [dict(shard=0, lang="a", terms=t, docs=[1] * len(t), sources=[["s"]] * len(t), counts=[[2]] * len(t))
-              for t in (["a", "m", "z"], ["b", "c"], ["b", "z"], ["d"], ["z"])]
-    got = [(term.decode(), n, c["s"]) for _, _, term, n, c in div.merge_runs(chunks)]
-    assert got == [("a", 1, 2), ("b", 2, 4), ("c", 1, 2), ("d", 1, 2), ("m", 1, 2), ("z", 3, 6)]
+    opened = []
+
+    def chunks():
+        for t in (["a", "m", "z"], ["b", "c"], ["b", "z"], ["d"], ["z"]):
+            opened.append(t[0])
+            yield div.Chunk("en", t, [1] * len(t), [1] * len(t), ["s"], [0] * len(t), [2] * len(t))
+
+    got = []
+    for term, counts in div.merge_runs(chunks(), 1):
+        got.append((term, counts["s"], len(opened)))
+    # one chunk beyond the term at most
+    assert got == [("a", 2, 2), ("b", 4, 4), ("c", 2, 4), ("d", 2, 5), ("m", 2, 5), ("z", 6, 5)]
+    assert [t for t, _ in div.merge_runs(chunks(), 2)] == ["b", "z"]

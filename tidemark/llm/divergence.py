@@ -23,6 +23,7 @@ tiles in turn; the result itself holds a row for each pair.
 from __future__ import annotations
 
 import heapq
+import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, partitions
 from tidemark.llm.runs import LOWER, byte_class, runs, strings
-from tidemark.llm.tokens import slices
+from tidemark.llm.tokens import range_hashes, slices
 
 SCALE = 1_000_000_000
 BLOCK_TERMS = 2_000_000
@@ -46,11 +47,12 @@ class Block:
     """Postings gathered from slices of texts until they are spilled."""
 
     def __init__(self):
-        self.parts: list[pa.Table] = []
+        self.terms: list[pa.Array] = []
+        self.postings: list[tuple[np.ndarray, ...]] = []  # number of the term in its slice, group, occurrences, documents
         self.size = 0
 
-    def add(self, raw: np.ndarray, offsets: np.ndarray, group: np.ndarray, lang_of: np.ndarray) -> None:
-        """``group`` is the (language, source) number of each text, ``lang_of`` the language number of each group."""
+    def add(self, raw: np.ndarray, offsets: np.ndarray, group: np.ndarray) -> None:
+        """``group`` is the (language, source) number of each text."""
         raw = LOWER[raw]
         content = TERM[raw]
         starts, ends, doc = runs(raw, offsets, content)
@@ -60,100 +62,129 @@ class Block:
         n = len(words.dictionary)
         in_doc, tf = np.unique(doc * n + words.indices.to_numpy(), return_counts=True)
         key, back = np.unique(group[in_doc // n] * n + in_doc % n, return_inverse=True)
-        occurrences = np.zeros(len(key), np.int64)
-        np.add.at(occurrences, back, tf)
-        self.parts.append(pa.table({
-            "term": words.dictionary.take(pa.array(key % n)), "group": key // n, "lang": lang_of[key // n],
-            "n": occurrences, "docs": np.bincount(back, minlength=len(key))}))
+        self.terms.append(words.dictionary)
+        self.postings.append((key % n, key // n, np.bincount(back, tf).astype(np.int64), np.bincount(back)))
         self.size += len(key)
 
-    def run(self) -> pa.Table | None:
-        """Postings of the block in the order (language, term, group), one row each; the block is empty then."""
-        if not self.parts:
-            return None
-        table = pa.concat_tables(self.parts)
-        self.parts, self.size = [], 0
-        return table.group_by(["lang", "term", "group"]).aggregate([("n", "sum"), ("docs", "sum")]).sort_by(
-            [("lang", "ascending"), ("term", "ascending"), ("group", "ascending")])
-
-
-#: a chunk of a run: its place, and for each term the number of documents and the sources with their occurrences
-RUN = ("shard int, lang string, first string, terms array<string>, docs array<bigint>, sources array<array<string>>, "
-       "counts array<array<bigint>>")
+    def run(self, lang_of: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Terms in order, then language, term, group, occurrences and documents of the postings in the order (language, term, group)."""
+        first = np.cumsum([0] + [len(t) for t in self.terms])
+        terms = pa.concat_arrays(self.terms).dictionary_encode()
+        in_order = pc.sort_indices(terms.dictionary).to_numpy()
+        rank = np.empty(len(in_order), np.int64)
+        rank[in_order] = np.arange(len(in_order))
+        rank = rank[terms.indices.to_numpy()]
+        term, group, n, docs = (np.concatenate(x) for x in zip(*[(rank[t + at], *rest) for at, (t, *rest) in zip(first, self.postings)]))
+        self.terms, self.postings, self.size = [], [], 0
+        groups = int(group.max()) + 1
+        key = (lang_of[group] * len(in_order) + term) * groups + group
+        key, back = np.unique(key, return_inverse=True)
+        n, docs = np.bincount(back, n).astype(np.int64), np.bincount(back, docs).astype(np.int64)
+        term = key // groups
+        return terms.dictionary.take(pa.array(in_order)), term // len(in_order), term % len(in_order), key % groups, n, docs
+
+
+#: a chunk of a run: its place; each term's number of documents and of sources; for the sources one after another, their place in
+#: ``names`` and the occurrences
+RUN = ("shard int, lang string, first string, terms array<string>, docs array<bigint>, sizes array<int>, names array<string>, "
+       "sources array<int>, counts array<bigint>")
 
 
 def _lists(column: pa.Array, starts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.append(starts, len(column)).astype(np.int32)), column)
 
 
-def _spilled(run: pa.Table, langs: list[str], sources: list[str], shards: int):
-    """Chunks of a run, as batches of ``RUN``."""
-    lang, terms = run.column("lang").to_numpy(), run.column("term").combine_chunks().dictionary_encode()
-    term = terms.indices.to_numpy()
-    new = np.concatenate([[True], (lang[1:] != lang[:-1]) | (term[1:] != term[:-1])])
-    starts = np.flatnonzero(new)
-    names = terms.dictionary.take(pa.array(term[starts]))
-    docs = np.add.reduceat(run.column("docs_sum").to_numpy(), starts)
-    groups = pa.array(sources).take(pa.array(run.column("group").to_numpy()))
-    by_source, by_count = _lists(groups, starts), _lists(run.column("n_sum").combine_chunks(), starts)
-    # shard by a hash of the term alone; the same in every task
-    shard = np.array([_hash(t) % shards for t in names.to_pylist()])
-    order = np.lexsort((np.arange(len(starts)), lang[starts], shard))
-    change = np.flatnonzero(np.concatenate([[True], (np.diff(shard[order]) != 0) | (np.diff(lang[starts][order]) != 0)]))
-    cuts = np.unique(np.concatenate([np.arange(a, b, CHUNK) for a, b in zip(change, np.append(change[1:], len(order)))]))
+def _spilled(block: Block, langs: list[str], groups: list[tuple[str, str]], shards: int):
+    """The block's run in chunks, as batches of ``RUN``."""
+    lang_number = {k: i for i, k in enumerate(langs)}
+    names, lang, term, group, n, docs = block.run(np.array([lang_number[k] for k, _ in groups]))
+    sources = sorted({s for _, s in groups})
+    source_number = {s: i for i, s in enumerate(sources)}
+    source = np.array([source_number[s] for _, s in groups], np.int32)[group]
+    starts = np.flatnonzero(np.concatenate([[True], (lang[1:] != lang[:-1]) | (term[1:] != term[:-1])]))
+    sizes = np.diff(np.append(starts, len(term)))
+    documents = np.add.reduceat(docs, starts)
+    term, lang = term[starts], lang[starts]
+    _, at, data = names.buffers()  # shard by a hash of the term's bytes alone, the same in every task
+    at = np.frombuffer(at, np.int64)[names.offset: names.offset + len(names) + 1]
+    shard = (range_hashes(np.frombuffer(data, np.uint8), at[:-1], at[1:]) % np.uint64(shards)).astype(np.int64)[term]
+    order = np.lexsort((term, lang, shard))
+    change = np.flatnonzero(np.concatenate([[True], (np.diff(shard[order]) != 0) | (np.diff(lang[order]) != 0)]))
+    cuts = np.concatenate([np.arange(a, b, CHUNK) for a, b in zip(change, np.append(change[1:], len(order)))])
     for k in range(0, len(cuts), 256):
         part = cuts[k: k + 256]
-        end = cuts[k + 256] if k + 256 < len(cuts) else len(order)
-        at = pa.array(order[part[0]: end])
-        inside = part - part[0]
-        head = order[part]
+        here = order[part[0]: cuts[k + 256] if k + 256 < len(cuts) else len(order)]
+        inside, head = part - part[0], order[part]
+        held = np.repeat(starts[here] - np.concatenate([[0], np.cumsum(sizes[here])[:-1]]), sizes[here]) + np.arange(sizes[here].sum())
+        postings = np.concatenate([[0], np.cumsum(sizes[here])])[inside]
+        # only the sources that a chunk has are named there
+        chunk = np.searchsorted(postings, np.arange(len(held)), "right") - 1
+        used, number = np.unique(chunk * len(sources) + source[held], return_inverse=True)
+        named = np.searchsorted(used // len(sources), np.arange(len(part)))
         yield pa.RecordBatch.from_arrays([
-            pa.array(shard[head].astype(np.int32)), pa.array([langs[i] for i in lang[starts][head]]), names.take(pa.array(head)).cast(pa.string()),
-            _lists(names.take(at).cast(pa.string()), inside), _lists(pa.array(docs).take(at), inside),
-            _lists(by_source.take(at), inside), _lists(by_count.take(at), inside)],
-            ["shard", "lang", "first", "terms", "docs", "sources", "counts"])
+            pa.array(shard[head].astype(np.int32)), pa.array([langs[i] for i in lang[head]]), names.take(pa.array(term[head])).cast(pa.string()),
+            _lists(names.take(pa.array(term[here])).cast(pa.string()), inside), _lists(pa.array(documents[here]), inside),
+            _lists(pa.array(sizes[here].astype(np.int32)), inside), _lists(pa.array(sources).take(pa.array(used % len(sources))), named),
+            _lists(pa.array((number - named[chunk]).astype(np.int32)), postings), _lists(pa.array(n[held]), postings)],
+            ["shard", "lang", "first", "terms", "docs", "sizes", "names", "sources", "counts"])
+
+
+class Chunk:
+    """A chunk as the merge reads it."""
 
+    def __init__(self, lang: str, terms: list[str], docs: list[int], sizes: list[int], names: list[str], sources: list[int], counts: list[int]):
+        self.lang, self.terms, self.docs, self.names, self.sources, self.counts = lang, terms, docs, names, sources, counts
+        self.at = [0, *itertools.accumulate(sizes)]
 
-def _hash(text: str) -> int:
-    import xxhash
 
-    return xxhash.xxh64_intdigest(text.encode())
+def chunks_of(batches):
+    """(shard, language) and chunk of every row."""
+    lists = ["terms", "docs", "sizes", "names", "sources", "counts"]
+    for batch in batches:
+        shards, langs = batch.column("shard").to_pylist(), batch.column("lang").to_pylist()
+        for k in range(batch.num_rows):
+            values = [batch.column(c)[k].values for c in lists]
+            yield (shards[k], langs[k]), Chunk(langs[k], *[v.to_pylist() if pa.types.is_string(v.type) else v.to_numpy().tolist() for v in values])
 
 
-def merge_runs(chunks):
-    """(shard, lang, term, docs, {source: count}) in order, from chunks ordered by shard, language and first term.
+def merge_runs(chunks, min_docs: int):
+    """(term, {source: count}) of the terms in ``min_docs`` documents, in order, from one language's chunks ordered by their first term.
 
-    The heap holds the next term of each open chunk; the next chunk is opened before anything behind its first term is given."""
+    The heap holds the next term of each open chunk; a chunk is opened before anything behind its first term is given. Code points
+    order strings as their bytes do in the runs and in Spark."""
     chunks = iter(chunks)
     following = next(chunks, None)
     heap: list[tuple] = []
     opened = 0
-    current = None
-    docs, counts = 0, {}
     while heap or following is not None:
-        while following is not None and (not heap or _place(following) <= heap[0][:3]):
-            heapq.heappush(heap, (*_place(following), opened, 0, following))
+        if not heap or (following is not None and following.terms[0] <= heap[0][0]):
+            heapq.heappush(heap, (following.terms[0], opened, 0, following))
             opened += 1
             following = next(chunks, None)
-        shard, lang, term, number, k, chunk = heap[0]
-        if current != (shard, lang, term):
-            if current is not None:
-                yield (*current, docs, counts)
-            current, docs, counts = (shard, lang, term), 0, {}
-        docs += chunk["docs"][k]
-        for source, n in zip(chunk["sources"][k], chunk["counts"][k]):
-            counts[source] = counts.get(source, 0) + n
-        if k + 1 < len(chunk["terms"]):
-            heapq.heapreplace(heap, (shard, lang, chunk["terms"][k + 1].encode(), number, k + 1, chunk))
-        else:
-            heapq.heappop(heap)
-    if current is not None:
-        yield (*current, docs, counts)
-
-
-def _place(chunk: dict) -> tuple:
-    """Place of a chunk's first term; byte order, as the runs and Spark sort."""
-    return chunk["shard"], chunk["lang"].encode(), chunk["terms"][0].encode()
+            continue
+        term, docs, postings = heap[0][0], 0, []
+        # a chunk that begins with this very term belongs to it
+        while True:
+            while following is not None and following.terms[0] == term:
+                heapq.heappush(heap, (term, opened, 0, following))
+                opened += 1
+                following = next(chunks, None)
+            if not heap or heap[0][0] != term:
+                break
+            _, number, k, chunk = heap[0]
+            docs += chunk.docs[k]
+            postings.append((chunk, k))
+            if k + 1 < len(chunk.terms):
+                heapq.heapreplace(heap, (chunk.terms[k + 1], number, k + 1, chunk))
+            else:
+                heapq.heappop(heap)
+        if docs >= min_docs:
+            counts: dict[str, int] = {}
+            for chunk, k in postings:
+                for x in range(chunk.at[k], chunk.at[k + 1]):
+                    name = chunk.names[chunk.sources[x]]
+                    counts[name] = counts.get(name, 0) + chunk.counts[x]
+            yield term, counts
 
 
 def frequencies(docs: DataFrame, *, text: str, lang: str, source: str, min_docs: int, shards: int) -> DataFrame:
@@ -163,22 +194,17 @@ def frequencies(docs: DataFrame, *, text: str, lang: str, source: str, min_docs:
     def spill(batches):
         block = Block()
         groups: dict[tuple[str, str], int] = {}
-        langs: dict[str, int] = {}
 
         def out():
-            run = block.run()
-            if run is not None:
-                yield from _spilled(run, list(langs), [s for _, s in groups], shards)
+            if block.size:
+                yield from _spilled(block, list(dict.fromkeys(k for k, _ in groups)), list(groups), shards)
             groups.clear()
-            langs.clear()
 
         for batch in batches:
             both = list(zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist()))
             for first, raw, offsets in slices(batch.column("text")):
                 here = both[first: first + len(offsets) - 1]
-                group = np.array([groups.setdefault(b, len(groups)) for b in here], np.int64)
-                lang_of = np.array([langs.setdefault(k, len(langs)) for k, _ in groups], np.int64)
-                block.add(raw, offsets, group, lang_of)
+                block.add(raw, offsets, np.array([groups.setdefault(b, len(groups)) for b in here], np.int64))
                 if block.size >= BLOCK_TERMS:
                     yield from out()
         yield from out()
@@ -186,21 +212,24 @@ def frequencies(docs: DataFrame, *, text: str, lang: str, source: str, min_docs:
     dealt = base.mapInArrow(spill, RUN).repartition("shard").sortWithinPartitions("shard", "lang", "first")
 
     def merge(batches):
-        chunks = (c for batch in batches for k in range(0, batch.num_rows, 8) for c in batch.slice(k, 8).to_pylist())
         rows = []
-        for _, code, term, n, counts in merge_runs(chunks):
-            if n >= min_docs:
-                rows.append({"lang": code.decode(), "term": term.decode(), "entries": [{"source": s, "count": c} for s, c in counts.items()]})
-            if len(rows) >= 2048:
-                yield pa.RecordBatch.from_pylist(rows, _FREQUENCIES)
-                rows = []
+        for (_, lang), chunks in itertools.groupby(chunks_of(batches), key=lambda c: c[0]):
+            for term, counts in merge_runs((c for _, c in chunks), min_docs):
+                rows.append((lang, term, counts))
+                if len(rows) >= 4096:
+                    yield _frequency_batch(rows)
+                    rows = []
         if rows:
-            yield pa.RecordBatch.from_pylist(rows, _FREQUENCIES)
+            yield _frequency_batch(rows)
 
     return materialise(dealt.mapInArrow(merge, "lang string, term string, entries array<struct<source string, count bigint>>"), "term_frequencies")
 
 
-_FREQUENCIES = pa.schema([("lang", pa.string()), ("term", pa.string()), ("entries", pa.list_(pa.struct([("source", pa.string()), ("count", pa.int64())])))])
+def _frequency_batch(rows: list[tuple[str, str, dict[str, int]]]) -> pa.RecordBatch:
+    entries = pa.StructArray.from_arrays(
+        [pa.array([s for _, _, c in rows for s in c], pa.string()), pa.array([n for _, _, c in rows for n in c.values()], pa.int64())], ["source", "count"])
+    starts = np.concatenate([[0], np.cumsum([len(c) for _, _, c in rows])[:-1]])
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows]), _lists(entries, starts)], ["lang", "term", "entries"])
 
 
 def share(count: Column, whole: Column) -> Column:
