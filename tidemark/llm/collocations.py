@@ -31,6 +31,8 @@ SHARDS = 6  # at most 8: three bits of a key
 FILTER_BITS = 1 << 26
 BLOCK = 4_000_000  # occurrences that a task gathers before it adds them up
 LONGEST = 4
+BUCKET_BITS = 12
+BUCKETS = 1 << BUCKET_BITS  # of hashes, dealt to the shuffle's partitions; a bucket's keys may spill
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[ord(c) for c in ".,;:!?"] + [10, 11, 12, 13]] = True
@@ -111,9 +113,20 @@ def _local(base: DataFrame, levels: tuple[int, ...], need: int, bits=None) -> Da
         held, size = [], 0
 
         def out():
-            key, n = np.unique(np.concatenate(held), return_counts=True)
-            for at in range(0, len(key), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(key[at: at + 100_000].view(np.int64)), pa.array(n[at: at + 100_000])], ["key", "n"])
+            key = np.concatenate(held)
+            held.clear()
+            key.sort()
+            # rows of one bucket each: the upper bits of the keys
+            cuts = np.searchsorted(key, np.arange(1, BUCKETS, dtype=U) << U(64 - BUCKET_BITS))
+            for bucket, (a, b) in enumerate(zip(np.append(0, cuts), np.append(cuts, len(key)))):
+                if b > a:
+                    part = key[a:b]
+                    first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+                    times = np.diff(np.append(first, b - a)).astype(np.int32)
+                    keys = part[first].view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([bucket], pa.int32()), *[pa.ListArray.from_arrays(pa.array([0, len(first)], pa.int32()), pa.array(x)) for x in (keys, times)]],
+                        ["bucket", "keys", "times"])
 
         for batch in batches:
             lang, shard = _lang_hashes(batch.column("lang")), batch.column("shard").to_numpy().astype(U)
@@ -134,11 +147,14 @@ def _local(base: DataFrame, levels: tuple[int, ...], need: int, bits=None) -> Da
                     size += len(starts)
                 if size >= BLOCK:
                     yield from out()
-                    held, size = [], 0
+                    size = 0
         if held:
             yield from out()
 
-    return base.mapInArrow(count, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= need).select("key")
+    # a bucket holds all rows of its keys, so the aggregate of (bucket, key) needs no shuffle of single keys
+    dealt = base.mapInArrow(count, "bucket int, keys array<bigint>, times array<int>").repartition("bucket")
+    each = dealt.select("bucket", F.explode(F.arrays_zip("keys", "times")).alias("x")).select("bucket", F.col("x.keys").alias("key"), F.col("x.times").alias("n"))
+    return each.groupBy("bucket", "key").agg(F.sum("n").alias("n")).where(F.col("n") >= need).select("key")
 
 
 def frequent_phrases(base: DataFrame, support: int) -> tuple[DataFrame, DataFrame]:
