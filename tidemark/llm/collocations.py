@@ -249,8 +249,7 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", sup
         .groupBy("lang", "phrase").agg(F.max("longer").alias("longer")))
     kept = scored.join(inside, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (_exact("longer") * 100 < _exact("a") * covered))
-    rows = kept.join(words, "lang").select(
-        "lang", "phrase", "a", "best.l", "best.r", "n", "best.score")
+    rows = kept.select("lang", "phrase", "a", "best.l", "best.r", "best.score")
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     if top is not None:  # a language's phrases are first cut to the top of 64 parts each, so no task sees them all
         part = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(64))).orderBy(*order)
@@ -258,4 +257,4 @@ def collocations(docs: DataFrame, *, text: str = "text", lang: str = "lang", sup
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
     if top is not None:
         ranked = ranked.where(F.col("rank") <= top)
-    return ranked.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return ranked.join(words, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
