@@ -278,3 +278,32 @@ def test_top_k_edges(spark):
     assert [tuple(r) for r in K.top_k(df, is_query=lambda i: i == 0).collect()] == [(0, 1, 1, 256 * 256 * 11)]
     assert K.top_k(df.where("false"), is_query=lambda i: i == 0).count() == 0
     assert K.top_k(df, is_query=lambda i: i == 5).count() == 0
+
+
+def test_bpe_windows_of_long_texts(both, monkeypatch):
+    """Texts far beyond a window, odd ones among usual ones, and pieces beyond the rounds' length."""
+    from tidemark.llm import bpe
+
+    monkeypatch.setattr(bpe, "SLICE_BYTES", 300)
+    codec, library = both
+    r = random.Random(4)
+    words_ = ["don't", "I'll", "  x", "\n\n'ss", "naïve", "×÷", "日本", "a" * 200, "0123", "<|endoftext|>", "--'re", "\t", "ÿÀ", "he'd've"]
+    texts = [" ".join(r.choices(words_, k=r.randrange(200))) for _ in range(40)] + ["", "a\xa0b " * 300, "x" * 3000, " " * 900, "b c " * 900]
+    raw = "".join(texts).encode()
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    ids, counts = codec.encode_slice(np.frombuffer(raw, np.uint8), offsets)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
+    assert codec.decode_slice(ids).tobytes() == raw
+
+
+def test_bpe_refuses_other_vocabularies(both):
+    import json
+
+    with open(vocabulary(), encoding="utf-8") as f:
+        spec = json.load(f)
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "Whitespace"}},
+                   {"pre_tokenizer": {**spec["pre_tokenizer"], "add_prefix_space": True}}, {"model": {**spec["model"], "byte_fallback": True}}):
+        with pytest.raises(ValueError):
+            Codec(json.dumps({**spec, **change}))
