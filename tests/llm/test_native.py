@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tidemark.llm import mixing, pii
@@ -13,11 +14,11 @@ from tidemark.llm.mixing import mix
 
 
 def brute_lines(rows, window=3):
-    """rows: (id, text) with distinct ids."""
+    """rows: (id, text), distinct; in the order (id, hash of the text)."""
     seen, out = set(), {}
-    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+    for i, t in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, xxhash.xxh64_intdigest((r[1] or "").encode(), 42) & ((1 << 60) - 1))):
         if t is None:
-            out[i] = (None, 0, 0)
+            out[i, t] = (None, 0, 0)
             continue
         lines, gone = t.split("\n"), set()
         for k in range(len(lines) - window + 1):
@@ -25,7 +26,7 @@ def brute_lines(rows, window=3):
             if run in seen:
                 gone.update(range(k, k + window))
             seen.add(run)
-        out[i] = ("\n".join(x for k, x in enumerate(lines) if k not in gone), len(lines), len(gone))
+        out[i, t] = ("\n".join(x for k, x in enumerate(lines) if k not in gone), len(lines), len(gone))
     return out
 
 
@@ -33,8 +34,21 @@ def test_line_dedup_against_brute_force(spark):
     r = random.Random(1)
     rows = [(i, "\n".join(r.choice(["a", "b", "c", "", "long line"]) for _ in range(r.randint(0, 9)))) for i in range(60)]
     rows += [(60, None), (61, ""), (62, "\n".join(str(k) for k in range(5000))), (63, "\n".join(str(k) for k in range(4000, 9000))), (None, "a\nb\nc\nd")]
-    got = {x.doc_id: (x.text, x.n_lines, x.n_removed) for x in line_dedup(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert lines_of(spark, rows) == brute_lines(rows)
+
+
+def lines_of(spark, rows):
+    df = spark.createDataFrame([(*r, r[1]) for r in rows], "doc_id bigint, text string, was string")
+    return {(x.doc_id, x.was): (x.text, x.n_lines, x.n_removed) for x in line_dedup(df).collect()}
+
+
+def test_line_dedup_without_ids(spark):
+    """Repeats among rows without an id, and among rows that share one, lose their later occurrences too."""
+    r = random.Random(2)
+    rows = {(r.choice([None, None, 5, 9223372036854775807, -9223372036854775808, k]), "\n".join(r.choice("abcd") for _ in range(r.randint(2, 12)))) for k in range(80)}
+    got = lines_of(spark, sorted(rows, key=repr))
     assert got == brute_lines(rows)
+    assert sum(n for (i, _), (_, _, n) in got.items() if i is None) > 0
 
 
 def test_line_dedup_edges(spark):

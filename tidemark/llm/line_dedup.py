@@ -2,13 +2,13 @@
 
 Every run of ``window`` consecutive lines is hashed (two 64-bit hashes); windows that occur more
 than once in the whole corpus are found by one aggregate; every occurrence after the first, in
-the order (document id, line number), covers its lines, and the union of the covered lines
+the order (document id, hash of the text, line number), covers its lines, and the union of the covered lines
 is removed. A line never loses its earliest copy, for that copy has no earlier window.
 
 Defined results: null text stays null; a text of fewer lines than the window has no window and stays as it
 is; a document whose lines are all covered becomes the empty text; blank lines are lines;
-documents with a null id come last; rows that share an id count as one place in the order,
-so what only they share stays, and wholly equal rows get equal results; extra columns pass
+documents with a null id come last; rows that share an id, or have none, stand in the order of their texts' 60-bit
+hashes, and only rows equal in both share a place and get equal results; extra columns pass
 through, and input columns called like an added one are replaced.
 """
 
@@ -19,7 +19,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise, with_replaced
 
-LAST = 9223372036854775807  # place of documents with a null id
+LAST = "9223372036854775808"  # of documents with a null id: behind every bigint
+CONTENT = 1 << 60  # values of a text's hash
+
+
+def _place(doc_id: Column, content: Column) -> Column:
+    """One number for the order (document id, hash of the text); a decimal is of fixed width, which an aggregate's buffer needs."""
+    id_ = F.coalesce(doc_id.cast("long").cast("decimal(19,0)"), F.lit(LAST).cast("decimal(19,0)"))
+    return (id_ * F.lit(CONTENT).cast("decimal(19,0)") + content.bitwiseAND(F.lit(CONTENT - 1)).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def _windows(lines: Column, window: int) -> Column:
@@ -38,14 +45,13 @@ def line_dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", w
     others = [c for c in docs.columns if c != text]
     base = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("kept"),
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("place"),
-        F.xxhash64(text).alias("content"),
+        _place(F.col(doc_id), F.xxhash64(text)).alias("place"),
         F.split(F.col(text), "\n", -1).alias("lines"),
     )
     runs = (
         base.where(F.size("lines") >= window)
-        .select("place", "content", F.explode(_windows(F.col("lines"), window)).alias("w"))
-        .select("place", "content", "w.i", "w.a", "w.b")
+        .select("place", F.explode(_windows(F.col("lines"), window)).alias("w"))
+        .select("place", "w.i", "w.a", "w.b")
     )
     # both columns of the aggregate have fixed width, so it is a hash aggregate, combined on the map side
     repeated = materialise(
@@ -55,7 +61,7 @@ def line_dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", w
     hits = runs.join(repeated, ["a", "b"])
     # a set: equal rows add nothing, so a group is bounded by a document's lines
     per_doc = (
-        hits.groupBy("place", "content")
+        hits.groupBy("place")
         .agg(F.array_sort(F.collect_set(F.struct("a", "b", "i", (F.col("place") > F.col("first_place")).alias("later")))).alias("hits"))
     )
     hit = F.col("hits")
@@ -65,11 +71,11 @@ def line_dedup(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", w
         return x["later"] | F.coalesce((before["a"] == x["a"]) & (before["b"] == x["b"]) & (before["i"] < x["i"]), F.lit(False))
 
     covered = per_doc.select(
-        "place", "content",
+        "place",
         F.array_distinct(F.flatten(F.transform(
             F.filter(hit, is_later), lambda x: F.sequence(x["i"], x["i"] + (window - 1))))).alias("covered"),
     ).where(F.size("covered") > 0)
-    joined = base.join(covered, ["place", "content"], "left")
+    joined = base.join(covered, "place", "left")
     lines = F.col("lines")
     rest = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("covered"))
     cleaned = F.when(F.col("covered").isNull(), F.array_join(lines, "\n")).otherwise(
