@@ -130,3 +130,33 @@ def test_hot_key_upsert_is_combined_not_sorted_whole(spark):
     with contextlib.redirect_stdout(buf):
         store.upsert(target, batch, dt.datetime(2024, 1, 2), seq="seq").explain()
     assert "partial_max_by" in buf.getvalue()  # map-side combine before the shuffle
+
+
+def _filters(df):
+    text = df._jdf.queryExecution().optimizedPlan().toString()
+    return [line for line in text.splitlines() if "Filter" in line]
+
+
+def test_valid_filters_on_the_reason_alone(spark):
+    """No cast and no pattern is pushed into the filter of the valid rows, and each runs once in the plan."""
+    recs = spark.createDataFrame([("USD", "Dollar", "1.5", "2024-01-01", "daily", "1")], RECORD_SCHEMA)
+    ok = validate.valid(validate.parsed(recs, strict=True))
+    assert [f.split("Filter ")[1].split("#")[0] + f[f.rindex("."):] for f in _filters(ok)] == ["isnull(_record.reason)"]
+    assert ok._jdf.queryExecution().optimizedPlan().toString().count("RLIKE(exchange_rate") == 1
+
+
+def test_code_length_is_a_parameter(spark):
+    recs = spark.createDataFrame([("ABCD", "n", "1.5", "2024-01-01", "daily", "1")], RECORD_SCHEMA)
+    assert [r.reason for r in validate.parsed(recs).collect()] == ["code_too_long"]
+    assert [r.reason for r in validate.parsed(recs, max_code=4).collect()] == [None]
+
+
+def test_relation_stays_valid_beyond_three_letters(spark):
+    """Nine of ten suppliers have a valid code however many there are."""
+    from pyspark.sql import functions as F
+    from tidemark.sources.tables import MAX_CODE, entity_code
+
+    keys = spark.range(0, 1_700_000_000, 9_999_991).union(spark.range(17_000, 18_000)).withColumnRenamed("id", "k")
+    codes = keys.select("k", entity_code("k").alias("code"))
+    wrong = codes.where((F.length("code") > MAX_CODE) != (F.col("k") % 10 == 7)).count()
+    assert wrong == 0 and codes.select("code").distinct().count() == codes.count()

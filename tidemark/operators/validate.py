@@ -3,7 +3,7 @@
 Rules, checked in this order (the first failing one is the reason):
 
 * code and name are trimmed; NULL or empty -> ``empty_code`` / ``empty_name``; longer than the table's
-  columns (3 and 100 characters) -> ``code_too_long`` / ``name_too_long``; with ``strict`` also a code that is
+  columns (``max_code`` and 100 characters) -> ``code_too_long`` / ``name_too_long``; with ``strict`` also a code that is
   not three capital letters -> ``bad_code``;
 * rate: a plain decimal number (sign, digits, point, exponent) parsed as a double; NULL, unparsable, NaN or infinite -> ``bad_rate``;
   <= 0 -> ``non_positive_rate``; not representable as DECIMAL(12,6) -> ``rate_overflow``;
@@ -44,12 +44,12 @@ def day_of(records: DataFrame) -> Column:
         else F.col("rate_date").cast("date")
 
 
-def parsed(records: DataFrame, strict: bool = False) -> DataFrame:
+def parsed(records: DataFrame, strict: bool = False, max_code: int = MAX_CODE) -> DataFrame:
     """Input columns replaced by their parsed values, plus ``reason`` (NULL = valid) and ``original``.
 
-    Two projections: the casts run once in the first; the reason chain in the second only
-    reads their results (Catalyst keeps the projections apart because the parsed values
-    are used several times), which keeps the generated code small."""
+    The casts run once in a projection and the reason chain reads their results. The whole record then goes through a
+    generator of one row: no filter on ``reason`` is pushed below it, which would put every cast into the filter again, once
+    for each of its uses (17 KB of text for :func:`valid`, and the more for each read of the result)."""
     is_text = lambda c: records.schema[c].dataType == T.StringType()
     rate_d = F.when(F.col("exchange_rate").rlike(NUMBER), F.expr("try_cast(exchange_rate AS DOUBLE)")) if is_text("exchange_rate") \
         else F.col("exchange_rate").cast("double")
@@ -67,7 +67,7 @@ def parsed(records: DataFrame, strict: bool = False) -> DataFrame:
                          F.col("_rate").try_cast(T.DecimalType(12, 6)).alias("exchange_rate"))
     code, name, rate, nom = F.col("currency_code"), F.col("currency_name"), F.col("_rate"), F.col("_nom")
     reason = (F.when(code.isNull() | (code == F.lit("")), F.lit("empty_code"))
-              .when(F.length(code) > MAX_CODE, F.lit("code_too_long"))
+              .when(F.length(code) > max_code, F.lit("code_too_long"))
               .when(F.lit(strict) & ~code.rlike(CODE_PATTERN), F.lit("bad_code"))
               .when(name.isNull() | (name == F.lit("")), F.lit("empty_name"))
               .when(F.length(name) > MAX_NAME, F.lit("name_too_long"))
@@ -77,10 +77,11 @@ def parsed(records: DataFrame, strict: bool = False) -> DataFrame:
               .when(F.col("rate_date").isNull(), F.lit("bad_date"))
               .when(F.col("_nom_txt").isNotNull() & nom.isNull(), F.lit("bad_nominal"))
               .when(F.coalesce(nom, F.lit(1)) <= F.lit(0), F.lit("non_positive_nominal")))
-    return step1.select(
+    record = F.struct(
         *extra, "currency_code", "currency_name", "exchange_rate", "rate_date", "rate_type",
         F.coalesce(nom, F.lit(1)).alias("nominal"), reason.alias("reason"),
         F.when(reason.isNotNull(), F.col("_original")).alias("original"))
+    return step1.select(F.explode(F.array(record)).alias("_record")).select("_record.*")
 
 
 def valid(checked: DataFrame) -> DataFrame:

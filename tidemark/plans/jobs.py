@@ -73,7 +73,7 @@ ARRIVAL = ["arrived", "file", "position"]
 
 def run_daily(spark: SparkSession, daily_xml: str | None, monthly_json: str | None, raw_path: str,
               as_of: dt.datetime, majors=("USD", "EUR", "CNY"), upper: float = 1000.0,
-              target_date: dt.date | None = None, rejects_path: str | None = None) -> dict:
+              target_date: dt.date | None = None, rejects_path: str | None = None, max_code: int = validate.MAX_CODE) -> dict:
     """Daily ETL: landed payloads -> validate -> upsert -> quality report and totals.
 
     ``daily_xml`` is the landing root; only the folder of ``target_date`` (by default the run date's yesterday,
@@ -85,14 +85,14 @@ def run_daily(spark: SparkSession, daily_xml: str | None, monthly_json: str | No
     target = target_date or check_date
     good, bad = [], []
     if daily_xml:
-        checked = validate.parsed(payloads.daily_records(payloads.read_daily_valutes(spark, daily_xml, target, target)))
+        checked = validate.parsed(payloads.daily_records(payloads.read_daily_valutes(spark, daily_xml, target, target)), max_code=max_code)
         good.append(validate.valid(checked))
         bad.append(validate.rejected(checked).select(F.lit("daily").alias("source"), "original", "reason"))
     if monthly_json:
         items = payloads.monthly_checked(payloads.read_monthly_json(spark, monthly_json)).withColumns(
             {"arrived": F.lit(None).cast("timestamp"), "file": F.lit(""), "position": F.monotonically_increasing_id()})
         ok = items.filter(F.col("reason").isNull() & F.year("rate_date").between(as_of.year - 1, as_of.year))
-        checked = validate.parsed(ok.select(*BATCH, *ARRIVAL))
+        checked = validate.parsed(ok.select(*BATCH, *ARRIVAL), max_code=max_code)
         good.append(validate.valid(checked))
         bad.append(items.filter(F.col("reason").isNotNull()).select(F.lit("monthly").alias("source"), "original", "reason"))
         bad.append(validate.rejected(checked).select(F.lit("monthly").alias("source"), "original", "reason"))

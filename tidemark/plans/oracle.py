@@ -8,7 +8,7 @@ lines AS (
 rates_src AS (
   SELECT k, rate_date, CAST(price AS DECIMAL(12,6)) AS exchange_rate,
          CAST(rate_date AS TIMESTAMP) + INTERVAL '18' HOUR AS load_timestamp,
-         CASE WHEN k % 10 = 7 THEN 'S-' || k
+         CASE WHEN k % 10 = 7 THEN 'S-' || lpad(CAST(k AS VARCHAR), 10, '0')
               ELSE chr(CAST(65 + (k // 676) % 26 AS INTEGER)) || chr(CAST(65 + (k // 26) % 26 AS INTEGER)) || chr(CAST(65 + k % 26 AS INTEGER))
                    || CASE WHEN k >= 17576 THEN CAST(k // 17576 AS VARCHAR) ELSE '' END END AS currency_code
   FROM lines WHERE rn = 1),
@@ -182,7 +182,7 @@ chk AS (
          CASE WHEN t IN ('daily', 'monthly') THEN t ELSE 'daily' END AS rate_type, coalesce(nm, 1) AS nominal,
          original,
          CASE WHEN c IS NULL OR c = '' THEN 'empty_code'
-              WHEN length(c) > 3 THEN 'code_too_long'
+              WHEN length(c) > 8 THEN 'code_too_long'
               WHEN n IS NULL OR n = '' THEN 'empty_name'
               WHEN length(n) > 100 THEN 'name_too_long'
               WHEN r IS NULL OR isnan(r) OR isinf(r) THEN 'bad_rate'
@@ -424,7 +424,7 @@ SELECT COUNT(*) FILTER (isodow(c.rate_date) < 6 AND n IS NOT NULL) AS successful
        CAST(SUM(CASE WHEN isodow(c.rate_date) < 6 THEN coalesce(n, 0) ELSE 0 END) AS BIGINT) AS total_rows
 FROM cal c LEFT JOIN per_day p USING (rate_date)"""),
     "run_daily": with_rates("""
-d AS (SELECT *, length(currency_code) > 3 AS long_code, length(currency_name) > 100 AS long_name
+d AS (SELECT *, length(currency_code) > 8 AS long_code, length(currency_name) > 100 AS long_name
       FROM rates WHERE rate_type = 'daily' AND rate_date = DATE '2001-10-31'),
 o AS (SELECT * FROM d WHERE NOT long_code AND NOT long_name)
 SELECT 'daily' AS name, (SELECT COUNT(*) FROM o) AS value

@@ -118,16 +118,24 @@ from pyspark.sql import functions as F  # noqa: E402
 from tidemark.functions import calendar as cal  # noqa: E402
 from tidemark.operators import quality, store, validate  # noqa: E402
 from tidemark.sources.records import dirty_records  # noqa: E402
-from tidemark.sources.tables import daily_from_lines, read_raw  # noqa: E402
+from tidemark.session import shared_dir  # noqa: E402
+from tidemark.sources.tables import MAX_CODE, daily_from_lines, read_raw  # noqa: E402
 
 
 def _checked(spark, sf):
-    return validate.parsed(dirty_records(daily_from_lines(spark, sf).drop("k")))
+    return validate.parsed(dirty_records(daily_from_lines(spark, sf).drop("k")), max_code=MAX_CODE)
+
+
+def _staged(df, name):
+    """``df`` written once and read back, as the jobs stage a load that several steps read."""
+    path = shared_dir(df.sparkSession, "staged", name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _batch(spark, sf):
     """Valid records twice: the second copy (rate + 1, seq 2) must win every key."""
-    ok = validate.valid(_checked(spark, sf))
+    ok = _staged(validate.valid(_checked(spark, sf)), "batch")
     first = ok.withColumn("seq", F.lit(1))
     second = ok.withColumn("exchange_rate", (F.col("exchange_rate") + F.lit(1)).cast("decimal(12,6)")) \
         .withColumn("seq", F.lit(2))
@@ -250,7 +258,6 @@ def _sample(spark, sf):
 
 from tidemark.functions.codes import code_from_name  # noqa: E402
 from tidemark.plans import jobs  # noqa: E402
-from tidemark.session import shared_dir  # noqa: E402
 from tidemark.sources import payloads  # noqa: E402
 from tidemark.streaming.ingest import incremental_ingest  # noqa: E402
 
@@ -298,7 +305,7 @@ def _ingest(spark, sf):
     write_raw(rates_from_lines(spark, sf), raw_path)
     recs = dirty_records(daily_from_lines(spark, sf).drop("k"))
     recs.withColumn("seq", F.lit(1).cast("long")).write.json(f"{landing}/part=1")
-    fixed = validate.valid(validate.parsed(recs))
+    fixed = validate.valid(validate.parsed(recs, max_code=MAX_CODE))
     second = fixed.select(
         "currency_code", "currency_name",
         (F.col("exchange_rate") + F.lit(1)).cast("decimal(12,6)").cast("string").alias("exchange_rate"),
@@ -306,7 +313,7 @@ def _ingest(spark, sf):
         F.col("nominal").cast("string").alias("nominal"), F.lit(2).cast("long").alias("seq"))
     second.write.json(f"{landing}/part=2")
     incremental_ingest(spark, f"{landing}/*", raw_path, f"{root}/_checkpoint", P.UPSERT_AS_OF,
-                       rejects_path=f"{root}/rejects")
+                       rejects_path=f"{root}/rejects", max_code=MAX_CODE)
     return read_raw(spark, raw_path)
 
 
@@ -375,7 +382,7 @@ def _run_daily(spark, sf):
     write_raw(rates.filter(~(today & (F.col("nominal") == 1))), f"{root}/raw")
     payloads.write_daily_xml(rates.filter(today), f"{root}/landing")
     as_of = dt.datetime.combine(P.CHECK_DATE + dt.timedelta(days=1), dt.time(18))
-    out = jobs.run_daily(spark, f"{root}/landing", None, f"{root}/raw", as_of, P.MAJORS, P.ANOMALY_UPPER, rejects_path=f"{root}/rejects")
+    out = jobs.run_daily(spark, f"{root}/landing", None, f"{root}/raw", as_of, P.MAJORS, P.ANOMALY_UPPER, rejects_path=f"{root}/rejects", max_code=MAX_CODE)
     one = {"daily": out["totals"]["daily"], "total": out["totals"]["total"], "inserted": out["inserted"], "updated": out["updated"],
            "rejected": sum(out["rejected"].values())}
     counted = spark.createDataFrame(sorted(one.items()), "name string, value bigint")

@@ -38,12 +38,16 @@ def _letter(n):
     return F.char(F.lit(65) + F.pmod(n, F.lit(26)))
 
 
+#: The longest code of the relation that is valid: three letters and the number behind them, up to 1.7 billion suppliers.
+MAX_CODE = 8
+
+
 def entity_code(k) -> Column:
     """Three capital letters from a supplier key, with a number behind from 17,576 on; every tenth key gets a
-    code that breaks the rules."""
+    code that breaks the rules: ``S-`` and ten digits, longer than any valid one."""
     k = F.col(k)
     letters = F.concat(_letter(F.floor(k / 676)), _letter(F.floor(k / 26)), _letter(k))
-    return F.when(k % 10 == 7, F.concat(F.lit("S-"), k.cast("string"))).otherwise(
+    return F.when(k % 10 == 7, F.concat(F.lit("S-"), F.lpad(k.cast("string"), 10, "0"))).otherwise(
         F.concat(letters, F.when(k >= 17576, F.floor(k / 17576).cast("string")).otherwise(F.lit(""))))
 
 

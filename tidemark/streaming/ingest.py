@@ -19,9 +19,9 @@ from tidemark.schema import RECORD_SCHEMA
 LANDING_SCHEMA = T.StructType(RECORD_SCHEMA.fields + [T.StructField("seq", T.LongType(), True)])
 
 
-def ingest_batch(spark: SparkSession, raw_path: str, as_of, rejects_path: str | None = None):
+def ingest_batch(spark: SparkSession, raw_path: str, as_of, rejects_path: str | None = None, max_code: int = validate.MAX_CODE):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        checked = validate.parsed(batch).persist()
+        checked = validate.parsed(batch, max_code=max_code).persist()
         try:
             if rejects_path:
                 # one folder per epoch, overwritten: an epoch that runs again leaves one copy
@@ -34,13 +34,13 @@ def ingest_batch(spark: SparkSession, raw_path: str, as_of, rejects_path: str |
 
 def incremental_ingest(spark: SparkSession, landing: str, raw_path: str, checkpoint: str, as_of,
                        rejects_path: str | None = None, fmt: str = "json",
-                       max_files_per_trigger: int | None = None) -> None:
+                       max_files_per_trigger: int | None = None, max_code: int = validate.MAX_CODE) -> None:
     """Process every file landed so far and stop (availableNow)."""
     reader = spark.readStream.schema(LANDING_SCHEMA).format(fmt)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     q = (reader.load(landing).writeStream
-         .foreachBatch(ingest_batch(spark, raw_path, as_of, rejects_path))
+         .foreachBatch(ingest_batch(spark, raw_path, as_of, rejects_path, max_code))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
