@@ -41,20 +41,20 @@ def write_raw(df: DataFrame, path: str, mode: str = "overwrite") -> None:
      .write.mode(mode).partitionBy(*PART_COLS).parquet(path))
 
 
-def _fs(spark: SparkSession, path: str):
+def fs_path(spark: SparkSession, path: str):
     """Hadoop file system and path object, for any store that Spark reads."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def _folders(spark: SparkSession, path: str) -> list[str]:
-    fs, p = _fs(spark, path)
+    fs, p = fs_path(spark, path)
     return [f.getPath().toString() for f in fs.listStatus(p) if f.isDirectory()] if fs.exists(p) else []
 
 
 def create_raw(spark: SparkSession, path: str) -> None:
     """An empty raw store, if there is none at ``path``."""
-    fs, p = _fs(spark, path)
+    fs, p = fs_path(spark, path)
     if not fs.exists(p):
         fs.mkdirs(p)
 
@@ -62,7 +62,7 @@ def create_raw(spark: SparkSession, path: str) -> None:
 def _apply(spark: SparkSession, path: str, redo: str) -> None:
     (_laid_out(spark.read.schema(RAW_STORE_SCHEMA).parquet(redo).select(*RAW_COLUMNS, "rate_month"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PART_COLS).parquet(path))
-    fs, p = _fs(spark, redo)
+    fs, p = fs_path(spark, redo)
     fs.delete(p, True)
 
 
@@ -70,12 +70,12 @@ def recover(spark: SparkSession, path: str) -> int:
     """Finish upserts that were cut off: complete redo folders are applied again, unfinished ones dropped."""
     done = 0
     for redo in _folders(spark, f"{path}_redo"):
-        fs, marker = _fs(spark, f"{redo}/_SUCCESS")
+        fs, marker = fs_path(spark, f"{redo}/_SUCCESS")
         if fs.exists(marker):
             _apply(spark, path, redo)
             done += 1
         else:
-            fs.delete(_fs(spark, redo)[1], True)
+            fs.delete(fs_path(spark, redo)[1], True)
     return done
 
 
@@ -138,7 +138,7 @@ def publish(spark: SparkSession, df: DataFrame, base: str, name: str, database:
 
 def retain(spark: SparkSession, base: str, name: str, current: str, keep: int = 1) -> int:
     """Delete old versions of a mart but the current one and the ``keep`` latest others; returns how many went."""
-    fs, root = _fs(spark, f"{base.rstrip('/')}/{name}")
+    fs, root = fs_path(spark, f"{base.rstrip('/')}/{name}")
     if not fs.exists(root):
         return 0
     others = [f for f in fs.listStatus(root) if f.isDirectory() and f.getPath().getName() != current.rstrip("/").rsplit("/", 1)[-1]]

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -13,8 +14,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
 from tidemark.operators import marts, quality, store, validate
-from tidemark.operators.tables import create_raw, ensure_database, publish, upsert_into
-from tidemark.schema import LOG_SCHEMA
+from tidemark.operators.tables import create_raw, ensure_database, fs_path, publish, upsert_into
+from tidemark.schema import LOG_SCHEMA, RAW_SCHEMA
 from tidemark.sources import payloads
 from tidemark.sources.tables import read_raw
 
@@ -73,25 +74,29 @@ ARRIVAL = ["arrived", "file", "position"]
 
 def run_daily(spark: SparkSession, daily_xml: str | None, monthly_json: str | None, raw_path: str,
               as_of: dt.datetime, majors=("USD", "EUR", "CNY"), upper: float = 1000.0,
-              target_date: dt.date | None = None, rejects_path: str | None = None, max_code: int = validate.MAX_CODE) -> dict:
+              target_date: dt.date | None = None, rejects_path: str | None = None, max_code: int = validate.MAX_CODE,
+              monthly_multiline: bool = True) -> dict:
     """Daily ETL: landed payloads -> validate -> upsert -> quality report and totals.
 
     ``daily_xml`` is the landing root; only the folder of ``target_date`` (by default the run date's yesterday,
     which is also the check date) is read. Monthly payloads are kept for the previous and the current year of
-    the run date. Rejected rows keep their original text and reason, are counted and, with ``rejects_path``, written (one
-    folder a run, overwritten by a rerun): valid + rejected = input. Later files win over earlier ones, and
+    the run date; rows of other years are counted in ``outside_years``. Rejected rows, and broken documents, keep their original text
+    and reason, are counted and, with ``rejects_path``, written (one folder a run, overwritten by a rerun):
+    valid + rejected + outside_years = input. Later files win over earlier ones, and
     later rows of a file over earlier ones. Without payloads the run goes on with no rows."""
     check_date = as_of.date() - dt.timedelta(days=1)
     target = target_date or check_date
-    good, bad = [], []
+    good, bad, outside = [], [], 0
     if daily_xml:
-        checked = validate.parsed(payloads.daily_records(payloads.read_daily_valutes(spark, daily_xml, target, target)), max_code=max_code)
+        checked = payloads.daily_checked(payloads.read_daily_valutes(spark, daily_xml, target, target), max_code=max_code)
         good.append(validate.valid(checked))
         bad.append(validate.rejected(checked).select(F.lit("daily").alias("source"), "original", "reason"))
     if monthly_json:
-        items = payloads.monthly_checked(payloads.read_monthly_json(spark, monthly_json)).withColumns(
+        items = payloads.monthly_checked(payloads.read_monthly_json(spark, monthly_json, monthly_multiline)).withColumns(
             {"arrived": F.lit(None).cast("timestamp"), "file": F.lit(""), "position": F.monotonically_increasing_id()})
-        ok = items.filter(F.col("reason").isNull() & F.year("rate_date").between(as_of.year - 1, as_of.year))
+        in_years = F.year("rate_date").between(as_of.year - 1, as_of.year)
+        ok = items.filter(F.col("reason").isNull() & in_years)
+        outside = items.filter(F.col("reason").isNull() & ~in_years).count()
         checked = validate.parsed(ok.select(*BATCH, *ARRIVAL), max_code=max_code)
         good.append(validate.valid(checked))
         bad.append(items.filter(F.col("reason").isNotNull()).select(F.lit("monthly").alias("source"), "original", "reason"))
@@ -110,7 +115,7 @@ def run_daily(spark: SparkSession, daily_xml: str | None, monthly_json: str | No
     else:
         create_raw(spark, raw_path)
     report = quality.dq_report(read_raw(spark, raw_path), check_date, majors, upper)
-    return {"totals": totals, **counts, "rejected": reasons, "dq": report, "check_date": check_date}
+    return {"totals": totals, **counts, "rejected": reasons, "outside_years": outside, "dq": report, "check_date": check_date}
 
 
 def period_load(spark: SparkSession, daily: DataFrame, monthly: DataFrame | None, raw_path: str,
@@ -137,12 +142,90 @@ def period_load(spark: SparkSession, daily: DataFrame, monthly: DataFrame | None
 
 
 def landed_period(spark: SparkSession, daily_xml: str, start, end, skip_weekends: bool = False) -> DataFrame:
-    """Text records of the landed daily files from ``start`` to ``end``; other date folders are not read."""
-    rows = payloads.daily_records(payloads.read_daily_valutes(spark, daily_xml, start, end))
+    """Text records of the landed daily files from ``start`` to ``end``; other date folders are not read. Broken files are
+    left out here; :func:`load_landed_period` rejects them."""
+    rows = payloads.daily_records(payloads.whole(payloads.read_daily_valutes(spark, daily_xml, start, end))).drop("document")
     weekend = F.coalesce(F.dayofweek(validate.day_of(rows)).isin(1, 7), F.lit(False))
     return rows.filter(~weekend) if skip_weekends else rows
 
 
+MANIFEST = "run string, rate_date date, status string, rows bigint, rejected bigint, loaded_at timestamp_ntz"
+
+
+def manifest_days(spark: SparkSession, manifest: str) -> DataFrame:
+    """The last state of each day in a manifest: (rate_date, status, rows, rejected); no rows if there is none yet."""
+    fs, path = fs_path(spark, manifest)
+    runs = spark.read.schema(MANIFEST).parquet(manifest) if fs.exists(path) else spark.createDataFrame([], MANIFEST)
+    last = runs.groupBy("rate_date").agg(*[F.max_by(c, F.struct("loaded_at", "run")).alias(c) for c in ("status", "rows", "rejected")])
+    return last.select("rate_date", "status", "rows", "rejected")
+
+
+def load_landed_period(spark: SparkSession, daily_xml: str, raw_path: str, manifest: str, start, end, as_of: dt.datetime,
+                       skip_weekends: bool = False, monthly_json: str | None = None, monthly_multiline: bool = True,
+                       load_type: str = "both", today=None, max_code: int = validate.MAX_CODE) -> dict:
+    """Resumable period load of landed files: reads only the days that ``manifest`` does not have as done.
+
+    1. Arguments are checked and the days of the period that are still to do are listed (a few thousand at most): not done before, and
+       no weekends with ``skip_weekends``.
+    2. Their folders are read and validated, with broken documents as rejects, and staged as one table beside the manifest.
+    3. The valid rows are upserted.
+    4. The manifest gets a row for each day: ``done``; ``failed``, if it had no rows or a broken document; ``skipped``.
+
+    A run that is cut off before step 4 leaves the manifest as it was, and the next one does its days again; the upsert makes that
+    harmless. Monthly rows of the period, if ``load_type`` and ``monthly_json`` ask for them, come with the first run of a period only
+    (when any of its days is still to do). Returns the check, ``read_days``, the inserted and updated keys, the rejects, the state of every day of
+    the period with its summary, and the load report."""
+    if load_type not in ("daily_only", "monthly_only", "both"):
+        raise ValueError("load_type must be daily_only, monthly_only or both")
+    info = cal.check_period(start, end, today=today)
+    s, e = dt.date.fromisoformat(info["start_date"]), dt.date.fromisoformat(info["end_date"])
+    days = cal.calendar(spark, s, e, skip_weekends, keep_skipped=True)
+    known = manifest_days(spark, manifest)
+    left = F.col("status").isNull() | (F.col("status") == "failed") | (~F.col("skipped") & (F.col("status") == "skipped"))
+    open_days = days.join(known, "rate_date", "left").filter(left)
+    todo = sorted(r["rate_date"] for r in open_days.filter(~F.col("skipped")).collect())
+    run = uuid.uuid4().hex
+    stage = f"{manifest.rstrip('/')}_staged/{run}"
+    good = [*BATCH, *ARRIVAL]
+    parts = []
+    if load_type != "monthly_only":
+        valutes = payloads.read_daily_valutes(spark, daily_xml, days=todo)
+        parts.append(payloads.daily_checked(valutes, max_code=max_code).select(*good, "reason", "original").withColumn("day", F.col("rate_date")))
+    if load_type != "daily_only" and monthly_json and todo:
+        items = payloads.monthly_checked(payloads.read_monthly_json(spark, monthly_json, monthly_multiline)).withColumns(
+            {"arrived": F.lit(None).cast("timestamp"), "file": F.lit(""), "position": F.monotonically_increasing_id()})
+        wanted = items.filter(F.col("reason").isNotNull() | F.col("rate_date").between(F.lit(s), F.lit(e)))
+        bad = wanted.filter(F.col("reason").isNotNull())
+        checked = validate.parsed(wanted.filter(F.col("reason").isNull()).select(*good), max_code=max_code)
+        parts += [df.select(*good, "reason", "original").withColumn("day", F.lit(None).cast("date")) for df in (checked, bad)]
+    counts = {"inserted": 0, "updated": 0}
+    schema = parts[0].schema if parts else spark.createDataFrame([], RAW_SCHEMA).select(*BATCH).schema
+    if todo and parts:
+        reduce(DataFrame.unionByName, parts).write.parquet(stage)
+        staged = spark.read.schema(schema).parquet(stage)
+        counts = upsert_into(spark, raw_path, validate.valid(staged).drop("day"), as_of, seq=ARRIVAL)
+        rejected = validate.rejected(staged).drop("day")
+        per_day = staged.filter(F.col("day").isNotNull()).groupBy(F.col("day").alias("rate_date")).agg(
+            F.count_if(F.col("reason").isNull()).alias("rows"), F.count_if(F.col("reason").isNotNull()).alias("rejected"),
+            F.count_if(F.col("reason") == payloads.BAD_DOCUMENT).alias("broken"))
+    else:
+        create_raw(spark, raw_path)
+        rejected = spark.createDataFrame([], schema).drop("day")
+        per_day = spark.createDataFrame([], "rate_date date, rows bigint, rejected bigint, broken bigint")
+    if load_type != "monthly_only":
+        status = F.when(F.col("skipped"), "skipped").when(F.coalesce("rows", F.lit(0)) + F.coalesce("broken", F.lit(0)) == 0, "failed") \
+            .when(F.col("broken") > 0, "failed").otherwise("done")
+        state = open_days.select("rate_date", "skipped").join(per_day, "rate_date", "left").select(
+            F.lit(run).alias("run"), "rate_date", status.alias("status"), F.coalesce("rows", F.lit(0).cast("long")).alias("rows"),
+            F.coalesce("rejected", F.lit(0).cast("long")).alias("rejected"), F.lit(as_of).cast("timestamp_ntz").alias("loaded_at"))
+        state.coalesce(1).write.mode("append").parquet(manifest)
+    now = days.select("rate_date").join(manifest_days(spark, manifest), "rate_date", "left")
+    summary = now.agg(F.count_if(F.col("status") == "done").alias("successful_days"), F.count_if(F.col("status") == "failed").alias("failed_days"),
+                      F.count_if(F.col("status") == "skipped").alias("skipped_days"), F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"))
+    return {"check": info, "read_days": len(todo), **counts, "rejected": rejected, "day_status": now, "summary": summary,
+            "report": quality.load_report(read_raw(spark, raw_path), s, e)}
+
+
 def catalog_status(spark: SparkSession, database: str = "marts", names=MART_NAMES,
                    pattern: str | None = None) -> DataFrame:
     """Per expected mart: whether the catalog has it and its row count (NULL if absent).

@@ -313,7 +313,7 @@ x AS (SELECT 1)
 SELECT DISTINCT rate_date FROM rates WHERE rate_type = 'daily'"""),
     "calendar_days": with_rates(_CAL + """
 SELECT rate_date FROM cal WHERE isodow(rate_date) < 6"""),
-    "period_load": with_rates(_CAL + """,
+    "day_status": with_rates(_CAL + """,
 per_day AS (SELECT rate_date, COUNT(*) AS n FROM rates WHERE rate_type = 'daily' GROUP BY 1)
 SELECT c.rate_date,
        CAST(CASE WHEN isodow(c.rate_date) >= 6 THEN 0 ELSE coalesce(n, 0) END AS BIGINT) AS rows,
@@ -352,8 +352,10 @@ SELECT length(currency_code) * 100000 + year(rate_date) AS element_id,
        strftime(rate_date, '%B %Y') AS period
 FROM m"""),
     "monthly_json_rejects": with_rates("""
-d AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT currency_code, year(rate_date) FROM rates WHERE rate_type = 'monthly'))
+y AS (SELECT DISTINCT currency_code, year(rate_date) AS y FROM rates WHERE rate_type = 'monthly'),
+d AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (y % 5 = 0) AS fifth FROM y)
 SELECT 'unknown_element' AS reason, n AS rows FROM d
+UNION ALL SELECT 'bad_document', 3 * fifth FROM d WHERE fifth > 0
 UNION ALL SELECT 'bad_date', n FROM d
 UNION ALL SELECT 'bad_value', 2 * n FROM d
 UNION ALL SELECT 'value_overflow', n FROM d"""),
@@ -426,13 +428,50 @@ FROM cal c LEFT JOIN per_day p USING (rate_date)"""),
     "run_daily": with_rates("""
 d AS (SELECT *, length(currency_code) > 8 AS long_code, length(currency_name) > 100 AS long_name
       FROM rates WHERE rate_type = 'daily' AND rate_date = DATE '2001-10-31'),
-o AS (SELECT * FROM d WHERE NOT long_code AND NOT long_name)
+o AS (SELECT * FROM d WHERE NOT long_code AND NOT long_name),
+m AS (SELECT """ + CODE_OF_NAME + """ AS code, rate_date, year(rate_date) IN (2000, 2001) AS kept FROM rates WHERE rate_type = 'monthly'),
+k AS (SELECT DISTINCT code, rate_date FROM m WHERE kept),
+h AS (SELECT COUNT(*) AS n FROM k WHERE EXISTS (SELECT 1 FROM rates r WHERE r.rate_type = 'monthly' AND r.currency_code = k.code AND r.rate_date = k.rate_date)),
+docs AS (SELECT COUNT(*) AS n FROM (SELECT DISTINCT currency_code, year(rate_date) FROM rates WHERE rate_type = 'monthly'))
 SELECT 'daily' AS name, (SELECT COUNT(*) FROM o) AS value
-UNION ALL SELECT 'total', (SELECT COUNT(*) FROM o)
-UNION ALL SELECT 'inserted', (SELECT COUNT(*) FROM o WHERE nominal = 1)
-UNION ALL SELECT 'updated', (SELECT COUNT(*) FROM o WHERE nominal <> 1)
-UNION ALL SELECT 'rejected', (SELECT COUNT(*) FROM d) - (SELECT COUNT(*) FROM o)
-UNION ALL SELECT 'total_records', (SELECT COUNT(*) FROM rates) - (SELECT COUNT(*) FROM d WHERE nominal = 1 AND (long_code OR long_name))"""),
+UNION ALL SELECT 'monthly', (SELECT COUNT(*) FROM m WHERE kept)
+UNION ALL SELECT 'outside_years', (SELECT COUNT(*) FROM m WHERE NOT kept)
+UNION ALL SELECT 'total', (SELECT COUNT(*) FROM o) + (SELECT COUNT(*) FROM m WHERE kept)
+UNION ALL SELECT 'inserted', (SELECT COUNT(*) FROM o WHERE nominal = 1) + (SELECT COUNT(*) FROM k) - (SELECT n FROM h)
+UNION ALL SELECT 'updated', (SELECT COUNT(*) FROM o WHERE nominal <> 1) + (SELECT n FROM h)
+UNION ALL SELECT 'rejected', (SELECT COUNT(*) FROM d) - (SELECT COUNT(*) FROM o) + (SELECT 5 * n FROM docs)
+UNION ALL SELECT 'total_records', (SELECT COUNT(*) FROM rates) - (SELECT COUNT(*) FROM d WHERE nominal = 1 AND (long_code OR long_name))
+                                  + (SELECT COUNT(*) FROM k) - (SELECT n FROM h)"""),
+    "daily_xml_rejects": with_rates("""
+x AS (SELECT currency_code AS c, currency_name AS n, day(rate_date) IN (3, 17) AS broken FROM rates WHERE rate_type = 'daily')
+SELECT CASE WHEN broken THEN 'bad_document' WHEN length(c) > 8 THEN 'code_too_long' WHEN length(n) > 100 THEN 'name_too_long' ELSE 'valid' END AS reason,
+       COUNT(*) AS rows FROM x GROUP BY 1"""),
+    "period_load": with_rates("""
+d AS (SELECT *, CASE WHEN length(currency_code) > 8 THEN 'code_too_long' WHEN length(currency_name) > 100 THEN 'name_too_long' END AS reason
+      FROM rates WHERE rate_type = 'daily' AND rate_date BETWEEN DATE '2001-06-01' AND DATE '2001-08-01'),
+w AS (SELECT * FROM d WHERE isodow(rate_date) < 6),
+cal AS (SELECT CAST(g AS DATE) AS rate_date FROM generate_series(TIMESTAMP '2001-06-01', TIMESTAMP '2001-08-01', INTERVAL 1 DAY) t(g)),
+day AS (SELECT c.rate_date, isodow(c.rate_date) > 5 AS weekend, COUNT(w.rate_date) FILTER (reason IS NULL) AS n
+        FROM cal c LEFT JOIN w ON w.rate_date = c.rate_date GROUP BY 1, 2),
+s AS (SELECT *, CASE WHEN weekend THEN 'skipped' WHEN n = 0 OR rate_date = DATE '2001-06-04' THEN 'failed' ELSE 'done' END AS status FROM day),
+after AS (SELECT currency_code, rate_date, rate_type FROM rates EXCEPT
+          SELECT currency_code, rate_date, rate_type FROM d WHERE nominal = 1 AND (reason IS NOT NULL OR isodow(rate_date) > 5))
+SELECT 'read_days_1' AS name, (SELECT COUNT(*) FROM s WHERE NOT weekend) AS value
+UNION ALL SELECT 'read_days_2', (SELECT COUNT(*) FROM s WHERE status = 'failed')
+UNION ALL SELECT 'inserted_1', (SELECT COUNT(*) FROM w WHERE reason IS NULL AND nominal = 1)
+UNION ALL SELECT 'updated_1', (SELECT COUNT(*) FROM w WHERE reason IS NULL AND nominal <> 1)
+UNION ALL SELECT 'inserted_2', 0
+UNION ALL SELECT 'updated_2', (SELECT COUNT(*) FROM w JOIN s USING (rate_date) WHERE reason IS NULL AND status = 'failed')
+UNION ALL SELECT 'rejected_' || reason, COUNT(*) FROM w WHERE reason IS NOT NULL GROUP BY reason
+UNION ALL SELECT 'rejected_bad_document', 1
+UNION ALL SELECT 'successful_days', (SELECT COUNT(*) FROM s WHERE status = 'done')
+UNION ALL SELECT 'failed_days', (SELECT COUNT(*) FROM s WHERE status = 'failed')
+UNION ALL SELECT 'skipped_days', (SELECT COUNT(*) FROM s WHERE status = 'skipped')
+UNION ALL SELECT 'total_rows', (SELECT CAST(SUM(n) AS BIGINT) FROM s)
+UNION ALL SELECT 'days', 62
+UNION ALL SELECT 'records_loaded', (SELECT COUNT(*) FROM after WHERE rate_date BETWEEN DATE '2001-06-01' AND DATE '2001-08-01')
+UNION ALL SELECT 'total_records', (SELECT COUNT(*) FROM after)
+UNION ALL SELECT 'currencies', (SELECT COUNT(DISTINCT currency_code) FROM after)"""),
 })
 ORACLE["mart_status"] = with_rates("SELECT mart, true AS exists, rows FROM (" + ORACLE["refresh_marts"].replace("WITH " + RATES_CTE + ", ", "WITH ") + ") WHERE mart <> 'total'").replace(
     ", SELECT mart, true", " SELECT mart, true")

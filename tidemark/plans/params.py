@@ -14,6 +14,7 @@ EVENTS_AS_OF = dt.datetime(2024, 1, 31, 0, 0, 0)
 ANOMALY_UPPER = 100000.0
 PERIOD_START = dt.date(2001, 6, 1)
 PERIOD_END = dt.date(2001, 8, 1)
+BROKEN_DAY = dt.date(2001, 6, 4)           # a Monday of the period whose landed files include a broken one
 CHECK_DATE = dt.date(2001, 10, 31)        # the yesterday of the daily run; a day on which the majors have rows at every scale
 UPSERT_AS_OF = dt.datetime(2001, 11, 5, 0, 0, 0)
 DIM_INIT_DATE = dt.date(2000, 1, 1)

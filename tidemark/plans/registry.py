@@ -237,8 +237,8 @@ def _calendar(spark, sf):
     return cal.calendar_of(rates_from_lines(spark, sf).filter(F.col("rate_type") == "daily"), skip_weekends=True)
 
 
-@register("period_load")
-def _period_load(spark, sf):
+@register("day_status")
+def _day_status(spark, sf):
     daily = rates_from_lines(spark, sf).filter(F.col("rate_type") == "daily")
     return cal.day_status(spark, daily, skip_weekends=True)
 
@@ -279,9 +279,13 @@ def _catalogue(spark, sf):
     return payloads.parse_catalogue_xml(payloads.catalogue_elements(rates_from_lines(spark, sf)))
 
 
-def _monthly_docs(spark, sf):
+def _monthly_docs(spark, sf, broken=False):
     monthly = rates_from_lines(spark, sf).filter(F.col("rate_type") == "monthly")
-    return payloads.parse_monthly_json(payloads.monthly_documents(monthly))
+    docs = payloads.monthly_documents(monthly)
+    if broken:  # of every fifth year's documents a cut-off copy, a null one and one without its array come too
+        copies = F.array(F.substring("doc", 1, 40), F.lit(None).cast("string"), F.lit('{"RawData":null,"headerData":[]}'))
+        docs = docs.unionByName(docs.filter("y % 5 = 0").withColumn("doc", F.explode(copies)))
+    return payloads.parse_monthly_json(docs)
 
 
 @register("monthly_json_normalise")
@@ -291,7 +295,7 @@ def _monthly_json(spark, sf):
 
 @register("monthly_json_rejects")
 def _monthly_rejects(spark, sf):
-    checked = payloads.monthly_checked(_monthly_docs(spark, sf))
+    checked = payloads.monthly_checked(_monthly_docs(spark, sf, broken=True))
     return checked.filter(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -356,14 +360,48 @@ def _per_unit(spark, sf):
 
 @register("daily_xml_files")
 def _xml_files(spark, sf):
-    """The daily payloads of a period landed as files and read back; an earlier read must not matter."""
+    """All daily payloads landed as files, and a period read back from its date folders; an earlier read must not matter."""
     root = shared_dir(spark, "daily_xml")
-    daily = daily_from_lines(spark, sf).drop("k").filter(F.col("rate_date").between(F.lit(P.PERIOD_START), F.lit(P.PERIOD_END)))
-    payloads.write_daily_xml(daily, root)
+    payloads.write_daily_xml(daily_from_lines(spark, sf).drop("k"), root)
     payloads.read_daily_xml(spark, root)
     return payloads.read_daily_xml(spark, root, P.PERIOD_START, P.PERIOD_END)
 
 
+@register("daily_xml_rejects")
+def _xml_rejects(spark, sf):
+    """Daily documents as text, some of them cut off or null: rows by reason, nothing lost."""
+    docs = payloads.daily_documents(daily_from_lines(spark, sf).drop("k"))
+    day = F.dayofmonth("rate_date")
+    broken = docs.withColumn("doc", F.when(day == 3, F.substring("doc", 1, 30)).when(day == 17, F.lit(None)).otherwise(F.col("doc")))
+    return validate.reason_counts(payloads.daily_checked(payloads.parse_daily_valutes(broken), max_code=MAX_CODE))
+
+
+@register("period_load")
+def _period_load(spark, sf):
+    """The resumable period load over all landed days, one of which has a broken file besides its own, and a second run, which reads
+    the unfinished days only: counts of both, rejects by reason, and the report."""
+    root = shared_dir(spark, "period_load")
+    rates = rates_from_lines(spark, sf)
+    wanted = (F.col("rate_type") == "daily") & F.col("rate_date").between(F.lit(P.PERIOD_START), F.lit(P.PERIOD_END))
+    write_raw(rates.filter(~(wanted & (F.col("nominal") == 1))), f"{root}/raw")
+    payloads.write_daily_xml(rates.filter(F.col("rate_type") == "daily"), f"{root}/landing")
+    spark.createDataFrame([("<ValuteData><ValuteCursOnDate><Vname>cut", P.BROKEN_DAY)], "doc string, rate_date date") \
+        .write.mode("append").partitionBy("rate_date").text(f"{root}/landing")
+
+    def load(day):
+        return jobs.load_landed_period(spark, f"{root}/landing", f"{root}/raw", f"{root}/manifest", P.PERIOD_START, P.PERIOD_END,
+                                       dt.datetime.combine(P.AS_OF + dt.timedelta(days=day), dt.time(18)), skip_weekends=True, load_type="daily_only", max_code=MAX_CODE)
+
+    first, second = load(1), load(2)
+    one = {f"{k}_{n}": v[k] for n, v in ((1, first), (2, second)) for k in ("read_days", "inserted", "updated")}
+    counted = spark.createDataFrame(sorted(one.items()), "name string, value bigint")
+    reasons = first["rejected"].groupBy(F.concat(F.lit("rejected_"), "reason").alias("name")).agg(F.count(F.lit(1)).alias("value"))
+    long = [df.select(F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*[F.col(c).cast("long") for c in names]))).alias("name", "value"))
+            for df, names in ((second["summary"], ["successful_days", "failed_days", "skipped_days", "total_rows"]),
+                              (second["report"], ["days", "records_loaded", "total_records", "currencies"]))]
+    return counted.unionByName(reasons).unionByName(long[0]).unionByName(long[1])
+
+
 @register("period_rows")
 def _period_rows(spark, sf):
     """A closed period without weekends, read from the month folders of a raw store that it touches."""
@@ -375,15 +413,17 @@ def _period_rows(spark, sf):
 
 @register("run_daily")
 def _run_daily(spark, sf):
-    """The daily job on a landed day over a raw store that lacks a part of that day's rates."""
+    """The daily job on a landed day and the landed monthly documents of all years, over a raw store that lacks a part of that day's rates."""
     root = shared_dir(spark, "run_daily")
     rates = rates_from_lines(spark, sf)
     today = (F.col("rate_type") == "daily") & (F.col("rate_date") == F.lit(P.CHECK_DATE))
     write_raw(rates.filter(~(today & (F.col("nominal") == 1))), f"{root}/raw")
     payloads.write_daily_xml(rates.filter(today), f"{root}/landing")
     as_of = dt.datetime.combine(P.CHECK_DATE + dt.timedelta(days=1), dt.time(18))
-    out = jobs.run_daily(spark, f"{root}/landing", None, f"{root}/raw", as_of, P.MAJORS, P.ANOMALY_UPPER, rejects_path=f"{root}/rejects", max_code=MAX_CODE)
-    one = {"daily": out["totals"]["daily"], "total": out["totals"]["total"], "inserted": out["inserted"], "updated": out["updated"],
+    payloads.write_monthly_json(rates.filter(F.col("rate_type") == "monthly"), f"{root}/monthly")
+    out = jobs.run_daily(spark, f"{root}/landing", f"{root}/monthly", f"{root}/raw", as_of, P.MAJORS, P.ANOMALY_UPPER, rejects_path=f"{root}/rejects", max_code=MAX_CODE,
+                         monthly_multiline=False)
+    one = {"daily": out["totals"]["daily"], "monthly": out["totals"]["monthly"], "outside_years": out["outside_years"], "total": out["totals"]["total"], "inserted": out["inserted"], "updated": out["updated"],
            "rejected": sum(out["rejected"].values())}
     counted = spark.createDataFrame(sorted(one.items()), "name string, value bigint")
     report = out["dq"].filter(F.col("check") == "total_records").select(F.col("check").alias("name"), "value")

@@ -7,6 +7,11 @@ rowTag ``ValuteCursOnDate`` (the date comes from the partition directory, as the
 date does in the original). ``read_monthly_json`` reads one JSON document per file.
 Text columns: ``parse_daily_xml`` / ``parse_monthly_json`` take a string column holding a
 whole document, for payloads that arrive as rows (queues, tables).
+
+Broken documents are kept: what cannot be parsed, is null or lacks its array gives one row with its text in
+``document``, which the checked forms (``daily_checked``, ``monthly_checked``) turn into a reject
+``bad_document``. Elements before the break of an XML file are read as usual. A document whose array is empty, and a file
+of no bytes, have no rows and no reject.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.codes import code_from_name
 from tidemark.functions.literals import date_lit
+from tidemark.operators import validate
 
 SOURCE_TAG = "soap_daily"
 
@@ -29,7 +35,8 @@ ENUM_VALUTE = T.StructType([
     T.StructField(c, T.StringType()) for c in
     ("Vname", "Vnom", "Vcode", "VEngname", "VcommonCode", "VnumCode", "VcharCode")
 ])
-DAILY_DOC = T.StructType([T.StructField("ValuteCursOnDate", T.ArrayType(VALUTE))])
+CORRUPT = T.StructField("_corrupt_record", T.StringType())  # Spark's column for text that does not parse
+DAILY_DOC = T.StructType([T.StructField("ValuteCursOnDate", T.ArrayType(VALUTE)), CORRUPT])
 RAW_ITEM = T.StructType([
     T.StructField("element_id", T.LongType()), T.StructField("date", T.StringType()),
     T.StructField("obs_val", T.StringType()), T.StructField("dt", T.StringType()),
@@ -38,13 +45,21 @@ HEADER_ITEM = T.StructType([T.StructField("id", T.LongType()), T.StructField("el
 MONTHLY_DOC = T.StructType([
     T.StructField("RawData", T.ArrayType(RAW_ITEM)),
     T.StructField("headerData", T.ArrayType(HEADER_ITEM)),
+    CORRUPT,
 ])
+BAD_DOCUMENT = "bad_document"
 
 
 # ---- daily XML --------------------------------------------------------------------
 
+def whole(rows: DataFrame) -> DataFrame:
+    """Without the rows that stand for broken documents."""
+    return rows.filter(F.col("document").isNull()) if "document" in rows.columns else rows
+
+
 def normalise_daily(valutes: DataFrame) -> DataFrame:
-    """Rows with the ValuteCursOnDate fields and ``rate_date`` -> normalised records."""
+    """Rows with the ValuteCursOnDate fields and ``rate_date`` -> normalised records, without broken documents."""
+    valutes = whole(valutes)
     # a missing nominal is 1; an unreadable one stays NULL here and is rejected by validation (daily_records)
     nominal = F.when(F.trim(F.coalesce(F.col("Vnom"), F.lit(""))) == "", F.lit(1)).otherwise(F.expr("try_cast(trim(Vnom) AS INT)"))
     return valutes.select(
@@ -67,19 +82,33 @@ def daily_records(valutes: DataFrame) -> DataFrame:
         F.col("VchCode").alias("currency_code"), F.col("Vname").alias("currency_name"), F.col("Vcurs").alias("exchange_rate"),
         F.col("rate_date").cast("string").alias("rate_date"), F.lit("daily").alias("rate_type"),
         F.when(F.trim("Vnom") != "", F.col("Vnom")).alias("nominal"),
-        *[c for c in ("arrived", "file", "position") if c in valutes.columns])
+        *[c for c in ("arrived", "file", "position", "document") if c in valutes.columns])
+
+
+def daily_checked(valutes: DataFrame, strict: bool = False, max_code: int = validate.MAX_CODE) -> DataFrame:
+    """Validated records (``validate.parsed``) of the elements; a broken document is one row with the reason
+    ``bad_document`` and its text as ``original``."""
+    checked = validate.parsed(daily_records(valutes), strict, max_code)
+    broken = F.col("document").isNotNull()
+    return checked.withColumns({
+        "reason": F.when(broken, F.lit(BAD_DOCUMENT)).otherwise(F.col("reason")),
+        "original": F.when(broken, F.col("document")).otherwise(F.col("original"))}).drop("document")
 
 
-def read_daily_valutes(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+def read_daily_valutes(spark: SparkSession, path: str, start=None, end=None, days=None) -> DataFrame:
     """The elements of landed daily files, as text, with ``rate_date`` from the folder and the file's place in the
-    order of arrival (``arrived``, ``file``, ``position``). ``start`` and ``end`` (closed) prune the date folders."""
-    schema = T.StructType([*VALUTE.fields, T.StructField("rate_date", T.DateType())])
-    rows = spark.read.format("xml").option("rowTag", "ValuteCursOnDate").schema(schema).load(path)
+    order of arrival (``arrived``, ``file``, ``position``); ``document`` is the text of a broken file, else null. ``start`` and
+    ``end`` (closed) prune the date folders, or ``days``, a list of them."""
+    schema = T.StructType([*VALUTE.fields, T.StructField("rate_date", T.DateType()), CORRUPT])
+    rows = spark.read.format("xml").option("rowTag", "ValuteCursOnDate").option("mode", "PERMISSIVE") \
+        .option("columnNameOfCorruptRecord", CORRUPT.name).schema(schema).load(path)
     if start is not None:
         rows = rows.filter(F.col("rate_date") >= date_lit(start))
     if end is not None:
         rows = rows.filter(F.col("rate_date") <= date_lit(end))
-    return rows.select(*[f.name for f in VALUTE.fields], "rate_date", F.col("_metadata.file_modification_time").alias("arrived"),
+    if days is not None:
+        rows = rows.filter(F.col("rate_date").isin([date_lit(d) for d in days])) if days else rows.limit(0)
+    return rows.select(*[f.name for f in VALUTE.fields], "rate_date", F.col(CORRUPT.name).alias("document"), F.col("_metadata.file_modification_time").alias("arrived"),
                        F.col("_metadata.file_path").alias("file")).withColumn("position", F.monotonically_increasing_id())
 
 
@@ -87,11 +116,17 @@ def read_daily_xml(spark: SparkSession, path: str, start=None, end=None) -> Data
     return normalise_daily(read_daily_valutes(spark, path, start, end))
 
 
+def parse_daily_valutes(docs: DataFrame, doc_col: str = "doc", date_col: str = "rate_date") -> DataFrame:
+    """The elements of documents held in a column; ``document`` is the text ('' for null) of one that does not parse."""
+    parsed = docs.select(F.col(date_col).alias("rate_date"), F.col(doc_col).alias("_doc"), F.from_xml(F.col(doc_col), DAILY_DOC).alias("p"))
+    broken = F.col("p").isNull() | F.col("p")[CORRUPT.name].isNotNull()
+    return (parsed.select("rate_date", F.when(broken, F.coalesce("_doc", F.lit(""))).alias("document"), F.explode_outer("p.ValuteCursOnDate").alias("v"))
+            .filter(F.col("document").isNotNull() | F.col("v").isNotNull())
+            .select("rate_date", "v.*", "document"))
+
+
 def parse_daily_xml(docs: DataFrame, doc_col: str = "doc", date_col: str = "rate_date") -> DataFrame:
-    parsed = docs.select(F.col(date_col).alias("rate_date"),
-                         F.from_xml(F.col(doc_col), DAILY_DOC).alias("p"))
-    rows = parsed.select("rate_date", F.explode("p.ValuteCursOnDate").alias("v")).select("rate_date", "v.*")
-    return normalise_daily(rows)
+    return normalise_daily(parse_daily_valutes(docs, doc_col, date_col))
 
 
 def daily_documents(daily: DataFrame) -> DataFrame:
@@ -159,24 +194,28 @@ def catalogue_elements(raw: DataFrame) -> DataFrame:
 
 # ---- monthly JSON -----------------------------------------------------------------
 
-MONTHLY_REASONS = ("unknown_element", "bad_date", "bad_value", "value_overflow")
+MONTHLY_REASONS = (BAD_DOCUMENT, "unknown_element", "bad_date", "bad_value", "value_overflow")
 
 
 def monthly_checked(docs: DataFrame) -> DataFrame:
-    """Parsed monthly documents (columns RawData, headerData) -> one row per RawData item
+    """Parsed monthly documents (columns RawData, headerData, document) -> one row per RawData item
     with the header name looked up inside the document (no join, no shuffle), the code
-    derived from the name, the date rule, and ``reason`` (NULL = valid)."""
+    derived from the name, the date rule, and ``reason`` (NULL = valid). A document without RawData, whether null, unreadable or
+    without that array, is one row ``bad_document``."""
     enriched = F.transform("RawData", lambda r: F.struct(
         r["element_id"].alias("element_id"), r["date"].alias("date"), r["obs_val"].alias("obs_val"),
         r["dt"].alias("dt"),
         # of repeated header ids the last counts
         F.try_element_at(F.filter("headerData", lambda h: h["id"] == r["element_id"]), F.lit(-1))["elname"].alias("elname")))
-    items = docs.select(F.explode(enriched).alias("r")).select("r.*")
+    text = F.col("document") if "document" in docs.columns else F.lit("")
+    items = (docs.select(F.when(F.col("RawData").isNull(), F.coalesce(text, F.lit(""))).alias("document"), F.explode_outer(enriched).alias("r"))
+             .filter(F.col("document").isNotNull() | F.col("r").isNotNull()).select("document", "r.*"))
     txt = F.coalesce(F.col("date"), F.lit(""))
     day = F.when(txt.contains("T"), F.try_to_date(F.split(txt, "T")[0], "yyyy-MM-dd")) \
         .otherwise(F.try_to_date(txt, "yyyy-M-d"))
     val = F.expr("try_cast(obs_val AS DOUBLE)")
-    reason = (F.when(F.col("elname").isNull(), F.lit("unknown_element"))
+    reason = (F.when(F.col("document").isNotNull(), F.lit(BAD_DOCUMENT))
+              .when(F.col("elname").isNull(), F.lit("unknown_element"))
               .when(day.isNull(), F.lit("bad_date"))
               .when(val.isNull() | F.isnan(val) | (F.abs(val) == F.lit(float("inf"))), F.lit("bad_value"))
               .when(F.expr("try_cast(try_cast(obs_val AS DOUBLE) AS DECIMAL(12,6))").isNull(), F.lit("value_overflow")))
@@ -190,7 +229,7 @@ def monthly_checked(docs: DataFrame) -> DataFrame:
         F.lit(1).alias("nominal"),
         F.coalesce(F.col("dt"), F.lit("")).alias("period"),
         reason.alias("reason"),
-        F.when(reason.isNotNull(), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in
+        F.when(F.col("document").isNotNull(), F.col("document")).when(reason.isNotNull(), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in
                                                       ("element_id", "date", "obs_val", "dt")])).alias("original"))
 
 
@@ -203,11 +242,21 @@ def normalise_monthly(docs: DataFrame, y1: int | None = None, y2: int | None = N
 
 
 def read_monthly_json(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    return spark.read.schema(MONTHLY_DOC).option("multiLine", multiline).json(path)
+    """Monthly documents: one a file, or one a line without ``multiline``; ``document`` is the text of one that does not
+    parse, '' where only its array is missing."""
+    rows = spark.read.schema(MONTHLY_DOC).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT.name) \
+        .option("multiLine", multiline).json(path)
+    return rows.withColumnRenamed(CORRUPT.name, "document")
+
+
+def write_monthly_json(monthly: DataFrame, path: str) -> None:
+    """Land monthly rows as JSON documents, one a line."""
+    monthly_documents(monthly).select("doc").write.mode("overwrite").text(path)
 
 
 def parse_monthly_json(docs: DataFrame, col: str = "doc") -> DataFrame:
-    return docs.select(F.from_json(F.col(col), MONTHLY_DOC).alias("p")).select("p.*")
+    parsed = docs.select(F.col(col).alias("_doc"), F.from_json(F.col(col), MONTHLY_DOC).alias("p"))
+    return parsed.select("p.RawData", "p.headerData", F.coalesce("_doc", F.lit("")).alias("document"))
 
 
 def monthly_documents(monthly: DataFrame) -> DataFrame:
