@@ -108,7 +108,9 @@ def read_daily_valutes(spark: SparkSession, path: str, start=None, end=None, day
         rows = rows.filter(F.col("rate_date") <= date_lit(end))
     if days is not None:
         rows = rows.filter(F.col("rate_date").isin([date_lit(d) for d in days])) if days else rows.limit(0)
-    return rows.select(*[f.name for f in VALUTE.fields], "rate_date", F.col(CORRUPT.name).alias("document"), F.col("_metadata.file_modification_time").alias("arrived"),
+    # a broken file's row has no fields; a count must not read the text alone, which Spark refuses
+    document = F.when(F.coalesce(*[f.name for f in VALUTE.fields]).isNull(), F.col(CORRUPT.name))
+    return rows.select(*[f.name for f in VALUTE.fields], "rate_date", document.alias("document"), F.col("_metadata.file_modification_time").alias("arrived"),
                        F.col("_metadata.file_path").alias("file")).withColumn("position", F.monotonically_increasing_id())
 
 
