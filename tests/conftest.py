@@ -32,3 +32,16 @@ def raw_rows(spark, rows):
         ts = r[6] if len(r) > 6 else dt.datetime.combine(day, dt.time(18))
         out.append((code, name, Decimal(str(rate)).quantize(Decimal("0.000001")), day, rtype, nominal, ts))
     return spark.createDataFrame(out, RAW_SCHEMA)
+
+
+def raw_table(spark, rows=None):
+    """A raw table of its own in the catalogue."""
+    import uuid
+
+    from tidemark.operators import tables
+    from tidemark.session import shared_dir
+    name = f"tests_raw.t_{uuid.uuid4().hex}"
+    tables.create_raw(spark, name, shared_dir(spark, "tests_raw"))
+    if rows is not None:
+        tables.load_raw(spark, name, rows)
+    return name

@@ -2,9 +2,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import D, raw_rows
+from conftest import D, raw_rows, raw_table
 from tidemark.operators import store, validate
-from tidemark.operators.tables import publish, upsert_into, write_raw
+from tidemark.operators.tables import publish, upsert_into
 from tidemark.plans import jobs
 from tidemark.session import shared_dir
 from tidemark.sources import payloads
@@ -20,13 +20,12 @@ def _records(spark, rows):
 
 
 def test_touched_partition_upsert(spark):
-    root = shared_dir(spark, "test-upsert")
     base = raw_rows(spark, [("USD", D(2024, 1, 1), 90), ("USD", D(2023, 12, 1), 80), ("EUR", D(2024, 1, 1), 99, "monthly")])
-    write_raw(base, root)
+    root = raw_table(spark, base)
     batch = raw_rows(spark, [("USD", D(2024, 1, 1), 91), ("CNY", D(2024, 1, 2), 12)]).drop("load_timestamp")
     upsert_into(spark, root, batch, AS_OF)
     upsert_into(spark, root, batch, AS_OF)  # re-run: same result
-    out = spark.read.parquet(root)
+    out = read_raw(spark, root)
     assert out.count() == 4
     usd = out.filter((F.col("currency_code") == "USD") & (F.col("rate_date") == D(2024, 1, 1))).first()
     assert float(usd["exchange_rate"]) == 91.0 and usd["load_timestamp"] == AS_OF
@@ -41,12 +40,12 @@ def test_stream_in_two_files_equals_one_batch(spark):
     base = raw_rows(spark, [("USD", D(2024, 1, 1), 90)])
 
     root = shared_dir(spark, "test-stream")
-    write_raw(base, f"{root}/raw")
+    raw = raw_table(spark, base)
     _records(spark, rows1).coalesce(1).write.json(f"{root}/landing/a")
-    incremental_ingest(spark, f"{root}/landing/*", f"{root}/raw", f"{root}/ckpt", AS_OF, rejects_path=f"{root}/rej")
+    incremental_ingest(spark, f"{root}/landing/*", raw, f"{root}/ckpt", AS_OF, rejects_path=f"{root}/rej")
     _records(spark, rows2).coalesce(1).write.json(f"{root}/landing/b")
-    incremental_ingest(spark, f"{root}/landing/*", f"{root}/raw", f"{root}/ckpt", AS_OF, rejects_path=f"{root}/rej")
-    streamed = read_raw(spark, f"{root}/raw")
+    incremental_ingest(spark, f"{root}/landing/*", raw, f"{root}/ckpt", AS_OF, rejects_path=f"{root}/rej")
+    streamed = read_raw(spark, raw)
 
     batch = validate.valid(validate.parsed(_records(spark, rows1 + rows2)))
     one = store.upsert(base, batch, AS_OF, seq="seq")
@@ -74,17 +73,17 @@ def test_refresh_marts_publishes_and_switches(spark):
 
 def test_run_daily_and_period_load(spark):
     root = shared_dir(spark, "test-daily")
-    write_raw(raw_rows(spark, [("USD", D(2024, 1, 8), 90)]), f"{root}/raw")
+    raw = raw_table(spark, raw_rows(spark, [("USD", D(2024, 1, 8), 90)]))
     daily = raw_rows(spark, [("USD", D(2024, 1, 9), 91), ("EUR", D(2024, 1, 9), 99)])
     payloads.write_daily_xml(daily, f"{root}/xml")
     monthly_doc = payloads.monthly_documents(raw_rows(spark, [("USD", D(2024, 1, 1), 95, "monthly", 1, "Доллара США к рублю")]))
     monthly_doc.select("doc").write.text(f"{root}/json")
-    out = jobs.run_daily(spark, f"{root}/xml", f"{root}/json", f"{root}/raw", AS_OF)
+    out = jobs.run_daily(spark, f"{root}/xml", f"{root}/json", raw, AS_OF)
     assert out["totals"] == {"daily": 2, "monthly": 1, "total": 3}
     dq = {r["check"]: (r["value"], r["status"]) for r in out["dq"].collect()}
     assert dq["rows_on_date"] == (2, "ok") and dq["total_records"] == (4, "info")
 
-    pl = jobs.period_load(spark, daily, None, f"{root}/raw", "2024-01-06", "2024-01-09", AS_OF,
+    pl = jobs.period_load(spark, daily, None, raw, "2024-01-06", "2024-01-09", AS_OF,
                           skip_weekends=True, load_type="daily_only", today="2024-01-10")
     st = {r["status"] for r in pl["day_status"].collect()}
     assert st == {"skipped", "missing", "loaded"}

@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import D
+from conftest import D, raw_table
 from tidemark.operators import validate
 from tidemark.plans import jobs
 from tidemark.session import shared_dir
@@ -80,14 +80,14 @@ def test_run_daily_counts_all_input(spark, tmp_path):
     os.makedirs(f"{root}/monthly")
     for k, text in enumerate([MONTHLY[0], MONTHLY[0].replace("2024", "1999"), MONTHLY[3]]):
         (tmp_path / "monthly" / f"{k}.json").write_text(text)
-    out = jobs.run_daily(spark, f"{root}/daily", f"{root}/monthly", f"{root}/raw", AS_OF, rejects_path=f"{root}/rejects")
+    out = jobs.run_daily(spark, f"{root}/daily", f"{root}/monthly", raw_table(spark), AS_OF, rejects_path=f"{root}/rejects")
     assert out["totals"] == {"daily": 1, "monthly": 1, "total": 2} and out["outside_years"] == 1
     assert out["rejected"] == {"code_too_long": 1, "bad_document": 2}
 
 
 @pytest.fixture
 def period(spark):
-    root = shared_dir(spark, "period_test")
+    root, raw = shared_dir(spark, "period_test"), raw_table(spark)
     for day in range(1, 6):  # Monday the first to Friday; Thursday has no file, Saturday has one
         if day != 4:
             land(f"{root}/landing", f"2024-01-0{day}", "a.xml", doc("AAA", "BBB"))
@@ -95,10 +95,11 @@ def period(spark):
     land(f"{root}/landing", "2024-01-03", "b.xml", "<ValuteData><ValuteCursOnDate><Vname>")
 
     def load(**how):
-        out = jobs.load_landed_period(spark, f"{root}/landing", f"{root}/raw", f"{root}/manifest", "2024-01-01", "2024-01-07",
+        out = jobs.load_landed_period(spark, f"{root}/landing", raw, f"{root}/manifest", "2024-01-01", "2024-01-07",
                                       how.pop("as_of", AS_OF), today="2024-02-01", **{"skip_weekends": True, "load_type": "daily_only", **how})
         return out, {r.rate_date.day: r.status for r in out["day_status"].collect()}
 
+    load.raw = raw
     return root, load
 
 
@@ -138,7 +139,7 @@ def test_period_load_cut_off_before_its_manifest(spark, period, monkeypatch):
     monkeypatch.setattr(jobs, "upsert_into", real)
     out, days = load(as_of=AS_OF + dt.timedelta(days=1))
     assert out["read_days"] == 5 and (out["inserted"], out["updated"]) == (0, 8)
-    assert read_raw(spark, f"{root}/raw").count() == 8 and days[1] == "done"
+    assert read_raw(spark, load.raw).count() == 8 and days[1] == "done"
 
 
 def test_period_load_takes_monthly_rows_too(spark, period, tmp_path):

@@ -8,14 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _as_date(d) -> dt.date:
+def as_date(d) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d))
 
 
 def calendar(spark: SparkSession, start, end, skip_weekends: bool = False, keep_skipped: bool = False) -> DataFrame:
     """Days start..end (closed). With skip_weekends, Saturday and Sunday are dropped, or
     kept with ``skipped = true`` when keep_skipped is set."""
-    start, end = _as_date(start), _as_date(end)
+    start, end = as_date(start), as_date(end)
     if start > end:
         raise ValueError(f"start {start} is after end {end}")
     n = (end - start).days + 1
@@ -40,8 +40,8 @@ def calendar_of(rows: DataFrame, skip_weekends: bool = False, keep_skipped: bool
 
 def check_period(start, end, today=None, warn_days: int = 365) -> dict:
     """Driver-side argument checks of a period load: start <= end, end not in the future."""
-    start, end = _as_date(start), _as_date(end)
-    today = _as_date(today) if today else dt.date.today()
+    start, end = as_date(start), as_date(end)
+    today = as_date(today) if today else dt.date.today()
     if start > end:
         raise ValueError(f"start {start} is after end {end}")
     if end > today:
@@ -57,7 +57,7 @@ def day_status(spark: SparkSession, rows: DataFrame, start=None, end=None, skip_
         cal = calendar_of(rows, skip_weekends, keep_skipped=True)
     else:
         cal = calendar(spark, start, end, skip_weekends, keep_skipped=True)
-        rows = rows.filter(F.col("rate_date").between(F.lit(_as_date(start)), F.lit(_as_date(end))))
+        rows = rows.filter(F.col("rate_date").between(F.lit(as_date(start)), F.lit(as_date(end))))
     per_day = rows.groupBy("rate_date").agg(F.count(F.lit(1)).alias("rows"))
     j = cal.join(per_day, "rate_date", "left")
     status = (F.when(F.col("skipped"), F.lit("skipped"))

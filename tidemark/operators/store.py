@@ -48,7 +48,17 @@ def upsert(target: DataFrame, batch: DataFrame, as_of, seq=None) -> DataFrame:
     Within the batch the last row by ``seq`` (a column, or several) wins. Keys of the target are
     unique, so only the batch is aggregated; the target is filtered by an anti join.
     """
-    new = _one_per_key(batch.withColumn("load_timestamp", _ts(as_of)), list(RAW_COLUMNS), _order(seq))
+    return upsert_staged(target, one_per_key(batch, as_of, seq))
+
+
+def one_per_key(batch: DataFrame, as_of, seq=None) -> DataFrame:
+    """The rows that an upsert of ``batch`` puts in: the last one of each key, with the load time ``as_of``."""
+    return _one_per_key(batch.withColumn("load_timestamp", _ts(as_of)), list(RAW_COLUMNS), _order(seq))
+
+
+def upsert_staged(target: DataFrame, new: DataFrame) -> DataFrame:
+    """``target`` with the rows ``new``, one a key, in the place of those with the same key."""
+    new = new.select(*RAW_COLUMNS)
     kept = target.select(*RAW_COLUMNS).join(new.select(*KEY), list(KEY), "left_anti")
     return kept.select(*RAW_COLUMNS).unionByName(new)
 

@@ -8,9 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.store import upsert, upsert_counts
-from tidemark.schema import RAW_COLUMNS
-from tidemark.sources.tables import RAW_STORE_SCHEMA
+from tidemark.operators.store import one_per_key, upsert_counts, upsert_staged
+from tidemark.schema import RAW_COLUMNS, RAW_SCHEMA
 
 PART_COLS = ("rate_type", "rate_month")
 
@@ -52,58 +51,118 @@ def _folders(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().toString() for f in fs.listStatus(p) if f.isDirectory()] if fs.exists(p) else []
 
 
-def create_raw(spark: SparkSession, path: str) -> None:
-    """An empty raw store, if there is none at ``path``."""
-    fs, p = fs_path(spark, path)
-    if not fs.exists(p):
-        fs.mkdirs(p)
-
-
-def _apply(spark: SparkSession, path: str, redo: str) -> None:
-    (_laid_out(spark.read.schema(RAW_STORE_SCHEMA).parquet(redo).select(*RAW_COLUMNS, "rate_month"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PART_COLS).parquet(path))
-    fs, p = fs_path(spark, redo)
+# ---- the raw store as a catalogue table -------------------------------------------
+
+#: Spark's parquet tables have no key or CHECK constraints; the rules stand in the table's properties, ``operators.validate`` keeps rows
+#: that break them out, and ``constraint_violations`` reports any.
+RAW_RULES = {
+    "tidemark.key": "currency_code, rate_date, rate_type",
+    "tidemark.check.code_pattern": "currency_code RLIKE '^[A-Z]{3}$'",
+    "tidemark.check.rate_positive": "exchange_rate > 0",
+    "tidemark.check.rate_type_known": "rate_type IN ('daily', 'monthly')",
+}
+RAW_COMMENT = "Rates by entity, date and type; one folder a type and month, switched as a whole"
+
+
+def create_raw(spark: SparkSession, table: str, base: str | None = None) -> None:
+    """The empty raw table ``database.name``, if the catalogue has none: columns with their comments, the rules as properties,
+    partitions by type and month that the catalogue tracks. Files go below ``base``, or the database's own folder."""
+    database, name = table.split(".")
+    if base:
+        ensure_database(spark, database, base)
+    quoted = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    columns = [f"{f.name} {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'} COMMENT {quoted(f.metadata['comment'])}" for f in RAW_SCHEMA.fields]
+    columns.append("rate_month STRING COMMENT 'year and month of rate_date'")
+    rules = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in RAW_RULES.items())
+    at = f"LOCATION {quoted(base.rstrip('/') + '/' + name)}" if base else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING parquet PARTITIONED BY (rate_type, rate_month) {at} "
+              f"COMMENT {quoted(RAW_COMMENT)} TBLPROPERTIES ({rules})")
+
+
+def _catalogue(spark: SparkSession, table: str):
+    """The table's folder and the folder of each (type, month), as the catalogue has them."""
+    database, name = table.split(".")
+    catalogue = spark._jsparkSession.sessionState().catalog().externalCatalog()
+    parts = catalogue.listPartitions(database, name, spark._jvm.scala.Option.empty())
+    at = {}
+    for k in range(parts.size()):
+        spec = parts.apply(k).spec()
+        at[spec.apply("rate_type"), spec.apply("rate_month")] = parts.apply(k).location().toString()
+    return catalogue.getTable(database, name).location().toString(), at
+
+
+def _write_version(spark: SparkSession, table: str, rows: DataFrame) -> dict[tuple[str, str], str]:
+    """Write ``rows`` to a new version folder of the table; the folder of each (type, month)."""
+    version = f"{_catalogue(spark, table)[0]}/v_{uuid.uuid4().hex}"
+    write_raw(rows, version)
+    out = {}
+    for kind in _folders(spark, version):
+        for month in _folders(spark, kind):
+            out[kind.rsplit("=", 1)[1], month.rsplit("=", 1)[1]] = month
+    return out
+
+
+def _switch(spark: SparkSession, table: str, folders: dict[tuple[str, str], str]) -> None:
+    """Point the table's partitions at ``folders``: each month changes as a whole, in one step of the catalogue."""
+    known = _catalogue(spark, table)[1]
+    spec = lambda key: f"PARTITION (rate_type = '{key[0]}', rate_month = '{key[1]}')"
+    new = [f"{spec(k)} LOCATION '{at}'" for k, at in folders.items() if k not in known]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD {' '.join(new)}")
+    for k in known.keys() & folders.keys():
+        spark.sql(f"ALTER TABLE {table} {spec(k)} SET LOCATION '{folders[k]}'")
+    spark.sql(f"REFRESH TABLE {table}")
+
+
+def load_raw(spark: SparkSession, table: str, rows: DataFrame, base: str | None = None) -> None:
+    """Put ``rows`` into the raw table, created if absent; months that they touch are replaced."""
+    create_raw(spark, table, base)
+    _switch(spark, table, _write_version(spark, table, rows))
+
+
+def upsert_into(spark: SparkSession, table: str, batch: DataFrame, as_of, seq=None, base: str | None = None) -> dict:
+    """Upsert ``batch`` into the raw table (created if absent), rewriting only the touched (rate_type, rate_month) partitions;
+    returns the inserted and updated keys.
+
+    The batch, one row a key, is staged once; counts and merge read it from there. The touched partition list is small (types x
+    months of the batch) and prunes the read of the table. The merged months are written to a new version folder, and only then does the
+    catalogue switch each of them, so a reader sees every month at all times, old or new as a whole. Should the switch be cut
+    off, some months are old still, and the same upsert run again completes it. Old folders stay for :func:`vacuum`. One writer at a time."""
+    create_raw(spark, table, base)
+    place = _catalogue(spark, table)[0]
+    staged = f"{place}_staged/{uuid.uuid4().hex}"
+    new = with_partition(one_per_key(batch, as_of, seq))
+    new.write.parquet(staged)
+    new = spark.read.schema(new.schema).parquet(staged)
+    touched = new.select(*PART_COLS).distinct().collect()
+    counts = {"inserted": 0, "updated": 0}
+    if touched:
+        in_touched = F.lit(False)
+        for kind in sorted({r["rate_type"] for r in touched}):
+            months = sorted({r["rate_month"] for r in touched if r["rate_type"] == kind})
+            in_touched = in_touched | ((F.col("rate_type") == kind) & F.col("rate_month").isin(months))
+        target = spark.table(table).filter(in_touched)
+        counts = upsert_counts(target, new).first().asDict()
+        _switch(spark, table, _write_version(spark, table, upsert_staged(target, new)))
+    fs, p = fs_path(spark, staged)
     fs.delete(p, True)
+    return counts
 
 
-def recover(spark: SparkSession, path: str) -> int:
-    """Finish upserts that were cut off: complete redo folders are applied again, unfinished ones dropped."""
-    done = 0
-    for redo in _folders(spark, f"{path}_redo"):
-        fs, marker = fs_path(spark, f"{redo}/_SUCCESS")
-        if fs.exists(marker):
-            _apply(spark, path, redo)
-            done += 1
-        else:
-            fs.delete(fs_path(spark, redo)[1], True)
-    return done
-
-
-def upsert_into(spark: SparkSession, path: str, batch: DataFrame, as_of, seq=None) -> dict:
-    """Upsert ``batch`` into the raw store at ``path`` (created if absent), rewriting only the touched
-    (rate_type, month) partitions; returns the inserted and updated keys.
-
-    The touched partition list is small (types x months of the batch) and is used as a
-    partition filter, so untouched partitions are neither read nor written. The merged
-    partitions are first written to a redo folder beside the store and only then put in the place of the old
-    ones. Until the redo folder is complete the store is as before; should the replacement be cut off, the next
-    upsert (or :func:`recover`) applies the folder again. One writer at a time.
-    """
-    create_raw(spark, path)
-    recover(spark, path)
-    touched = with_partition(batch).select(*PART_COLS).distinct().collect()
-    if not touched:
-        return {"inserted": 0, "updated": 0}
-    in_touched = F.lit(False)
-    for kind in sorted({r["rate_type"] for r in touched}):
-        months = sorted({r["rate_month"] for r in touched if r["rate_type"] == kind})
-        in_touched = in_touched | ((F.col("rate_type") == kind) & F.col("rate_month").isin(months))
-    target = spark.read.schema(RAW_STORE_SCHEMA).parquet(path).filter(in_touched).drop("rate_month")
-    counts = upsert_counts(target, batch).first().asDict()
-    redo = f"{path}_redo/{uuid.uuid4().hex}"
-    with_partition(upsert(target, batch, as_of, seq=seq)).write.parquet(redo)
-    _apply(spark, path, redo)
-    return counts
+def vacuum(spark: SparkSession, table: str) -> int:
+    """Delete the folders of the raw table that no partition points at any more, month by month; returns how many went. Readers that
+    began before the last upsert must be done."""
+    place, used = _catalogue(spark, table)
+    kept = {fs_path(spark, at)[1].toUri().getPath() for at in used.values()}
+    gone = 0
+    for version in _folders(spark, place):
+        months = [m for kind in _folders(spark, version) for m in _folders(spark, kind)]
+        left = [m for m in months if fs_path(spark, m)[1].toUri().getPath() in kept]
+        for m in [version] if not left else [m for m in months if m not in left]:
+            fs, p = fs_path(spark, m)
+            fs.delete(p, True)
+            gone += 1
+    return gone
 
 
 def ensure_database(spark: SparkSession, database: str, base: str) -> None:

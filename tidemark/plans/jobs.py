@@ -72,13 +72,13 @@ BATCH = ["currency_code", "currency_name", "exchange_rate", "rate_date", "rate_t
 ARRIVAL = ["arrived", "file", "position"]
 
 
-def run_daily(spark: SparkSession, daily_xml: str | None, monthly_json: str | None, raw_path: str,
+def run_daily(spark: SparkSession, daily_xml: str | None, monthly_json: str | None, raw: str,
               as_of: dt.datetime, majors=("USD", "EUR", "CNY"), upper: float = 1000.0,
               target_date: dt.date | None = None, rejects_path: str | None = None, max_code: int = validate.MAX_CODE,
               monthly_multiline: bool = True) -> dict:
     """Daily ETL: landed payloads -> validate -> upsert -> quality report and totals.
 
-    ``daily_xml`` is the landing root; only the folder of ``target_date`` (by default the run date's yesterday,
+    ``raw`` is the raw table (``database.name``), created if absent. ``daily_xml`` is the landing root; only the folder of ``target_date`` (by default the run date's yesterday,
     which is also the check date) is read. Monthly payloads are kept for the previous and the current year of
     the run date; rows of other years are counted in ``outside_years``. Rejected rows, and broken documents, keep their original text
     and reason, are counted and, with ``rejects_path``, written (one folder a run, overwritten by a rerun):
@@ -111,14 +111,14 @@ def run_daily(spark: SparkSession, daily_xml: str | None, monthly_json: str | No
             rejects = spark.read.schema(rejects.schema).parquet(stored)
         totals = quality.run_totals(batch).first().asDict()
         reasons = {r["reason"]: r["n"] for r in rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).collect()}
-        counts = upsert_into(spark, raw_path, batch, as_of, seq=ARRIVAL)
+        counts = upsert_into(spark, raw, batch, as_of, seq=ARRIVAL)
     else:
-        create_raw(spark, raw_path)
-    report = quality.dq_report(read_raw(spark, raw_path), check_date, majors, upper)
+        create_raw(spark, raw)
+    report = quality.dq_report(read_raw(spark, raw), check_date, majors, upper)
     return {"totals": totals, **counts, "rejected": reasons, "outside_years": outside, "dq": report, "check_date": check_date}
 
 
-def period_load(spark: SparkSession, daily: DataFrame, monthly: DataFrame | None, raw_path: str,
+def period_load(spark: SparkSession, daily: DataFrame, monthly: DataFrame | None, raw: str,
                 start, end, as_of: dt.datetime, skip_weekends: bool = False,
                 load_type: str = "both", today=None, seq=None) -> dict:
     """Period load: argument checks, day status over the calendar and its summary, validation, rows of the closed
@@ -135,8 +135,8 @@ def period_load(spark: SparkSession, daily: DataFrame, monthly: DataFrame | None
     if skip_weekends:
         wanted = wanted & ~(F.col("__daily") & F.dayofweek(day).isin(1, 7))
     checked = validate.parsed(store.union_sources(d, m, load_type)).filter(day.isNull() | wanted).drop("__daily")
-    counts = upsert_into(spark, raw_path, validate.valid(checked), as_of, seq=seq)
-    report = quality.load_report(read_raw(spark, raw_path), s, e)
+    counts = upsert_into(spark, raw, validate.valid(checked), as_of, seq=seq)
+    report = quality.load_report(read_raw(spark, raw), s, e)
     return {"check": info, "day_status": status, "summary": cal.day_status_summary(status), **counts,
             "rejected": validate.rejected(checked), "report": report}
 
@@ -160,7 +160,7 @@ def manifest_days(spark: SparkSession, manifest: str) -> DataFrame:
     return last.select("rate_date", "status", "rows", "rejected")
 
 
-def load_landed_period(spark: SparkSession, daily_xml: str, raw_path: str, manifest: str, start, end, as_of: dt.datetime,
+def load_landed_period(spark: SparkSession, daily_xml: str, raw: str, manifest: str, start, end, as_of: dt.datetime,
                        skip_weekends: bool = False, monthly_json: str | None = None, monthly_multiline: bool = True,
                        load_type: str = "both", today=None, max_code: int = validate.MAX_CODE) -> dict:
     """Resumable period load of landed files: reads only the days that ``manifest`` does not have as done.
@@ -203,13 +203,13 @@ def load_landed_period(spark: SparkSession, daily_xml: str, raw_path: str, manif
     if todo and parts:
         reduce(DataFrame.unionByName, parts).write.parquet(stage)
         staged = spark.read.schema(schema).parquet(stage)
-        counts = upsert_into(spark, raw_path, validate.valid(staged).drop("day"), as_of, seq=ARRIVAL)
+        counts = upsert_into(spark, raw, validate.valid(staged).drop("day"), as_of, seq=ARRIVAL)
         rejected = validate.rejected(staged).drop("day")
         per_day = staged.filter(F.col("day").isNotNull()).groupBy(F.col("day").alias("rate_date")).agg(
             F.count_if(F.col("reason").isNull()).alias("rows"), F.count_if(F.col("reason").isNotNull()).alias("rejected"),
             F.count_if(F.col("reason") == payloads.BAD_DOCUMENT).alias("broken"))
     else:
-        create_raw(spark, raw_path)
+        create_raw(spark, raw)
         rejected = spark.createDataFrame([], schema).drop("day")
         per_day = spark.createDataFrame([], "rate_date date, rows bigint, rejected bigint, broken bigint")
     if load_type != "monthly_only":
@@ -223,7 +223,7 @@ def load_landed_period(spark: SparkSession, daily_xml: str, raw_path: str, manif
     summary = now.agg(F.count_if(F.col("status") == "done").alias("successful_days"), F.count_if(F.col("status") == "failed").alias("failed_days"),
                       F.count_if(F.col("status") == "skipped").alias("skipped_days"), F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"))
     return {"check": info, "read_days": len(todo), **counts, "rejected": rejected, "day_status": now, "summary": summary,
-            "report": quality.load_report(read_raw(spark, raw_path), s, e)}
+            "report": quality.load_report(read_raw(spark, raw), s, e)}
 
 
 def catalog_status(spark: SparkSession, database: str = "marts", names=MART_NAMES,

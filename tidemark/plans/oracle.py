@@ -484,3 +484,5 @@ SELECT currency_code, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date,
 WHERE NOT EXISTS (SELECT 1 FROM new n WHERE r.currency_code = n.currency_code AND r.rate_date = n.rate_date AND r.rate_type = n.rate_type)
 UNION ALL
 SELECT currency_code, CAST(exchange_rate AS DOUBLE), rate_date, rate_type, nominal, CAST(NULL AS TIMESTAMP) FROM new""")
+
+ORACLE["upsert_raw_table"] = ORACLE["upsert_rates"]

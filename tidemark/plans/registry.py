@@ -7,6 +7,7 @@ so the numbers compare across engines; the marts themselves keep decimals.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -118,6 +119,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tidemark.functions import calendar as cal  # noqa: E402
 from tidemark.operators import quality, store, validate  # noqa: E402
 from tidemark.sources.records import dirty_records  # noqa: E402
+from tidemark.operators.tables import load_raw, upsert_into  # noqa: E402
 from tidemark.session import shared_dir  # noqa: E402
 from tidemark.sources.tables import MAX_CODE, daily_from_lines, read_raw  # noqa: E402
 
@@ -142,6 +144,21 @@ def _batch(spark, sf):
     return first.unionByName(second)
 
 
+def _raw_table(spark, rates):
+    """A raw table of its own in the catalogue, filled with ``rates``."""
+    name = f"tidemark_raw.rates_{uuid.uuid4().hex}"
+    load_raw(spark, name, rates, shared_dir(spark, "raw"))
+    return name
+
+
+@register("upsert_raw_table")
+def _upsert_raw_table(spark, sf):
+    """The raw table of the catalogue after an upsert that switches the touched months."""
+    name = _raw_table(spark, rates_from_lines(spark, sf))
+    upsert_into(spark, name, _batch(spark, sf), P.UPSERT_AS_OF, seq="seq")
+    return read_raw(spark, name)
+
+
 @register("validate_records")
 def _validate(spark, sf):
     return _checked(spark, sf)
@@ -303,10 +320,8 @@ def _monthly_rejects(spark, sf):
 def _ingest(spark, sf):
     """Raw store from the derived rates, two landed record files (the valid records and
     their corrections), one availableNow stream run; returns the raw store."""
-    from tidemark.operators.tables import write_raw
     root = shared_dir(spark, "ingest")
-    raw_path, landing = f"{root}/raw", f"{root}/landing"
-    write_raw(rates_from_lines(spark, sf), raw_path)
+    raw, landing = _raw_table(spark, rates_from_lines(spark, sf)), f"{root}/landing"
     recs = dirty_records(daily_from_lines(spark, sf).drop("k"))
     recs.withColumn("seq", F.lit(1).cast("long")).write.json(f"{landing}/part=1")
     fixed = validate.valid(validate.parsed(recs, max_code=MAX_CODE))
@@ -316,9 +331,9 @@ def _ingest(spark, sf):
         F.col("rate_date").cast("string").alias("rate_date"), "rate_type",
         F.col("nominal").cast("string").alias("nominal"), F.lit(2).cast("long").alias("seq"))
     second.write.json(f"{landing}/part=2")
-    incremental_ingest(spark, f"{landing}/*", raw_path, f"{root}/_checkpoint", P.UPSERT_AS_OF,
+    incremental_ingest(spark, f"{landing}/*", raw, f"{root}/_checkpoint", P.UPSERT_AS_OF,
                        rejects_path=f"{root}/rejects", max_code=MAX_CODE)
-    return read_raw(spark, raw_path)
+    return read_raw(spark, raw)
 
 
 @register("refresh_marts")
@@ -344,7 +359,6 @@ def _weekly_incremental(spark, sf):
 
 import datetime as dt  # noqa: E402
 
-from tidemark.operators.tables import write_raw  # noqa: E402
 from tidemark.sources.tables import superseded_lines  # noqa: E402
 
 
@@ -383,13 +397,13 @@ def _period_load(spark, sf):
     root = shared_dir(spark, "period_load")
     rates = rates_from_lines(spark, sf)
     wanted = (F.col("rate_type") == "daily") & F.col("rate_date").between(F.lit(P.PERIOD_START), F.lit(P.PERIOD_END))
-    write_raw(rates.filter(~(wanted & (F.col("nominal") == 1))), f"{root}/raw")
+    raw = _raw_table(spark, rates.filter(~(wanted & (F.col("nominal") == 1))))
     payloads.write_daily_xml(rates.filter(F.col("rate_type") == "daily"), f"{root}/landing")
     spark.createDataFrame([("<ValuteData><ValuteCursOnDate><Vname>cut", P.BROKEN_DAY)], "doc string, rate_date date") \
         .write.mode("append").partitionBy("rate_date").text(f"{root}/landing")
 
     def load(day):
-        return jobs.load_landed_period(spark, f"{root}/landing", f"{root}/raw", f"{root}/manifest", P.PERIOD_START, P.PERIOD_END,
+        return jobs.load_landed_period(spark, f"{root}/landing", raw, f"{root}/manifest", P.PERIOD_START, P.PERIOD_END,
                                        dt.datetime.combine(P.AS_OF + dt.timedelta(days=day), dt.time(18)), skip_weekends=True, load_type="daily_only", max_code=MAX_CODE)
 
     first, second = load(1), load(2)
@@ -405,9 +419,7 @@ def _period_load(spark, sf):
 @register("period_rows")
 def _period_rows(spark, sf):
     """A closed period without weekends, read from the month folders of a raw store that it touches."""
-    path = f"{shared_dir(spark, 'period')}/raw"
-    write_raw(rates_from_lines(spark, sf), path)
-    rows = read_raw(spark, path, P.PERIOD_START, P.PERIOD_END)
+    rows = read_raw(spark, _raw_table(spark, rates_from_lines(spark, sf)), P.PERIOD_START, P.PERIOD_END)
     return rows.filter((F.col("rate_type") == "daily") & ~F.dayofweek("rate_date").isin(1, 7))
 
 
@@ -417,11 +429,11 @@ def _run_daily(spark, sf):
     root = shared_dir(spark, "run_daily")
     rates = rates_from_lines(spark, sf)
     today = (F.col("rate_type") == "daily") & (F.col("rate_date") == F.lit(P.CHECK_DATE))
-    write_raw(rates.filter(~(today & (F.col("nominal") == 1))), f"{root}/raw")
+    raw = _raw_table(spark, rates.filter(~(today & (F.col("nominal") == 1))))
     payloads.write_daily_xml(rates.filter(today), f"{root}/landing")
     as_of = dt.datetime.combine(P.CHECK_DATE + dt.timedelta(days=1), dt.time(18))
     payloads.write_monthly_json(rates.filter(F.col("rate_type") == "monthly"), f"{root}/monthly")
-    out = jobs.run_daily(spark, f"{root}/landing", f"{root}/monthly", f"{root}/raw", as_of, P.MAJORS, P.ANOMALY_UPPER, rejects_path=f"{root}/rejects", max_code=MAX_CODE,
+    out = jobs.run_daily(spark, f"{root}/landing", f"{root}/monthly", raw, as_of, P.MAJORS, P.ANOMALY_UPPER, rejects_path=f"{root}/rejects", max_code=MAX_CODE,
                          monthly_multiline=False)
     one = {"daily": out["totals"]["daily"], "monthly": out["totals"]["monthly"], "outside_years": out["outside_years"], "total": out["totals"]["total"], "inserted": out["inserted"], "updated": out["updated"],
            "rejected": sum(out["rejected"].values())}

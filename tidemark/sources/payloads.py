@@ -16,10 +16,13 @@ of no bytes, have no rows and no reject.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.calendar import as_date
 from tidemark.functions.codes import code_from_name
 from tidemark.functions.literals import date_lit
 from tidemark.operators import validate
@@ -98,16 +101,26 @@ def daily_checked(valutes: DataFrame, strict: bool = False, max_code: int = vali
 def read_daily_valutes(spark: SparkSession, path: str, start=None, end=None, days=None) -> DataFrame:
     """The elements of landed daily files, as text, with ``rate_date`` from the folder and the file's place in the
     order of arrival (``arrived``, ``file``, ``position``); ``document`` is the text of a broken file, else null. ``start`` and
-    ``end`` (closed) prune the date folders, or ``days``, a list of them."""
+    ``end`` (closed), or ``days``, a list of dates, choose the date folders; only those are listed and read."""
     schema = T.StructType([*VALUTE.fields, T.StructField("rate_date", T.DateType()), CORRUPT])
     rows = spark.read.format("xml").option("rowTag", "ValuteCursOnDate").option("mode", "PERMISSIVE") \
-        .option("columnNameOfCorruptRecord", CORRUPT.name).schema(schema).load(path)
+        .option("columnNameOfCorruptRecord", CORRUPT.name).schema(schema)
+    if days is None and start is not None and end is not None:
+        days = [as_date(start) + dt.timedelta(days=k) for k in range((as_date(end) - as_date(start)).days + 1)]
+    if days is None:
+        rows = rows.load(path)
+    else:
+        folders = [f"{path.rstrip('/')}/rate_date={as_date(d).isoformat()}" for d in days]
+        fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        there = [f for f in folders if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f))]
+        rows = rows.option("basePath", path).load(there) if there else spark.createDataFrame([], schema)
+        if not there:
+            return rows.select(*[f.name for f in VALUTE.fields], "rate_date", F.col(CORRUPT.name).alias("document"), F.lit(None).cast("timestamp").alias("arrived"),
+                               F.lit("").alias("file"), F.lit(0).cast("long").alias("position"))
     if start is not None:
         rows = rows.filter(F.col("rate_date") >= date_lit(start))
     if end is not None:
         rows = rows.filter(F.col("rate_date") <= date_lit(end))
-    if days is not None:
-        rows = rows.filter(F.col("rate_date").isin([date_lit(d) for d in days])) if days else rows.limit(0)
     # a broken file's row has no fields; a count must not read the text alone, which Spark refuses
     document = F.when(F.coalesce(*[f.name for f in VALUTE.fields]).isNull(), F.col(CORRUPT.name))
     return rows.select(*[f.name for f in VALUTE.fields], "rate_date", document.alias("document"), F.col("_metadata.file_modification_time").alias("arrived"),

@@ -110,13 +110,14 @@ def rates_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str, start=None, end=None, with_month: bool = False) -> DataFrame:
-    """The raw store: parquet partitioned by rate_type and rate_month (see operators.tables.write_raw).
+    """The raw store: the catalogue table ``database.name``, or a folder, partitioned by rate_type and rate_month (see
+    ``operators.tables``).
 
     ``start`` and ``end`` (closed) prune the month folders and filter the rows. ``with_month`` keeps the
     partition column, which the trailing windows of the marts and panels use for their own bounds.
     """
     from tidemark.schema import RAW_COLUMNS
-    rows = spark.read.schema(RAW_STORE_SCHEMA).parquet(path)
+    rows = spark.read.schema(RAW_STORE_SCHEMA).parquet(path) if "/" in path else spark.table(path)
     for bound, side in ((start, "ge"), (end, "le")):
         if bound is not None:
             day = date_lit(bound)

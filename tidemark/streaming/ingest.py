@@ -19,20 +19,20 @@ from tidemark.schema import RECORD_SCHEMA
 LANDING_SCHEMA = T.StructType(RECORD_SCHEMA.fields + [T.StructField("seq", T.LongType(), True)])
 
 
-def ingest_batch(spark: SparkSession, raw_path: str, as_of, rejects_path: str | None = None, max_code: int = validate.MAX_CODE):
+def ingest_batch(spark: SparkSession, raw: str, as_of, rejects_path: str | None = None, max_code: int = validate.MAX_CODE):
     def run(batch: DataFrame, epoch_id: int) -> None:
         checked = validate.parsed(batch, max_code=max_code).persist()
         try:
             if rejects_path:
                 # one folder per epoch, overwritten: an epoch that runs again leaves one copy
                 validate.rejected(checked).write.mode("overwrite").parquet(f"{rejects_path}/epoch={epoch_id}")
-            upsert_into(spark, raw_path, validate.valid(checked), as_of, seq="seq")
+            upsert_into(spark, raw, validate.valid(checked), as_of, seq="seq")
         finally:
             checked.unpersist()
     return run
 
 
-def incremental_ingest(spark: SparkSession, landing: str, raw_path: str, checkpoint: str, as_of,
+def incremental_ingest(spark: SparkSession, landing: str, raw: str, checkpoint: str, as_of,
                        rejects_path: str | None = None, fmt: str = "json",
                        max_files_per_trigger: int | None = None, max_code: int = validate.MAX_CODE) -> None:
     """Process every file landed so far and stop (availableNow)."""
@@ -40,7 +40,7 @@ def incremental_ingest(spark: SparkSession, landing: str, raw_path: str, checkpo
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     q = (reader.load(landing).writeStream
-         .foreachBatch(ingest_batch(spark, raw_path, as_of, rejects_path, max_code))
+         .foreachBatch(ingest_batch(spark, raw, as_of, rejects_path, max_code))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
