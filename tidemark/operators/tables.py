@@ -79,15 +79,15 @@ def create_raw(spark: SparkSession, table: str, base: str | None = None) -> None
               f"COMMENT {quoted(RAW_COMMENT)} TBLPROPERTIES ({rules})")
 
 
-def _catalogue(spark: SparkSession, table: str):
-    """The table's folder and the folder of each (type, month), as the catalogue has them."""
+def _catalogue(spark: SparkSession, table: str, by: tuple = PART_COLS):
+    """The table's folder and the folder of each partition (by default of each type and month), as the catalogue has them."""
     database, name = table.split(".")
     catalogue = spark._jsparkSession.sessionState().catalog().externalCatalog()
     parts = catalogue.listPartitions(database, name, spark._jvm.scala.Option.empty())
     at = {}
     for k in range(parts.size()):
         spec = parts.apply(k).spec()
-        at[spec.apply("rate_type"), spec.apply("rate_month")] = parts.apply(k).location().toString()
+        at[tuple(spec.apply(c) for c in by)] = parts.apply(k).location().toString()
     return catalogue.getTable(database, name).location().toString(), at
 
 
@@ -102,10 +102,10 @@ def _write_version(spark: SparkSession, table: str, rows: DataFrame) -> dict[tup
     return out
 
 
-def _switch(spark: SparkSession, table: str, folders: dict[tuple[str, str], str]) -> None:
+def _switch(spark: SparkSession, table: str, folders: dict[tuple, str], by: tuple = PART_COLS) -> None:
     """Point the table's partitions at ``folders``: each month changes as a whole, in one step of the catalogue."""
-    known = _catalogue(spark, table)[1]
-    spec = lambda key: f"PARTITION (rate_type = '{key[0]}', rate_month = '{key[1]}')"
+    known = _catalogue(spark, table, by)[1]
+    spec = lambda key: "PARTITION (" + ", ".join(f"{c} = '{v}'" for c, v in zip(by, key)) + ")"
     new = [f"{spec(k)} LOCATION '{at}'" for k, at in folders.items() if k not in known]
     if new:
         spark.sql(f"ALTER TABLE {table} ADD {' '.join(new)}")
@@ -149,6 +149,28 @@ def upsert_into(spark: SparkSession, table: str, batch: DataFrame, as_of, seq=No
     return counts
 
 
+MONTH = ("rate_month",)
+
+
+def replace_months(spark: SparkSession, table: str, rows: DataFrame, base: str, months: list[str] | None = None) -> None:
+    """Put the months of ``rows`` (column ``rate_month``) into the table ``database.name``, which is created if absent and whose
+    partitions are switched as the raw table's are. Of ``months``, those without rows become empty."""
+    database, name = table.split(".")
+    ensure_database(spark, database, base)
+    if not spark.catalog.tableExists(table):
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (rate_month) LOCATION '{base.rstrip('/')}/{name}'")
+    version = f"{_catalogue(spark, table, MONTH)[0]}/v_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartitionByRange(n, "rate_month", "currency_code").sortWithinPartitions("rate_month", "currency_code").write.partitionBy("rate_month").parquet(version)
+    written = {(m.rsplit("=", 1)[1],): m for m in _folders(spark, version)}
+    _switch(spark, table, written, MONTH)
+    known = _catalogue(spark, table, MONTH)[1]
+    for m in months or []:
+        if (m,) not in written and (m,) in known:
+            spark.sql(f"ALTER TABLE {table} DROP PARTITION (rate_month = '{m}')")
+
+
 def vacuum(spark: SparkSession, table: str) -> int:
     """Delete the folders of the raw table that no partition points at any more, month by month; returns how many went. Readers that
     began before the last upsert must be done."""
