@@ -1,5 +1,7 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import D, raw_rows, raw_table
@@ -68,7 +70,22 @@ def test_refresh_marts_publishes_and_switches(spark):
     assert spark.table("test_marts.daily_changes").count() == 120
     v2 = publish(spark, spark.table("test_marts.top_volatile").limit(1), base, "top_volatile", "test_marts")
     assert spark.table("test_marts.top_volatile").count() == 1 and "v_" in v2
-    assert spark.read.parquet(f"{base}/log").count() == 1
+    log = {r.mart: r for r in jobs.refresh_log(spark, f"{base}/log").collect()}
+    assert {m: r.rows for m, r in log.items()} == {k: v for k, v in status.items() if k != "total"}
+    assert len({r.run for r in log.values()}) == 1 and all(r.seconds > 0 and r.log_message == "mart refreshed" for r in log.values())
+
+
+def test_failed_mart_is_logged_and_raised(spark, monkeypatch):
+    raw = raw_rows(spark, [("A", D(2024, 1, 1) + dt.timedelta(days=i), 10 + i) for i in range(20)])
+    base = shared_dir(spark, "test-failed-mart")
+    plans = jobs.build_marts(raw, D(2024, 1, 20), "A")
+    plans["weekly_stats"] = plans["weekly_stats"].withColumn("x", F.raise_error(F.lit("no weeks today")))
+    monkeypatch.setattr(jobs, "build_marts", lambda *a: plans)
+    with pytest.raises(Exception, match="no weeks today"):
+        jobs.refresh_marts(spark, raw, base, D(2024, 1, 20), "A", names=("monthly_stats", "weekly_stats"), database="failed_marts", log_path=f"{base}/log")
+    log = {r.mart: (r.rows, "no weeks today" in r.log_message) for r in jobs.refresh_log(spark, f"{base}/log").collect()}
+    assert log == {"monthly_stats": (1, False), "weekly_stats": (None, True)}
+    assert spark.table("failed_marts.monthly_stats").count() == 1
 
 
 def test_run_daily_and_period_load(spark):

@@ -5,11 +5,12 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
@@ -56,16 +57,34 @@ def refresh_marts(spark: SparkSession, raw: DataFrame, base: str, as_of, anchor:
     Nothing is cached: each mart reads only its columns and, on a raw store, its month folders. The marts are
     independent jobs, submitted from ``parallel`` driver threads so their stages share the cluster.
     Each mart is written, sorted by entity and period, to a new version folder and switched in the catalog; a failed
-    mart raises after the others finish, and the old versions stay readable."""
+    mart raises after the others finish, and the old versions stay readable. With ``log_path`` the run is logged: one row a mart with
+    the rows that its write counted (an observation of the same pass), the seconds and the time it was done; a failed one has no rows
+    and its error as the message."""
     ensure_database(spark, database, base)
     plans = build_marts(raw, as_of, anchor)
+    run = uuid.uuid4().hex
+
+    def one(name: str) -> tuple[str | None, tuple, Exception | None]:
+        seen, began = Observation(f"{name}_{run}"), time.monotonic()
+        try:
+            version = publish(spark, plans[name], base, name, database, SORT_OF.get(name, ()), seen)
+        except Exception as error:  # noqa: BLE001 - logged here, raised below
+            return None, (f"{type(error).__name__}: {error}"[:1000], dt.datetime.now(), run, name, None, time.monotonic() - began), error
+        return version, ("mart refreshed", dt.datetime.now(), run, name, seen.get["rows"], time.monotonic() - began), None
+
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-        futures = {n: pool.submit(publish, spark, plans[n], base, n, database, SORT_OF.get(n, ())) for n in names}
-        versions = {n: f.result() for n, f in futures.items()}
+        done = dict(zip(names, pool.map(one, names)))
     if log_path:
-        spark.createDataFrame([("marts refreshed", dt.datetime.now())], LOG_SCHEMA) \
-            .write.mode("append").parquet(log_path)
-    return mart_status(spark, versions)
+        spark.createDataFrame([row for _, row, _ in done.values()], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log_path)
+    for _, _, error in done.values():
+        if error is not None:
+            raise error
+    return mart_status(spark, {n: version for n, (version, _, _) in done.items()})
+
+
+def refresh_log(spark: SparkSession, log_path: str) -> DataFrame:
+    """The rows of the refresh log, latest runs first."""
+    return spark.read.schema(LOG_SCHEMA).parquet(log_path).orderBy(F.col("log_time").desc(), "mart")
 
 
 BATCH = ["currency_code", "currency_name", "exchange_rate", "rate_date", "rate_type", "nominal"]

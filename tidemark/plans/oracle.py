@@ -486,3 +486,22 @@ UNION ALL
 SELECT currency_code, CAST(exchange_rate AS DOUBLE), rate_date, rate_type, nominal, CAST(NULL AS TIMESTAMP) FROM new""")
 
 ORACLE["upsert_raw_table"] = ORACLE["upsert_rates"]
+
+_LOADED = _UPSERTED.replace("1, seq FROM batch)", "1, seq FROM batch WHERE rate_date >= DATE '2001-08-01')")
+
+
+def _after_load(name: str) -> str:
+    """A mart's SQL over the relation after the load of the last months."""
+    body = ORACLE[name].replace("WITH " + RATES_CTE + ", ", "").replace("FROM rates", "FROM up")
+    return with_records(_LOADED + ", " + body.lstrip())
+
+
+ORACLE.update({
+    "moments_weekly_stats": _after_load("weekly_stats"),
+    "moments_correlation": _after_load("anchor_correlation"),
+    "moments_top_volatile": _after_load("top_volatile"),
+    "daily_changes_incremental": _after_load("daily_changes"),
+    "load_stats_bitmaps": ORACLE["load_stats"],
+    "refresh_log": with_rates("SELECT 'mart refreshed' AS log_message, mart, rows FROM (" + ORACLE["refresh_marts"].replace("WITH " + RATES_CTE + ", ", "WITH ")
+                              + ") WHERE mart <> 'total'").replace(", SELECT 'mart refreshed'", " SELECT 'mart refreshed'"),
+})

@@ -461,3 +461,71 @@ def _published(spark, sf):
     base = shared_dir(spark, "published")
     jobs.refresh_marts(spark, rates_from_lines(spark, sf), base, P.AS_OF, P.ANCHOR, names=("weekly_stats",), database="tidemark_published")
     return spark.table("tidemark_published.weekly_stats").withColumn("volatility", F.round("volatility", 4))
+
+
+# ---- marts kept up to date from stored summaries ------------------------------------
+
+from tidemark.operators import incremental  # noqa: E402
+
+
+def _after_load(spark, sf):
+    """A raw table and its moments, built before a load of the last months and brought up to date after it: the raw
+    table's name, the moments, and the loaded rows with the table and folder of the daily changes built before."""
+    rates, root, tag = rates_from_lines(spark, sf), shared_dir(spark, "incremental"), uuid.uuid4().hex
+    raw, moments, changes = _raw_table(spark, rates), f"tidemark_inc.moments_{tag}", f"tidemark_inc.changes_{tag}"
+    before = read_raw(spark, raw, with_month=True)
+    incremental.refresh_moments(spark, before, None, moments, root, P.ANCHOR)
+    load = _batch(spark, sf).filter(F.col("rate_date") >= F.lit(P.LOAD_START))
+
+    def finish(with_changes=False):
+        if with_changes:
+            incremental.refresh_daily_changes(spark, before, spark.table(moments), None, changes, root)
+        upsert_into(spark, raw, load, P.UPSERT_AS_OF, seq="seq")
+        after = read_raw(spark, raw, with_month=True)
+        incremental.refresh_moments(spark, after, load, moments, root, P.ANCHOR)
+        pieces = spark.table(moments)
+        if with_changes:
+            incremental.refresh_daily_changes(spark, after, pieces, load, changes, root)
+        return after, pieces, changes
+    return finish
+
+
+@register("moments_weekly_stats")
+def _moments_weekly(spark, sf):
+    """The weekly mart after a load, merged from moments of which only the loaded months were made anew."""
+    return incremental.period_stats(_after_load(spark, sf)()[1], "week", volatility_digits=4)
+
+
+@register("moments_correlation")
+def _moments_correlation(spark, sf):
+    return incremental.anchor_correlation(_after_load(spark, sf)()[1], P.ANCHOR)
+
+
+@register("moments_top_volatile")
+def _moments_top(spark, sf):
+    after, pieces, _ = _after_load(spark, sf)()
+    return incremental.top_volatile(pieces, after, P.AS_OF, P.ANCHOR)
+
+
+@register("daily_changes_incremental")
+def _changes_incremental(spark, sf):
+    """The daily changes table after a load that redid the touched months and the months that follow them."""
+    return spark.table(_after_load(spark, sf)(with_changes=True)[2]).drop("rate_month")
+
+
+@register("load_stats_bitmaps")
+def _load_stats_bitmaps(spark, sf):
+    """Load statistics of two loads (the morning's and the afternoon's), each summarised alone and merged by OR."""
+    raw = rates_from_events(spark, sf)
+    ids = _staged(raw.select("currency_code").distinct().withColumn("id", F.monotonically_increasing_id()), "entity_ids")
+    morning = F.hour("load_timestamp") < 12
+    parts = [_staged(incremental.load_bitmaps(raw.filter(half), ids), "load_bitmaps") for half in (morning, ~morning)]
+    return incremental.load_stats(incremental.merge_bitmaps(parts[0].unionByName(parts[1])))
+
+
+@register("refresh_log")
+def _refresh_log(spark, sf):
+    """What the log of a refresh says of it."""
+    base = shared_dir(spark, "marts_log")
+    jobs.refresh_marts(spark, rates_from_lines(spark, sf), base, P.AS_OF, P.ANCHOR, database="tidemark_logged", log_path=f"{base}/log")
+    return jobs.refresh_log(spark, f"{base}/log").select("log_message", "mart", "rows")

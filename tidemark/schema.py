@@ -41,6 +41,10 @@ FACT_COLUMNS = ("currency_code", "exchange_rate", "rate_date", "rate_type", "nom
 LOG_SCHEMA = T.StructType([
     T.StructField("log_message", T.StringType(), True),
     T.StructField("log_time", T.TimestampNTZType(), True),
+    T.StructField("run", T.StringType(), True),
+    T.StructField("mart", T.StringType(), True),
+    T.StructField("rows", T.LongType(), True),
+    T.StructField("seconds", T.DoubleType(), True),
 ])
 
 
