@@ -2,15 +2,17 @@
 
 A page is read into its leaf blocks: runs of text not interrupted by the start or end of a block
 element, in page order, each with its open elements and their class, id and role words. Scripts, styles,
-comments, head and the like give no block. Every block has binary features (ancestor tags, parent, name
+comments, head and the like, and elements that are hidden (attribute ``hidden``, ``display:none``), give no block. Every block has binary features (ancestor tags, parent, name
 words, length, link share, punctuation, place); the field scores each block's label (main
 text or not) by its features and by the label before it, also by whether both share a parent.
 
 The weights are trained on labelled pages by the gradient of the likelihood (forward and backward
-sums); the labels of a page are decoded by Viterbi. Training runs on the driver on at most ``MAX_PAGES`` pages:
-given pages carry their label in their markup (inside or outside the article), and each is also
-written anew in other layouts (:func:`layouts`) with other tags and names, so that the
-field learns the other features too. Extraction is a map over pages without a shuffle.
+sums); the labels of a page are decoded by Viterbi. Training runs on the driver on a bounded sample (parameters ``max_pages``, ``max_blocks``
+of a page, ``max_length`` of a page in characters, ``max_lines`` of a page that are written anew):
+given pages carry their label in their markup (inside the article, but not in a box there whose tag or names say that it is something
+else), and each is also written anew in other layouts (:func:`layouts`) with other tags and names, and with adverts, boxes, forms and
+reader comments inside the article, so that the field learns the other features too. Extraction is a map over pages without a shuffle;
+open elements are shared nodes, so its work is linear in a page's length however deeply it nests.
 
 Defined results: null, empty or textless html gives the empty text; unclosed tags, stray ``<`` and
 unfinished comments are read as browsers do; rows that repeat give equal texts; extra columns
@@ -29,9 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_PAGES = 200
-MAX_BLOCKS = 60  # of a page to train on
-EPOCHS = 100
+MAX_PAGES, MAX_BLOCKS, MAX_LENGTH, MAX_LINES = 200, 60, 100_000, 30
+VARIANTS = 8
+EPOCHS = 120
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset(
@@ -54,19 +56,48 @@ _LABEL = re.compile(r"data-y=\"([01])\"")
 _WORD = re.compile(r"[a-z]+")
 
 
+_UNSEEN = re.compile(r"(?:^|\s)hidden(?=$|[\s=/])(?!\s*=\s*[\"']?until-found)|style\s*=\s*(?:\"[^\"]*|'[^']*|\S*)display\s*:\s*none", re.I)
+
+
+_INLINE = frozenset("a b i em strong span small sup sub code u font mark time abbr cite q s img".split())
+
+
+class Node:
+    """An open element. ``new`` are the features that it adds to those of the elements around it."""
+
+    __slots__ = ("above", "tag", "label", "new", "names", "unseen", "block", "outer", "real", "real_above", "score")
+
+    def __init__(self, above, tag, label, new, names, unseen, serial):
+        self.above, self.tag, self.new, self.names, self.unseen, self.score = above, tag, new, names, unseen, None
+        self.label = label if label is not None or above is None else above.label
+        inner, outer = (above.block, above.outer) if above is not None else (0, 0)
+        self.block, self.outer = (serial, inner) if tag in BLOCKS else (inner, outer)
+        real, real_above = (above.real, above.real_above) if above is not None else ("none", None)
+        self.real, self.real_above = (real, real_above) if tag in _INLINE else (tag, real)
+
+    def path(self) -> list["Node"]:
+        """From the outermost element to this one."""
+        out, at = [], self
+        while at is not None:
+            out.append(at)
+            at = at.above
+        return out[::-1]
+
+
 class Block:
-    __slots__ = ("path", "label", "text", "linked", "parent")
+    __slots__ = ("node", "label", "text", "linked", "parent")
 
-    def __init__(self, path, label, text, linked, parent):
-        self.path, self.label, self.text, self.linked, self.parent = path, label, text, linked, parent
+    def __init__(self, node, label, text, linked, parent):
+        self.node, self.label, self.text, self.linked, self.parent = node, label, text, linked, parent
 
 
 def blocks_of(page: str) -> list[Block]:
-    """Leaf blocks with text. ``path``: (tag, name words) of the open elements; ``parent``: number of the
+    """Leaf blocks with text. ``node``: the innermost open element; ``parent``: number of the
     innermost block element but one, that is of the block's container."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], str | None, int]] = []
+    stack: list[Node] = []
     opened: dict[str, int] = {}
+    held: dict[str, int] = {}  # features of the open elements
     parts: list[str] = []
     linked = hidden = serial = 0
 
@@ -76,26 +107,27 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join("".join(parts).split())
             parts.clear()
             if text:
-                label = next((s[2] for s in reversed(stack) if s[2] is not None), None)
-                around = [s[3] for s in stack if s[0] in BLOCKS]
-                out.append(Block([(s[0], s[1]) for s in stack], label, text, min(1.0, linked / len(text)), around[-2] if len(around) > 1 else 0))
+                node = stack[-1] if stack else None
+                out.append(Block(node, node.label if node else None, text, min(1.0, linked / len(text)), node.outer if node else 0))
         linked = 0
 
     def pop(k: int) -> None:
         nonlocal hidden
         while len(stack) > k:
-            t = stack.pop()[0]
-            opened[t] -= 1
-            hidden -= t in HIDDEN
+            node = stack.pop()
+            opened[node.tag] -= 1
+            hidden -= node.unseen
+            for f in node.new:
+                del held[f]
 
     def end_head() -> None:
-        if stack and stack[-1][0] == "head":
+        if stack and stack[-1].tag == "head":
             pop(len(stack) - 1)
 
     def close(tag: str) -> None:
         if opened.get(tag):
             k = len(stack) - 1
-            while stack[k][0] != tag:
+            while stack[k].tag != tag:
                 k -= 1
             pop(k)
 
@@ -127,7 +159,7 @@ def blocks_of(page: str) -> list[Block]:
             at = m.end()
         elif nxt.isascii() and nxt.isalpha() and lt < last and (m := _OPEN.match(page, lt)):
             tag, attrs, at = m[1].lower(), m[2], m.end()
-            if tag == "head" and any(t[0] != "html" for t in stack):
+            if tag == "head" and any(t.tag != "html" for t in stack):
                 continue
             if tag not in IN_HEAD:
                 end_head()
@@ -141,21 +173,26 @@ def blocks_of(page: str) -> list[Block]:
             for other in ENDS.get(tag, ()):
                 # only within the innermost list or table
                 k = len(stack) - 1
-                while k >= 0 and stack[k][0] not in ("ul", "ol", "dl", "table", other):
+                while k >= 0 and stack[k].tag not in ("ul", "ol", "dl", "table", other):
                     k -= 1
-                if k >= 0 and stack[k][0] == other:
+                if k >= 0 and stack[k].tag == other:
                     pop(k)
             if tag in VOID or attrs.endswith("/") and tag not in BLOCKS:
                 continue
             names: tuple[str, ...] = ()
-            if "=" in attrs:
-                found = [a or b or c for a, b, c in _NAMES.findall(attrs)]
-                names = tuple(dict.fromkeys(w for f in found for w in _WORD.findall(f.lower())))
-            label = m[1] if (m := _LABEL.search(attrs)) else None
+            label, unseen = None, tag in HIDDEN
+            if attrs and not attrs.isspace():
+                if "=" in attrs:
+                    found = [a or b or c for a, b, c in _NAMES.findall(attrs)]
+                    names = tuple(dict.fromkeys(w for f in found for w in _WORD.findall(f.lower())))
+                    label = m[1] if (m := _LABEL.search(attrs)) else None
+                unseen = unseen or _UNSEEN.search(attrs) is not None
             serial += 1
-            stack.append((tag, names, label, serial))
+            new = [f for f in ([] if tag in _INLINE else [f"in:{tag}"]) + [f"name:{w}" for w in names] if f not in held]
+            held.update(dict.fromkeys(new, 1))
+            stack.append(Node(stack[-1] if stack else None, tag, label, new, names, unseen, serial))
             opened[tag] = opened.get(tag, 0) + 1
-            hidden += tag in HIDDEN
+            hidden += unseen
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, at)
                 at = end.start() if end else len(page)
@@ -168,11 +205,8 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-_INLINE = frozenset("a b i em strong span small sup sub code u font mark time abbr cite q s img".split())
-
-
-def features_of(blocks: list[Block]) -> list[list[str]]:
-    """Names of the features that hold, of each block."""
+def own_features(blocks: list[Block]) -> list[list[str]]:
+    """Names of the features that hold of each block besides those of its open elements."""
     out = []
     n = len(blocks)
     for k, b in enumerate(blocks):
@@ -183,16 +217,19 @@ def features_of(blocks: list[Block]) -> list[list[str]]:
         f.append(f"place:{min(3, k)}:{min(3, n - 1 - k)}")
         if "©" in b.text or "·" in b.text or "|" in b.text:
             f.append("sign")
-        real = [t for t, _ in b.path if t not in _INLINE]
-        f.append(f"tag:{real[-1] if real else 'none'}")
-        if len(real) > 1:
-            f.append(f"parent:{real[-2]}>{real[-1]}")
-        f += {f"in:{t}" for t in real}
-        f += {f"name:{w}" for _, names in b.path for w in names}
+        real, above = (b.node.real, b.node.real_above) if b.node else ("none", None)
+        f.append(f"tag:{real}")
+        if above is not None:
+            f.append(f"parent:{above}>{real}")
         out.append(f)
     return out
 
 
+def features_of(blocks: list[Block]) -> list[list[str]]:
+    """All features of each block, with those of its open elements (long for deep pages: for training)."""
+    return [f + ([x for node in b.node.path() for x in node.new] if b.node else []) for b, f in zip(blocks, own_features(blocks))]
+
+
 def same_parent(blocks: list[Block]) -> list[int]:
     """Whether each block has the parent of the block before it."""
     return [int(k > 0 and blocks[k - 1].parent == b.parent) for k, b in enumerate(blocks)]
@@ -204,12 +241,24 @@ class Field:
     def __init__(self, weights: dict[str, float], change: np.ndarray):
         self.weights, self.change = weights, change
 
+    def _around(self, node: Node | None) -> float:
+        """Sum of the weights of the open elements' features, kept at every node on the way."""
+        todo = []
+        while node is not None and node.score is None:
+            todo.append(node)
+            node = node.above
+        total = node.score if node is not None else 0.0
+        for node in reversed(todo):
+            total += sum(self.weights.get(x, 0.0) for x in node.new)
+            node.score = total
+        return total
+
     def decode(self, blocks: list[Block]) -> list[int]:
         """The most likely labels of a page, by Viterbi."""
         get, c = self.weights.get, self.change.tolist()
         back, s0, s1 = [], 0.0, 0.0
-        for k, (f, same) in enumerate(zip(features_of(blocks), same_parent(blocks))):
-            e = sum(get(x, 0.0) for x in f)
+        for k, (f, same, b) in enumerate(zip(own_features(blocks), same_parent(blocks), blocks)):
+            e = sum(get(x, 0.0) for x in f) + self._around(b.node)
             if not k:
                 s0, s1 = 0.0, e
                 continue
@@ -283,6 +332,11 @@ _AD = ('div class="ad"', 'div class="advert"', 'div class="promo"', 'div class="
 _NOTICE = ('div class="cookie"', 'div class="notice"', 'div id="consent"', 'div class="newsletter"', 'p class="notice"', 'div role="alert"')
 _TOP = ("header", 'div class="header"', 'div id="masthead"', 'div class="topbar"')
 _FOOT = ("footer", 'div class="footer"', 'div id="bottom"', 'div class="copyright"', 'p class="legal"')
+_SHARE = ('div class="share"', 'ul class="social"', 'div class="tags"', 'div class="byline"', 'p class="meta"')
+#: names of boxes inside an article that are no part of its text
+_OTHER_WORDS = frozenset(
+    "ad ads advert advertisement adverts banner promo sponsor sponsored related recommended sidebar widget share social tags cookie consent notice newsletter subscribe "
+    "comment comments discussion replies reply respond menu nav navigation navbar breadcrumb breadcrumbs footer header masthead copyright legal pager pagination".split())
 _TALK = ('section class="comments"', 'div id="comments"', 'div class="discussion"', 'ol class="comment-list"', 'div class="reader-comments"', 'div class="replies"')
 
 
@@ -316,14 +370,42 @@ def layouts(title: str, lines: list[str], prose: list[str], links: list[str], se
         one = "<li>{}</li>" if kind.startswith("ol") else r.choice(["<p>{}</p>", '<div class="comment"><p>{}</p></div>', "<article><p>{}</p></article>"])
         return box(kind, "<h3>" + esc(r.choice(links)) + "</h3>" + "".join(one.format(esc(x)) for x in some(1, 4)), 0)
 
-    body = [r.choice(["<p>{}</p>", "<p>{}</p>", "<p>{}</p>", "<p><b>{}<br>", "<p>{}", "<h2>{}</h2>", "<blockquote>{}</blockquote>",
-                      "<li>{}</li>", "<div>{}</div>"]).format(esc(x, r.random() < 0.5)) for x in lines]
-    for extra in (boiler(r.choice(_AD)), boiler(r.choice(_SIDE)), form(), boiler(r.choice(_NOTICE)), box(r.choice(_SIDE), items(""), 0)):
-        if body and r.random() < 0.15:
+    def cells(xs: list[str], kind: str) -> str:
+        """Some of the main lines as a table, a list, a definition list or a figure."""
+        text = [esc(x) for x in xs]
+        short = [esc(" ".join(x.split()[: r.randint(1, 4)])) for x in xs]
+        if kind == "table":
+            head = "<tr>" + "".join(f"<th>{x}</th>" for x in short[:2]) + "</tr>" if r.random() < 0.5 else ""
+            return "<table>" + head + "".join(f"<tr><td>{a}</td><td>{b}</td></tr>" for a, b in zip(short, r.sample(short, len(short)))) + "</table>"
+        if kind == "dl":
+            return "<dl>" + "".join(f"<dt>{a}</dt><dd>{b}</dd>" for a, b in zip(short, text)) + "</dl>"
+        if kind == "figure":
+            return f'<figure><img src="x.png"><figcaption>{text[0]}</figcaption></figure>' + "".join(f"<p>{x}</p>" for x in text[1:])
+        return f"<{kind}>" + "".join(f"<li>{x}</li>" for x in r.choice([text, short])) + f"</{kind}>"
+
+    body, rest = [], list(lines)
+    while rest:
+        if r.random() < 0.2:
+            k = r.randint(1, 4)
+            body.append(cells(rest[:k], r.choice(["table", "ul", "ol", "dl", "figure"])))
+            rest = rest[k:]
+            continue
+        x = rest.pop(0)
+        shape = r.choice(["<p>{}</p>"] * 4 + ["<p><b>{}<br>", "<p>{}", "<h2>{}</h2>", "<h3>{}</h3>", "<blockquote>{}</blockquote>", "<blockquote><p>{}</p></blockquote>",
+                                               "<pre>{}</pre>", "<li>{}</li>", "<div>{}</div>", "<div><p>{}</p></div>"])
+        body.append(shape.format(esc(" ".join(x.split()[:6]) if shape.startswith("<h") else x, r.random() < 0.5)))
+    talks = box(r.choice(_SHARE), items("ul") if r.random() < 0.5 else esc(r.choice(prose)), 0)
+    for extra in (boiler(r.choice(_AD)), boiler(r.choice(_AD)), boiler("aside"), boiler(r.choice(_SIDE)), form(), boiler(r.choice(_NOTICE)), box(r.choice(_SIDE), items(""), 0),
+                  box(r.choice(_MENU[:5]), items(""), 0), talks):
+        if body and r.random() < 0.25:
             body.insert(r.randint(0, len(body)), extra)
     inner = (f"<h1>{esc(title)}</h1>" if r.random() < 0.8 else "") + "".join(body)
-    if r.random() < 0.25:
+    if r.random() < 0.3:
+        inner = f"<div>{inner}</div>"
+    if r.random() < 0.45:
         inner += talk()
+    if r.random() < 0.2:
+        inner += boiler("footer")
     kind = r.choice(_MAIN)
     main = f'<{kind} data-y="1">{inner}</{kind.split()[0]}>'
     before = [box(m := r.choice(_MENU), items(m), 0)] if r.random() < 0.9 else []
@@ -338,23 +420,27 @@ def layouts(title: str, lines: list[str], prose: list[str], links: list[str], se
 
 
 def _marked(blocks: list[Block]) -> list[Block] | None:
-    """Blocks labelled by their markup, of pages that have an article with text."""
+    """Blocks labelled by their markup, of pages that have an article with text: inside the article, but in no box there whose tag
+    or name says that it is something else."""
     outside = ("nav", "aside", "footer", "form", "header")
     for b in blocks:
-        tags = [t for t, _ in b.path]
-        b.label = "1" if "article" in tags and not any(t in outside for t in tags[tags.index("article"):]) else "0"
+        path = b.node.path() if b.node else []
+        tags = [node.tag for node in path]
+        inner = path[tags.index("article") + 1:] if "article" in tags else None
+        b.label = "1" if inner is not None and not any(node.tag in outside or _OTHER_WORDS & set(node.names) for node in inner) else "0"
     return blocks if any(b.label == "1" for b in blocks) else None
 
 
-def learn(pages: list[str], variants: int = 4, seed: int = 3) -> Field:
-    """The field trained on ``pages`` and their layouts."""
-    given = [g for g in (_marked(blocks_of(p)) for p in pages) if g and len(g) <= MAX_BLOCKS]
+def learn(pages: list[str], variants: int = VARIANTS, seed: int = 3, max_blocks: int = MAX_BLOCKS, max_lines: int = MAX_LINES) -> Field:
+    """The field trained on ``pages`` and their layouts. Pages of more than ``max_blocks`` blocks do not train; at most ``max_lines`` lines
+    of a page are written anew."""
+    given = [g for g in (_marked(blocks_of(p)) for p in pages) if g and len(g) <= max_blocks]
     made_up = [f"{a} {b} {c} of the {a}{b}." for a in ("na", "re", "ton", "il") for b in ("sor", "mi", "ent") for c in ("ol", "ata", "ure")]
-    prose = [b.text for g in given for b in g if len(b.text) > 20][:2000] or made_up
-    links = [b.text for g in given for b in g if b.linked > 0.5][:500] or ["na", "sor mi", "ure"]
+    prose = [b.text for g in given for b in g if len(b.text) > 20] or made_up
+    links = [b.text for g in given for b in g if b.linked > 0.5] or ["na", "sor mi", "ure"]
     r = random.Random(seed)
     train = list(given)
-    texts = [[b.text for b in g if b.label == "1"][:30] for g in given] or [made_up[k: k + 5] for k in range(25)]
+    texts = [[b.text for b in g if b.label == "1"][:max_lines] for g in given] or [made_up[k: k + 5] for k in range(25)]
     for k, lines in enumerate(texts):
         for v in range(variants):
             page = layouts(lines[0][:60], lines[1:] or lines, [r.choice(prose) for _ in range(8)], [r.choice(links) for _ in range(8)], seed + 1000 * v + 7 * k)
@@ -368,14 +454,15 @@ def main_text(page: str | None, field: Field) -> str:
     return "\n".join(b.text for b, y in zip(blocks, field.decode(blocks)) if y)
 
 
-def train(pages: DataFrame, *, html: str = "html", page_id: str = "page_id", max_pages: int = MAX_PAGES) -> Field:
-    """Fit on at most ``max_pages`` pages, chosen by a hash of their id."""
-    usable = pages.where(F.col(html).isNotNull() & F.col(page_id).isNotNull() & (F.length(html) < 100_000))
+def train(pages: DataFrame, *, html: str = "html", page_id: str = "page_id", max_pages: int = MAX_PAGES, max_blocks: int = MAX_BLOCKS,
+          max_length: int = MAX_LENGTH, max_lines: int = MAX_LINES) -> Field:
+    """Fit on at most ``max_pages`` pages of less than ``max_length`` characters, chosen by a hash of their id; see :func:`learn`."""
+    usable = pages.where(F.col(html).isNotNull() & F.col(page_id).isNotNull() & (F.length(html) < max_length))
     place = F.xxhash64(F.col(page_id))
     every = max(1, usable.count() // (4 * max_pages))  # a few times the bound, so that no task and not the driver gets more
     few = usable.where(F.pmod(place, F.lit(every)) == 0)
     rows = few.select(page_id, html).orderBy(place, page_id, F.xxhash64(html)).limit(max_pages).collect()
-    return learn([r[html] for r in rows])
+    return learn([r[html] for r in rows], max_blocks=max_blocks, max_lines=max_lines)
 
 
 def extract(pages: DataFrame, field: Field, *, html: str = "html") -> DataFrame:
