@@ -280,6 +280,21 @@ def test_top_k_edges(spark):
     assert K.top_k(df, is_query=lambda i: i == 5).count() == 0
 
 
+def test_top_k_repeated_query_ids(spark):
+    """Equal query rows are one query; other vectors under the same id are queries of their own."""
+    r = random.Random(9)
+    vector = lambda: [float(r.randrange(-40, 40)) / 16 for _ in range(4)]
+    v = [vector() for _ in range(12)]
+    rows = [(i, v[i]) for i in range(1, 9)] + [(0, v[9]), (0, v[9]), (0, v[10]), (20, v[11]), (20, v[11]), (3, v[4])]
+    got = K.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), is_query=lambda i: i % 20 == 0)
+    whole = lambda x: [math.floor(256 * c) for c in x]
+    want = []
+    for q, x in ((0, v[9]), (0, v[10]), (20, v[11])):
+        best = sorted((-sum(a * b for a, b in zip(whole(x), whole(y))), i) for i, y in rows if i != q)[:5]
+        want += [(q, k, i, -s) for k, (s, i) in enumerate(best, 1)]
+    assert sorted(tuple(x) for x in got.select("query_id", "rank", "vec_id", "score").collect()) == sorted(want)
+
+
 def test_bpe_windows_of_long_texts(both, monkeypatch):
     """Texts far beyond a window, odd ones among usual ones, and pieces beyond the rounds' length."""
     from tidemark.llm import bpe

@@ -9,11 +9,12 @@ only when that bound proves that all but a few vectors stay below its k-th best
 nothing is left to process; the possible members are then scored exactly from their values.
 
 Blocks and batches of queries meet by a key made of both, so that a task holds one block and one batch
-of at most about ``BATCH`` queries, whatever the table's size; each pair of them returns at most k rows a
-query, which an aggregate merges.
+of at most about ``BATCH`` queries (8 MB of vectors of 64 numbers), whatever the table's size: a vector moves once for each batch. Each pair
+returns at most k rows a query, which an aggregate merges.
 
 Defined results: vectors that are null, empty or hold null or non-finite components take no part; of rows with an
-equal id each is a candidate of its own, but no candidate of a query with its own id; ties go to the smaller id;
+equal id each is a candidate of its own, but no candidate of a query with its own id; query rows with an equal id and an equal integer vector
+are one query, with another vector each is a query of its own with ranks from 1; ties go to the smaller id;
 with fewer candidates than k all are returned; a null id takes no part; vectors of unequal lengths
 raise an error.
 """
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import materialise
 
-BLOCK, BATCH = 8192, 1024
+BLOCK, BATCH = 8192, 16384
 LEVELS, ROUNDS = 8, 4
 FEW = 64
 
@@ -64,7 +65,7 @@ class ImpactIndex:
         return np.where(self.filled, most, -np.inf)
 
     def search(self, ids: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-        """(query, id, score): at least the query's k best of the block by score and smaller id."""
+        """(place of the query, id, score): at least the query's k best of the block by score and smaller id."""
         q = queries.astype(np.float64)
         n, d = self.vectors.shape
         impact = self.impacts(q)
@@ -97,7 +98,7 @@ class ImpactIndex:
                     continue
                 score = self.vectors[members] @ q[i]
                 best = np.lexsort((ids[members], -score))[:k]
-                out += [(int(query_ids[i]), int(ids[members[x]]), int(score[x])) for x in best]
+                out += [(int(i), int(ids[members[x]]), int(score[x])) for x in best]
             open_ = np.array(still, np.int64)
             if not len(open_):
                 break
@@ -107,30 +108,31 @@ class ImpactIndex:
 def top_k(rows: DataFrame, *, is_query: Callable[[Column], Column], vec_id: str = "vec_id", vector: str = "embedding", k: int = 5, scale: int = 256) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` best candidates of each query; ``is_query`` is a condition on the id."""
     clean = materialise(integer_vectors(rows, vec_id, vector, scale), "topk_vectors")
-    asked = clean.where(is_query(F.col("id")))
-    counts = clean.agg(F.count("*").alias("n"), F.count(F.when(is_query(F.col("id")), 1)).alias("q")).first()
-    blocks, batches = -(-max(counts["n"], 1) // BLOCK), -(-max(counts["q"], 1) // BATCH)
+    # numbered once, as written
+    asked = materialise(clean.where(is_query(F.col("id"))).distinct().withColumn("query", F.monotonically_increasing_id()), "topk_queries")
+    blocks, batches = -(-max(clean.count(), 1) // BLOCK), -(-max(asked.count(), 1) // BATCH)
 
     def deal(df: DataFrame, own: str, parts: int, other: str, others: int, kind: int) -> DataFrame:
         return df.select(
             F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other), F.lit(kind).alias("kind"), "id", "v"
-        ).select("block", "batch", "kind", "id", "v")
+            F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other), F.lit(kind).alias("kind"), "query", "id", "v"
+        ).select("block", "batch", "kind", "query", "id", "v")
 
-    both = deal(clean, "block", blocks, "batch", batches, 0).union(deal(asked, "batch", batches, "block", blocks, 1))
+    vectors = clean.withColumn("query", F.lit(-1).cast("long"))
+    both = deal(vectors, "block", blocks, "batch", batches, 0).union(deal(asked, "batch", batches, "block", blocks, 1))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         one, two = frame[frame["kind"] == 0], frame[frame["kind"] == 1]
         if not len(one) or not len(two):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+            return pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []}, dtype="int64")
         index = ImpactIndex(np.vstack(one["v"].to_numpy()).astype(np.int64))
-        ids, query_ids = one["id"].to_numpy(), two["id"].to_numpy()
+        ids, query_ids, numbers = one["id"].to_numpy(), two["id"].to_numpy(), two["query"].to_numpy()
         queries = np.vstack(two["v"].to_numpy()).astype(np.int64)
-        got = [x for at in range(0, len(queries), 128)
-               for x in index.search(ids, query_ids[at: at + 128], queries[at: at + 128], k)]
-        return pd.DataFrame(got, columns=["query_id", "vec_id", "score"], dtype="int64")
+        got = [(numbers[at + i], query_ids[at + i], c, score) for at in range(0, len(queries), 128)
+               for i, c, score in index.search(ids, query_ids[at: at + 128], queries[at: at + 128], k)]
+        return pd.DataFrame(got, columns=["query", "query_id", "vec_id", "score"], dtype="int64")
 
-    found = both.groupBy("block", "batch").applyInPandas(run, "query_id bigint, vec_id bigint, score bigint")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    found = both.groupBy("block", "batch").applyInPandas(run, "query bigint, query_id bigint, vec_id bigint, score bigint")
+    order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
