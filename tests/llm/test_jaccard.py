@@ -144,3 +144,18 @@ def test_components(spark):
             root[max(x, y)] = min(x, y)
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {x: find(x) for x in root}
+
+
+def test_counts_beyond_two_bytes():
+    """A set with more than 65,535 elements in one group keeps exact counts, beside narrow ones."""
+    import pyarrow as pa
+
+    x = np.random.default_rng(2).integers(0, 1 << 54, 18_500_000, dtype=np.uint64)
+    x = np.unique(x[(J.mix64(x) >> np.uint64(56)) == 3])
+    assert len(x) > 66_000
+    wide = J.count_vectors(x, np.array([0, len(x)]))
+    narrow = J.count_vectors(x[:9], np.array([0, 9]))
+    assert wide[0, 3] == len(x) == wide.sum() and narrow.dtype == np.uint16
+    both = J.vectors_of(pa.array([wide[0].tobytes(), narrow[0].tobytes()], pa.binary()))
+    assert both[0, 3] == len(x) and both[1, 3] == 9 and np.minimum(both[0], both[1]).sum() == 9
+    assert J.vectors_of(pa.array([narrow[0].tobytes()], pa.binary())).dtype == np.uint16

@@ -118,13 +118,20 @@ def cells(sets: np.ndarray, offsets: np.ndarray, percent: int) -> tuple[np.ndarr
 
 
 def count_vectors(sets: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Point of each set: how many of its elements fall in each of ``DIMS`` groups."""
+    """Point of each set: how many of its elements fall in each of ``DIMS`` groups. Of two bytes a count, or of four where a set is that large."""
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     group = (mix64(sets) >> U(56)).astype(np.int64)
     counts = np.bincount(doc * DIMS + group, minlength=(len(offsets) - 1) * DIMS).reshape(-1, DIMS)
-    if counts.size and counts.max() > np.iinfo(np.uint16).max:
-        raise ValueError("a text of more than ten million words")
-    return counts.astype(np.uint16)
+    return counts.astype(np.uint32 if counts.size and counts.max() > np.iinfo(np.uint16).max else np.uint16)
+
+
+def vectors_of(column: pa.Array) -> np.ndarray:
+    """Points of a binary column, a row each; counts of two and of four bytes may stand together."""
+    rows = column.to_pylist()
+    narrow = 2 * DIMS
+    if all(len(r) == narrow for r in rows):
+        return np.frombuffer(b"".join(rows), np.uint16).reshape(-1, DIMS)
+    return np.stack([np.frombuffer(r, np.uint16 if len(r) == narrow else np.uint32).astype(np.uint32) for r in rows])
 
 
 def needed(n_a, n_b, percent: int):
@@ -342,7 +349,7 @@ def _tree_pairs(mixed: DataFrame, percent: int) -> DataFrame:
         t = t.combine_chunks()
         node, root, block = (t.column(c).to_numpy() for c in ("node", "root", "block"))
         cell, i, j = (t.column(c).to_numpy() for c in ("cell", "i", "j"))
-        v = np.frombuffer(b"".join(t.column("vec").to_pylist()), np.uint16).reshape(-1, DIMS)
+        v = vectors_of(t.column("vec"))
         n = v.sum(1, dtype=np.int64)
         new = np.ones(len(cell), bool)
         new[1:] = (cell[1:] != cell[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
@@ -460,7 +467,7 @@ def _fitting(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for k in range(0, batch.num_rows, 4096):
                 part = batch.slice(k, 4096)
-                x, y = (np.frombuffer(b"".join(part.column(c).to_pylist()), np.uint16).reshape(-1, DIMS) for c in ("v_a", "v_b"))
+                x, y = (vectors_of(part.column(c)) for c in ("v_a", "v_b"))
                 n = part.column("n_a").to_numpy() + part.column("n_b").to_numpy()
                 ok = pa.array(np.minimum(x, y).sum(1, dtype=np.int64) >= needed(n, 0, percent))
                 yield pa.RecordBatch.from_arrays([part.column(c).filter(ok) for c in ("a", "b")], names=["a", "b"])
