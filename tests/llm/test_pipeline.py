@@ -45,7 +45,7 @@ def test_run_against_brute_force(spark, corpus):
     scores = {r.doc_id: r.predicted for r in Q.classify(docs, model).collect()}
     kept = [r for r in rows if scores[r[0]]]
     assert 0 < len(kept) < len(rows)
-    text = {d: t for d, (t, _, _) in brute_lines([(r[0], r[1]) for r in kept]).items()}
+    text = {d: t for (d, _), (t, _, _) in brute_lines([(r[0], r[1]) for r in kept]).items()}
     group = {d: c for d, (_, c) in brute(list(text.items()), C.SHINGLE_WORDS, C.PERCENT).items()}
     rest = [r for r in kept if group[r[0]] == r[0]]
     taken = brute_mix([(r[0], text[r[0]], r[2], r[3]) for r in rest], MIX_WEIGHTS, MIX_SHARE, MIX_EPOCHS, MIX_SEED)
