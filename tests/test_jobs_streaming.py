@@ -5,13 +5,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import D, raw_rows, raw_table
-from tidemark.operators import store, validate
+from tidemark.operators import quality, store, validate
 from tidemark.operators.tables import publish, upsert_into
 from tidemark.plans import jobs
 from tidemark.session import shared_dir
 from tidemark.sources import payloads
 from tidemark.sources.tables import read_raw
-from tidemark.streaming.ingest import incremental_ingest
+from tidemark.streaming.ingest import Checks, incremental_ingest
 
 AS_OF = dt.datetime(2024, 1, 10, 18)
 
@@ -43,10 +43,11 @@ def test_stream_in_two_files_equals_one_batch(spark):
 
     root = shared_dir(spark, "test-stream")
     raw = raw_table(spark, base)
+    how = {"rejects_path": f"{root}/rej", "metrics_path": f"{root}/metrics", "checks": Checks(D(2024, 1, 2), ("USD", "CNY"), 95.0)}
     _records(spark, rows1).coalesce(1).write.json(f"{root}/landing/a")
-    incremental_ingest(spark, f"{root}/landing/*", raw, f"{root}/ckpt", AS_OF, rejects_path=f"{root}/rej")
+    incremental_ingest(spark, f"{root}/landing/*", raw, f"{root}/ckpt", AS_OF, **how)
     _records(spark, rows2).coalesce(1).write.json(f"{root}/landing/b")
-    incremental_ingest(spark, f"{root}/landing/*", raw, f"{root}/ckpt", AS_OF, rejects_path=f"{root}/rej")
+    incremental_ingest(spark, f"{root}/landing/*", raw, f"{root}/ckpt", AS_OF, **how)
     streamed = read_raw(spark, raw)
 
     batch = validate.valid(validate.parsed(_records(spark, rows1 + rows2)))
@@ -54,6 +55,12 @@ def test_stream_in_two_files_equals_one_batch(spark):
     assert streamed.count() == 4
     assert streamed.exceptAll(one).count() == 0 and one.exceptAll(streamed).count() == 0
     assert spark.read.parquet(f"{root}/rej").count() == 1
+    # each epoch's metrics are the quality report of its valid rows
+    metrics = {r.epoch: r for r in spark.read.parquet(f"{root}/metrics").collect()}
+    for epoch, rows in enumerate((rows1, rows2)):
+        ok = validate.valid(validate.parsed(_records(spark, rows)))
+        report = {r["check"]: r["value"] for r in quality.dq_report(ok, D(2024, 1, 2), ("USD", "CNY"), 95.0).collect()}
+        assert {k: metrics[epoch][k] for k in report} == report and metrics[epoch].rows == len(rows) == metrics[epoch].rejected + ok.count()
 
 
 def test_refresh_marts_publishes_and_switches(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.literals import date_lit
@@ -14,18 +14,23 @@ from tidemark.functions.literals import date_lit
 _d = date_lit
 
 
+def dq_counts(check_date, majors: Sequence[str], upper: float = 1000.0, rate_type_on_date: str = "daily", where: Column | None = None) -> list[Column]:
+    """The counts of the report as aggregates, of the rows that meet ``where``; also for an observation."""
+    here = F.lit(True) if where is None else where
+    on_date = here & (F.col("rate_date") == _d(check_date))
+    rate = F.col("exchange_rate")
+    return [F.count_if(on_date & (F.col("rate_type") == F.lit(rate_type_on_date))).alias("rows_on_date"),
+            F.count_if(here & ((rate <= F.lit(0)) | (rate > F.lit(upper)))).alias("anomalies"),
+            F.count_if(on_date & F.col("currency_code").isin(*majors)).alias("major_values"),
+            F.count_if(here).alias("total_records")]
+
+
 def dq_report(raw: DataFrame, check_date, majors: Sequence[str], upper: float = 1000.0,
               rate_type_on_date: str = "daily") -> DataFrame:
     """Long table (check, value, status). Checks: rows of the type on the date (warn if 0),
     anomalies rate <= 0 or > upper (warn if > 0), major-entity rows on the date, any type
     (warn if none), total rows (info). Never fails."""
-    on_date = F.col("rate_date") == _d(check_date)
-    rate = F.col("exchange_rate")
-    counts = raw.agg(
-        F.count_if(on_date & (F.col("rate_type") == F.lit(rate_type_on_date))).alias("rows_on_date"),
-        F.count_if((rate <= F.lit(0)) | (rate > F.lit(upper))).alias("anomalies"),
-        F.count_if(on_date & F.col("currency_code").isin(*majors)).alias("major_values"),
-        F.count(F.lit(1)).alias("total_records"))
+    counts = raw.agg(*dq_counts(check_date, majors, upper, rate_type_on_date))
     long = counts.select(F.expr(
         "stack(4, 'rows_on_date', rows_on_date, 'anomalies', anomalies, "
         "'major_values', major_values, 'total_records', total_records) AS (check, value)"))

@@ -133,7 +133,7 @@ d AS (SELECT rate_date, exchange_rate,
              ROUND((CAST(exchange_rate AS DOUBLE) / CAST(LAG(exchange_rate) OVER (ORDER BY rate_date) AS DOUBLE) - 1) * 100, 4) AS pct_change
       FROM rates WHERE rate_type = 'daily' AND currency_code = 'AAA')
 SELECT rate_date, CAST(exchange_rate AS DOUBLE) AS exchange_rate, pct_change FROM d
-WHERE rate_date > DATE '2001-11-04' - INTERVAL 7 DAY"""),
+WHERE rate_date > DATE '2001-10-16' - INTERVAL 7 DAY"""),
     "majors_labelled": with_rates("""
 x AS (SELECT 1)
 SELECT rate_date AS time,

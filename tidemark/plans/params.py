@@ -15,6 +15,7 @@ ANOMALY_UPPER = 100000.0
 PERIOD_START = dt.date(2001, 6, 1)
 PERIOD_END = dt.date(2001, 8, 1)
 BROKEN_DAY = dt.date(2001, 6, 4)           # a Monday of the period whose landed files include a broken one
+WEEK_AS_OF = dt.date(2001, 10, 16)         # end of a week in which the anchor has rows at every scale
 LOAD_START = dt.date(2001, 8, 1)           # first day of the load that the incremental marts follow
 CHECK_DATE = dt.date(2001, 10, 31)        # the yesterday of the daily run; a day on which the majors have rows at every scale
 UPSERT_AS_OF = dt.datetime(2001, 11, 5, 0, 0, 0)

@@ -99,7 +99,7 @@ def _entity_trailing(spark, sf):
 
 @register("entity_last_week_changes")
 def _entity_week(spark, sf):
-    return panels.entity_last_week_changes(rates_from_lines(spark, sf), P.ANCHOR, P.AS_OF, days=7)
+    return panels.entity_last_week_changes(rates_from_lines(spark, sf), P.ANCHOR, P.WEEK_AS_OF, days=7)
 
 
 @register("majors_labelled")
