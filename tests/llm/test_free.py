@@ -338,12 +338,21 @@ def plain_score(model, x):
 
 def test_quality_scores_are_sums_of_table_entries(spark):
     """Scores of a whole table against plain look-ups and additions of the trained tables."""
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
-    model = Q.train(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
-    assert model["edges"] and model["pairs"]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    model = Q.train(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    assert model["edges"]
     rows = Q.classify(docs, model).collect()
     texts = pa.array([r.text for r in rows], pa.large_string())
     x = np.concatenate([Q.features(raw, at) for _, raw, at in slices(texts)])
     for r, f in zip(rows, x.tolist()):
         want = plain_score(model, f)
         assert abs(r.score - want) < 1e-9 and (r.predicted == (r.score >= 0.7))
+
+
+def test_pairwise_tables_are_looked_up_and_added():
+    r = np.random.default_rng(8)
+    x = r.normal(size=(1500, len(Q.FEATURES)))
+    model = Q.fit(x, ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(float))
+    assert any({i, j} == {0, 1} for i, j, _ in model["pairs"])
+    got = Q.predict(model, x[:200])
+    assert np.allclose(got, [plain_score(model, f) for f in x[:200].tolist()], atol=1e-12)
