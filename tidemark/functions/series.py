@@ -47,3 +47,16 @@ def with_previous(df: DataFrame, keys: Sequence[str], order: str, values: Sequen
     out = inner.join(carry, blk, "left")
     prev = F.coalesce(F.col("_in"), F.col("_carry"))
     return out.select(*df.columns, *[prev[v].alias(prefix + v) for v in values])
+
+
+def with_previous_in_blocks(df: DataFrame, keys: Sequence[str], block: str, order: str, values: Sequence[str], prefix: str = "prev_") -> DataFrame:
+    """:func:`with_previous` over rows that lie by (``keys``, ``block``) already, ``block`` being a column that rises with ``order``
+    (a year): the window and the summary work where the rows lie, and only the summary, one row a block, is shuffled. Keys and
+    block must not be null."""
+    at = [*keys, block]
+    inner = df.select("*", F.lag(F.struct(*values)).over(Window.partitionBy(*at).orderBy(order)).alias("_in"))
+    last = df.groupBy(*at).agg(*[F.max_by(v, F.col(order)).alias(v) for v in values]).select(*at, F.struct(*values).alias("_last"))
+    carry = last.select(*at, F.lag("_last").over(Window.partitionBy(*keys).orderBy(block)).alias("_carry"))
+    out = inner.join(carry, at, "left")
+    prev = F.coalesce(F.col("_in"), F.col("_carry"))
+    return out.select(*df.columns, *[prev[v].alias(prefix + v) for v in values])

@@ -42,6 +42,24 @@ def daily_changes(raw: DataFrame, rate_type: str | None = "daily", per_unit: boo
     )
 
 
+def period_aggregates(rate, volatility_digits: int | None = None) -> list:
+    """The columns of a period's statistics."""
+    vol = F.stddev_samp(rate.cast("double"))
+    if volatility_digits is not None:
+        vol = F.round(vol, volatility_digits)
+    return [mean(rate).alias("avg_rate"), F.min(rate).alias("min_rate"), F.max(rate).alias("max_rate"),
+            vol.alias("volatility"), F.count(F.lit(1)).alias("days_count")]
+
+
+def with_change(rows: DataFrame, columns) -> DataFrame:
+    """``columns`` and the change of ``avg_rate`` against ``prev_avg_rate``."""
+    return rows.select(
+        *columns,
+        (F.col("avg_rate") - F.col("prev_avg_rate")).alias("abs_change"),
+        pct_change(F.col("avg_rate"), F.col("prev_avg_rate")).alias("pct_change"),
+    )
+
+
 def period_stats(raw: DataFrame, unit: str, rate_type: str | None = "daily",
                  volatility_digits: int | None = None, per_unit: bool = False,
                  block: str = "year") -> DataFrame:
@@ -50,23 +68,10 @@ def period_stats(raw: DataFrame, unit: str, rate_type: str | None = "daily",
     if unit not in PERIOD_COLUMN:
         raise ValueError(f"unit must be one of {sorted(PERIOD_COLUMN)}")
     period = PERIOD_COLUMN[unit]
-    rate = _value(per_unit)
-    vol = F.stddev_samp(rate.cast("double"))
-    if volatility_digits is not None:
-        vol = F.round(vol, volatility_digits)
     stats = (_typed(raw, rate_type)
              .groupBy("currency_code", F.trunc("rate_date", unit).alias(period))
-             .agg(mean(rate).alias("avg_rate"),
-                  F.min(rate).alias("min_rate"),
-                  F.max(rate).alias("max_rate"),
-                  vol.alias("volatility"),
-                  F.count(F.lit(1)).alias("days_count")))
-    withprev = with_previous(stats, ["currency_code"], period, ["avg_rate"], block=block)
-    return withprev.select(
-        *stats.columns,
-        (F.col("avg_rate") - F.col("prev_avg_rate")).alias("abs_change"),
-        pct_change(F.col("avg_rate"), F.col("prev_avg_rate")).alias("pct_change"),
-    )
+             .agg(*period_aggregates(_value(per_unit), volatility_digits)))
+    return with_change(with_previous(stats, ["currency_code"], period, ["avg_rate"], block=block), stats.columns)
 
 
 def _volatility_agg(rows: DataFrame, with_range: bool, with_name: bool, with_days: bool) -> DataFrame:
