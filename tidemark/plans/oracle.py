@@ -505,3 +505,42 @@ ORACLE.update({
     "refresh_log": with_rates("SELECT 'mart refreshed' AS log_message, mart, rows FROM (" + ORACLE["refresh_marts"].replace("WITH " + RATES_CTE + ", ", "WITH ")
                               + ") WHERE mart <> 'total'").replace(", SELECT 'mart refreshed'", " SELECT 'mart refreshed'"),
 })
+
+_DRIFT = """
+m AS (SELECT *, year(rate_date) % 4 AS way FROM rates WHERE rate_type = 'monthly'),
+y AS (SELECT currency_code, year(rate_date) % 4 AS way, COUNT(*) AS n FROM m GROUP BY currency_code, year(rate_date)),
+d AS (SELECT way, COUNT(*) AS docs, CAST(SUM(n) AS BIGINT) AS n FROM y GROUP BY way),
+"""
+
+ORACLE.update({
+    "bucketed_daily_changes": _after_load("daily_changes"),
+    "bucketed_monthly_stats": _after_load("monthly_stats"),
+    "bucketed_entity": with_records(_LOADED + """
+SELECT currency_code, currency_name, CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, rate_type, nominal, load_timestamp
+FROM up WHERE currency_code = 'AAA'"""),
+    "monthly_json_drift": with_rates(_DRIFT + f"""
+x AS (SELECT 1)
+SELECT length(currency_code) * 100000 + year(rate_date) AS element_id, {CODE_OF_NAME} AS currency_code, currency_name,
+       CAST(exchange_rate AS DOUBLE) AS exchange_rate, rate_date, 'monthly' AS rate_type, 1 AS nominal, strftime(rate_date, '%B %Y') AS period,
+       CASE WHEN way = 2 THEN '{{"unit":"RUB"}}' END AS extra
+FROM m WHERE way <> 3"""),
+    # every document has five items with a defect; where values are objects, those with a known id and a date are all bad values
+    "monthly_json_drift_rejects": with_rates(_DRIFT + """
+r AS (SELECT way, 'unknown_element' AS reason, docs AS rows FROM d
+      UNION ALL SELECT way, 'bad_date', docs FROM d
+      UNION ALL SELECT way, 'bad_value', 2 * docs FROM d WHERE way <> 3
+      UNION ALL SELECT way, 'value_overflow', docs FROM d WHERE way <> 3
+      UNION ALL SELECT way, 'bad_value', n + 3 * docs FROM d WHERE way = 3)
+SELECT reason, CASE WHEN way = 2 THEN '{"unit":"RUB"}' END AS extra, CAST(SUM(rows) AS BIGINT) AS rows FROM r GROUP BY ALL"""),
+    "monthly_json_fields": with_rates(_DRIFT + """
+f AS (SELECT 'document' AS level, unnest(['RawData', 'headerData', 'units']) AS field, 'ARRAY' AS type, docs AS rows FROM d
+      UNION ALL SELECT 'headerData', 'id', 'BIGINT', 2 * docs FROM d
+      UNION ALL SELECT 'headerData', 'elname', 'STRING', 2 * docs FROM d
+      UNION ALL SELECT 'RawData', unnest(['date', 'dt']), 'STRING', n + 5 * docs FROM d
+      UNION ALL SELECT 'RawData', 'element_id', CASE WHEN way = 0 THEN 'STRING' ELSE 'BIGINT' END, n + 5 * docs FROM d
+      UNION ALL SELECT 'RawData', 'unit', 'STRING', n + 5 * docs FROM d WHERE way = 2
+      UNION ALL SELECT 'RawData', 'obs_val', CASE WHEN way = 3 THEN 'OBJECT' ELSE 'STRING' END, n + 5 * docs FROM d WHERE way <> 1
+      UNION ALL SELECT 'RawData', 'obs_val', 'STRING', 2 * docs FROM d WHERE way = 1
+      UNION ALL SELECT 'RawData', 'obs_val', 'DECIMAL', n + 3 * docs FROM d WHERE way = 1)
+SELECT level, field, type, field NOT IN ('units', 'unit') AS known, CAST(SUM(rows) AS BIGINT) AS rows FROM f GROUP BY ALL"""),
+})

@@ -529,3 +529,64 @@ def _refresh_log(spark, sf):
     base = shared_dir(spark, "marts_log")
     jobs.refresh_marts(spark, rates_from_lines(spark, sf), base, P.AS_OF, P.ANCHOR, database="tidemark_logged", log_path=f"{base}/log")
     return jobs.refresh_log(spark, f"{base}/log").select("log_message", "mart", "rows")
+
+
+# ---- the bucketed layout ------------------------------------------------------------
+
+from tidemark.operators import bucketed  # noqa: E402
+
+
+def _bucketed_after_load(spark, sf):
+    """A bucketed table of all rates, upserted with the last months' load."""
+    name = f"tidemark_bucketed.rates_{uuid.uuid4().hex}"
+    bucketed.load(spark, name, rates_from_lines(spark, sf), shared_dir(spark, "bucketed"))
+    bucketed.upsert(spark, name, _batch(spark, sf).filter(F.col("rate_date") >= F.lit(P.LOAD_START)), P.UPSERT_AS_OF, seq="seq")
+    return name
+
+
+@register("bucketed_daily_changes")
+def _bucketed_changes(spark, sf):
+    return bucketed.daily_changes(spark, _bucketed_after_load(spark, sf))
+
+
+@register("bucketed_monthly_stats")
+def _bucketed_monthly(spark, sf):
+    return bucketed.period_stats(spark, _bucketed_after_load(spark, sf), "month", volatility_digits=4)
+
+
+@register("bucketed_entity")
+def _bucketed_entity(spark, sf):
+    """All rows of one entity, by the files' bloom filters."""
+    return bucketed.entity(spark, _bucketed_after_load(spark, sf), P.ANCHOR)
+
+
+# ---- payloads whose fields drift ----------------------------------------------------
+
+from tidemark.sources import drifting  # noqa: E402
+
+
+def _drifting_docs(spark, sf):
+    """The monthly documents: by year with ids as texts, values as numbers, a new field, or values as objects."""
+    docs = payloads.monthly_documents(rates_from_lines(spark, sf).filter(F.col("rate_type") == "monthly"))
+    doc, way = F.col("doc"), F.col("y") % 4
+    return docs.select(F.when(way == 0, F.regexp_replace(doc, r'"element_id":(-?[0-9]+)', r'"element_id":"$1"'))
+                       .when(way == 1, F.regexp_replace(doc, r'"obs_val":"([0-9.]+)"', r'"obs_val":$1'))
+                       .when(way == 2, F.replace(doc, F.lit('"date":'), F.lit('"unit":"RUB","date":')))
+                       .otherwise(F.regexp_replace(doc, r'"obs_val":("[^"]*")', r'"obs_val":{"v":$1}')).alias("doc"))
+
+
+@register("monthly_json_drift")
+def _monthly_drift(spark, sf):
+    checked = drifting.drifting_checked(_drifting_docs(spark, sf))
+    return checked.filter(F.col("reason").isNull()).drop("reason", "original")
+
+
+@register("monthly_json_drift_rejects")
+def _monthly_drift_rejects(spark, sf):
+    checked = drifting.drifting_checked(_drifting_docs(spark, sf)).filter(F.col("reason").isNotNull())
+    return checked.groupBy("reason", "extra").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("monthly_json_fields")
+def _monthly_fields(spark, sf):
+    return drifting.drift_report(_drifting_docs(spark, sf))

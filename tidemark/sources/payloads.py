@@ -225,6 +225,12 @@ def monthly_checked(docs: DataFrame) -> DataFrame:
     text = F.col("document") if "document" in docs.columns else F.lit("")
     items = (docs.select(F.when(F.col("RawData").isNull(), F.coalesce(text, F.lit(""))).alias("document"), F.explode_outer(enriched).alias("r"))
              .filter(F.col("document").isNotNull() | F.col("r").isNotNull()).select("document", "r.*"))
+    return checked_items(items)
+
+
+def checked_items(items: DataFrame, *kept: str) -> DataFrame:
+    """RawData items with their header name (``document`` set where the row stands for a broken document) -> code, date, value and
+    ``reason``. Columns ``kept`` pass through; ``item``, if there is one, is the original text."""
     txt = F.coalesce(F.col("date"), F.lit(""))
     day = F.when(txt.contains("T"), F.try_to_date(F.split(txt, "T")[0], "yyyy-MM-dd")) \
         .otherwise(F.try_to_date(txt, "yyyy-M-d"))
@@ -234,6 +240,8 @@ def monthly_checked(docs: DataFrame) -> DataFrame:
               .when(day.isNull(), F.lit("bad_date"))
               .when(val.isNull() | F.isnan(val) | (F.abs(val) == F.lit(float("inf"))), F.lit("bad_value"))
               .when(F.expr("try_cast(try_cast(obs_val AS DOUBLE) AS DECIMAL(12,6))").isNull(), F.lit("value_overflow")))
+    text = F.col("item") if "item" in items.columns else F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in
+                                                                            ("element_id", "date", "obs_val", "dt")])
     return items.select(
         "element_id",
         code_from_name(F.col("elname")).alias("currency_code"),
@@ -244,8 +252,8 @@ def monthly_checked(docs: DataFrame) -> DataFrame:
         F.lit(1).alias("nominal"),
         F.coalesce(F.col("dt"), F.lit("")).alias("period"),
         reason.alias("reason"),
-        F.when(F.col("document").isNotNull(), F.col("document")).when(reason.isNotNull(), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in
-                                                      ("element_id", "date", "obs_val", "dt")])).alias("original"))
+        F.when(F.col("document").isNotNull(), F.col("document")).when(reason.isNotNull(), text).alias("original"),
+        *kept)
 
 
 def normalise_monthly(docs: DataFrame, y1: int | None = None, y2: int | None = None) -> DataFrame:
