@@ -173,3 +173,33 @@ def test_pii_iban_score_redaction(spark):
     text = {r.doc_id: r.text for r in pii.redact(df).collect()}
     assert text[2] == "mail [email] or [phone]" and text[3] is None
     assert pii.find_pii(df.where("false")).count() == 0
+
+
+def _ibans(spark, *texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    return [[(s.value, s.score) for s in r.spans if s.kind == "iban"] for r in pii.find_pii(df).orderBy("doc_id").collect()]
+
+
+def test_pii_iban_has_its_country_length(spark):
+    de, gb, no = "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819", "NO9386011117947"
+    got = _ibans(spark, f"{de} BIC COBADEFFXXX", "DE89370400440532013000 NOW", f"x {gb}, {no}.", f"{gb}X", f"é{no}é", "ZZ89370400440532013000", f"A{no}")
+    assert got == [[(de, 0.8)], [("DE89370400440532013000", 0.8)], [(gb, 0.8), (no, 0.8)], [], [(no, 0.8)], [], []]
+
+
+def test_pii_score_decides_on_odd_grouping(spark):
+    odd = "DE 89 37040044 0532013000".replace("DE 89", "DE89")
+    got = _ibans(spark, f"see {odd} here", f"account {odd} here", f"bankers {odd}", "bank " + "y" * 30 + f" {odd}", "a bank" + "y" * 38 + f" {odd}", f"{odd} " + "z" * 35 + " banks now")
+    assert got == [[], [(odd, 0.55)], [], [(odd, 0.55)], [], []]
+
+
+def test_pii_context_is_whole_words(spark):
+    df = spark.createDataFrame([(0, "hotel +1 555 010 9999"), (1, "tel +1 555 010 9999"), (2, "+1 555 010 9999 recall"), (3, "ho" + "tel " + "-" * 36 + " +1 555 010 9999")],
+                               "doc_id int, text string")
+    assert [r.spans[0].score for r in pii.find_pii(df).orderBy("doc_id").collect()] == [0.6, 0.7, 0.6, 0.6]
+
+
+def test_pii_many_matches(spark):
+    text = "".join(f"é a{k}@b.cd" for k in range(5000))
+    got = pii.find_pii(spark.createDataFrame([(text,)], "text string")).first().spans
+    want = [(m.start(), m.end(), m[0]) for m in re.finditer(PLAIN["email"], text)]
+    assert [(s.start, s.end, s.value) for s in got] == want and len(want) == 5000

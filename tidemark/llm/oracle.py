@@ -1,4 +1,6 @@
-"""DuckDB SQL of the queries that SQL can express, written without the operators' code."""
+"""DuckDB SQL of the queries that SQL can express, written without the operators' code (but for fixed values)."""
+
+from tidemark.llm.pii import IBAN_COUNTRIES
 
 LINE_DEDUP = r"""
 WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
@@ -54,12 +56,13 @@ t AS (SELECT *, epochs + CASE WHEN epochs < 2 AND up_to <= rest THEN 1 ELSE 0 EN
 SELECT doc_id, domain, lang, source, CAST(unnest(range(CAST(times AS BIGINT))) AS INTEGER) AS epoch FROM t
 """)
 
+_IBAN = "|".join(rf"({'|'.join(c.split())})[0-9]{{2}}( ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_COUNTRIES.items())
 _KINDS = [
-    ("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", 0.9, "mail|contact|write"),
-    ("ip", 1, r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", 0.6, r"\bip\b|address|server|host"),
-    ("card", 2, r"[0-9]([ -]?[0-9])+", 0.8, "card|credit|visa|payment"),
-    ("phone", 3, r"\+[0-9][ ().0-9-]+[0-9]", 0.6, "phone|tel|call|mobile|fax"),
-    ("iban", 4, r"\b[A-Z]{2}[0-9]{2}( ?[A-Z0-9]){11,30}\b", 0.8, "iban|bank|account|transfer"),
+    ("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", 0.9, "e-?mails?|mails?|mailto|contact|write"),
+    ("ip", 1, r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", 0.6, "ip|address|addresses|servers?|hosts?"),
+    ("card", 2, r"[0-9]([ -]?[0-9])+", 0.8, "cards?|credit|visa|payments?"),
+    ("phone", 3, r"\+[0-9][ ().0-9-]+[0-9]", 0.6, "phones?|telephones?|tel|call|mobile|fax"),
+    ("iban", 4, rf"\b({_IBAN})\b", 0.8, "iban|banks?|accounts?|transfers?"),
 ]
 _FOUND = " UNION ALL ".join(
     f"SELECT doc_id, '{k}' AS kind, {o} AS ord, {s} AS score, '{w}' AS words, regexp_extract_all(t, '{p}') AS ms, "
@@ -85,15 +88,20 @@ v AS (SELECT * FROM n WHERE CASE kind
         lambda x: CASE WHEN x BETWEEN '0' AND '9' THEN CAST(ascii(x) - 48 AS INTEGER) ELSE CAST(ascii(x) - 55 AS INTEGER) END)),
         lambda a, b: (a * CASE WHEN b > 9 THEN 100 ELSE 10 END + b) % 97) = 1 END),
 s AS (SELECT doc_id, kind, ord, start, kind || ':' || start || ':' || (start + length(m)) AS span,
-             round(score + CASE WHEN regexp_matches(lower(concat(right(before, 40), ' ', left(after, 40))), words) THEN 0.1 ELSE 0 END, 2) AS score
+             round(CASE WHEN kind = 'iban' AND NOT regexp_matches(m, '^[A-Z0-9]+$|^([A-Z0-9]{{4}} )+[A-Z0-9]{{1,4}}$') THEN 0.45 ELSE score END
+                   + CASE WHEN regexp_matches(lower(concat(
+                       CASE WHEN length(before) > 40 THEN regexp_replace(right(before, 41), '^[A-Za-z0-9_]+', '') ELSE before END, ' ',
+                       CASE WHEN length(after) > 40 THEN regexp_replace(left(after, 41), '[A-Za-z0-9_]+$', '') ELSE after END)),
+                       '(^|[^a-z0-9_])(' || words || ')($|[^a-z0-9_])') THEN 0.1 ELSE 0 END, 2) AS score
       FROM v),
+h AS (SELECT * FROM s WHERE kind <> 'iban' OR score >= 0.5),
 g AS (SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
              count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
              count(*) FILTER (kind = 'iban') AS n_iban,
              string_agg(span, ',' ORDER BY start, ord) AS spans,
              coalesce(string_agg(span, ',' ORDER BY start, ord) FILTER (kind <> 'iban'), '') AS base,
              string_agg(CAST(CAST(score AS DOUBLE) AS VARCHAR), ',' ORDER BY start, ord) AS scores
-      FROM s GROUP BY doc_id)
+      FROM h GROUP BY doc_id)
 SELECT t.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
        coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
        coalesce(n_iban, 0) AS n_iban, coalesce(scores, '') AS scores
