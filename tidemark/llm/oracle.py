@@ -166,7 +166,8 @@ SELECT file, "offset", length, page_id, uri,
        digest, other_digest FROM f WHERE digest IS NOT NULL OR NOT came
 """
 
-ORACLE = {"op7_warc": WARC, "op7_replicas": REPLICAS, "op1_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op8_pii": PII, "op9_topk": TOP_K}
+ORACLE = {"op7_warc": WARC, "op7_replicas": REPLICAS,
+          "op7_stored": f'SELECT file, "offset", length, uri, fault, digest, other_digest FROM ({REPLICAS})', "op1_line_dedup": LINE_DEDUP, "op6_mixing": MIXING, "op8_pii": PII, "op9_topk": TOP_K}
 
 # operators 11 to 13
 

@@ -20,7 +20,8 @@ from tidemark.llm.mixing import mix
 from tidemark.llm.pii import BASE, find_pii, listed
 from tidemark.llm.quality import classify, held_out, train
 from tidemark.llm.topk import top_k
-from tidemark.llm.warc import audit, pack, pack_damaged
+from tidemark.llm.warc import audit, pack, pack_damaged, stored_index, write_warc
+from tidemark.session import shared_dir
 
 MIX_WEIGHTS = {"domain": {"d0": 4, "d1": 3, "d2": 2, "d3": 1}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}, "source": {}}
 MIX_SHARE = (4, 5)
@@ -82,6 +83,21 @@ def op7_replicas(spark: SparkSession, sf_dir: str) -> DataFrame:
         "file", "offset", "length", "page_id", "uri", "fault", "digest", "other_digest")
 
 
+def op7_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The replicas of :func:`op7_replicas` written as WARC files, and audited by what is read back of them: every stored byte is hashed."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    page = F.col("page_id")
+    sides = {"first": pack(pages), "second": pack_damaged(pages, changed=page % 97 == 13, lost=page % 389 == 7, again=page % 499 == 3)}
+    index = {}
+    for name, packed in sides.items():
+        path = shared_dir(spark, "llm", f"warc_{name}")
+        write_warc(packed, path)
+        index[name] = materialise(stored_index(spark, path), f"warc_{name}_index")
+    found = audit(index["first"].drop("uri"), index["second"].drop("uri"))
+    return found.join(index["first"].select("file", "offset", "uri"), ["file", "offset"], "left").select(
+        "file", "offset", "length", "uri", "fault", "digest", "other_digest")
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     spans = F.col("spans")
@@ -140,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op7_replicas": op7_replicas,
+    "op7_stored": op7_stored,
     "op8_pii": op8_pii,
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,
