@@ -195,7 +195,10 @@ def parse_catalogue_xml(elements: DataFrame, col: str = "doc") -> DataFrame:
 
 def catalogue_elements(raw: DataFrame) -> DataFrame:
     """Catalogue entries of the entities in ``raw``; VcharCode left out for codes of odd length."""
-    ents = raw.groupBy("currency_code").agg(F.min("currency_name").alias("name"))
+    # the names that differ first, by hash: a text as an aggregate's value makes Spark sort its rows. Their number keeps Spark from
+    # taking the step out again, which it does with a plain distinct below a minimum
+    names = raw.groupBy("currency_code", "currency_name").agg(F.count(F.lit(1)).alias("n")).filter("n > 0")
+    ents = names.groupBy("currency_code").agg(F.min("currency_name").alias("name"))
     return ents.select(F.to_xml(F.struct(
         F.concat(F.lit(" "), F.col("name"), F.lit(" ")).alias("Vname"),
         F.lit("1").alias("Vnom"),
