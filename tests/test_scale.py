@@ -87,3 +87,18 @@ def test_days_read_by_a_cast_are_those_of_the_formatter(spark):
     rows = spark.createDataFrame([(t,) for t in texts], "rate_date string")
     differ = rows.filter(~validate.day_of(rows).eqNullSafe(F.try_to_date("rate_date", "yyyy-M-d")))
     assert differ.collect() == []
+
+
+def test_documents_are_parsed_once(spark):
+    docs = payloads.daily_documents(raw_rows(spark, [("USD", D(2024, 1, 2), 90), ("EUR", D(2024, 1, 2), 95)]))
+    got = payloads.parse_daily_xml(docs)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("from_xml(") == 1
+    assert sorted(r["currency_code"] for r in got.collect()) == ["EUR", "USD"]
+
+
+def test_landed_daily_files_are_compressed(spark, tmp_path):
+    rows = raw_rows(spark, [("USD", D(2024, 1, 2), 90), ("EUR", D(2024, 1, 3), 95)])
+    payloads.write_daily_xml(rows, str(tmp_path / "landing"))
+    assert all(f.name.endswith(".xml.gz") for f in (tmp_path / "landing").rglob("part-*"))
+    back = payloads.read_daily_xml(spark, str(tmp_path / "landing"), D(2024, 1, 2), D(2024, 1, 3))
+    assert sorted((r["currency_code"], r["rate_date"]) for r in back.collect()) == [("EUR", D(2024, 1, 3)), ("USD", D(2024, 1, 2))]

@@ -132,8 +132,12 @@ def read_daily_xml(spark: SparkSession, path: str, start=None, end=None) -> Data
 
 
 def parse_daily_valutes(docs: DataFrame, doc_col: str = "doc", date_col: str = "rate_date") -> DataFrame:
-    """The elements of documents held in a column; ``document`` is the text ('' for null) of one that does not parse."""
-    parsed = docs.select(F.col(date_col).alias("rate_date"), F.col(doc_col).alias("_doc"), F.from_xml(F.col(doc_col), DAILY_DOC).alias("p"))
+    """The elements of documents held in a column; ``document`` is the text ('' for null) of one that does not parse.
+
+    The parsed document goes through a generator of one row: a filter on ``document`` that is pushed down would parse it again, once
+    for each of its uses."""
+    parsed = docs.select(F.explode(F.array(F.struct(F.col(date_col).alias("rate_date"), F.col(doc_col).alias("_doc"),
+                                                    F.from_xml(F.col(doc_col), DAILY_DOC).alias("p")))).alias("_parsed")).select("_parsed.*")
     broken = F.col("p").isNull() | F.col("p")[CORRUPT.name].isNotNull()
     return (parsed.select("rate_date", F.when(broken, F.coalesce("_doc", F.lit(""))).alias("document"), F.explode_outer("p.ValuteCursOnDate").alias("v"))
             .filter(F.col("document").isNotNull() | F.col("v").isNotNull())
@@ -158,7 +162,7 @@ def daily_documents(daily: DataFrame) -> DataFrame:
 
 
 def write_daily_xml(daily: DataFrame, path: str) -> None:
-    """Land daily rows as XML files partitioned by date (one directory per date)."""
+    """Land daily rows as XML files partitioned by date (one directory per date), compressed: markup takes most of their plain text."""
     (daily.select(F.col("currency_name").alias("Vname"), F.col("nominal").cast("string").alias("Vnom"),
                   F.col("exchange_rate").cast("string").alias("Vcurs"),
                   F.length("currency_code").cast("string").alias("Vcode"),
@@ -166,7 +170,7 @@ def write_daily_xml(daily: DataFrame, path: str) -> None:
                   (F.col("exchange_rate").cast("double") / F.col("nominal")).cast("string").alias("VunitRate"),
                   "rate_date")
      .repartition("rate_date")
-     .write.format("xml").option("rowTag", "ValuteCursOnDate").option("rootTag", "ValuteData")
+     .write.format("xml").option("rowTag", "ValuteCursOnDate").option("rootTag", "ValuteData").option("compression", "gzip")
      .partitionBy("rate_date").mode("overwrite").save(path))
 
 
