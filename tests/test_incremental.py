@@ -104,3 +104,28 @@ def test_load_bitmaps_merge(spark):
     assert got.collect() == marts.load_stats(raw).collect()
     assert "Expand" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert inc.load_stats(inc.merge_bitmaps(inc.load_bitmaps(raw.limit(0), ids))).count() == 0
+
+
+def test_tables_by_months_are_shuffled_once_as_they_are_written(spark, store, monkeypatch):
+    name, base, mom, chg, raw = store
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    daily = raw().filter("rate_type = 'daily'")
+    sizes = tables.month_sizes(daily)
+    assert sum(sizes) == daily.count()
+    text = plan(inc.moments(raw(), "ANC", sizes=sizes))
+    assert "SortMergeJoin" not in text and [x for x in text.split("\n") if "Exchange hashpartitioning(" in x and "rate_date" not in x] == \
+        [x for x in text.split("\n") if "Exchange hashpartitioning(rate_month" in x and "REPARTITION_BY_NUM" in x]
+    text = plan(inc.daily_changes_of(raw(), spark.table(mom)))
+    assert text.count("hashpartitioning(rate_month") == 1 and "Join" not in text
+    monkeypatch.setattr(tables, "TASK_ROWS", 3)  # several shares a month
+    inc.refresh_moments(spark, raw(), None, mom, base, "ANC")
+    inc.refresh_daily_changes(spark, raw(), spark.table(mom), None, chg, base)
+    check(spark, raw, mom, chg)
+
+
+def test_change_after_a_row_without_a_rate(spark):
+    rows = raw_rows(spark, [("A", D(2024, 1, 5), 4), ("A", D(2024, 2, 1), 5), ("A", D(2024, 2, 2), 6), ("A", D(2024, 2, 3), 8)])
+    pieces = inc.moments(rows, "ANC")
+    raw = tables.with_partition(rows.withColumn("exchange_rate", F.when(F.col("rate_date") != D(2024, 2, 2), F.col("exchange_rate"))))
+    got = {r["rate_date"]: r["prev_rate"] for r in inc.daily_changes_of(raw, pieces).collect()}
+    assert got == {D(2024, 1, 5): None, D(2024, 2, 1): 4, D(2024, 2, 2): 5, D(2024, 2, 3): 4}  # as before: the month's carry stands in

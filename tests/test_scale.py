@@ -102,3 +102,29 @@ def test_landed_daily_files_are_compressed(spark, tmp_path):
     assert all(f.name.endswith(".xml.gz") for f in (tmp_path / "landing").rglob("part-*"))
     back = payloads.read_daily_xml(spark, str(tmp_path / "landing"), D(2024, 1, 2), D(2024, 1, 3))
     assert sorted((r["currency_code"], r["rate_date"]) for r in back.collect()) == [("EUR", D(2024, 1, 3)), ("USD", D(2024, 1, 2))]
+
+
+def test_rates_by_month_are_written_where_they_lie(spark, tmp_path, monkeypatch):
+    from tidemark.sources import tables as source
+    monkeypatch.setattr(source, "MONTH_TASK_LINES", 20)  # several shares a month
+    _lines(spark, tmp_path)
+    plain, dealt = rates_from_lines(spark, str(tmp_path)), rates_from_lines(spark, str(tmp_path), by_month=True)
+    key = lambda r: tuple(str(x) for x in r)
+    shuffles = [x for x in _plan(dealt).split("\n") if "Exchange" in x]
+    assert sorted(plain.collect(), key=key) == sorted(dealt.collect(), key=key)
+    assert len(shuffles) == 2 and all("hashpartitioning(month" in x and "_share" in x for x in shuffles)
+    tables.write_raw(dealt, str(tmp_path / "raw"), dealt=True)
+    back = spark.read.parquet(str(tmp_path / "raw")).select(*plain.columns)
+    assert sorted(back.collect(), key=key) == sorted(plain.collect(), key=key)
+
+
+def test_load_of_last_months_makes_only_its_records(spark, tmp_path):
+    from tidemark.plans import params, registry
+    rows = [(o, 1 + o % 5, 1, 100.0 + o, dt.datetime(2001, 5 + o % 6, 1 + o % 28)) for o in range(400)]
+    spark.createDataFrame(rows, "l_orderkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_shipdate timestamp_ntz") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    whole = validate.valid(registry._checked(spark, str(tmp_path))).filter(F.col("rate_date") >= F.lit(params.LOAD_START))
+    part = registry._checked(spark, str(tmp_path), params.LOAD_START)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted(validate.valid(part).collect(), key=key) == sorted(whole.collect(), key=key) and whole.count() > 50
+    assert any("Filter" in x and "l_shipdate" in x for x in _plan(part).split("\n"))

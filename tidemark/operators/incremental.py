@@ -14,35 +14,42 @@ The tables are partitioned by month and their partitions switched (``operators.t
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.literals import date_lit
 from tidemark.functions.numeric import pct_change, pct_range
 from tidemark.functions.series import with_previous
 from tidemark.operators import marts
-from tidemark.operators.tables import replace_months
+from tidemark.operators.tables import MONTH, deal, month_sizes, replace_months
 
 PIECE = ("currency_code", "month", "week")
 
 
-def moments(raw: DataFrame, anchor: str, rate_type: str = "daily") -> DataFrame:
-    """One row for each entity and piece of a week inside a month. All aggregates are of fixed width and combined on the map side."""
-    rows = raw.filter(F.col("rate_type") == F.lit(rate_type)).select("currency_code", "rate_date", "exchange_rate")
+def moments(raw: DataFrame, anchor: str, rate_type: str = "daily", sizes: list[int] | None = None) -> DataFrame:
+    """One row for each entity and piece of a week inside a month. All aggregates are of fixed width. With ``sizes``, the numbers of rows of
+    the months, the rows (not their pieces, which are five times as wide) are dealt by ``rate_month`` as the table of moments lies, and this
+    is the only shuffle; else they are combined on the map side. The anchor has one row a day of the calendar, so it is broadcast."""
+    rows = raw.filter(F.col("rate_type") == F.lit(rate_type))
     other = rows.filter(F.col("currency_code") == F.lit(anchor)).groupBy("rate_date").agg(F.max("exchange_rate").alias("anchor_rate"))
+    at = [] if sizes is None else ["rate_month", "_share"]
+    rows = rows.select("currency_code", "rate_date", "exchange_rate", *at[:1])
+    if at:
+        rows = deal(rows, sizes, MONTH)
     x, y = F.col("exchange_rate"), F.when(F.col("currency_code") != F.lit(anchor), F.col("anchor_rate"))
     xd, yd = x.cast("double"), y.cast("double")
     both = F.when(yd.isNotNull(), xd)
     count, pairs = F.count(F.lit(1)), F.count(both)
-    return (rows.join(other, "rate_date", "left")
-            .groupBy("currency_code", F.trunc("rate_date", "month").alias("month"), F.trunc("rate_date", "week").alias("week"))
-            .agg(count.alias("n"), F.sum(x).alias("total"), F.avg(xd).alias("mean"), (F.var_pop(xd) * count).alias("m2"),
-                 F.min(x).alias("lo"), F.max(x).alias("hi"),
-                 F.min("rate_date").alias("first_date"), F.max("rate_date").alias("last_date"), F.max_by(x, F.col("rate_date")).alias("last_rate"),
-                 pairs.alias("pairs"), F.avg(both).alias("mean_x"), F.avg(yd).alias("mean_y"), (F.var_pop(both) * pairs).alias("m2_x"),
-                 (F.var_pop(yd) * pairs).alias("m2_y"), (F.covar_pop(both, yd) * pairs).alias("c_xy"),
-                 F.min(both).alias("lo_x"), F.max(both).alias("hi_x"), F.min(yd).alias("lo_y"), F.max(yd).alias("hi_y"))
-            .withColumn("rate_month", F.date_format("month", "yyyy-MM")))
+    pieces = (rows.join(F.broadcast(other), "rate_date", "left")
+              .groupBy(*at, "currency_code", F.trunc("rate_date", "month").alias("month"), F.trunc("rate_date", "week").alias("week"))
+              .agg(count.alias("n"), F.sum(x).alias("total"), F.avg(xd).alias("mean"), (F.var_pop(xd) * count).alias("m2"),
+                   F.min(x).alias("lo"), F.max(x).alias("hi"),
+                   F.min("rate_date").alias("first_date"), F.max("rate_date").alias("last_date"), F.max_by(x, F.col("rate_date")).alias("last_rate"),
+                   pairs.alias("pairs"), F.avg(both).alias("mean_x"), F.avg(yd).alias("mean_y"), (F.var_pop(both) * pairs).alias("m2_x"),
+                   (F.var_pop(yd) * pairs).alias("m2_y"), (F.covar_pop(both, yd) * pairs).alias("c_xy"),
+                   F.min(both).alias("lo_x"), F.max(both).alias("hi_x"), F.min(yd).alias("lo_y"), F.max(yd).alias("hi_y")))
+    rate_month = F.col("rate_month") if at else F.date_format("month", "yyyy-MM")
+    return pieces.select(*[c for c in pieces.columns if c not in at], rate_month.alias("rate_month"))
 
 
 def _merged(n: str, x: str, y: str, xx: str, yy: str, xy: str) -> Column:
@@ -132,26 +139,38 @@ def refresh_moments(spark: SparkSession, raw: DataFrame, touched: DataFrame | No
         months = months_of(touched)
         raw = raw.filter(F.col("rate_month").isin(months)) if months else raw.limit(0)
     if months is None or months:
-        replace_months(spark, table, moments(raw, anchor), base, months)
+        sizes = month_sizes(raw.filter(F.col("rate_type") == "daily"))
+        replace_months(spark, table, moments(raw, anchor, sizes=sizes), base, months)
     return months or []
 
 
 def _carried(pieces: DataFrame) -> DataFrame:
-    """(entity, month, carry): the last rate before the month, for each month of an entity with rows."""
+    """(entity, month, carry): the last rate before the month, for each month of an entity with rows. An entity has one row a month of the
+    calendar here, so one window by entity holds few."""
     per_month = pieces.groupBy("currency_code", "month").agg(F.max_by("last_rate", "last_date").alias("last_rate"))
-    return with_previous(per_month, ["currency_code"], "month", ["last_rate"]).select("currency_code", "month", F.col("prev_last_rate").alias("carry"))
+    return with_previous(per_month, ["currency_code"], "month", ["last_rate"], block="none").select("currency_code", "month", F.col("prev_last_rate").alias("carry"))
 
 
 def daily_changes_of(raw: DataFrame, pieces: DataFrame, months: list[str] | None = None, rate_type: str = "daily") -> DataFrame:
-    """``marts.daily_changes`` of ``months`` (all if None), with ``rate_month``: the row before a month's first comes from the pieces."""
+    """``marts.daily_changes`` of ``months`` (all if None), with ``rate_month``: the row before a month's first comes from the pieces.
+
+    It joins the rows as one more of its entity and month, without a date, so it sorts before them; one shuffle by month (:func:`deal`) and one
+    sort serve the look at the row before and the folders of the write."""
     if months is not None:
         raw = raw.filter(F.col("rate_month").isin(months)) if months else raw.limit(0)
-    rows = raw.filter(F.col("rate_type") == F.lit(rate_type)).select("currency_code", "rate_date", "exchange_rate", F.trunc("rate_date", "month").alias("month"))
-    inner = with_previous(rows, ["currency_code", "month"], "rate_date", ["exchange_rate"], block="month")
-    before = F.coalesce("prev_exchange_rate", "carry")
-    return inner.join(_carried(pieces), ["currency_code", "month"], "left").select(
-        "currency_code", "rate_date", "exchange_rate", before.alias("prev_rate"), (F.col("exchange_rate") - before).alias("abs_change"),
-        pct_change(F.col("exchange_rate"), before).alias("pct_change"), F.date_format("month", "yyyy-MM").alias("rate_month"))
+    rows = raw.filter(F.col("rate_type") == F.lit(rate_type))
+    carried = _carried(pieces).filter(F.col("currency_code").isNotNull() & F.col("carry").isNotNull()) \
+        .select("currency_code", F.date_format("month", "yyyy-MM").alias("rate_month"), "carry")
+    if months is not None:
+        carried = carried.filter(F.col("rate_month").isin(months)) if months else carried.limit(0)
+    sizes = month_sizes(rows)
+    both = rows.select("currency_code", "rate_date", "exchange_rate", "rate_month", F.lit(True).alias("_row")).unionByName(
+        carried.filter(F.col("rate_month").isNotNull()).withColumn("_row", F.lit(False)), allowMissingColumns=True)
+    series = Window.partitionBy(*MONTH, "_share", "currency_code").orderBy("rate_date")
+    before = F.coalesce(F.lag("exchange_rate").over(series), F.first("carry").over(series.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return deal(both, sizes, MONTH).withColumn("prev_rate", before).filter("_row").select(
+        "currency_code", "rate_date", "exchange_rate", "prev_rate", (F.col("exchange_rate") - F.col("prev_rate")).alias("abs_change"),
+        pct_change(F.col("exchange_rate"), F.col("prev_rate")).alias("pct_change"), "rate_month")
 
 
 def refresh_daily_changes(spark: SparkSession, raw: DataFrame, pieces: DataFrame, touched: DataFrame | None, table: str, base: str) -> list[str]:
@@ -162,7 +181,9 @@ def refresh_daily_changes(spark: SparkSession, raw: DataFrame, pieces: DataFrame
         return []
     months = months_of(touched)
     mine = touched.select("currency_code", F.trunc("rate_date", "month").alias("month")).distinct()
-    following = (pieces.select("currency_code", F.col("month").alias("later")).distinct()
+    # years of four digits sort as text, and any other year's text sorts before them
+    later = pieces.filter(F.col("month") > F.lit(f"{months[0]}-01").cast("date")) if months and len(months[0]) == 7 else pieces
+    following = (later.select("currency_code", F.col("month").alias("later")).distinct()
                  .join(mine, "currency_code").filter(F.col("later") > F.col("month")).groupBy("currency_code", "month").agg(F.min("later").alias("later")))
     again = sorted(set(months) | {r[0] for r in following.select(F.date_format("later", "yyyy-MM")).distinct().collect()})
     replace_months(spark, table, daily_changes_of(raw, pieces, again), base, again)
