@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import D, raw_rows, raw_table
 from tidemark.operators import incremental as inc
 from tidemark.operators import marts, tables
+from tidemark.operators import store as store_ops
 from tidemark.session import shared_dir
 from tidemark.sources.tables import read_raw
 
@@ -129,3 +130,23 @@ def test_change_after_a_row_without_a_rate(spark):
     raw = tables.with_partition(rows.withColumn("exchange_rate", F.when(F.col("rate_date") != D(2024, 2, 2), F.col("exchange_rate"))))
     got = {r["rate_date"]: r["prev_rate"] for r in inc.daily_changes_of(raw, pieces).collect()}
     assert got == {D(2024, 1, 5): None, D(2024, 2, 1): 4, D(2024, 2, 2): 5, D(2024, 2, 3): 4}  # as before: the month's carry stands in
+
+
+def test_periods_are_made_once_for_the_change_against_the_one_before(spark, store):
+    name, base, mom, chg, raw = store
+    gaps = raw().withColumn("rate_date", F.when(F.dayofmonth("rate_date") != 3, F.col("rate_date")))  # rows without a date are a period that no other follows
+    batch = gaps.filter("rate_month = '2024-02'").select("currency_code", "rate_date")
+    for make in (lambda block: marts.period_stats(gaps, "week", block=block), lambda block: inc.period_stats(inc.moments(gaps, "ANC"), "week", block=block),
+                 lambda block: marts.refresh_period_stats(gaps, marts.period_stats(gaps, "week"), batch, "week", block=block)):
+        one = make(None)
+        text = one._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Window ") == 1
+        assert rounded(one) == rounded(make("year"))
+
+
+def test_upsert_aggregates_the_batch_once(spark):
+    rows = raw_rows(spark, [("AAA", D(2024, 1, 1), 1), ("BBB", D(2024, 1, 1), 2)])
+    batch = raw_rows(spark, [("AAA", D(2024, 1, 1), 5), ("AAA", D(2024, 1, 1), 6)]).withColumn("seq", F.col("exchange_rate").cast("long"))
+    out = store_ops.upsert(rows, batch, AS_OF, seq="seq")
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
+    assert sorted((r["currency_code"], float(r["exchange_rate"])) for r in out.collect()) == [("AAA", 6.0), ("BBB", 2.0)]

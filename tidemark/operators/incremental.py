@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.literals import date_lit
 from tidemark.functions.numeric import pct_change, pct_range
-from tidemark.functions.series import with_previous
+from tidemark.functions.series import with_previous_period
 from tidemark.operators import marts
 from tidemark.operators.tables import MONTH, deal, month_sizes, replace_months
 
@@ -79,7 +79,7 @@ def _stddev(m: Column) -> Column:
     return F.when(m["n"] > 1, F.sqrt(m["xx"] / (m["n"] - 1)))
 
 
-def period_stats(pieces: DataFrame, unit: str, volatility_digits: int | None = None, block: str = "year") -> DataFrame:
+def period_stats(pieces: DataFrame, unit: str, volatility_digits: int | None = None, block: str | None = None) -> DataFrame:
     """``marts.period_stats`` from the moments."""
     period = marts.PERIOD_COLUMN[unit]
     at = F.col("week") if unit == "week" else F.trunc("month", unit)
@@ -89,7 +89,7 @@ def period_stats(pieces: DataFrame, unit: str, volatility_digits: int | None = N
     vol = _stddev(F.col("m"))
     stats = stats.select("currency_code", period, "avg_rate", "min_rate", "max_rate",
                          (F.round(vol, volatility_digits) if volatility_digits is not None else vol).alias("volatility"), "days_count")
-    before = with_previous(stats, ["currency_code"], period, ["avg_rate"], block=block)
+    before = with_previous_period(stats, ["currency_code"], period, ["avg_rate"], block)
     return before.select(*stats.columns, (F.col("avg_rate") - F.col("prev_avg_rate")).alias("abs_change"),
                          pct_change(F.col("avg_rate"), F.col("prev_avg_rate")).alias("pct_change"))
 
@@ -148,7 +148,7 @@ def _carried(pieces: DataFrame) -> DataFrame:
     """(entity, month, carry): the last rate before the month, for each month of an entity with rows. An entity has one row a month of the
     calendar here, so one window by entity holds few."""
     per_month = pieces.groupBy("currency_code", "month").agg(F.max_by("last_rate", "last_date").alias("last_rate"))
-    return with_previous(per_month, ["currency_code"], "month", ["last_rate"], block="none").select("currency_code", "month", F.col("prev_last_rate").alias("carry"))
+    return with_previous_period(per_month, ["currency_code"], "month", ["last_rate"]).select("currency_code", "month", F.col("prev_last_rate").alias("carry"))
 
 
 def daily_changes_of(raw: DataFrame, pieces: DataFrame, months: list[str] | None = None, rate_type: str = "daily") -> DataFrame:
