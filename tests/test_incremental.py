@@ -150,3 +150,12 @@ def test_upsert_aggregates_the_batch_once(spark):
     out = store_ops.upsert(rows, batch, AS_OF, seq="seq")
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 1
     assert sorted((r["currency_code"], float(r["exchange_rate"])) for r in out.collect()) == [("AAA", 6.0), ("BBB", 2.0)]
+
+
+def test_sums_of_pieces_are_whole_numbers(spark):
+    rows = raw_rows(spark, [("A", D(2024, 1, 2), 1), ("A", D(2024, 1, 3), 2), ("B", D(2024, 1, 2), 3)]).withColumn(
+        "exchange_rate", F.when(F.col("currency_code") == "B", F.lit("-0.000003")).otherwise(F.lit("999999.999999")).cast("decimal(12,6)"))
+    pieces = inc.moments(rows, "ANC")
+    assert dict(pieces.dtypes)["total"] == "bigint"
+    assert {r["currency_code"]: r["total"] for r in pieces.collect()} == {"A": 1999999999998, "B": -3}
+    assert inc.top_volatile(tables.with_partition(pieces.drop("rate_month").withColumn("rate_date", F.col("month"))).drop("rate_date"), rows, D(2024, 1, 31), "ANC").count() == 2

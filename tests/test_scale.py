@@ -128,3 +128,13 @@ def test_load_of_last_months_makes_only_its_records(spark, tmp_path):
     key = lambda r: tuple(str(x) for x in r)
     assert sorted(validate.valid(part).collect(), key=key) == sorted(whole.collect(), key=key) and whole.count() > 50
     assert any("Filter" in x and "l_shipdate" in x for x in _plan(part).split("\n"))
+
+
+def test_cents_and_months_of_lines_take_whole_numbers(spark, tmp_path):
+    from tidemark.sources.tables import whole_cents
+    prices = [0.0, 0.004, 0.005, 0.0049999999999999994, 1.004999, 1.005, 2.675, 12.345, 104949.995, 167772.15, -2.505, -0.005, 1e13, None]
+    df = spark.createDataFrame([(p,) for p in prices], "p double").select(whole_cents(F.col("p")).alias("a"), F.round(F.col("p") * 100).cast("long").alias("b"))
+    assert all(r["a"] == r["b"] for r in df.collect())
+    _lines(spark, tmp_path)
+    text = _plan(rates_from_lines(spark, str(tmp_path)))
+    assert " / 100" not in text and "max(exchange_rate" not in text

@@ -26,6 +26,16 @@ from tidemark.operators.tables import MONTH, deal, month_sizes, replace_months
 PIECE = ("currency_code", "month", "week")
 
 
+def _millionths(rate: Column) -> Column:
+    """A rate of six decimal places, as a double, in millionths: a whole number, so sums are exact, in half the time of wide decimals."""
+    return F.floor(rate * 1e6 + 0.5)
+
+
+def _mean_rate() -> Column:
+    """The mean of pieces: their exact sum, divided once as a decimal's double is, by their rows."""
+    return F.sum("total").cast("double") / 1e6 / F.sum("n")
+
+
 def moments(raw: DataFrame, anchor: str, rate_type: str = "daily", sizes: list[int] | None = None) -> DataFrame:
     """One row for each entity and piece of a week inside a month. All aggregates are of fixed width. With ``sizes``, the numbers of rows of
     the months, the rows (not their pieces, which are five times as wide) are dealt by ``rate_month`` as the table of moments lies, and this
@@ -42,7 +52,7 @@ def moments(raw: DataFrame, anchor: str, rate_type: str = "daily", sizes: list[i
     count, pairs = F.count(F.lit(1)), F.count(both)
     pieces = (rows.join(F.broadcast(other), "rate_date", "left")
               .groupBy(*at, "currency_code", F.trunc("rate_date", "month").alias("month"), F.trunc("rate_date", "week").alias("week"))
-              .agg(count.alias("n"), F.sum(x).alias("total"), F.avg(xd).alias("mean"), (F.var_pop(xd) * count).alias("m2"),
+              .agg(count.alias("n"), F.sum(_millionths(xd)).alias("total"), F.avg(xd).alias("mean"), (F.var_pop(xd) * count).alias("m2"),
                    F.min(x).alias("lo"), F.max(x).alias("hi"),
                    F.min("rate_date").alias("first_date"), F.max("rate_date").alias("last_date"), F.max_by(x, F.col("rate_date")).alias("last_rate"),
                    pairs.alias("pairs"), F.avg(both).alias("mean_x"), F.avg(yd).alias("mean_y"), (F.var_pop(both) * pairs).alias("m2_x"),
@@ -84,7 +94,7 @@ def period_stats(pieces: DataFrame, unit: str, volatility_digits: int | None = N
     period = marts.PERIOD_COLUMN[unit]
     at = F.col("week") if unit == "week" else F.trunc("month", unit)
     stats = pieces.groupBy("currency_code", at.alias(period)).agg(
-        (F.sum("total").cast("double") / F.sum("n")).alias("avg_rate"), F.min("lo").alias("min_rate"), F.max("hi").alias("max_rate"),
+        _mean_rate().alias("avg_rate"), F.min("lo").alias("min_rate"), F.max("hi").alias("max_rate"),
         _spread().alias("m"), F.sum("n").alias("days_count"))
     vol = _stddev(F.col("m"))
     stats = stats.select("currency_code", period, "avg_rate", "min_rate", "max_rate",
@@ -117,7 +127,7 @@ def top_volatile(pieces: DataFrame, raw: DataFrame, as_of, anchor: str, days: in
         rows = rows.filter(F.col("rate_month") == F.date_format(bound, "yyyy-MM"))
     edge = moments(rows, anchor).select(*pieces.columns)
     merged = inside.unionByName(edge).groupBy("currency_code").agg(_spread().alias("m"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-                                                                   (F.sum("total").cast("double") / F.sum("n")).alias("mean"))
+                                                                   _mean_rate().alias("mean"))
     out = merged.select(
         "currency_code", F.round(_stddev(F.col("m")), 4).alias("volatility"), F.round("mean", 2).alias("avg_rate"),
         F.round("lo", 2).cast("double").alias("min_rate"), F.round("hi", 2).cast("double").alias("max_rate"),
