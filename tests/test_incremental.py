@@ -152,6 +152,24 @@ def test_upsert_aggregates_the_batch_once(spark):
     assert sorted((r["currency_code"], float(r["exchange_rate"])) for r in out.collect()) == [("AAA", 6.0), ("BBB", 2.0)]
 
 
+def _without_lists_and_shuffled_once(df, extra=0):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in text and "collect_list" not in text
+    assert text.count("Exchange hashpartitioning(currency_code") == text.count("Exchange ") - extra == 1
+
+
+def test_weeks_are_merged_without_lists_after_one_shuffle(spark, store):
+    name, base, mom, chg, raw = store
+    pieces = spark.table(mom)
+    _without_lists_and_shuffled_once(inc.period_stats(pieces, "week"))
+    odd = raw_rows(spark, [("A", D(2024, 1, 29), 5), ("A", D(2024, 2, 1), 9), ("A", D(2024, 2, 2), 1), ("B", D(2024, 1, 30), 4), ("B", D(2024, 1, 30), 8), ("C", D(2024, 2, 1), 3)]) \
+        .withColumn("currency_code", F.when(F.col("currency_code") != "C", F.col("currency_code")))
+    gaps = odd.unionByName(odd.withColumn("rate_date", F.lit(None).cast("date"))).unionByName(odd.filter("currency_code = 'A'").withColumn("exchange_rate", F.lit(None).cast("decimal(12,6)")))
+    dated = gaps.filter("exchange_rate IS NOT NULL")
+    assert rounded(inc.period_stats(inc.moments(dated, "ANC"), "week")) == rounded(marts.period_stats(dated, "week"))
+    assert inc.moments(gaps, "ANC").count() == inc.moments(dated, "ANC").count()
+
+
 def test_sums_of_pieces_are_whole_numbers(spark):
     rows = raw_rows(spark, [("A", D(2024, 1, 2), 1), ("A", D(2024, 1, 3), 2), ("B", D(2024, 1, 2), 3)]).withColumn(
         "exchange_rate", F.when(F.col("currency_code") == "B", F.lit("-0.000003")).otherwise(F.lit("999999.999999")).cast("decimal(12,6)"))

@@ -85,17 +85,30 @@ def _spread() -> Column:
     return _merged("n", "mean", None, "m2", None, None)
 
 
+def _week_spread() -> Column:
+    """:func:`_spread` of the pieces of a week, which are two at most as it lies in two months at most: the same merge by aggregates of fixed
+    width, which need no lists."""
+    zero, order = F.lit(0.0), F.coalesce("month", F.lit("1970-01-01").cast("date"))
+    mean, whole = F.coalesce("mean", zero), F.sum("n").cast("double")
+    n = F.min_by("n", order).cast("double")
+    between = F.max_by(mean, order) - F.min_by(mean, order)
+    return F.struct(whole.alias("n"), (F.sum(F.coalesce("m2", zero)) + between * between * (n * ((whole - n) / whole))).alias("xx"))
+
+
 def _stddev(m: Column) -> Column:
     return F.when(m["n"] > 1, F.sqrt(m["xx"] / (m["n"] - 1)))
 
 
 def period_stats(pieces: DataFrame, unit: str, volatility_digits: int | None = None, block: str | None = None) -> DataFrame:
-    """``marts.period_stats`` from the moments."""
+    """``marts.period_stats`` from the moments. The pieces are dealt once, by entity, for the periods and the look at the period before."""
     period = marts.PERIOD_COLUMN[unit]
+    pieces = pieces.select(*PIECE, "n", "total", "mean", "m2", "lo", "hi")
+    if block is None:
+        pieces = pieces.repartition("currency_code")
     at = F.col("week") if unit == "week" else F.trunc("month", unit)
     stats = pieces.groupBy("currency_code", at.alias(period)).agg(
         _mean_rate().alias("avg_rate"), F.min("lo").alias("min_rate"), F.max("hi").alias("max_rate"),
-        _spread().alias("m"), F.sum("n").alias("days_count"))
+        (_week_spread() if unit == "week" else _spread()).alias("m"), F.sum("n").alias("days_count"))
     vol = _stddev(F.col("m"))
     stats = stats.select("currency_code", period, "avg_rate", "min_rate", "max_rate",
                          (F.round(vol, volatility_digits) if volatility_digits is not None else vol).alias("volatility"), "days_count")
