@@ -177,3 +177,10 @@ def test_sums_of_pieces_are_whole_numbers(spark):
     assert dict(pieces.dtypes)["total"] == "bigint"
     assert {r["currency_code"]: r["total"] for r in pieces.collect()} == {"A": 1999999999998, "B": -3}
     assert inc.top_volatile(tables.with_partition(pieces.drop("rate_month").withColumn("rate_date", F.col("month"))).drop("rate_date"), rows, D(2024, 1, 31), "ANC").count() == 2
+
+
+def test_correlation_is_merged_without_lists_after_one_shuffle(spark, store):
+    name, base, mom, chg, raw = store
+    got = inc.anchor_correlation(spark.table(mom), "ANC")
+    _without_lists_and_shuffled_once(got, extra=1)  # the other one orders the result
+    assert rounded(got) == rounded(marts.anchor_correlation(raw(), "ANC")) and got.count() > 2

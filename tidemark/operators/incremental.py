@@ -119,12 +119,19 @@ def period_stats(pieces: DataFrame, unit: str, volatility_digits: int | None = N
 
 def anchor_correlation(pieces: DataFrame, anchor: str, min_days: int = 10) -> DataFrame:
     """``marts.anchor_correlation`` from the moments (made for the same anchor)."""
-    merged = (pieces.filter((F.col("currency_code") != F.lit(anchor)) & (F.col("pairs") > 0)).groupBy("currency_code")
-              .agg(_merged("pairs", "mean_x", "mean_y", "m2_x", "m2_y", "c_xy").alias("m"), F.sum("pairs").alias("days_count"),
-                   ((F.min("lo_x") < F.max("hi_x")) & (F.min("lo_y") < F.max("hi_y"))).alias("varying"))
+    n, x, y = F.col("pairs"), F.col("mean_x"), F.col("mean_y")
+    mine = pieces.filter((F.col("currency_code") != F.lit(anchor)) & (n > 0)) \
+        .select(*PIECE, "pairs", "mean_x", "mean_y", "m2_x", "m2_y", "c_xy", "lo_x", "hi_x", "lo_y", "hi_y").repartition("currency_code")
+    # an entity has few pieces (up to six a month of the calendar): first their common means, then the squares about them
+    whole = Window.partitionBy("currency_code").orderBy("month", "week").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    days = F.sum(n).over(whole)
+    mine = mine.withColumns({"_dx": x - F.sum(n * x).over(whole) / days, "_dy": y - F.sum(n * y).over(whole) / days})
+    dx, dy = F.col("_dx"), F.col("_dy")
+    merged = (mine.groupBy("currency_code")
+              .agg(F.sum(F.col("m2_x") + n * dx * dx).alias("xx"), F.sum(F.col("m2_y") + n * dy * dy).alias("yy"), F.sum(F.col("c_xy") + n * dx * dy).alias("xy"),
+                   F.sum("pairs").alias("days_count"), ((F.min("lo_x") < F.max("hi_x")) & (F.min("lo_y") < F.max("hi_y"))).alias("varying"))
               .filter(F.col("days_count") > min_days))
-    m = F.col("m")
-    value = F.when(F.col("varying"), F.try_divide(m["xy"], F.sqrt(m["xx"]) * F.sqrt(m["yy"])))
+    value = F.when(F.col("varying"), F.try_divide("xy", F.sqrt("xx") * F.sqrt("yy")))
     return merged.select("currency_code", F.round(value, 4).alias("correlation_with_anchor"), "days_count") \
         .orderBy(F.col("correlation_with_anchor").desc_nulls_first(), "currency_code")
 
