@@ -9,6 +9,7 @@ import corpus_pipeline as C
 from test_jaccard import brute
 from test_native import brute_lines, brute_mix
 from tidemark.llm import quality as Q
+from tidemark.llm.bpe import Codec
 from tidemark.llm.queries import MIX_EPOCHS, MIX_SEED, MIX_SHARE, MIX_WEIGHTS, vocabulary
 
 
@@ -57,3 +58,24 @@ def test_run_against_brute_force(spark, corpus):
     got = [(r.doc_id, r.n_tokens, r.decoded_sha256) for r in C.run(spark, folder).collect()]
     assert sorted(got) == sorted(want)
     assert len({d for d, _ in taken}) < len(taken) or len(taken) <= len(rest)
+
+
+def test_encoder_sends_no_texts_back_and_holds_no_second_vocabulary(spark, corpus):
+    folder, rows = corpus
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    got = C.tokenise(spark, docs, folder)
+    assert got.columns == ["doc_id", "lang", "source", "n_chars", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() == len(rows)
+    line = next(x for x in got._jdf.queryExecution().executedPlan().toString().split("\n") if "MapInArrow" in x)
+    assert "text" not in line.rsplit("[", 1)[1]
+    with open(vocabulary(), encoding="utf-8") as f:
+        assert type(Codec(f.read()).pre).__name__ == "ByteLevel"
+
+
+def test_tasks_give_memory_back(monkeypatch):
+    from tidemark.llm import common
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(1))
+    assert list(common.lean(lambda batches: (2 * b for b in batches))(iter([1, 2]))) == [2, 4] and len(calls) == 2
+    with pytest.raises(ZeroDivisionError):
+        list(common.lean(lambda batches: (1 // b for b in batches))(iter([0])))
+    assert len(calls) == 4

@@ -35,6 +35,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidemark.llm.common import lean
+
 SLICE_BYTES = 1 << 21
 LONG = 128  # longer pieces between certain cuts are merged one by one with a heap
 _NONE = 1 << 40
@@ -149,11 +151,11 @@ class Codec:
     """Encoder and decoder of one vocabulary file (its text is ``spec``)."""
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         j = json.loads(spec)
         self._check(j)
-        self.pre = Tokenizer.from_str(spec).pre_tokenizer
+        self.pre = ByteLevel(add_prefix_space=False)  # all that is used of the library's tokenizer, without its own copy of the vocabulary
         letters = byte_letters()
         vocab = j["model"]["vocab"]
         self.special = {t["content"].encode(): t["id"] for t in j["added_tokens"]}
@@ -429,9 +431,10 @@ DIGESTS = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256",
            T.StructField("decoded_sha256", T.StringType())]
 
 
-def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", digests: bool = False) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", digests: bool = False, columns: list[str] | None = None) -> DataFrame:
     """``docs`` with ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit) and ``decoded``, the text
-    decoded from the ids; with ``digests``, SHA-256 of both instead (without moving them).
+    decoded from the ids; with ``digests``, SHA-256 of both instead (without moving them). Of ``docs`` come ``columns`` (all if
+    None): texts that are not among them are not sent back by the tasks.
 
     ``vocabulary`` is the path of a tokenizer file on the driver.
     """
@@ -442,8 +445,9 @@ def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", digests: boo
     spec = spark.sparkContext.broadcast(body)
     new = DIGESTS if digests else ENCODED
     taken = {f.name for f in new}
-    rows = docs.select(*[f"`{c}`" for c in docs.columns if c.lower() not in taken])
-    keep = rows.columns
+    keep = [c for c in (docs.columns if columns is None else columns) if c.lower() not in taken]
+    rows = docs.select(*[f"`{c}`" for c in dict.fromkeys([*keep, text])])
+    kept = docs.select(*[f"`{c}`" for c in keep]).schema.fields
 
     def of_slice(codec, raw, offsets):
         """Results of the texts of a slice, in turn."""
@@ -475,4 +479,4 @@ def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", digests: boo
             arrays = [pa.array(n, pa.int64()), pa.array(ids, pa.string() if digests else pa.binary()), pa.array(decoded, pa.string())]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *arrays], names=[*keep, *[f.name for f in new]])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *new]))
+    return rows.mapInArrow(lean(run), T.StructType([*kept, *new]))

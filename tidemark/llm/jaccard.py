@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import materialise, partitions
+from tidemark.llm.common import lean, materialise, partitions
 from tidemark.llm.components import components
 from tidemark.llm.tokens import U, mix64, shingle_sets, slices
 
@@ -196,7 +196,7 @@ def _nodes(docs: DataFrame, text: str, doc_id: str, k: int) -> DataFrame:
                 names=["doc_id", "n_shingles", "node", "nameless", "content"])
 
     return _placed(docs, text, doc_id).withColumn("__content", F.xxhash64("__t")).mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, node bigint, nameless bigint, content bigint")
+        lean(run), "doc_id bigint, n_shingles bigint, node bigint, nameless bigint, content bigint")
 
 
 def _shared_cells(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
@@ -238,8 +238,8 @@ def _shared_cells(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame
                 yield pa.RecordBatch.from_arrays([pa.array(c[out]), pa.array(v[out])], names=["cell", "node"])
 
     schema = "cell bigint, node bigint"
-    rows = docs.select(F.col(text)).mapInArrow(emit, schema)
-    return rows.repartition(partitions(docs.sparkSession), "cell").sortWithinPartitions("cell", "node").mapInArrow(shared, schema)
+    rows = docs.select(F.col(text)).mapInArrow(lean(emit), schema)
+    return rows.repartition(partitions(docs.sparkSession), "cell").sortWithinPartitions("cell", "node").mapInArrow(lean(shared), schema)
 
 
 def _maybe_in(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
@@ -283,7 +283,7 @@ def _of_nodes(nodes: DataFrame, found: DataFrame, docs: DataFrame, text: str, do
                     pa.array(node[pick]), pa.array(np.diff(at)[pick]),
                     pa.array([(v[i] if what == "vec" else sets[at[i]: at[i + 1]]).tobytes() for i in pick], pa.binary())], names=["node", "n", what])
 
-    return rows.mapInArrow(run, f"node bigint, n bigint, {what} binary")
+    return rows.mapInArrow(lean(run), f"node bigint, n bigint, {what} binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -316,7 +316,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], names=["a", "b"])
 
     rows = heads.union(members).repartition(partitions(pairs.sparkSession), "a", "part")
-    return rows.sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()).mapInArrow(run, "a bigint, b bigint")
+    return rows.sortWithinPartitions("a", "part", F.col("b").asc_nulls_first()).mapInArrow(lean(run), "a bigint, b bigint")
 
 
 def _leaf_pairs(v: np.ndarray, n: np.ndarray, root: np.ndarray, group: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
@@ -396,7 +396,7 @@ def _tree_pairs(mixed: DataFrame, percent: int) -> DataFrame:
     rows = mixed.select("cell", "node", "root", "vec", "block", F.explode(others).alias("o")).select(
         "cell", "node", "root", "vec", "block", F.least("block", "o").alias("i"), F.greatest("block", "o").alias("j"))
     placed = rows.repartition(partitions(mixed.sparkSession), "cell", "i", "j").sortWithinPartitions("cell", "i", "j")
-    return placed.mapInArrow(run, schema).distinct()
+    return placed.mapInArrow(lean(run), schema).distinct()
 
 
 def near_groups(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", k: int = 4, percent: int = 85) -> DataFrame:
@@ -472,7 +472,7 @@ def _fitting(pairs: DataFrame, vectors: DataFrame, percent: int) -> DataFrame:
                 ok = pa.array(np.minimum(x, y).sum(1, dtype=np.int64) >= needed(n, 0, percent))
                 yield pa.RecordBatch.from_arrays([part.column(c).filter(ok) for c in ("a", "b")], names=["a", "b"])
 
-    return sized.select("a", "b", "n_a", "n_b", "v_a", "v_b").mapInArrow(run, "a bigint, b bigint")
+    return sized.select("a", "b", "n_a", "n_b", "v_a", "v_b").mapInArrow(lean(run), "a bigint, b bigint")
 
 
 def keep_one(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", k: int = 5, percent: int = 80, nameless: bool = False) -> DataFrame:

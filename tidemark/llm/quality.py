@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import with_replaced
+from tidemark.llm.common import lean, with_replaced
 from tidemark.llm.tokens import HASH_BITS, mix64, range_hashes, slices, words
 
 FEATURES = ("chars", "words", "word_length", "longest_word", "upper", "digits", "shout", "bars", "symbols", "stops",
@@ -235,7 +235,7 @@ def _scored(docs: DataFrame, model: dict | None, text: str) -> DataFrame:
                 new = pa.array(predict(model, x), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, new], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def held_out(doc_id: Column) -> Column:
